@@ -123,12 +123,18 @@ def state_code(col: str | Column) -> Column:
 
 # --- rounding and text -----------------------------------------------------
 
+def settled(c: Column) -> Column:
+    """A sum with its summation noise removed, so that a rounding step after it
+    does not depend on the order in which Spark added up the rows."""
+    return F.round(c.cast("double"), 9)
+
+
 def half_even(c: Column) -> Column:
-    return F.rint(c).cast("bigint")
+    return F.rint(settled(c)).cast("bigint")
 
 
 def truncated(c: Column) -> Column:
-    return c.cast("bigint")
+    return settled(c).cast("bigint")
 
 
 def round_counts(df: DataFrame, cols: Sequence[str], mode: str = "half_even") -> DataFrame:

@@ -202,10 +202,11 @@ def _without_repeats(ring: Column) -> Column:
 
 
 def tidy(geom: Column) -> Column:
-    """Closes rings, drops repeated points, empty rings and polygons without a shell."""
+    """Closes rings, drops repeated points, rings on one line and polygons without a shell."""
     def poly(p):
         rings = F.transform(p, lambda r: _close(_without_repeats(r)))
-        return F.filter(rings, lambda r: (F.size(r) >= 4) & (F.abs(ring_area(r)) > 0))
+        return F.filter(rings, lambda r: (F.size(r) >= 4) & F.exists(_ring_edges(
+            r, lambda p, q: (p.x - r[0].x) * (q.y - r[0].y) - (q.x - r[0].x) * (p.y - r[0].y)), lambda v: v != 0))
 
     shells = F.filter(geom["polys"], lambda p: F.size(p) > 0)
     polys = F.filter(F.transform(shells, poly), lambda p: F.size(p) > 0)

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from geoalloc.functions.columns import fixed_order
+from geoalloc.functions.columns import fixed_order, half_even
 from geoalloc.functions.geometry import area
 from geoalloc.spec import DISTRICT_LAYOUT, SQKM_PER_SQMI, SQM_PER_SQKM, SQM_PER_SQMI, TRACT_LAYOUT
 
@@ -70,7 +70,7 @@ def add_tract_measures(df: DataFrame) -> DataFrame:
 # --- aggregates over (weight, source values) -------------------------------
 
 def weighted_extensive_sum(cols: Sequence[str], w: str = "rast_wgt") -> list[Column]:
-    return [F.rint(F.sum(F.col(w) * F.col(f"`{c}`"))).cast("bigint").alias(c) for c in cols]
+    return [half_even(F.sum(F.col(w) * F.col(f"`{c}`"))).alias(c) for c in cols]
 
 
 def weighted_population(pop: str, w: str = "rast_wgt") -> Column:

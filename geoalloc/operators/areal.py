@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from geoalloc.functions.columns import quoted
+from geoalloc.functions.columns import quoted, truncated
 from geoalloc.functions.geometry import planar_area
 from geoalloc.operators.spatial import on_area_plane, overlap_area
 
@@ -109,8 +109,9 @@ def population_overlaps(src: DataFrame, components: DataFrame, targets: DataFram
     names = targets.select(F.col(tgt_id).alias("tgt_id"), F.col(tgt_name).alias("name"))
     comp = components.select(F.col(comp_id).alias("component"), F.col(comp_name).alias("component_name"))
     return (names.join(totals, "tgt_id", "left").join(by_pair, "tgt_id", "left").join(comp, "component", "left")
-            .selectExpr("tgt_id", "name", "component_name as component", "cast(coalesce(pop, 0D) as bigint) as pop",
-                        "cast(coalesce(TotalPopulation, 0D) as bigint) as TotalPopulation"))
+            .select("tgt_id", "name", F.col("component_name").alias("component"),
+                    truncated(F.coalesce("pop", F.lit(0.0))).alias("pop"),
+                    truncated(F.coalesce("TotalPopulation", F.lit(0.0))).alias("TotalPopulation")))
 
 
 def pivot_overlaps(pairs: DataFrame, rows: Sequence[str], column: str, value: str, names: Sequence[str]) -> DataFrame:

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoalloc.functions.columns import extensive_columns, half_even, quoted
+from geoalloc.functions.columns import extensive_columns, half_even, quoted, truncated
 from geoalloc.functions.geometry import BOX, area, box_geom, with_box
 from geoalloc.functions.measures import (
     density, pop_weighted_log_density, weighted_extensive_sum, weighted_intensive_mean, weighted_population,
@@ -88,7 +88,7 @@ def target_measures(weights: DataFrame, src: DataFrame, spec: InterpolationSpec,
     data = src.select(F.col(spec.id).alias("src_id"), *quoted(dict.fromkeys(wide)))
     return weights.join(data, "src_id").groupBy("tgt_id").agg(
         (F.sum("dev_area_m2") * 1e-6).alias("DevSqKm"), (F.sum("rast_area_m2") * 1e-6).alias("RasterSqKm"),
-        weighted_population(spec.pop).cast("bigint").alias("TotalPopulation"),
+        truncated(weighted_population(spec.pop)).alias("TotalPopulation"),
         density(spec.pop, "rast_area_m2").alias("PopPerSqKm"),
         density(spec.pop, "dev_area_m2").alias("PopPerDevSqKm"),
         pop_weighted_log_density(spec.pop, "rast_area_m2").alias("pwPopPerSqKm"),

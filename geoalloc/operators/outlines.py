@@ -205,7 +205,7 @@ def simplify(shapes: DataFrame, id: str, tolerance_m: float = 10.0, srid: int =
 
     def thin(batches):
         for pdf in batches:
-            done = [_thin_ring(x, y, s, tolerance_m) for x, y, s in zip(pdf.xs, pdf.ys, pdf.stops)]
+            done = [_thin_ring(x, y, s, tolerance_m) for x, y, s in zip(pdf["xs"], pdf["ys"], pdf["stops"])]
             yield pdf.assign(xs=[d[:, 0] for d in done], ys=[d[:, 1] for d in done]).drop(columns="stops")
 
     thinned = work.mapInPandas(thin, RING_SCHEMA)
