@@ -16,7 +16,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoalloc.functions.geometry import BOX, ring_area
+from geoalloc.functions.geometry import BOX
 
 CELL = ("cx", "cy")
 STRIP = ("cx", "cy", "sign", "xa", "xb", "ya", "yb")
@@ -56,15 +56,21 @@ def box_cells(df: DataFrame, cell: float, *keep: str) -> DataFrame:
 
 
 def edges(shapes: DataFrame, id: str, geom: str = "geom") -> DataFrame:
-    """One row per edge: end points and ``turn``, +1 if the area lies to its left."""
-    rings = F.flatten(F.transform(F.col(f"{geom}.polys"), lambda poly: F.transform(
-        poly, lambda r, i: F.struct(
-            r.alias("pts"),
-            (F.signum(ring_area(r)) * F.when(i == 0, 1.0).otherwise(-1.0)).alias("turn")))))
-    rows = shapes.select(F.col(id).alias("id"), F.explode(rings).alias("r"))
-    pairs = ("explode(zip_with(slice(r.pts, 1, greatest(size(r.pts) - 1, 0)), slice(r.pts, 2, greatest(size(r.pts) - 1, 0)),"
-             " (p, q) -> struct(p.x as x1, p.y as y1, q.x as x2, q.y as y2))) as e")
-    return rows.selectExpr("id", "r.turn as turn", pairs).selectExpr("id", "turn", "e.x1", "e.y1", "e.x2", "e.y2")
+    """One row per edge: end points and ``turn``, +1 if the area lies to its left.
+
+    Rings may be given in either direction: the first of a polygon is its shell,
+    the others are holes.
+    """
+    def each(measure):
+        # over the edges p -> q of ring r
+        return f"zip_with(slice(r, 1, size(r) - 1), slice(r, 2, size(r) - 1), (p, q) -> {measure})"
+
+    area = f"aggregate({each('(p.x - r[0].x) * (q.y - r[0].y) - (q.x - r[0].x) * (p.y - r[0].y)')}, 0D, (s, v) -> s + v)"
+    ring = f"""struct(signum({area}) * if(i = 0, 1D, -1D) as turn,
+        {each('struct(p.x as x1, p.y as y1, q.x as x2, q.y as y2)')} as edges)"""
+    rows = shapes.selectExpr(f"`{id}` as id", f"""explode(flatten(transform({geom}.polys,
+        poly -> transform(filter(poly, r -> size(r) > 1), (r, i) -> {ring})))) as r""")
+    return rows.selectExpr("id", "r.turn as turn", "inline(r.edges) as (x1, y1, x2, y2)")
 
 
 def _cut_at_columns(edge_rows: DataFrame, cell: float) -> DataFrame:

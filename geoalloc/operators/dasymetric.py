@@ -13,12 +13,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geoalloc.functions.columns import extensive_columns, half_even, quoted, truncated
-from geoalloc.functions.geometry import BOX, area, box_geom, with_box
+from geoalloc.functions.geometry import BOX, area, box_geom
 from geoalloc.functions.measures import (
     density, pop_weighted_log_density, weighted_extensive_sum, weighted_intensive_mean, weighted_population,
 )
 from geoalloc.operators import cells, raster
-from geoalloc.operators.spatial import bbox_join, on_area_plane, spatial_join_intersects
+from geoalloc.operators.spatial import bbox_join, on_area_plane, overlap_area, spatial_join_intersects
 from geoalloc.spec import Grid, InterpolationSpec
 
 #: Fewer people than this in an overlap are rounding.
@@ -26,21 +26,23 @@ NOBODY = 1e-9
 
 
 def tiles_touched(src: DataFrame, id: str, tiles: DataFrame, grid: Grid, exact: bool = True) -> DataFrame:
-    """(source, tile) pairs that meet. By boxes; with ``exact``, sources that
-    reach over the border of a tile are then compared with the tile's rectangle."""
+    """(source, tile) pairs that meet, with the tile's extent in pixels.
+
+    By boxes. With ``exact``, a source that reaches over a tile's border must also
+    share ground with the tile, unless the two boxes no more than touch.
+    """
     near = raster.tiles_of(src, id, tiles, grid, "src_id")
     if not exact:
-        return near
-    t = raster.tile_boxes(tiles, grid)
-    corners = [F.lit(grid.x0) + F.col("t_c0") * grid.px_w, F.lit(grid.y0) + F.least(F.col("t_r0") * grid.px_h, F.col("t_r1") * grid.px_h),
-               F.lit(grid.x0) + F.col("t_c1") * grid.px_w, F.lit(grid.y0) + F.greatest(F.col("t_r0") * grid.px_h, F.col("t_r1") * grid.px_h)]
-    rects = with_box(t.select("rid", box_geom(*corners).alias("geom")))
-    whole = near.join(raster._pixel_box(src.selectExpr(f"{id} as src_id", *BOX), grid), "src_id").withColumn(
-        "inside", F.expr("u0 >= t_c0 and u1 <= t_c1 and v0 >= t_r0 and v1 <= t_r1"))
-    near = whole.select(*near.columns, "inside")
-    across = src.join(near.where("not inside").select(F.col("src_id").alias(id)), id, "left_semi")
-    hits = spatial_join_intersects(across, rects, id, "rid", ("src_id", "rid")).withColumn("hit", F.lit(True))
-    return near.join(hits, ["src_id", "rid"], "left").where("inside or hit").drop("inside", "hit")
+        return near.drop("inside", "touch")
+    across = near.where("not inside and not touch")
+    rows = [F.lit(grid.y0) + F.col(c) * grid.px_h for c in ("t_r0", "t_r1")]
+    rect = box_geom(F.lit(grid.x0) + F.col("t_c0") * grid.px_w, F.least(*rows),
+                    F.lit(grid.x0) + F.col("t_c1") * grid.px_w, F.greatest(*rows))
+    rects = raster.tile_boxes(tiles, grid).select("rid", rect.alias("geom"))
+    cut = src.join(across.select(F.col("src_id").alias(id)), id, "left_semi")
+    ground = overlap_area(cut, rects, id, "rid", ("src_id", "rid"), cell=abs(grid.tile * grid.px_w))
+    kept = across.join(ground, ["src_id", "rid"], "left_semi")
+    return near.where("inside or touch").unionByName(kept).drop("inside", "touch")
 
 
 def raster_weight_by_pair(both: DataFrame, clips: DataFrame, envelopes: DataFrame) -> DataFrame:
@@ -69,7 +71,8 @@ def dasymetric_weights(src: DataFrame, tgt: DataFrame, tiles: DataFrame, runs: D
         lit = tiles.join(runs.select("rid"), "rid", "left_semi")
         pair_tiles = tiles_touched(src, src_id, lit, grid, exact=False)
     else:
-        pairs = pairs.join(spatial_join_intersects(src, tgt, src_id, tgt_id, cell=cell), ["src_id", "tgt_id"], "left_semi")
+        meet = spatial_join_intersects(src, tgt, src_id, tgt_id, cell=cell, boxes=pairs)
+        pairs = pairs.join(meet, ["src_id", "tgt_id"], "left_semi")
         pair_tiles = tiles_touched(src, src_id, tiles, grid)
     envelopes = raster.clip_envelope_area(pairs, pair_tiles, grid, merged=preclipped)
     in_both = raster.clip_runs(clips, raster.scan_spans(tgt, tgt_id, grid, "tgt_id"))

@@ -191,7 +191,11 @@ def _pixel_box(df: DataFrame, grid: Grid, prefix: str = "") -> DataFrame:
 
 
 def tiles_of(shapes: DataFrame, id: str, tiles: DataFrame, grid: Grid, name: str = "geom_id") -> DataFrame:
-    """(geometry, tile) pairs whose boxes meet, touching included."""
+    """(geometry, tile) pairs whose boxes meet, with the tile's extent in pixels.
+
+    ``inside``: the whole geometry lies in the tile; ``touch``: the boxes share
+    no more than a border.
+    """
     t = grid.tile
     s = _pixel_box(shapes.selectExpr(f"{id} as {name}", *BOX).where("xmin is not null"), grid)
     # a tile reaches from its first pixel to at most the next tile's, border included
@@ -199,7 +203,9 @@ def tiles_of(shapes: DataFrame, id: str, tiles: DataFrame, grid: Grid, name: str
                      f"sequence(ceil(v0 / {t}) - 1, floor(v1 / {t})) as tys")
     s = s.selectExpr(name, "u0", "u1", "v0", "v1", "tx", "explode(tys) as ty")
     return s.join(tile_boxes(tiles, grid), ["tx", "ty"]).where(
-        "u0 <= t_c1 and t_c0 <= u1 and v0 <= t_r1 and t_r0 <= v1").select(name, "rid", "t_c0", "t_c1", "t_r0", "t_r1")
+        "u0 <= t_c1 and t_c0 <= u1 and v0 <= t_r1 and t_r0 <= v1").selectExpr(
+        name, "rid", "t_c0", "t_c1", "t_r0", "t_r1", "u0 >= t_c0 and u1 <= t_c1 and v0 >= t_r0 and v1 <= t_r1 as inside",
+        "u0 = t_c1 or u1 = t_c0 or v0 = t_r1 or v1 = t_r0 as touch")
 
 
 def clip_envelope_area(pairs: DataFrame, pair_tiles: DataFrame, grid: Grid, src: str = "src_id",

@@ -112,15 +112,19 @@ def _contacts(pairs: DataFrame, left: DataFrame, right: DataFrame, left_id: str,
 
 
 def spatial_join_intersects(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
-                            names: tuple[str, str] = PAIR, cell: float | None = None) -> DataFrame:
+                            names: tuple[str, str] = PAIR, cell: float | None = None,
+                            boxes: DataFrame | None = None) -> DataFrame:
     """Pairs that share at least a point.
 
     Shared ground settles most pairs; only those whose boxes meet without any
-    are looked at edge by edge.
+    are looked at edge by edge. ``boxes`` may pass the box pairs if they are
+    already at hand.
     """
     cell = cell or cells.choose_cell(left, right)
     ground = overlap_area(left, right, left_id, right_id, names, cell=cell).select(*names)
-    rest = bbox_join(left, right, left_id, right_id, names, cell).select(*names).join(ground, list(names), "left_anti")
+    if boxes is None:
+        boxes = bbox_join(left, right, left_id, right_id, names, cell)
+    rest = boxes.select(*names).join(ground, list(names), "left_anti")
     return ground.unionByName(_contacts(rest, left, right, left_id, right_id, names, cell))
 
 
