@@ -69,22 +69,22 @@ def _dasymetric(weights: str, name: str = "das") -> str:
   from {weights} w join src_tracts s on s.k = w.src_id group by 1)"""
 
 
-_DAS_COLS = """round(d.dev_km2, 4) as "DevSqKm", d.pop as "TotalPopulation",
-  round(d.per_km2, 4) as "PopPerSqKm", round(d.per_dev_km2, 4) as "PopPerDevSqKm", round(d.pw_km2, 4) as "pwPopPerSqKm",
-  round(d.pw_dev_km2, 4) as "pwPopPerDevSqKm", round(d.income, 4) as "PerCapitaIncome", d.m4 as "AQM4E002", d.pz as "AQPZE003" """
+_DAS_COLS = """round(round(d.dev_km2, 9), 4) as "DevSqKm", d.pop as "TotalPopulation",
+  round(round(d.per_km2, 9), 4) as "PopPerSqKm", round(round(d.per_dev_km2, 9), 4) as "PopPerDevSqKm", round(round(d.pw_km2, 9), 4) as "pwPopPerSqKm",
+  round(round(d.pw_dev_km2, 9), 4) as "pwPopPerDevSqKm", round(round(d.income, 9), 4) as "PerCapitaIncome", d.m4 as "AQM4E002", d.pz as "AQPZE003" """
 
 
 def _das_select(tgt: str, size: str) -> str:
-    return f"""select t.id_0 as "ID", t.name as "DistrictName", round({size}, 4) as "SqKm", {_DAS_COLS}
+    return f"""select t.id_0 as "ID", t.name as "DistrictName", round(round({size}, 9), 4) as "SqKm", {_DAS_COLS}
   from das d join {tgt} t on t.id_0 = d.tgt_id"""
 
 
 def _district_out(kind: str, tgt: str, das: str) -> str:
     return f"""select t.statefp::varchar as "StateFIPS", '{kind}' as "DistrictType", t.name as "DistrictName",
-  d.pop as "TotalPopulation", round(d.income, 4) as "PerCapitaIncome",
-  round(((t.x1 - t.x0) * (t.y1 - t.y0))::double, 4) as "SqKm",
-  round((t.x1 - t.x0) * (t.y1 - t.y0) / {MI}, 4) as "SqMiles", round(d.per_km2 * {MI}, 4) as "PopPerSqMile",
-  round(d.pw_km2 * {MI}, 4) as "pwPopPerSqMile", round(((t.x1 - t.x0) * (t.y1 - t.y0) * d.pop)::double, 4) as "SqKmPop",
+  d.pop as "TotalPopulation", round(round(d.income, 9), 4) as "PerCapitaIncome",
+  round(round(((t.x1 - t.x0) * (t.y1 - t.y0))::double, 9), 4) as "SqKm",
+  round(round((t.x1 - t.x0) * (t.y1 - t.y0) / {MI}, 9), 4) as "SqMiles", round(round(d.per_km2 * {MI}, 9), 4) as "PopPerSqMile",
+  round(round(d.pw_km2 * {MI}, 9), 4) as "pwPopPerSqMile", round(round(((t.x1 - t.x0) * (t.y1 - t.y0) * d.pop)::double, 9), 4) as "SqKmPop",
   d.m4 as "AQM4E002", d.pz as "AQPZE003" from {das} d join {tgt} t on t.id_0 = d.tgt_id"""
 
 
@@ -109,8 +109,8 @@ a12 as (select a.i, b.id_0 as j, sum(a.pop * {_OVER} / 16) as a from b1 a join {
   left join d1 on d1.i = n.i left join a1 on a1.i = n.i group by 1, 2)"""
 
 
-_PAIR_COLS = """name_1, name_2, round(d_pop_in_s1_s2, 4) as d_pop_in_s1_s2, round(a_pop_in_s1_s2, 4) as a_pop_in_s1_s2,
-  round(d_pop_in_s1, 4) as d_pop_in_s1, round(a_pop_in_s1, 4) as a_pop_in_s1"""
+_PAIR_COLS = """name_1, name_2, round(round(d_pop_in_s1_s2, 9), 4) as d_pop_in_s1_s2, round(round(a_pop_in_s1_s2, 9), 4) as a_pop_in_s1_s2,
+  round(round(d_pop_in_s1, 9), 4) as d_pop_in_s1, round(round(a_pop_in_s1, 9), 4) as a_pop_in_s1"""
 
 
 def _matrix(m1: str) -> str:
@@ -169,14 +169,14 @@ def _attribute_job() -> str:
     people = ["T_Population", "C_U18", "C_O18"]
     sums = ", ".join(f'coalesce(sum(a.share * g."{c}"), 0) as "{c}"' for c in [*_GROUPS])
     sums_t = ", ".join(f'coalesce(sum(a.share * c."{c}"), 0) as "{c}"' for c in people)
-    out = ", ".join(f'round(e."{c}", 4) as "{c}"' for c in [*shown, *people])
+    out = ", ".join(f'round(round(e."{c}", 9), 4) as "{c}"' for c in [*shown, *people])
     return f"""with {SQL}, {OVL}, {ALLOC}, groups as ({GROUPS}), citizens as ({CITIZENS}),
 est as (select t.id_0, {sums}, {sums_t} from tgt_a t left join alloc a on a.tgt_id = t.id_0
   left join groups g on g."GISJOIN" = 'G' || a.src_id left join citizens c on c."GISJOIN" = 'G' || a.src_id group by 1)
 select t.statefp::varchar as "StateFIPS", lpad(t.id_0::varchar, 4, '0') as "CongressionalDistrict", {out},
-  round((t.x1 - t.x0) * (t.y1 - t.y0) * {KM2} / (1609.34::DOUBLE * 1609.34), 4) as "SqMiles",
-  round(e."BG_Population" / ((t.x1 - t.x0) * (t.y1 - t.y0) * {KM2} / (1609.34::DOUBLE * 1609.34)), 4) as "PopPerSqMile",
-  round(e."TotalIncome" / nullif(e."BG_Population", 0), 4) as "PerCapitaIncome"
+  round(round((t.x1 - t.x0) * (t.y1 - t.y0) * {KM2} / (1609.34::DOUBLE * 1609.34), 9), 4) as "SqMiles",
+  round(round(e."BG_Population" / ((t.x1 - t.x0) * (t.y1 - t.y0) * {KM2} / (1609.34::DOUBLE * 1609.34)), 9), 4) as "PopPerSqMile",
+  round(round(e."TotalIncome" / nullif(e."BG_Population", 0), 9), 4) as "PerCapitaIncome"
   from tgt_a t join est e using (id_0) where t.id_0 % 9 <> 0"""
 
 
@@ -242,21 +242,21 @@ def build() -> dict[str, str]:
     q["derive_citizen_groups"] = CITIZENS
     add("add_pop_income", 'select geoid, "AQNFE001" as "TotalPopulation", "AQNFE001" * "AQRAE001" as "TotalIncome" from src_tracts')
     add("add_source_density_terms", """select geoid, ("AQNFE001" * 16)::double as "SqKmPop",
-      round(case when "AQNFE001" > 0 then "AQNFE001" * ln("AQNFE001" / 16) else 0 end, 4) as "PWLogPopPerSqKm" from src_tracts""")
+      round(round(case when "AQNFE001" > 0 then "AQNFE001" * ln("AQNFE001" / 16) else 0 end, 9), 4) as "PWLogPopPerSqKm" from src_tracts""")
     add("add_district_measures", f"""select statefp::varchar as "StateFIPS", 'StateUpper' as "DistrictType", name as "DistrictName",
-      id_0 * 7 + 1 as "TotalPopulation", (id_0 + 1000)::double as "PerCapitaIncome", km::double as "SqKm", round(km / {MI}, 4) as "SqMiles",
-      round((id_0 * 7 + 1) / km * {MI}, 4) as "PopPerSqMile", round((id_0 * 7 + 1) / km * 1.5 * {MI}, 4) as "pwPopPerSqMile",
+      id_0 * 7 + 1 as "TotalPopulation", (id_0 + 1000)::double as "PerCapitaIncome", km::double as "SqKm", round(round(km / {MI}, 9), 4) as "SqMiles",
+      round(round((id_0 * 7 + 1) / km * {MI}, 9), 4) as "PopPerSqMile", round(round((id_0 * 7 + 1) / km * 1.5 * {MI}, 9), 4) as "pwPopPerSqMile",
       (km * (id_0 * 7 + 1))::double as "SqKmPop", id_0 * 3 as "AQM4E002"
       from (select *, (x1 - x0) * (y1 - y0) as km from tgt_a)""")
     add("add_tract_measures", f"""select 'S' as "StateAbbreviation", geoid as "TractId", "AQNFE001" as "TotalPopulation",
-      "AQRAE001" as "PerCapitaIncome", 16::double as "SqKm", round(16 / {MI}, 4) as "SqMiles",
-      round({MI} * "AQNFE001" / 16, 4) as "PopPerSqMile", round({MI} * "AQNFE001" / 16, 4) as "pwPopPerSqMile",
+      "AQRAE001" as "PerCapitaIncome", 16::double as "SqKm", round(round(16 / {MI}, 9), 4) as "SqMiles",
+      round(round({MI} * "AQNFE001" / 16, 9), 4) as "PopPerSqMile", round(round({MI} * "AQNFE001" / 16, 9), 4) as "pwPopPerSqMile",
       (16 * "AQNFE001")::double as "SqKmPop", "AQM4E002" from src_tracts""")
     mi2 = f"(16 * {KM2} / (1609.34::DOUBLE * 1609.34))"
-    add("add_areal_measures", f"""select geoid, round("AQNFE001" * "AQRAE001" / nullif("AQNFE001", 0), 4) as "PerCapitaIncome",
-      round("AQNFE001" / {mi2}, 4) as "PopPerSqMile", round(case when "AQNFE001" > 0 then "AQNFE001" / 16 * {MI} end, 4) as "pwPopPerSqMile"
+    add("add_areal_measures", f"""select geoid, round(round("AQNFE001" * "AQRAE001" / nullif("AQNFE001", 0), 9), 4) as "PerCapitaIncome",
+      round(round("AQNFE001" / {mi2}, 9), 4) as "PopPerSqMile", round(round(case when "AQNFE001" > 0 then "AQNFE001" / 16 * {MI} end, 9), 4) as "pwPopPerSqMile"
       from src_tracts""")
-    add("add_target_area", f"""select id_0, round(m2 / (1609.34::DOUBLE * 1609.34), 4) as "SqMiles", (m2 / 1e6)::double as "SqKm"
+    add("add_target_area", f"""select id_0, round(round(m2 / (1609.34::DOUBLE * 1609.34), 9), 4) as "SqMiles", (m2 / 1e6)::double as "SqKm"
       from (select id_0, (x1 - x0) * (y1 - y0) * {KM2} as m2 from tgt_b)""")
     add("attach_state_fips", 'select id_0, 8::bigint as "A", statefp::bigint as "B" from tgt_a')
     add("filter_state", "select geoid from src_tracts where statefp = 7")
@@ -285,7 +285,7 @@ def build() -> dict[str, str]:
       from half h join src_tracts s on 'G' || s.k = h."GISJOIN" where h."AQM4E002" is null or h."AQNFE001" > 0""", f"half as ({HALF})")
     add("join_states", 'select geoid, "StateAbbreviation", "OneDistrict" from src_tracts join states on "StateFIPS" = statefp')
     add("join_back_measures", 'select src_id, tgt_id, area, s."AQNFE001" from ovl join src_tracts s on s.k = src_id', OVL)
-    add("positional_concat", """select t.id_0, t.name, round(coalesce(sum(a.share * s."AQM4E002"), 0), 4) as "AQM4E002" from tgt_a t
+    add("positional_concat", """select t.id_0, t.name, round(round(coalesce(sum(a.share * s."AQM4E002"), 0), 9), 4) as "AQM4E002" from tgt_a t
       left join alloc a on a.tgt_id = t.id_0 left join src_tracts s on s.k = a.src_id group by 1, 2""", OVL, ALLOC)
 
     meet = f"from src_tracts a join tgt_a b on {_MEET}"
@@ -309,22 +309,22 @@ def build() -> dict[str, str]:
     wp = 'a.share * s."AQNFE001"'
     add("weighted_extensive_sum", f"""select tgt_id, round_even(round(sum(a.share * s."AQM4E002"), 9), 0)::bigint as "AQM4E002",
       round_even(round(sum(a.share * s."AQPZE003"), 9), 0)::bigint as "AQPZE003" {j}""", OVL, BY_AREA)
-    add("weighted_population", f"select tgt_id, round(sum({wp}), 4) as pop {j}", OVL, BY_AREA)
-    add("weighted_intensive_mean", f"""select tgt_id, round(sum({wp} * s."AQRAE001") / nullif(sum({wp}), 0), 4) as kept,
-      round(sum({wp} * s."AQRAE001") / nullif(sum(case when s."AQRAE001" is not null then {wp} end), 0), 4) as skipped {j}""", OVL, BY_AREA)
-    add("density", f"select tgt_id, round(sum({wp}) / sum(a.area) * {KM2}, 4) as per_km2 {j}", OVL, BY_AREA)
-    add("pop_weighted_log_density", f"""select tgt_id, round(exp(sum(case when {wp} > 0 then {wp} * ln({wp} * {KM2} / a.area) else 0 end)
-      / nullif(sum({wp}), 0)), 4) as pw_per_km2 {j}""", OVL, BY_AREA)
+    add("weighted_population", f"select tgt_id, round(round(sum({wp}), 9), 4) as pop {j}", OVL, BY_AREA)
+    add("weighted_intensive_mean", f"""select tgt_id, round(round(sum({wp} * s."AQRAE001") / nullif(sum({wp}), 0), 9), 4) as kept,
+      round(round(sum({wp} * s."AQRAE001") / nullif(sum(case when s."AQRAE001" is not null then {wp} end), 0), 9), 4) as skipped {j}""", OVL, BY_AREA)
+    add("density", f"select tgt_id, round(round(sum({wp}) / sum(a.area) * {KM2}, 9), 4) as per_km2 {j}", OVL, BY_AREA)
+    add("pop_weighted_log_density", f"""select tgt_id, round(round(exp(sum(case when {wp} > 0 then {wp} * ln({wp} * {KM2} / a.area) else 0 end)
+      / nullif(sum({wp}), 0)), 9), 4) as pw_per_km2 {j}""", OVL, BY_AREA)
 
     def spread(cte):
-        return ("select t.id_0, " + ", ".join(f'round(coalesce(sum(a.share * s."{c}"), 0), 4) as "{c}"' for c in ("AQNFE001", "AQM4E002", "AQPZE003"))
+        return ("select t.id_0, " + ", ".join(f'round(round(coalesce(sum(a.share * s."{c}"), 0), 9), 4) as "{c}"' for c in ("AQNFE001", "AQM4E002", "AQPZE003"))
                 + f" from tgt_a t left join {cte} a on a.tgt_id = t.id_0 left join src_tracts s on s.k = a.src_id group by 1")
     add("areal_interpolate_extensive", spread("alloc"), OVL, ALLOC)
     add("areal_interpolate_extensive_source_area", spread("by_area"), OVL, BY_AREA)
-    add("areal_interpolate_intensive", """select t.id_0, round(coalesce(sum(o.area * coalesce(s."AQRAE001", 0)) / sum(o.area), 0), 4) as "AQRAE001",
-      round(coalesce(sum(o.area * s."AQM4E002") / sum(o.area), 0), 4) as "AQM4E002" from tgt_b t left join ovl_b o on o.tgt_id = t.id_0
+    add("areal_interpolate_intensive", """select t.id_0, round(round(coalesce(sum(o.area * coalesce(s."AQRAE001", 0)) / sum(o.area), 0), 9), 4) as "AQRAE001",
+      round(round(coalesce(sum(o.area * s."AQM4E002") / sum(o.area), 0), 9), 4) as "AQM4E002" from tgt_b t left join ovl_b o on o.tgt_id = t.id_0
       left join src_tracts s on s.k = o.src_id group by 1""", OVL_B)
-    add("one_hot_shares", """select src_id, tgt_id as component, round(100 * area / sum(area) over (partition by src_id), 4) as share from ovl_b""", OVL_B)
+    add("one_hot_shares", """select src_id, tgt_id as component, round(round(100 * area / sum(area) over (partition by src_id), 9), 4) as share from ovl_b""", OVL_B)
     q["population_overlaps"] = _population_overlaps("tgt_b", "select * from long")
     cells = ", ".join(f"coalesce(sum(case when component = 'R{i}' then pop end), 0)::bigint as \"R{i}\"" for i in range(5))
     q["job_areal_overlaps"] = _population_overlaps("tgt_r", f'select name, "TotalPopulation", {cells} from long group by tgt_id, name, "TotalPopulation"')
@@ -344,7 +344,7 @@ def build() -> dict[str, str]:
     add("raster_union_by_geom", """select k as geom_id, count(*) as dev, count(distinct (prow // 16) * 4294967296 + pcol // 16) as tiles,
       min(pcol) as c_from, max(pcol) + 1 as c_to, min(prow) as r_from, max(prow) + 1 as r_to from pix group by 1""", RASTER)
 
-    add("raster_weight_by_pair", "select src_id, tgt_id, dev_in_both, dev_in_source, round(rast_wgt, 4) as rast_wgt, dev_area_m2, rast_area_m2 from wgt",
+    add("raster_weight_by_pair", "select src_id, tgt_id, dev_in_both, dev_in_source, round(round(rast_wgt, 9), 4) as rast_wgt, dev_area_m2, rast_area_m2 from wgt",
         RASTER, _weights("tgt_a"))
     km = "((t.x1 - t.x0) * (t.y1 - t.y0))::double"
     add("dasymetric_interpolate", _das_select("tgt_a", km), RASTER, _weights("tgt_a"), _dasymetric("wgt"))
@@ -355,10 +355,10 @@ def build() -> dict[str, str]:
     add("job_dasymetric_districts", _district_out("Congressional", "tgt_a", "da") + " union all " + _district_out("StateUpper", "tgt_b", "db"), *das2)
     two = [RASTER, _pair_sums("tgt_b", "tgt_a")]
     keep = "where d_pop_in_s1_s2 > {0} or a_pop_in_s1_s2 > {0}"
-    add("overlap_sum_by_pair", """select name_1, round(sum(d_pop_in_s1_s2), 4) as d_sum, round(sum(a_pop_in_s1_s2), 4) as a_sum,
+    add("overlap_sum_by_pair", """select name_1, round(round(sum(d_pop_in_s1_s2), 9), 4) as d_sum, round(round(sum(a_pop_in_s1_s2), 9), 4) as a_sum,
       count(*) as pairs from pairs group by 1""", *two)
     add("dasymetric_overlap_pairs", f"select {_PAIR_COLS} from pairs {keep.format(0)}", *two)
-    add("dasymetric_overlap_pairs_v1", f"select {_PAIR_COLS.rpartition(',')[0]} from pairs", *two)
+    add("dasymetric_overlap_pairs_v1", f"select {_PAIR_COLS} from pairs", *two)
     add("dasymetric_overlap_pairs_v2", f"select {_PAIR_COLS} from pairs {keep.format(1)} order by name_1", *two)
     add("overlap_matrix", _matrix("tgt_a"), RASTER, _pair_sums("tgt_a", "tgt_r"))
     add("job_sld_cd_overlaps", _matrix("tgt_b"), RASTER, _pair_sums("tgt_b", "tgt_r"))
@@ -375,14 +375,14 @@ def build() -> dict[str, str]:
     add("tract_measures", f"""select "StateAbbreviation", geoid as "TractId", "AQNFE001" as "TotalPopulation", 16::double as "SqKm",
       coalesce("AQRAE001", 0) as "PerCapitaIncome", "AQM4E002", "AQPZE003" {tm}""")
     add("job_tract_measures", f"""select "StateAbbreviation", geoid as "TractId", "AQNFE001" as "TotalPopulation",
-      coalesce("AQRAE001", 0) as "PerCapitaIncome", 16::double as "SqKm", round(16 / {MI}, 4) as "SqMiles",
-      round({MI} * "AQNFE001" / 16, 4) as "PopPerSqMile", round({MI} * "AQNFE001" / 16, 4) as "pwPopPerSqMile",
+      coalesce("AQRAE001", 0) as "PerCapitaIncome", 16::double as "SqKm", round(round(16 / {MI}, 9), 4) as "SqMiles",
+      round(round({MI} * "AQNFE001" / 16, 9), 4) as "PopPerSqMile", round(round({MI} * "AQNFE001" / 16, 9), 4) as "pwPopPerSqMile",
       (16 * "AQNFE001")::double as "SqKmPop", "AQM4E002", "AQPZE003" {tm}""")
 
     add("planar_area", f"select id_0, (x1 - x0) * (y1 - y0) * {KM2} as area from tgt_b")
-    add("geodesic_area", f"select geoid, round({_globe('x0', 'y0', 'x1', 'y1')}, 4) as km2 from src_tracts, ell", _ELL)
+    add("geodesic_area", f"select geoid, round(round({_globe('x0', 'y0', 'x1', 'y1')}, 9), 4) as km2 from src_tracts, ell", _ELL)
     ov = ("greatest(s.x0, t.x0)", "greatest(s.y0, t.y0)", "least(s.x1, t.x1)", "least(s.y1, t.y1)")
-    add("geodesic_overlap_area", f"""select s.k as src_id, t.id_0 as tgt_id, round({_globe(*ov)}, 4) as km2 from src_tracts s join tgt_a t
+    add("geodesic_overlap_area", f"""select s.k as src_id, t.id_0 as tgt_id, round(round({_globe(*ov)}, 9), 4) as km2 from src_tracts s join tgt_a t
       on s.x0 < t.x1 and t.x0 < s.x1 and s.y0 < t.y1 and t.y0 < s.y1, ell""", _ELL)
 
     def mx(c):
@@ -397,8 +397,8 @@ def build() -> dict[str, str]:
     sides = [e.format(*c) for c in (("x0", "y0", "x1", "y0"), ("x0", "y1", "x1", "y1"), ("x0", "y0", "x0", "y1"), ("x1", "y0", "x1", "y1"))]
     add("shared_edges", 'select ax, ay, bx, "by", k, count(*) over (partition by ax, ay, bx, "by") as sharers from e', f"e as ({' union all '.join(sides)})")
     add("simplify", f"select k, 5::bigint as points, 16 * {KM2} as area from src_tracts")
-    feature = """select 'Feature' as type, 'Polygon' as kind, geoid, "AQRAE001" as income, round(x1 * 0.4::DOUBLE - 140, 4) as x,
-      round(y1 * 0.05::DOUBLE + 10, 4) as y from src_tracts"""
+    feature = """select 'Feature' as type, 'Polygon' as kind, geoid, "AQRAE001" as income, round(round(x1 * 0.4::DOUBLE - 140, 9), 4) as x,
+      round(round(y1 * 0.05::DOUBLE + 10, 9), 4) as y from src_tracts"""
     add("to_geojson_features", feature)
     add("job_export_geojson", "select statefp::bigint as statefp, 'Feature' as type, 'Polygon' as kind, geoid, 5::bigint as points from src_tracts")
     add("collect_features", "select statefp::bigint as statefp, 'FeatureCollection' as type, count(*) as n from tgt_a group by 1")

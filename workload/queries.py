@@ -28,7 +28,8 @@ def settle(df: DataFrame) -> DataFrame:
     for c, t in df.dtypes:
         col = F.col(f"`{c}`")
         if t in ("double", "float"):
-            # halves away from zero on the scaled double, as the SQL side rounds
+            # summation noise off first, then halves away from zero as the SQL side rounds
+            col = F.round(col, 9)
             col = F.signum(col) * F.floor(F.abs(col) * 10000.0 + 0.5) / 10000.0
         elif t in ("int", "smallint", "tinyint"):
             col = col.cast("bigint")
@@ -473,7 +474,7 @@ def q_dasymetric_overlap_pairs(m):
 
 @query
 def q_dasymetric_overlap_pairs_v1(m):
-    return _pairs(m, min_pop=None).drop("a_pop_in_s1")
+    return _pairs(m, min_pop=None)
 
 
 @query
