@@ -13,17 +13,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geoalloc.functions.columns import extensive_columns, half_even, quoted, truncated
-from geoalloc.functions.geometry import BOX, area, box_geom
+from geoalloc.functions.geometry import BOX, LONLAT, area, box_geom, planar_area
 from geoalloc.functions.measures import (
     density, pop_weighted_log_density, weighted_extensive_sum, weighted_intensive_mean, weighted_population,
 )
 from geoalloc.operators import cells, raster
-from geoalloc.operators.spatial import bbox_join, on_area_plane, overlap_area, spatial_join_intersects
+from geoalloc.operators.spatial import NOISE, bbox_join, on_area_plane, overlap_area, spatial_join_intersects
+from geoalloc.sources.writers import stored
 from geoalloc.spec import Grid, InterpolationSpec
 
-#: Fewer people than this in an overlap are rounding.
-NOBODY = 1e-9
-
 
 def tiles_touched(src: DataFrame, id: str, tiles: DataFrame, grid: Grid, exact: bool = True) -> DataFrame:
     """(source, tile) pairs that meet, with the tile's extent in pixels.
@@ -65,7 +63,7 @@ def dasymetric_weights(src: DataFrame, tgt: DataFrame, tiles: DataFrame, runs: D
     """
     cell = cell or cells.choose_cell(src, tgt)
     if clips is None:
-        clips = raster.clip_raster_to_geometries(runs, src, src_id, grid, "src_id")
+        clips = stored(raster.clip_raster_to_geometries(runs, src, src_id, grid, "src_id"))
     pairs = bbox_join(src, tgt, src_id, tgt_id, cell=cell)
     if preclipped:
         lit = tiles.join(runs.select("rid"), "rid", "left_semi")
@@ -120,7 +118,7 @@ def dasymetric_interpolate(src: DataFrame, tgt: DataFrame, tiles: DataFrame, run
 
 def dasymetric_interpolate_preclipped(src, tgt, tiles, runs, grid, spec, **options) -> DataFrame:
     """From stored per-source clips: populated, not excluded sources only."""
-    clips = raster.clip_raster_to_geometries(runs, src, spec.id, grid, "src_id", pop=spec.pop)
+    clips = stored(raster.clip_raster_to_geometries(runs, src, spec.id, grid, "src_id", pop=spec.pop))
     listed = src.where((F.col(spec.pop) > 0) & ~F.col(spec.id).cast("string").isin(*raster.EXCLUDED_TRACTS))
     return dasymetric_interpolate(listed, tgt, tiles, runs, grid, spec, clips=clips, preclipped=True, **options)
 
@@ -136,7 +134,7 @@ def overlap_sum_by_pair(people_1: DataFrame, people_12: DataFrame, near: DataFra
     """
     n1 = map1.select(F.col(ids[0]).alias("id_1"), F.col(names[0]).alias("name_1"))
     n2 = map2.select(F.col(ids[1]).alias("id_2"), F.col(names[1]).alias("name_2"))
-    j = near.join(people_1, "id_1").join(people_12, ["id_1", "id_2"], "left").join(n1, "id_1").join(n2, "id_2")
+    j = near.join(people_1, "id_1", "left").join(people_12, ["id_1", "id_2"], "left").join(n1, "id_1").join(n2, "id_2")
     zero = F.lit(0.0)
     return j.groupBy("name_1", "name_2").agg(
         F.sum(F.coalesce("d_12", zero)).alias("d_pop_in_s1_s2"), F.sum(F.coalesce("a_12", zero)).alias("a_pop_in_s1_s2"),
@@ -155,38 +153,40 @@ def dasymetric_overlap_pairs(map1: DataFrame, map2: DataFrame, src: DataFrame, t
     """
     cell = cell or cells.choose_cell(src, map1, map2)
     if clips is None:
-        clips = raster.clip_raster_to_geometries(runs, src, src_id, grid, "src_id")
+        clips = stored(raster.clip_raster_to_geometries(runs, src, src_id, grid, "src_id"))
+    # people per developed pixel and per unit of ground of each source that has a tile
     has_tile = raster.tiles_of(src, src_id, tiles, grid, "src_id").select("src_id")
-    listed = src.select(F.col(src_id).alias("src_id"), F.col(pop).alias("people"), "geom", *BOX).join(has_tile, "src_id", "left_semi")
-
-    # people per developed pixel and per unit of ground of each source
-    own = raster.clip_count(clips, "src_id")
-    per_pixel = listed.select("src_id", "people").join(own, "src_id").selectExpr("src_id", "people / dev as rate")
-    lit_runs = clips.join(per_pixel, "src_id")
-    spans_1 = raster.scan_spans(map1, ids[0], grid, "id_1")
-    runs_1 = raster.clip_runs(lit_runs, spans_1)
-    d_1 = runs_1.groupBy("id_1").agg(F.sum(F.expr("rate * (c_to - c_from)")).alias("d_1"))
-    spans_2 = raster.scan_spans(map2, ids[1], grid, "id_2")
-    d_12 = raster.clip_runs(runs_1, spans_2).groupBy("id_1", "id_2").agg(
-        F.sum(F.expr("rate * (c_to - c_from)")).alias("d_12"))
-
-    on_plane = [on_area_plane(x, grid.srid) for x in (listed, map1, map2)]
-    cell_area = cell if grid.srid != 4326 else cells.choose_cell(*on_plane)
-    per_ground = on_plane[0].select("src_id", F.try_divide("people", area(F.col("geom"), 0)).alias("rate"))
-    s = (cells.strips(on_plane[0], "src_id", cell_area).withColumnRenamed("id", "src_id").join(per_ground, "src_id")
-         .withColumn("sign", F.col("sign") * F.col("rate")).drop("rate", "src_id"))
-    s_1 = cells.strips(on_plane[1], ids[0], cell_area).withColumnRenamed("id", "id_1")
-    s_2 = cells.strips(on_plane[2], ids[1], cell_area).withColumnRenamed("id", "id_2")
+    ground = on_area_plane(src.select(src_id, pop, "geom", *BOX), grid.srid)
+    rates = (ground.select(F.col(src_id).alias("src_id"), F.col(pop).alias("people"), planar_area(F.col("geom")).alias("m2"))
+             .join(has_tile, "src_id", "left_semi").join(raster.clip_count(clips, "src_id"), "src_id", "left")
+             .selectExpr("src_id", "try_divide(people, dev) as per_pixel", "try_divide(people, m2) as per_m2"))
+
+    def people(counts, rate, what, *by):
+        return counts.join(rates, "src_id").groupBy(*by).agg(F.sum(F.col(rate) * F.col(what)).alias("people"))
+
+    runs_1 = raster.clip_runs(clips, raster.scan_spans(map1, ids[0], grid, "id_1"))
+    runs_12 = raster.clip_runs(runs_1, raster.scan_spans(map2, ids[1], grid, "id_2"))
+    d_1 = people(raster.clip_count(runs_1, "id_1", "src_id"), "per_pixel", "dev", "id_1")
+    d_12 = people(raster.clip_count(runs_12, "id_1", "id_2", "src_id"), "per_pixel", "dev", "id_1", "id_2")
+
+    map1_p, map2_p = on_area_plane(map1, grid.srid), on_area_plane(map2, grid.srid)
+    side = cell if grid.srid != LONLAT else cells.choose_cell(ground, map1_p, map2_p)
+    s = cells.strips(ground, src_id, side).withColumnRenamed("id", "src_id")
+    s_1 = cells.strips(map1_p, ids[0], side).withColumnRenamed("id", "id_1")
+    s_2 = cells.strips(map2_p, ids[1], side).withColumnRenamed("id", "id_2")
+    real = F.col("area") > NOISE * side * side
     in_1 = cells.intersect_strips(s, s_1, ["id_1"])
-    a_1 = cells.area_by(in_1, "id_1").withColumnRenamed("area", "a_1")
-    a_12 = cells.overlap_by_pair(in_1, s_2, ["id_1"], ["id_2"]).withColumnRenamed("area", "a_12").where(
-        F.col("a_12") > NOBODY)
+    a_1 = people(cells.area_by(in_1, "id_1", "src_id").where(real), "per_m2", "area", "id_1")
+    a_12 = people(cells.overlap_by_pair(in_1, s_2, ["id_1", "src_id"], ["id_2"]).where(real), "per_m2", "area", "id_1", "id_2")
 
     near = bbox_join(map1, map2, ids[0], ids[1], ("id_1", "id_2"), cell).select("id_1", "id_2")
-    held = bbox_join(map1, listed, ids[0], "src_id", ("id_1", "src_id"), cell).select("id_1")
-    near = near.join(held, "id_1", "left_semi")
-    people_1 = held.distinct().join(d_1, "id_1", "left").join(a_1, "id_1", "left")
-    people_12 = d_12.join(a_12, ["id_1", "id_2"], "full")
+    if min_pop is None:
+        # without a floor on people, a first-map area still needs a source with a tile near it
+        held = bbox_join(map1, src, ids[0], src_id, ("id_1", "src_id"), cell).select("id_1", "src_id")
+        near = near.join(held.join(has_tile, "src_id", "left_semi"), "id_1", "left_semi")
+    people_1 = d_1.withColumnRenamed("people", "d_1").join(a_1.withColumnRenamed("people", "a_1"), "id_1", "full")
+    people_12 = d_12.withColumnRenamed("people", "d_12").join(
+        a_12.withColumnRenamed("people", "a_12"), ["id_1", "id_2"], "full")
     out = overlap_sum_by_pair(people_1, people_12, near, map1, map2, ids, names)
     if min_pop is not None:
         out = out.where((F.col("d_pop_in_s1_s2") > min_pop) | (F.col("a_pop_in_s1_s2") > min_pop))

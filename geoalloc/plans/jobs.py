@@ -22,7 +22,7 @@ from geoalloc.operators.tables import (
     build_data_geometries, clean_blocks, drop_placeholder_districts, join_attribute_tables, join_shapes_with_data,
     positional_concat, sum_all_by_key,
 )
-from geoalloc.sources.writers import assert_unique_key, skip_if_current, write_csv_fixed
+from geoalloc.sources.writers import assert_unique_key, skip_if_current, stored, write_csv_fixed
 from geoalloc.spec import MEASURES, Grid, InterpolationSpec, SourceSpec, TargetSpec
 
 
@@ -94,7 +94,7 @@ def job_dasymetric_districts(src: DataFrame, maps: dict[str, DataFrame], tiles:
                              clips: DataFrame | None = None) -> DataFrame:
     """District tables of the given chambers (kind -> map) by developed land."""
     if clips is None:
-        clips = raster.clip_raster_to_geometries(runs, src, spec.id, grid, "src_id")
+        clips = stored(raster.clip_raster_to_geometries(runs, src, spec.id, grid, "src_id"))
     out = None
     for kind, districts in maps.items():
         d = districts.withColumn("StateFIPS", F.col(state))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -47,6 +48,21 @@ def materialize_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()
     return spark.table(name)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """The same rows, computed once and kept in the cluster's checkpoint folder.
+
+    For tables that several branches of a plan read. The folder is the one the
+    cluster names in ``spark.checkpoint.dir``; a session without one gets a local
+    folder, which only a local master can use.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="geoalloc-checkpoint-"))
+    return df.checkpoint()
+
+
 def duplicate_keys(df: DataFrame, *key: str) -> DataFrame:
     return df.groupBy(*key).agg(F.count("*").alias("rows")).where("rows > 1")
 

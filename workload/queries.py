@@ -46,13 +46,18 @@ class Maps:
     """Stand-ins of one data folder."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.dir = spark, sf_dir
+        self.spark, self.dir, self.made = spark, sf_dir, {}
+
+    def _once(self, key, make):
+        if key not in self.made:
+            self.made[key] = make()
+        return self.made[key]
 
     def flat(self, name: str) -> DataFrame:
-        return getattr(st, name)(self.spark, self.dir)
+        return self._once(name, lambda: getattr(st, name)(self.spark, self.dir))
 
     def shapes(self, name: str) -> DataFrame:
-        return st.shapes(self.flat(name))
+        return self._once((name, "geom"), lambda: st.shapes(self.flat(name)))
 
     @property
     def states(self):
@@ -64,15 +69,15 @@ class Maps:
 
     @property
     def tiles(self):
-        return raster.tile_raster(self.flat("pixels"), st.GRID)
+        return self._once("tiles", lambda: raster.tile_raster(self.flat("pixels"), st.GRID))
 
     @property
     def dev_tiles(self):
-        return raster.reclass_raster(self.tiles)
+        return self._once("dev_tiles", lambda: raster.reclass_raster(self.tiles))
 
     @property
     def runs(self):
-        return raster.raster_runs(self.dev_tiles, st.GRID)
+        return self._once("runs", lambda: raster.raster_runs(self.dev_tiles, st.GRID))
 
     @property
     def clips(self):
