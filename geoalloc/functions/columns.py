@@ -144,9 +144,18 @@ def round_counts(df: DataFrame, cols: Sequence[str], mode: str = "half_even") ->
 
 
 def fixed(c: Column, decimals: int) -> Column:
-    """A double as text with so many decimals, ties to even."""
+    """A double as text with so many decimals, rounded by its exact binary value
+    (a true tie goes to the even digit), where ``format_string`` alone would round
+    the shortest decimal form up."""
     scale = float(10 ** decimals)
-    return F.when(c.isNotNull(), F.format_string(f"%.{decimals}f", F.rint(c * scale) / scale))
+    scaled = c * scale
+    # what the product lost: the upper half of the digits multiplies without loss
+    upper = c * 134217729.0 - (c * 134217729.0 - c)
+    lost = (upper * scale - scaled) + (c - upper) * scale
+    tie = F.abs(scaled - F.rint(scaled)) == 0.5
+    whole = F.when(tie & (lost > 0), F.ceil(scaled).cast("double")).when(
+        tie & (lost < 0), F.floor(scaled).cast("double")).otherwise(F.rint(scaled))
+    return F.when(c.isNotNull(), F.format_string(f"%.{decimals}f", whole / scale))
 
 
 def format_numbers(df: DataFrame, count_cols: Sequence[str], measure_cols: Sequence[str]) -> DataFrame:
