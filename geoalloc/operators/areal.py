@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from geoalloc.functions.columns import quoted, truncated
 from geoalloc.functions.geometry import planar_area
+from geoalloc.operators.cells import choose_cell
 from geoalloc.operators.spatial import on_area_plane, overlap_area
 
 #: Wide tables are carried through the pair join this many columns at a time.
@@ -81,13 +82,13 @@ def areal_interpolate_intensive(src: DataFrame, tgt: DataFrame, cols: Sequence[s
 
 
 def one_hot_shares(src: DataFrame, components: DataFrame, src_id: str, comp_id: str, srid: int = 0,
-                   cell: float | None = None) -> DataFrame:
+                   cell: float | None = None, layers: tuple[int, int] = (0, 1)) -> DataFrame:
     """Percent of each source's covered ground that lies in each component.
 
     Long rows ``src_id, component, share``: what interpolating one 0/100 column
     per component would give, without the columns.
     """
-    w = overlap_area(components, src, comp_id, src_id, ("component", "src_id"), srid, cell)
+    w = overlap_area(src, components, src_id, comp_id, ("src_id", "component"), srid, cell, layers)
     ground = w.groupBy("src_id").agg(F.sum("area").alias("ground"))
     return w.join(ground, "src_id").selectExpr("src_id", "component", "100 * area / ground as share")
 
@@ -100,9 +101,11 @@ def population_overlaps(src: DataFrame, components: DataFrame, targets: DataFram
     Each source's people are split over the components by ground, and each part
     over the targets by ground; both figures are cut to whole people.
     """
+    src, components, targets = (on_area_plane(x, srid) for x in (src, components, targets))
+    cell = cell or choose_cell(src, components, targets)
     people = src.select(F.col(src_id).alias("src_id"), zero_if_missing(F.col(pop)).alias("people"))
-    in_target = source_shares(overlap_area(src, targets, src_id, tgt_id, srid=srid, cell=cell)).join(people, "src_id")
-    parts = one_hot_shares(src, components, src_id, comp_id, srid, cell)
+    in_target = source_shares(overlap_area(src, targets, src_id, tgt_id, cell=cell, layers=(0, 2))).join(people, "src_id")
+    parts = one_hot_shares(src, components, src_id, comp_id, cell=cell, layers=(0, 1))
     by_pair = (in_target.withColumnRenamed("share", "in_share").join(parts, "src_id")
                .groupBy("tgt_id", "component").agg(F.sum(F.expr("(share * people / 100) * in_share")).alias("pop")))
     totals = in_target.groupBy("tgt_id").agg(F.sum(F.expr("people * share")).alias("TotalPopulation"))

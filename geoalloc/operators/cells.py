@@ -17,40 +17,83 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geoalloc.functions.geometry import BOX
+from geoalloc.sources.writers import stored
 
 CELL = ("cx", "cy")
+#: Shapes of one map in one cell that a task should have to meet at most.
+HOT_ROWS = 100_000
 STRIP = ("cx", "cy", "sign", "xa", "xb", "ya", "yb")
 
 
-def choose_cell(*shapes: DataFrame, cells_per_shape: int = 16) -> float:
+class Cell(float):
+    """Side of the grid cells, with the table of crowded cells if there are any.
+
+    ``hot`` has ``cx, cy`` and, for each of the maps the cell was chosen for,
+    ``p0, p1, ...``: into how many parts the rows of that map are to be split.
+    """
+
+    hot: DataFrame | None = None
+
+
+def choose_cell(*shapes: DataFrame, cells_per_shape: int = 16, hot_rows: int = HOT_ROWS) -> Cell:
     """Cell side for a join of shape tables: the smallest median box side.
 
     Widened where needed so that all shapes together touch at most about
     ``cells_per_shape`` cells each, and rounded up to a power of two so that cell
-    borders are exact in floating point. Reads the boxes only; one row per table
-    comes back to the driver.
+    borders are exact in floating point. Cells with more than ``hot_rows`` shapes
+    of one map are listed for splitting; maps smaller than that cannot have any.
+    Reads the boxes only; one row per map comes back to the driver.
     """
     boxes = None
     for i, df in enumerate(shapes):
-        one = df.selectExpr(f"{i} as layer", "xmax - xmin as w", "ymax - ymin as h")
+        one = df.select(F.lit(i).alias("layer"), *BOX)
         boxes = one if boxes is None else boxes.unionByName(one)
-    rows = boxes.groupBy("layer").agg(
+    rows = boxes.selectExpr("layer", "xmax - xmin as w", "ymax - ymin as h").groupBy("layer").agg(
         F.expr("percentile_approx(greatest(w, h), 0.5)").alias("median"), F.count("w").alias("n"),
         F.sum(F.expr("w + h")).alias("rim"), F.sum(F.expr("w * h")).alias("body")).collect()
     medians = [r["median"] for r in rows if r["median"]]
     if not medians:
-        return 1.0
+        return Cell(1.0)
     n, rim, body = (sum(r[k] or 0 for r in rows) for k in ("n", "rim", "body"))
     # n + rim/c + body/c^2 cells in all; solve for the c that just fits the room.
     room = (max(cells_per_shape, 2) - 1) * n + 4096
     fits = (rim + math.sqrt(rim ** 2 + 4 * room * body)) / (2 * room)
-    return 2.0 ** math.ceil(math.log2(max(min(medians), fits)))
+    cell = Cell(2.0 ** math.ceil(math.log2(max(min(medians), fits))))
+    if max(r["n"] for r in rows) > hot_rows:
+        counts = [F.count(F.when(F.col("layer") == i, 1)).alias(f"p{i}") for i in range(len(shapes))]
+        crowds = box_cells(boxes, cell, "layer").groupBy(*CELL).agg(*counts)
+        crowds = crowds.where(F.greatest(*[f"p{i}" for i in range(len(shapes))], F.lit(0)) > hot_rows)
+        hot = stored(crowds.select(*CELL, *[F.ceil(F.col(f"p{i}") / hot_rows).alias(f"p{i}") for i in range(len(shapes))]))
+        cell.hot = None if hot.isEmpty() else hot
+    return cell
+
+
+def split_hot(left: DataFrame, right: DataFrame, cell: float, layers: tuple[int, int]) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides of a cell join with the columns to join on.
+
+    In a crowded cell the left rows are dealt into parts, and so are the right
+    rows; each left part meets each right part in a task of its own. A row is
+    repeated once per part of the other side, in crowded cells only.
+    """
+    hot = getattr(cell, "hot", None)
+    if hot is None:
+        return left, right, list(CELL)
+    parts = hot.selectExpr(*CELL, f"greatest(p{layers[0]}, 1L) as lp", f"greatest(p{layers[1]}, 1L) as rp")
+
+    def dealt(df, own, other, own_part, other_part):
+        kept = df.columns
+        return (df.join(parts, list(CELL), "left")
+                .selectExpr(*kept, f"pmod(xxhash64({', '.join(kept)}), coalesce({own}, 1L)) as {own_part}",
+                            f"explode(sequence(0L, coalesce({other}, 1L) - 1)) as {other_part}"))
+
+    return (dealt(left, "lp", "rp", "part_l", "part_r"), dealt(right, "rp", "lp", "part_r", "part_l"),
+            [*CELL, "part_l", "part_r"])
 
 
 def box_cells(df: DataFrame, cell: float, *keep: str) -> DataFrame:
     """One row per cell that the closed box of a shape touches."""
     def span(lo, hi):
-        return f"explode(sequence(floor({lo} / {cell!r}D), floor({hi} / {cell!r}D)))"
+        return f"explode(sequence(floor({lo} / {float(cell)!r}D), floor({hi} / {float(cell)!r}D)))"
     return (df.where("xmin is not null").select(*keep, *BOX)
             .selectExpr("*", f"{span('xmin', 'xmax')} as cx").selectExpr("*", f"{span('ymin', 'ymax')} as cy"))
 
@@ -84,7 +127,7 @@ def _cut_at_columns(edge_rows: DataFrame, cell: float) -> DataFrame:
         "id", f"if({back}, turn, -turn) as sign",
         f"if({back}, x2, x1) as ax", f"if({back}, y2, y1) as ay",
         f"if({back}, x1, x2) as bx", f"if({back}, y1, y2) as by")
-    c = f"{cell!r}D"
+    c = f"{float(cell)!r}D"
     e = e.selectExpr("*", f"explode(sequence(floor(ax / {c}), greatest(floor(ax / {c}), ceil(bx / {c}) - 1))) as cx")
     e = e.selectExpr("*", f"cx * {c} as x0", f"(cx + 1) * {c} as x9", "try_divide(by - ay, bx - ax) as slope")
     return e.selectExpr(
@@ -108,7 +151,7 @@ def strips(shapes: DataFrame, id: str, cell: float, geom: str = "geom") -> DataF
     Every decision "above this grid line or not" is made on the same cut points,
     so the three kinds agree with one another.
     """
-    c = f"{cell!r}D"
+    c = f"{float(cell)!r}D"
     cut = _cut_at_columns(edges(shapes, id, geom), cell)
 
     # Rows of the pieces, and rows under the grid lines k with low <= k*c < high.
@@ -152,23 +195,18 @@ def area_by(strip_rows: DataFrame, *keys: str) -> DataFrame:
     return strip_rows.groupBy(*keys).agg(F.sum(F.expr("sign * (xb - xa) * (ya + yb) / 2")).alias("area"))
 
 
-def _paired(left: DataFrame, right: DataFrame, right_keys: list[str], salt: int) -> DataFrame:
+def _paired(left: DataFrame, right: DataFrame, right_keys: list[str], cell: float, layers: tuple[int, int]) -> DataFrame:
     """Strips of both sides that share a cell and an x range, with both heights there.
 
     A merge join: the strips are explosions, whose size the planner cannot know,
-    so neither side may be broadcast. ``salt`` spreads a hot cell over that many
-    tasks: left rows go to one part each, right rows to all parts.
+    so neither side may be broadcast.
     """
-    keys = list(CELL)
+    kept = [k for k in left.columns if k not in STRIP]
     right = right.selectExpr(*CELL, *right_keys, "sign as r_sign", "xa as r_xa", "xb as r_xb", "ya as r_ya", "yb as r_yb")
-    if salt > 1:
-        left = left.selectExpr("*", f"pmod(xxhash64(*), {salt}) as part")
-        right = right.selectExpr("*", f"explode(sequence(0L, {salt - 1}L)) as part")
-        keys.append("part")
+    left, right, keys = split_hot(left, right, cell, layers)
     j = left.join(right.hint("merge"), keys).where("xa < r_xb and r_xa < xb")
     j = j.selectExpr("*", "greatest(xa, r_xa) as lo", "least(xb, r_xb) as hi",
                      "(yb - ya) / (xb - xa) as slope", "(r_yb - r_ya) / (r_xb - r_xa) as r_slope")
-    kept = [k for k in left.columns if k not in STRIP and k != "part"]
     return j.selectExpr(
         *kept, *right_keys, *CELL, "sign * r_sign as sign", "lo", "hi",
         "if(lo = xa, ya, ya + slope * (lo - xa)) as l0", "if(hi = xb, yb, ya + slope * (hi - xa)) as l1",
@@ -177,21 +215,25 @@ def _paired(left: DataFrame, right: DataFrame, right_keys: list[str], salt: int)
 
 
 def overlap_by_pair(left: DataFrame, right: DataFrame, left_keys: list[str], right_keys: list[str],
-                    salt: int = 1) -> DataFrame:
-    """Sums the overlap of two strip tables by the given keys of both."""
+                    cell: float, layers: tuple[int, int] = (0, 1)) -> DataFrame:
+    """Sums the overlap of two strip tables by the given keys of both.
+
+    ``layers`` tells which of the maps that ``cell`` was chosen for the two are.
+    """
     # integral of min(l, r) = integral of l minus the part where l exceeds r
     part = """sign * (hi - lo) * ((l0 + l1) / 2 - if((l0 - r0) * (l1 - r1) < 0,
         pow(greatest(l0 - r0, l1 - r1), 2) / (2 * (abs(l0 - r0) + abs(l1 - r1))),
         (greatest(l0 - r0, 0D) + greatest(l1 - r1, 0D)) / 2))"""
-    j = _paired(left, right, right_keys, salt)
+    j = _paired(left, right, right_keys, cell, layers)
     return (j.selectExpr(*left_keys, *right_keys, f"{part} as part")
             .groupBy(*left_keys, *right_keys).agg(F.sum("part").alias("area")))
 
 
-def intersect_strips(left: DataFrame, right: DataFrame, right_keys: list[str], salt: int = 1) -> DataFrame:
+def intersect_strips(left: DataFrame, right: DataFrame, right_keys: list[str], cell: float,
+                     layers: tuple[int, int] = (0, 1)) -> DataFrame:
     """Strips of the intersection, keyed by both sides, ready to meet a third map."""
-    j = _paired(left, right, right_keys, salt)
-    kept = [k for k in j.columns if k not in ("cx", "cy", "sign", "lo", "hi", "l0", "l1", "r0", "r1")]
+    j = _paired(left, right, right_keys, cell, layers)
+    kept = [k for k in j.columns if k not in (*CELL, "sign", "lo", "hi", "l0", "l1", "r0", "r1")]
     return (j.selectExpr("*", "if((l0 - r0) * (l1 - r1) < 0, (l0 - r0) / ((l0 - r0) - (l1 - r1)), null) as t")
             .selectExpr(*kept, *CELL, "sign", """explode(if(t is null,
                 array(struct(lo as xa, hi as xb, least(l0, r0) as ya, least(l1, r1) as yb)),

@@ -66,7 +66,7 @@ def dasymetric_weights(src: DataFrame, tgt: DataFrame, tiles: DataFrame, runs: D
         clips = stored(raster.clip_raster_to_geometries(runs, src, src_id, grid, "src_id"))
     pairs = bbox_join(src, tgt, src_id, tgt_id, cell=cell)
     if preclipped:
-        lit = tiles.join(runs.select("rid"), "rid", "left_semi")
+        lit = tiles.select("rid", "tx", "ty", "cols", "rows").join(runs.select("rid"), "rid", "left_semi")
         pair_tiles = tiles_touched(src, src_id, lit, grid, exact=False)
     else:
         meet = spatial_join_intersects(src, tgt, src_id, tgt_id, cell=cell, boxes=pairs)
@@ -175,14 +175,14 @@ def dasymetric_overlap_pairs(map1: DataFrame, map2: DataFrame, src: DataFrame, t
     s_1 = cells.strips(map1_p, ids[0], side).withColumnRenamed("id", "id_1")
     s_2 = cells.strips(map2_p, ids[1], side).withColumnRenamed("id", "id_2")
     real = F.col("area") > NOISE * side * side
-    in_1 = cells.intersect_strips(s, s_1, ["id_1"])
+    in_1 = cells.intersect_strips(s, s_1, ["id_1"], side, (0, 1))
     a_1 = people(cells.area_by(in_1, "id_1", "src_id").where(real), "per_m2", "area", "id_1")
-    a_12 = people(cells.overlap_by_pair(in_1, s_2, ["id_1", "src_id"], ["id_2"]).where(real), "per_m2", "area", "id_1", "id_2")
+    a_12 = people(cells.overlap_by_pair(in_1, s_2, ["id_1", "src_id"], ["id_2"], side, (0, 2)).where(real), "per_m2", "area", "id_1", "id_2")
 
-    near = bbox_join(map1, map2, ids[0], ids[1], ("id_1", "id_2"), cell).select("id_1", "id_2")
+    near = bbox_join(map1, map2, ids[0], ids[1], ("id_1", "id_2"), cell, (1, 2)).select("id_1", "id_2")
     if min_pop is None:
         # without a floor on people, a first-map area still needs a source with a tile near it
-        held = bbox_join(map1, src, ids[0], src_id, ("id_1", "src_id"), cell).select("id_1", "src_id")
+        held = bbox_join(map1, src, ids[0], src_id, ("id_1", "src_id"), cell, (1, 0)).select("id_1", "src_id")
         near = near.join(held.join(has_tile, "src_id", "left_semi"), "id_1", "left_semi")
     people_1 = d_1.withColumnRenamed("people", "d_1").join(a_1.withColumnRenamed("people", "a_1"), "id_1", "full")
     people_12 = d_12.withColumnRenamed("people", "d_12").join(

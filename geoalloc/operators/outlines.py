@@ -138,7 +138,7 @@ def shared_edges(shapes: DataFrame, id: str, quantize: int | None = None) -> Dat
     edge = ["ax", "ay", "bx", "by"]
     e = e.selectExpr(f"if({flip}, x2, x1) as ax", f"if({flip}, y2, y1) as ay",
                      f"if({flip}, x1, x2) as bx", f"if({flip}, y1, y2) as by", f"id as {id}").distinct()
-    return e.join(e.groupBy(*edge).agg(F.count("*").alias("sharers")), edge)
+    return e.join(e.groupBy(*edge).agg(F.count("*").alias("sharers")).hint("merge"), edge)
 
 
 def _thinned(xy: np.ndarray, tol: float) -> np.ndarray:
@@ -199,7 +199,7 @@ def simplify(shapes: DataFrame, id: str, tolerance_m: float = 10.0, srid: int =
                      "struct(xs[pmod(i - 1, n)] as x, ys[pmod(i - 1, n)] as y) as before", "struct(xs[i + 1] as x, ys[i + 1] as y) as after"))
     ends = v.selectExpr("x", "y", "explode(array(before, after)) as q")
     junctions = ends.groupBy("x", "y").agg(F.count_distinct("q").alias("degree")).where("degree <> 2").select("x", "y")
-    stops = v.join(junctions, ["x", "y"]).groupBy("id", "poly", "ring").agg(F.expr("sort_array(collect_list(i))").alias("stops"))
+    stops = v.join(junctions.hint("merge"), ["x", "y"]).groupBy("id", "poly", "ring").agg(F.expr("sort_array(collect_list(i))").alias("stops"))
     work = r.join(stops, ["id", "poly", "ring"], "left").selectExpr(
         "cast(id as string) as id", "poly", "ring", "xs", "ys", "coalesce(stops, cast(array() as array<int>)) as stops")
 

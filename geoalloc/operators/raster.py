@@ -127,11 +127,14 @@ def scan_spans(shapes: DataFrame, id: str, grid: Grid, name: str = "geom_id") ->
 
 
 def clip_runs(runs: DataFrame, spans: DataFrame) -> DataFrame:
-    """Runs inside spans: every column of both sides, with the shared stretch."""
+    """Runs inside spans: every column of both sides, with the shared stretch.
+
+    Spans are explosions whose size the planner cannot know: never broadcast.
+    """
     s = spans.withColumnsRenamed({"c_from": "s_from", "c_to": "s_to"})
     kept = [c for c in runs.columns if c not in ("c_from", "c_to")] + [
         c for c in s.columns if c not in ("prow", "tx", "s_from", "s_to")]
-    return runs.join(s, ["prow", "tx"]).where("c_from < s_to and s_from < c_to").selectExpr(
+    return runs.join(s.hint("merge"), ["prow", "tx"]).where("c_from < s_to and s_from < c_to").selectExpr(
         *kept, "greatest(c_from, s_from) as c_from", "least(c_to, s_to) as c_to")
 
 

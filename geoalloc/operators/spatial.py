@@ -30,7 +30,7 @@ def _cut(shapes: DataFrame, id: str, name: str, cell: float) -> DataFrame:
 
 
 def bbox_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
-              names: tuple[str, str] = PAIR, cell: float | None = None, salt: int = 1) -> DataFrame:
+              names: tuple[str, str] = PAIR, cell: float | None = None, layers: tuple[int, int] = (0, 1)) -> DataFrame:
     """Pairs whose closed boxes meet, touching included, with the boxes of both.
 
     A pair is kept only in the cell holding the lower left corner of the shared
@@ -40,35 +40,31 @@ def bbox_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
     lo = cells.box_cells(left.withColumnRenamed(left_id, names[0]), cell, names[0])
     hi = cells.box_cells(right.withColumnRenamed(right_id, names[1]), cell, names[1])
     hi = hi.select(names[1], *cells.CELL, *[F.col(b).alias(f"r_{b}") for b in BOX])
-    keys = list(cells.CELL)
-    if salt > 1:
-        lo = lo.withColumn("part", F.pmod(F.xxhash64(names[0]), F.lit(salt)).cast("int"))
-        hi = hi.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-        keys.append("part")
+    lo, hi, keys = cells.split_hot(lo, hi, cell, layers)
     met = "xmin <= r_xmax and r_xmin <= xmax and ymin <= r_ymax and r_ymin <= ymax"
-    once = (f"cx = floor(greatest(xmin, r_xmin) / {cell!r}D) and cy = floor(greatest(ymin, r_ymin) / {cell!r}D)")
+    once = (f"cx = floor(greatest(xmin, r_xmin) / {float(cell)!r}D) and cy = floor(greatest(ymin, r_ymin) / {float(cell)!r}D)")
     return lo.join(hi.hint("merge"), keys).where(met).where(once).drop(*keys)
 
 
 def overlap_area(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
                  names: tuple[str, str] = PAIR, srid: int = 0, cell: float | None = None,
-                 salt: int = 1) -> DataFrame:
+                 layers: tuple[int, int] = (0, 1)) -> DataFrame:
     """``area`` of every pair that shares ground; touching pairs fall out."""
     left, right = on_area_plane(left, srid), on_area_plane(right, srid)
     cell = cell or cells.choose_cell(left, right)
     pairs = cells.overlap_by_pair(_cut(left, left_id, names[0], cell), _cut(right, right_id, names[1], cell),
-                                  [names[0]], [names[1]], salt)
+                                  [names[0]], [names[1]], cell, layers)
     return pairs.where(F.col("area") > NOISE * cell * cell)
 
 
 def overlap_area_3(a: DataFrame, b: DataFrame, c: DataFrame, ids: tuple[str, str, str],
                    names: tuple[str, str, str] = ("id_1", "src_id", "id_2"), srid: int = 0,
-                   cell: float | None = None, salt: int = 1) -> DataFrame:
+                   cell: float | None = None) -> DataFrame:
     """``area`` of every triple that shares ground."""
     a, b, c = (on_area_plane(x, srid) for x in (a, b, c))
     cell = cell or cells.choose_cell(a, b, c)
-    first = cells.intersect_strips(_cut(b, ids[1], names[1], cell), _cut(a, ids[0], names[0], cell), [names[0]], salt)
-    out = cells.overlap_by_pair(first, _cut(c, ids[2], names[2], cell), [names[1], names[0]], [names[2]], salt)
+    first = cells.intersect_strips(_cut(b, ids[1], names[1], cell), _cut(a, ids[0], names[0], cell), [names[0]], cell, (1, 0))
+    out = cells.overlap_by_pair(first, _cut(c, ids[2], names[2], cell), [names[1], names[0]], [names[2]], cell, (1, 2))
     return out.where(F.col("area") > NOISE * cell * cell).select(*names, "area")
 
 
@@ -76,7 +72,7 @@ def edge_cells(edge_rows: DataFrame, cell: float, p: str = "") -> DataFrame:
     """Edges (``x1, y1, x2, y2`` and any keys) with every cell they pass through,
     borders counted on both sides. End points become ``ax, ay, bx, by``, left to
     right, with the prefix ``p``."""
-    c = f"{cell!r}D"
+    c = f"{float(cell)!r}D"
     pad = f"(1e-9D * {c})"
     kept = [k for k in edge_rows.columns if k not in ("x1", "y1", "x2", "y2", "turn")]
     e = edge_rows.selectExpr(
@@ -112,7 +108,7 @@ def _contacts(pairs: DataFrame, left: DataFrame, right: DataFrame, left_id: str,
 
 
 def spatial_join_intersects(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
-                            names: tuple[str, str] = PAIR, cell: float | None = None,
+                            names: tuple[str, str] = PAIR, cell: float | None = None, layers: tuple[int, int] = (0, 1),
                             boxes: DataFrame | None = None) -> DataFrame:
     """Pairs that share at least a point.
 
@@ -121,9 +117,9 @@ def spatial_join_intersects(left: DataFrame, right: DataFrame, left_id: str, rig
     already at hand.
     """
     cell = cell or cells.choose_cell(left, right)
-    ground = overlap_area(left, right, left_id, right_id, names, cell=cell).select(*names)
+    ground = overlap_area(left, right, left_id, right_id, names, cell=cell, layers=layers).select(*names)
     if boxes is None:
-        boxes = bbox_join(left, right, left_id, right_id, names, cell)
+        boxes = bbox_join(left, right, left_id, right_id, names, cell, layers)
     rest = boxes.select(*names).join(ground, list(names), "left_anti")
     return ground.unionByName(_contacts(rest, left, right, left_id, right_id, names, cell))
 

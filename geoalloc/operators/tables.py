@@ -80,11 +80,9 @@ def build_data_geometries(shapes: DataFrame, tables: Sequence[DataFrame], key: s
 def join_states(df: DataFrame, states: DataFrame, col: str = "statefp") -> DataFrame:
     """Rows of known states with the state columns.
 
-    The dictionary has one row per state (fewer than a hundred), so it is small
-    enough to broadcast whatever the other side.
+    No hint: the planner sees how small the dictionary is and broadcasts it.
     """
-    s = F.broadcast(states)
-    return df.join(s, df[col].cast("int") == s["StateFIPS"], "inner")
+    return df.join(states, df[col].cast("int") == states["StateFIPS"], "inner")
 
 
 def join_back_measures(weights: DataFrame, data: DataFrame, src_id: str, data_id: str) -> DataFrame:

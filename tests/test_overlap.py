@@ -99,15 +99,25 @@ def test_three_maps(spark):
                 assert got.get((i, j, k), 0.0) == pytest.approx(area_of(p, q, r), abs=1e-9)
 
 
-def test_salt_changes_nothing(spark):
+def test_splitting_crowded_cells_changes_nothing(spark):
     rng = random.Random(9)
-    a, b = (shapes(spark, _random_map(rng, 10, 6, 2)) for _ in range(2))
-    plain = pairs(spatial.overlap_area(a, b, "id", "id", cell=1.0), "src_id", "tgt_id")
-    salted = pairs(spatial.overlap_area(a, b, "id", "id", cell=1.0, salt=5), "src_id", "tgt_id")
-    assert salted == pytest.approx(plain)
-    boxes = {tuple(r) for r in spatial.bbox_join(a, b, "id", "id", cell=1.0).select("src_id", "tgt_id").collect()}
-    split = [tuple(r) for r in spatial.bbox_join(a, b, "id", "id", cell=1.0, salt=4).select("src_id", "tgt_id").collect()]
-    assert len(split) == len(set(split)) and set(split) == boxes
+    rows = _random_map(rng, 10, 6, 2)
+    a = shapes(spark, [*rows, *[(f"copy{i}", rows[0][1]) for i in range(20)]])
+    b, c = (shapes(spark, _random_map(rng, 10, 6, 2)) for _ in range(2))
+    hot = cells.choose_cell(a, b, c, hot_rows=3)
+    plain = cells.Cell(hot)
+    parts = hot.hot.agg(F.max("p0"), F.max("p1"), F.max("p2")).first()
+    assert parts[0] > 3 and parts[1] > 1
+    for left, right, layers in ((a, b, (0, 1)), (b, a, (1, 0)), (b, c, (1, 2))):
+        want = pairs(spatial.overlap_area(left, right, "id", "id", cell=plain), "src_id", "tgt_id")
+        got = pairs(spatial.overlap_area(left, right, "id", "id", cell=hot, layers=layers), "src_id", "tgt_id")
+        assert got == pytest.approx(want)
+        boxes = {tuple(r) for r in spatial.bbox_join(left, right, "id", "id", cell=plain).select("src_id", "tgt_id").collect()}
+        split = [tuple(r) for r in spatial.bbox_join(left, right, "id", "id", cell=hot, layers=layers).select("src_id", "tgt_id").collect()]
+        assert len(split) == len(set(split)) and set(split) == boxes
+    three = [pairs(spatial.overlap_area_3(a, b, c, ("id", "id", "id"), cell=k), "id_1", "src_id", "id_2") for k in (plain, hot)]
+    assert three[0] == pytest.approx(three[1])
+    assert cells.choose_cell(a, b).hot is None
 
 
 def test_predicates(spark):
