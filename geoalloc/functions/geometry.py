@@ -155,9 +155,14 @@ def map_points(geom: Column, fn, srid: int) -> Column:
 
 
 def densify(geom: Column, step: float) -> Column:
-    """Cuts every edge longer than ``step`` into equal parts."""
+    """Cuts every slanted edge longer than ``step`` into equal parts.
+
+    Edges along a meridian or a parallel stay straight on the cylindrical planes
+    and are left whole.
+    """
     def parts(p, q):
-        n = F.greatest(F.lit(1), F.ceil(F.greatest(F.abs(q.x - p.x), F.abs(q.y - p.y)) / step).cast("int"))
+        n = F.when((p.x == q.x) | (p.y == q.y), 1).otherwise(
+            F.greatest(F.lit(1), F.ceil(F.greatest(F.abs(q.x - p.x), F.abs(q.y - p.y)) / step).cast("int")))
         return F.transform(F.sequence(F.lit(0), n - 1), lambda i: point(
             p.x + (q.x - p.x) * i / n, p.y + (q.y - p.y) * i / n))
 

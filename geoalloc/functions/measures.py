@@ -45,7 +45,7 @@ def add_areal_measures(df: DataFrame) -> DataFrame:
     return df.withColumns(out)
 
 
-def add_district_measures(df: DataFrame, chamber: str, fips: Column | str | int | None = None) -> DataFrame:
+def add_district_measures(df: DataFrame, chamber: str | Column, fips: Column | str | int | None = None) -> DataFrame:
     """Finishes a dasymetric district table: per-mile figures, kind, state and column order."""
     if fips is not None:
         value = fips if isinstance(fips, Column) else F.lit(fips)

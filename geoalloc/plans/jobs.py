@@ -11,7 +11,7 @@ from geoalloc.functions.columns import (
     CENSUS_GROUPS, CITIZEN_GROUPS, TRACT_POPULATION, attach_state_fips, derive_census_groups, derive_citizen_groups,
     format_numbers, quoted, rename_columns,
 )
-from geoalloc.functions.geometry import LONLAT, MERCATOR, area, project
+from geoalloc.functions.geometry import BOX, LONLAT, MERCATOR, area, project
 from geoalloc.functions.measures import (
     add_areal_measures, add_district_measures, add_pop_income, add_source_density_terms, add_target_area,
     add_tract_measures,
@@ -20,9 +20,9 @@ from geoalloc.operators import areal, assign, dasymetric, outlines, raster
 from geoalloc.operators.spatial import overlap_area
 from geoalloc.operators.tables import (
     build_data_geometries, clean_blocks, drop_placeholder_districts, join_attribute_tables, join_shapes_with_data,
-    positional_concat, sum_all_by_key,
+    positional_concat, sum_all_by_key, union_all_frames,
 )
-from geoalloc.sources.writers import assert_unique_key, skip_if_current, stored, write_csv_fixed
+from geoalloc.sources.writers import assert_unique_key, skip_if_current, write_csv_fixed
 from geoalloc.spec import MEASURES, Grid, InterpolationSpec, SourceSpec, TargetSpec
 
 
@@ -92,16 +92,12 @@ def job_aggregate_districts(tables: Sequence[DataFrame], shapes: DataFrame, dist
 def job_dasymetric_districts(src: DataFrame, maps: dict[str, DataFrame], tiles: DataFrame, runs: DataFrame, grid: Grid,
                              spec: InterpolationSpec, state: str = "statefp", id: str = "id_0", name: str = "name",
                              clips: DataFrame | None = None) -> DataFrame:
-    """District tables of the given chambers (kind -> map) by developed land."""
-    if clips is None:
-        clips = stored(raster.clip_raster_to_geometries(runs, src, spec.id, grid, "src_id"))
-    out = None
-    for kind, districts in maps.items():
-        d = districts.withColumn("StateFIPS", F.col(state))
-        one = dasymetric.dasymetric_interpolate(src, d, tiles, runs, grid, spec, id, name, keep=["StateFIPS"], clips=clips)
-        one = add_district_measures(one, kind)
-        out = one if out is None else out.unionByName(one)
-    return out
+    """District tables of the given chambers (kind -> map) by developed land, in one run."""
+    keyed = union_all_frames([
+        districts.select(F.struct(F.lit(kind).alias("kind"), F.col(state).alias("state"), F.col(id).alias("id")).alias("key"),
+                         F.col(name).alias("name"), "geom", *BOX) for kind, districts in maps.items()])
+    out = dasymetric.dasymetric_interpolate(src, keyed, tiles, runs, grid, spec, "key", "name", clips=clips)
+    return add_district_measures(out, F.col("ID.kind"), F.col("ID.state"))
 
 
 def job_sld_cd_overlaps(src: DataFrame, map1: DataFrame, map2: DataFrame, tiles: DataFrame, runs: DataFrame, grid: Grid,
