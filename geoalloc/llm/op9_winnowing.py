@@ -100,15 +100,16 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, n_chars long, marks array<struct<pos:long,hash:long>>")
 
 
-def with_next(docs: DataFrame, rows_per_range: int = 4000) -> DataFrame:
+def with_next(docs: DataFrame, rows_per_range: int = 4000, most_ranges: int = 10_000) -> DataFrame:
     """``range, id, text, extra``: rows dealt by falling id, each range closed by the next one's first row.
 
     Within a range the order is by falling id (null ids last), then by text. The last range of
-    all is closed by the very first row. Only ids and ranges are looked at globally.
+    all is closed by the very first row. Only ids and ranges are looked at globally; ranges
+    grow in length beyond ``most_ranges``, and their rows are streamed in any case.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     count = docs.count()
-    parts = max(1, count // rows_per_range)
+    parts = min(most_ranges, max(1, count // rows_per_range))
     bounds = docs.where("id is not null").approxQuantile("id", [i / parts for i in range(1, parts)], 0.2 / parts) if parts > 1 else []
     bounds = np.unique(np.array(bounds, np.float64)).astype(np.int64)
 
@@ -121,6 +122,7 @@ def with_next(docs: DataFrame, rows_per_range: int = 4000) -> DataFrame:
     top = dealt.groupBy("range").agg(F.max("id").alias("id"))
     order = Window.orderBy("range")  # a row for each range
     top = top.withColumn("closes", F.coalesce(F.lag("range").over(order), F.max("range").over(Window.partitionBy())))
+    top = F.broadcast(top)  # a row for each of at most ``most_ranges`` ranges and the null ids
     firsts = dealt.join(top, (dealt["range"] == top["range"]) & dealt["id"].eqNullSafe(top["id"])).groupBy("closes").agg(F.min(dealt["text"]).alias("text"))
     closing = firsts.select(F.col("closes").alias("range"), F.lit(None).cast("long").alias("id"), "text", F.lit(1).alias("extra"))
     return dealt.select("range", "id", "text", F.lit(0).alias("extra")).unionByName(closing)
