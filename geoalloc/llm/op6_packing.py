@@ -9,6 +9,7 @@ window of all can be short.
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -25,36 +26,63 @@ TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 BATCH = 1024
 
 
+PROBES = ("a b\nc", "The end, thoner$$$ Erheit\u00e4t. 10 x!", "\u00c9\u00ealle l'eau  cci\u00f3n", "zzqvx", "a")
+
+
 class ChunkIds(dict):
-    """Little-endian ids of blank-free chunks of text, remembered up to a bounded number.
+    """Little-endian ids of texts, from those of their chunks, remembered up to a bounded number.
 
-    The tokenizer drops white space and never joins text across it, so a text has the ids of
+    Some tokenizers drop white space and never join text across it, so a text has the ids of
     its chunks. Chunks are split at blanks and line feeds alone; other white space stays
-    inside a chunk, where the tokenizer itself sees it.
+    inside a chunk, where the tokenizer itself sees it. Others get whole texts. Which kind a
+    tokenizer is, and whether its model may be asked for plain words directly, is probed.
     """
 
     def __init__(self, path: str, kind: str, most: int = 600_000):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         super().__init__()
         self.tokenizer, self.kind, self.most = Tokenizer.from_file(path), kind, most
+        self.by_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
+        whole = [self.encoded(x) for x in PROBES]
+        self.plain = False
+        self.chunks = whole == [b"".join(map(self.encoded, x.replace("\n", " ").split(" "))) for x in PROBES]
+        words = [w for x in PROBES for w in x.lower().split() if is_plain(w)]
+        self.plain = self.chunks and [*map(self.encoded, words)] == [*map(self.modelled, words)]
+        self.clear()
+
+    def encoded(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+
+    def modelled(self, word: str) -> bytes:
+        if not word.isascii():
+            word = self.by_bytes.pre_tokenize_str(word)[0][0]
+        return np.array([x.id for x in self.tokenizer.model.tokenize(word)], self.kind).tobytes()
 
     def __missing__(self, chunk: str) -> bytes:
         if len(self) >= self.most:
             self.clear()
-        if chunk.isascii() and chunk != (low := chunk.lower()):
-            ids = self[low]
-        elif len(chunk) > 1 and chunk[-1] in ".," and chunk[-2].isalpha():
+        if self.plain and is_plain(low := chunk.lower()):
+            ids = self.modelled(low)
+        elif self.plain and len(chunk) > 1 and chunk[-1] in ".," and chunk[-2].isalpha():
             ids = self[chunk[:-1]] + self[chunk[-1]]
         else:
-            ids = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, self.kind).tobytes()
+            ids = self.encoded(chunk)
         self[chunk] = ids
         return ids
 
     def of(self, text: str | None) -> bytes:
+        if not self.chunks:
+            return self.encoded(text or "")
         return b"".join(map(self.__getitem__, (text or "").replace("\n", " ").split(" ")))
 
 
+def is_plain(low: str) -> bool:
+    """Lower-case letters below U+0180 in composed form, which any normaliser leaves alone."""
+    return low.isalpha() and (low.isascii() or max(low) < "\u0180" and unicodedata.is_normalized("NFC", low) and low.lower() == low)
+
+
 def token_table(docs: DataFrame, keys: list[str], tokenizer: str = TOKENIZER, end_id: int = 2, order: tuple[str, str] | None = None) -> DataFrame:
     """``keys..., part, part_start, before, tokens, ids``: every document's ids, stored.
 
@@ -102,6 +130,8 @@ def with_offsets(table: DataFrame) -> DataFrame:
     totals = table.groupBy("part", "part_start").agg(F.max(F.col("before") + F.col("tokens")).alias("total"))
     ahead = Window.orderBy("part", "part_start").rowsBetween(Window.unboundedPreceding, -1)  # a row for each task
     totals = totals.select("part", "part_start", F.coalesce(F.sum("total").over(ahead), F.lit(0)).alias("base"))
+    if totals.count() <= 100_000:  # some tens of bytes each
+        totals = F.broadcast(totals)
     return table.join(totals, ["part", "part_start"]).withColumn("stream_start", F.col("base") + F.col("before")).drop("base")
 
 
