@@ -349,6 +349,22 @@ def jaccard_join(docs: DataFrame, k: int, percent: int, id_col: str = "doc_id",
             .select("id", F.col("n").alias("n_shingles"), "class_id", F.coalesce("component", "class_id").alias("component_id")))
 
 
+def one_of_each(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """``docs`` with one row of each component: a row of its smallest id, the least of repeated ones.
+
+    Rows with a null id stay.
+    """
+    found = stored(jaccard_join(docs, k, percent))
+    left_out = stored(found.where("id != component_id").select(F.col("id").alias("doc_id")).distinct())
+    again = stored(found.where("id is not null").groupBy("id").count().where("count > 1").select(F.col("id").alias("doc_id")))
+    stay = docs.join(left_out, "doc_id", "left_anti")
+    if again.isEmpty():
+        return stay.select(docs.columns)
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    least = stay.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(whole).alias("row")).select("row.*")
+    return stay.join(again, "doc_id", "left_anti").select(docs.columns).unionByName(least.select(docs.columns))
+
+
 def op7_jaccard_join(spark, sf_dir: str) -> DataFrame:
     """All documents, four-word shingles, similarity 0.85."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
