@@ -6,7 +6,9 @@ from geoalloc.llm.op2_quality import op2_quality
 from geoalloc.llm.op4_mixing import op4_mixing
 from geoalloc.llm.op6_packing import op6_pack_documents
 from geoalloc.llm.op7_jaccard_join import op7_jaccard_join
+from geoalloc.llm.op8_product_quantisation import op8_product_quantisation
 from geoalloc.llm.op9_winnowing import op9_winnowing
 
-QUERIES = {f.__name__: f for f in (op2_quality, op4_mixing, op6_pack_documents, op7_jaccard_join, op9_winnowing)}
+QUERIES = {f.__name__: f for f in (
+    op2_quality, op4_mixing, op6_pack_documents, op7_jaccard_join, op8_product_quantisation, op9_winnowing)}
 ORACLE: dict[str, str] = {}
