@@ -10,6 +10,7 @@ on a bounded sample of labelled rows in one task; all documents are scored whole
 
 from __future__ import annotations
 
+import operator
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -24,34 +25,43 @@ from pyspark.sql import functions as F
 BITS, GRADES, SAMPLE_ROWS, EPOCHS, STEEP = 22, 3, 8000, 300, 4.0
 
 
+LETTERS = bytes([*range(65, 91), *range(97, 123), *range(128, 256)])
+
+
 class WordFeatures(dict):
-    """Per word the numbers of its features (word, beginnings, ending, shape), remembered up to a bounded number."""
+    """Per word the numbers of its features (word, beginnings, ending, shape), remembered up to a bounded number.
+
+    With a table of weights only features of some weight are given.
+    """
 
-    def __init__(self, most: int = 400_000):
+    def __init__(self, weights: np.ndarray | None = None, most: int = 600_000):
         super().__init__()
-        self.most = most
+        self.weights, self.most = weights, most
 
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= self.most:
             self.clear()
-        shape = re.sub(rb"[0-9]+", b"0", re.sub(rb"[a-zA-Z\x80-\xff]+", b"a", word))[:24]
-        out = self[word] = b"".join(number(kind, x).tobytes() for kind, x in ((b"w", word), (b"3", word[:3]), (b"4", word[:4]), (b"5", word[:5]), (b"e", word[-3:]), (b"s", shape)))
+        shape = b"a" if not word.translate(None, LETTERS) else re.sub(rb"[0-9]+", b"0", re.sub(rb"[a-zA-Z\x80-\xff]+", b"a", word))[:24]
+        numbers = [number(x) for x in (b"w" + word, b"3" + word[:3], b"4" + word[:4], b"5" + word[:5], b"e" + word[-3:], b"s" + shape)]
+        if self.weights is not None:
+            numbers = [x for x in numbers if self.weights[x]]
+        out = self[word] = b"".join([x.to_bytes(4, "little") for x in numbers])
         return out
 
 
-def number(kind: bytes, x: bytes) -> np.uint32:
-    return np.uint32(xxhash.xxh3_64_intdigest(kind + x) >> (64 - BITS))
+def number(x: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(x) >> (64 - BITS)
 
 
 def features(text: str | None, words_of: WordFeatures) -> np.ndarray:
     """Distinct feature numbers of a whole text; a null or empty one has the mark of emptiness alone."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return np.array([number(b"empty", b"")])
-    own = np.unique(np.frombuffer(b"".join(map(words_of.__getitem__, words)), np.uint32))
-    share = sum(a == b for a, b in zip(words, words[1:])) / len(words)  # words said twice running
+        return np.array([number(b"empty")], np.uint32)
+    share = sum(map(operator.eq, words, words[1:])) / len(words)  # words said twice running
     fresh = len(set(words)) / len(words)
-    return np.unique(np.append(own, [number(b"twice", b"%d" % (20 * share)), number(b"fresh", b"%d" % (10 * fresh)), number(b"long", b"%d" % np.log2(len(words)))]))
+    own = np.frombuffer(b"".join(map(words_of.__getitem__, words)), "<u4")
+    return np.unique(np.append(own, np.array([number(b"twice%d" % (20 * share)), number(b"fresh%d" % (10 * fresh)), number(b"long%d" % np.log2(len(words)))], np.uint32)))
 
 
 @dataclass(frozen=True)
@@ -162,8 +172,9 @@ def graded(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
 
     @F.pandas_udf("struct<expected_grade:double,tail_1:double,tail_2:double,kept:boolean>")
     def grade(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        words, known = WordFeatures(), shared.value
+        known = shared.value
         table = known.table()
+        words = WordFeatures(table)
         for texts in batches:
             tails = known.tails(np.array([table[features(x, words)].sum(dtype=np.float64) for x in texts]))
             yield pd.DataFrame({"expected_grade": tails.sum(1), "tail_1": tails[:, 0], "tail_2": tails[:, 1], "kept": tails[:, -1] >= least})
