@@ -38,12 +38,13 @@ class ChunkIds(dict):
     tokenizer is, and whether its model may be asked for plain words directly, is probed.
     """
 
-    def __init__(self, path: str, kind: str, most: int = 600_000):
+    def __init__(self, path: str, kind: str, most: int = 600_000, names_are_text: bool = False):
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
         super().__init__()
         self.tokenizer, self.kind, self.most = Tokenizer.from_file(path), kind, most
+        self.tokenizer.encode_special_tokens = names_are_text
         self.by_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
         whole = [self.encoded(x) for x in PROBES]
         self.plain = False

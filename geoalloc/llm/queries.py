@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from geoalloc.llm import op1_quotations as op1
 from geoalloc.llm import op3_licences as op3
 from geoalloc.llm import op5_url_filter as op5
+from geoalloc.llm.op10_separators import op10_separators
 from geoalloc.llm.op2_quality import op2_quality
 from geoalloc.llm.op4_mixing import op4_mixing
 from geoalloc.llm.op6_packing import op6_pack_documents
@@ -12,6 +14,6 @@ from geoalloc.llm.op8_product_quantisation import op8_product_quantisation
 from geoalloc.llm.op9_winnowing import op9_winnowing
 
 QUERIES = {f.__name__: f for f in (
-    op2_quality, op3.op3_licences, op4_mixing, op5.op5_url_filter, op6_pack_documents, op7_jaccard_join,
-    op8_product_quantisation, op9_winnowing)}
-ORACLE = {"op3_licences": op3.SQL, "op5_url_filter": op5.SQL}
+    op1.op1_quotations, op2_quality, op3.op3_licences, op4_mixing, op5.op5_url_filter, op6_pack_documents, op7_jaccard_join,
+    op8_product_quantisation, op9_winnowing, op10_separators)}
+ORACLE = {"op1_quotations": op1.SQL, "op3_licences": op3.SQL, "op5_url_filter": op5.SQL}
