@@ -158,6 +158,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
         yield pa.RecordBatch.from_pydict({"numbers": [model.numbers.astype("<i8").tobytes()], "weights": [model.weights.astype("<f8").tobytes()], "thresholds": [model.thresholds.astype("<f8").tobytes()]})
 
     row = rows.select("text", "grade").repartition(1).sortWithinPartitions("grade", "text").mapInArrow(train, "numbers binary, weights binary, thresholds binary").first()
+    if row is None:  # no rows at all, so no task called
+        return fit_rows([], np.empty(0, np.int64))
     return Model(*(np.frombuffer(x, kind) for x, kind in zip(row, ("<i8", "<f8", "<f8"))))
 
 
@@ -180,8 +182,8 @@ def graded(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
             yield pd.DataFrame({"expected_grade": tails.sum(1), "tail_1": tails[:, 0], "tail_2": tails[:, 1], "kept": tails[:, -1] >= least})
 
     names = ("expected_grade", "tail_1", "tail_2", "kept")
-    rows = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c not in names), grade(F.col("text").cast("string")).alias("grade_of_text"))
-    return rows.select("*", *(f"grade_of_text.{c}" for c in names)).drop("grade_of_text")
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"), grade(F.col("text").cast("string")).alias("found"))
+    return rows.select(*(F.col(f"doc.`{c}`") for c in docs.columns if c not in names), "found.*")
 
 
 def op2_quality(spark, sf_dir: str) -> DataFrame:

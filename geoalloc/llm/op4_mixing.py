@@ -92,8 +92,9 @@ def schedule(docs: DataFrame, weights: dict | None = None, block_chars: int = BL
     ``slot`` and then ``start`` (characters of the source before the row) order the mix; ``row``
     is a hash of the text that tells rows of equal ids apart. Sizes count characters, at least
     one for each row, so null and empty texts have a place. A row belongs to the block in which
-    it starts. A null source is a source; null ids are allowed; equal rows share their places. Sources without a weight come after all slots of the others, as if due at
-    the end; ``weights`` default to tempered sizes. An empty table gives no rows.
+    it starts. A null source is a source; null ids are allowed; equal rows follow one another.
+    Sources without a weight come after all slots of the others, as if due at the end;
+    ``weights`` default to tempered sizes. An empty table gives no rows.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
                        F.greatest(F.length(F.coalesce(F.col("text").cast("string"), F.lit(""))), F.lit(1)).cast("long").alias("chars"),
@@ -116,8 +117,11 @@ def schedule(docs: DataFrame, weights: dict | None = None, block_chars: int = BL
 
 
 def mixed(docs: DataFrame, weights: dict | None = None, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """All rows and columns of ``docs``, in the order of the schedule: ranges of slots follow one another in its files."""
-    plan = schedule(docs, weights, block_chars).select("doc_id", "row", "slot", "start").distinct()
+    """All rows and columns of ``docs``, in the order of the schedule: ranges of slots follow one another in its files.
+
+    Repeated rows take the first of their places together.
+    """
+    plan = schedule(docs, weights, block_chars).groupBy("doc_id", "row").agg(F.min(F.struct("slot", "start")).alias("at")).select("doc_id", "row", "at.*")
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"))
     both = rows.join(plan, F.col("doc.doc_id").cast("long").eqNullSafe(F.col("doc_id")) & (F.xxhash64(F.col("doc.text").cast("string")) == F.col("row")))
     return both.repartitionByRange("slot", "start").sortWithinPartitions("slot", "start", "doc_id").select("doc.*")
