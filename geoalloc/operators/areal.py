@@ -12,10 +12,6 @@ from geoalloc.functions.geometry import planar_area
 from geoalloc.operators.cells import choose_cell
 from geoalloc.operators.spatial import on_area_plane, overlap_area
 
-#: Wide tables are carried through the pair join this many columns at a time.
-COLUMN_BATCH = 400
-
-
 def zero_if_missing(c: Column) -> Column:
     """Null, NaN and infinite values count as 0."""
     v = c.cast("double")
@@ -39,15 +35,9 @@ def source_shares(weights: DataFrame, src: DataFrame | None = None, src_id: str
 
 
 def _spread(shares: DataFrame, src: DataFrame, src_id: str, cols: Sequence[str]) -> DataFrame:
-    """Sum of share times value per target, in batches of columns."""
-    out = None
-    for i in range(0, len(cols), COLUMN_BATCH):
-        batch = cols[i:i + COLUMN_BATCH]
-        values = src.select(F.col(src_id).alias("src_id"), *[zero_if_missing(c).alias(n) for n, c in zip(batch, quoted(batch))])
-        part = shares.join(values, "src_id").groupBy("tgt_id").agg(
-            *[F.sum(F.col("share") * c).alias(n) for n, c in zip(batch, quoted(batch))])
-        out = part if out is None else out.join(part, "tgt_id")
-    return out
+    """Sum of share times value per target, for all columns in one join and one aggregate."""
+    values = src.select(F.col(src_id).alias("src_id"), *[zero_if_missing(c).alias(n) for n, c in zip(cols, quoted(cols))])
+    return shares.join(values, "src_id").groupBy("tgt_id").agg(*[F.sum(F.col("share") * c).alias(n) for n, c in zip(cols, quoted(cols))])
 
 
 def _on_targets(estimates: DataFrame, tgt: DataFrame, tgt_id: str, cols: Sequence[str]) -> DataFrame:
@@ -81,38 +71,56 @@ def areal_interpolate_intensive(src: DataFrame, tgt: DataFrame, cols: Sequence[s
     return _on_targets(means, tgt, tgt_id, cols)
 
 
+def same_state(weights: DataFrame, src: DataFrame, tgt: DataFrame, src_id: str, tgt_id: str, src_state: str,
+               tgt_state: str, names: tuple[str, str] = ("src_id", "tgt_id")) -> DataFrame:
+    """Only pairs inside one state, as if every state were a run of its own."""
+    s = src.select(F.col(src_id).alias(names[0]), F.col(src_state).cast("int").alias("s"))
+    t = tgt.select(F.col(tgt_id).alias(names[1]), F.col(tgt_state).cast("int").alias("t"))
+    return weights.join(s, names[0]).join(t, names[1]).where("s = t").drop("s", "t")
+
+
 def one_hot_shares(src: DataFrame, components: DataFrame, src_id: str, comp_id: str, srid: int = 0,
-                   cell: float | None = None, layers: tuple[int, int] = (0, 1)) -> DataFrame:
+                   cell: float | None = None, layers: tuple[int, int] = (0, 1),
+                   states: tuple[str, str] | None = None) -> DataFrame:
     """Percent of each source's covered ground that lies in each component.
 
     Long rows ``src_id, component, share``: what interpolating one 0/100 column
-    per component would give, without the columns.
+    per component would give, without the columns. With ``states``, the state
+    columns of both maps, components of other states do not count.
     """
     w = overlap_area(src, components, src_id, comp_id, ("src_id", "component"), srid, cell, layers)
+    if states:
+        w = same_state(w, src, components, src_id, comp_id, *states, names=("src_id", "component"))
     ground = w.groupBy("src_id").agg(F.sum("area").alias("ground"))
     return w.join(ground, "src_id").selectExpr("src_id", "component", "100 * area / ground as share")
 
 
 def population_overlaps(src: DataFrame, components: DataFrame, targets: DataFrame, pop: str, src_id: str,
                         comp_id: str, tgt_id: str, comp_name: str, tgt_name: str, srid: int = 0,
-                        cell: float | None = None) -> DataFrame:
+                        cell: float | None = None, states: tuple[str, str, str] | None = None) -> DataFrame:
     """People of each target by component: ``tgt_id, name, component, pop, TotalPopulation``.
 
     Each source's people are split over the components by ground, and each part
-    over the targets by ground; both figures are cut to whole people.
+    over the targets by ground; both figures are cut to whole people. With
+    ``states``, the state columns of the three maps, all of this happens inside
+    each state alone and rows also have the target's ``state``.
     """
     src, components, targets = (on_area_plane(x, srid) for x in (src, components, targets))
     cell = cell or choose_cell(src, components, targets)
     people = src.select(F.col(src_id).alias("src_id"), zero_if_missing(F.col(pop)).alias("people"))
-    in_target = source_shares(overlap_area(src, targets, src_id, tgt_id, cell=cell, layers=(0, 2))).join(people, "src_id")
-    parts = one_hot_shares(src, components, src_id, comp_id, cell=cell, layers=(0, 1))
+    on_targets = overlap_area(src, targets, src_id, tgt_id, cell=cell, layers=(0, 2))
+    if states:
+        on_targets = same_state(on_targets, src, targets, src_id, tgt_id, states[0], states[2])
+    in_target = source_shares(on_targets).join(people, "src_id")
+    parts = one_hot_shares(src, components, src_id, comp_id, cell=cell, layers=(0, 1), states=states and states[:2])
     by_pair = (in_target.withColumnRenamed("share", "in_share").join(parts, "src_id")
                .groupBy("tgt_id", "component").agg(F.sum(F.expr("(share * people / 100) * in_share")).alias("pop")))
     totals = in_target.groupBy("tgt_id").agg(F.sum(F.expr("people * share")).alias("TotalPopulation"))
-    names = targets.select(F.col(tgt_id).alias("tgt_id"), F.col(tgt_name).alias("name"))
+    state = [F.col(states[2]).alias("state")] if states else []
+    names = targets.select(F.col(tgt_id).alias("tgt_id"), F.col(tgt_name).alias("name"), *state)
     comp = components.select(F.col(comp_id).alias("component"), F.col(comp_name).alias("component_name"))
     return (names.join(totals, "tgt_id", "left").join(by_pair, "tgt_id", "left").join(comp, "component", "left")
-            .select("tgt_id", "name", F.col("component_name").alias("component"),
+            .select("tgt_id", *(["state"] if states else []), "name", F.col("component_name").alias("component"),
                     truncated(F.coalesce("pop", F.lit(0.0))).alias("pop"),
                     truncated(F.coalesce("TotalPopulation", F.lit(0.0))).alias("TotalPopulation")))
 

@@ -23,6 +23,9 @@ CELL = ("cx", "cy")
 #: Shapes of one map in one cell that a task should have to meet at most.
 HOT_ROWS = 100_000
 STRIP = ("cx", "cy", "sign", "xa", "xb", "ya", "yb")
+BIN = ("level", "bin", "role")
+#: Levels of bins across a cell; the finest are 2^-30 of it.
+MOST_LEVELS = 30
 
 
 class Cell(float):
@@ -195,16 +198,38 @@ def area_by(strip_rows: DataFrame, *keys: str) -> DataFrame:
     return strip_rows.groupBy(*keys).agg(F.sum(F.expr("sign * (xb - xa) * (ya + yb) / 2")).alias("area"))
 
 
+def _binned(strip_rows: DataFrame, cell: float, own_roles: str, coarse_roles: str) -> DataFrame:
+    """Strips dealt by x, so that those far apart in a cell do not meet.
+
+    A cell has bins of ``cell / 2^level``. A strip stands in the one or two bins of
+    its width (its own level) and in the bins of all coarser levels around them.
+    ``role`` keeps coarse entries of both sides apart.
+    """
+    c = f"{float(cell)!r}D"
+    return (strip_rows
+            .selectExpr("*", f"cast(least(greatest(floor(log2({c} / (xb - xa))), 0), {MOST_LEVELS}) as int) as fits")
+            .selectExpr("*", "explode(sequence(0, fits)) as level")
+            .selectExpr("*", f"{c} / pow(2D, level) as wide")
+            .selectExpr("*", "explode(sequence(floor(xa / wide), greatest(floor(xa / wide), ceil(xb / wide) - 1))) as bin",
+                        f"if(level = fits, {own_roles}, {coarse_roles}) as roles")
+            .selectExpr("*", "explode(roles) as role").drop("fits", "roles"))
+
+
 def _paired(left: DataFrame, right: DataFrame, right_keys: list[str], cell: float, layers: tuple[int, int]) -> DataFrame:
     """Strips of both sides that share a cell and an x range, with both heights there.
 
-    A merge join: the strips are explosions, whose size the planner cannot know,
-    so neither side may be broadcast.
+    Of two strips the narrower one is looked up at the level of the wider: role 0
+    is the right one at its own level, role 1 the left one. The pair counts in the
+    bin where the shared x range begins. Candidates are then in proportion to the
+    pairs that do share an x range. A merge join: the strips are explosions, whose
+    size the planner cannot know, so neither side may be broadcast.
     """
     kept = [k for k in left.columns if k not in STRIP]
-    right = right.selectExpr(*CELL, *right_keys, "sign as r_sign", "xa as r_xa", "xb as r_xb", "ya as r_ya", "yb as r_yb")
+    left = _binned(left, cell, "array(0, 1)", "array(0)")
+    right = _binned(right, cell, "array(0)", "array(1)")
+    right = right.selectExpr(*CELL, *BIN, *right_keys, "sign as r_sign", "xa as r_xa", "xb as r_xb", "ya as r_ya", "yb as r_yb")
     left, right, keys = split_hot(left, right, cell, layers)
-    j = left.join(right.hint("merge"), keys).where("xa < r_xb and r_xa < xb")
+    j = left.join(right.hint("merge"), [*keys, *BIN]).where("xa < r_xb and r_xa < xb and floor(greatest(xa, r_xa) / wide) = bin")
     j = j.selectExpr("*", "greatest(xa, r_xa) as lo", "least(xb, r_xb) as hi",
                      "(yb - ya) / (xb - xa) as slope", "(r_yb - r_ya) / (r_xb - r_xa) as r_slope")
     return j.selectExpr(

@@ -126,17 +126,21 @@ def dasymetric_interpolate_preclipped(src, tgt, tiles, runs, grid, spec, **optio
 # --- overlap of two maps ---------------------------------------------------
 
 def overlap_sum_by_pair(people_1: DataFrame, people_12: DataFrame, near: DataFrame, map1: DataFrame, map2: DataFrame,
-                        ids: tuple[str, str], names: tuple[str, str]) -> DataFrame:
+                        ids: tuple[str, str], names: tuple[str, str], states: tuple[str, str] | None = None) -> DataFrame:
     """Sums per (name_1, name_2) of the people in both and in the first map.
 
     ``near`` are the id pairs whose boxes meet; the first-map figures count once
-    for each, so that maps with repeated names add up the same way.
+    for each, so that maps with repeated names add up the same way. With
+    ``states``, the state columns of both maps, only pairs inside one state count
+    and the sums are per (state, name_1, name_2).
     """
-    n1 = map1.select(F.col(ids[0]).alias("id_1"), F.col(names[0]).alias("name_1"))
-    n2 = map2.select(F.col(ids[1]).alias("id_2"), F.col(names[1]).alias("name_2"))
+    n1 = map1.select(F.col(ids[0]).alias("id_1"), F.col(names[0]).alias("name_1"), *([F.col(states[0]).alias("state")] if states else []))
+    n2 = map2.select(F.col(ids[1]).alias("id_2"), F.col(names[1]).alias("name_2"), *([F.col(states[1]).alias("state_2")] if states else []))
     j = near.join(people_1, "id_1", "left").join(people_12, ["id_1", "id_2"], "left").join(n1, "id_1").join(n2, "id_2")
+    if states:
+        j = j.where("state = state_2")
     zero = F.lit(0.0)
-    return j.groupBy("name_1", "name_2").agg(
+    return j.groupBy(*(["state"] if states else []), "name_1", "name_2").agg(
         F.sum(F.coalesce("d_12", zero)).alias("d_pop_in_s1_s2"), F.sum(F.coalesce("a_12", zero)).alias("a_pop_in_s1_s2"),
         F.sum(F.coalesce("d_1", zero)).alias("d_pop_in_s1"), F.sum(F.coalesce("a_1", zero)).alias("a_pop_in_s1"))
 
@@ -144,12 +148,14 @@ def overlap_sum_by_pair(people_1: DataFrame, people_12: DataFrame, near: DataFra
 def dasymetric_overlap_pairs(map1: DataFrame, map2: DataFrame, src: DataFrame, tiles: DataFrame, runs: DataFrame,
                              grid: Grid, pop: str, src_id: str = "geoid", ids: tuple[str, str] = ("id_0", "id_0"),
                              names: tuple[str, str] = ("name", "name"), min_pop: float | None = 0.0,
-                             order: bool = False, clips: DataFrame | None = None, cell: float | None = None) -> DataFrame:
+                             order: bool = False, clips: DataFrame | None = None, cell: float | None = None,
+                             states: tuple[str, str] | None = None) -> DataFrame:
     """People living in both of two areas, by developed pixels (``d_``) and by ground (``a_``).
 
     Long rows ``name_1, name_2, d_pop_in_s1_s2, a_pop_in_s1_s2, d_pop_in_s1,
     a_pop_in_s1``; only sources that have a tile count. Pairs stay if either
-    overlap is above ``min_pop``; with None all pairs whose boxes meet stay.
+    overlap is above ``min_pop``; with None all pairs whose boxes meet stay. With
+    ``states`` rows also have the ``state``, and maps meet inside a state only.
     """
     cell = cell or cells.choose_cell(src, map1, map2)
     if clips is None:
@@ -187,21 +193,24 @@ def dasymetric_overlap_pairs(map1: DataFrame, map2: DataFrame, src: DataFrame, t
     people_1 = d_1.withColumnRenamed("people", "d_1").join(a_1.withColumnRenamed("people", "a_1"), "id_1", "full")
     people_12 = d_12.withColumnRenamed("people", "d_12").join(
         a_12.withColumnRenamed("people", "a_12"), ["id_1", "id_2"], "full")
-    out = overlap_sum_by_pair(people_1, people_12, near, map1, map2, ids, names)
+    out = overlap_sum_by_pair(people_1, people_12, near, map1, map2, ids, names, states)
     if min_pop is not None:
         out = out.where((F.col("d_pop_in_s1_s2") > min_pop) | (F.col("a_pop_in_s1_s2") > min_pop))
     return out.orderBy("name_1") if order else out
 
 
-def overlap_matrix(pairs: DataFrame, names_1: DataFrame, name: str, names_2: Sequence[str]) -> DataFrame:
+def overlap_matrix(pairs: DataFrame, names_1: DataFrame, name: str, names_2: Sequence[str], state: str | None = None) -> DataFrame:
     """``NAME, TotalPopulation`` and one column per second-map name, whole people.
 
-    One row per first-map name. A name without any pair has no NAME and no
-    TotalPopulation, but zeros in its cells.
+    One row per first-map name, or per state and name with the state column of
+    ``names_1`` given. A name without any pair has no NAME and no TotalPopulation,
+    but zeros in its cells.
     """
-    rows = names_1.select(F.col(name).alias("name_1")).distinct().join(pairs, "name_1", "left").select(
-        "name_1", "name_2", F.when(F.col("name_2").isNotNull(), F.col("name_1")).alias("NAME"),
-        half_even(F.col("d_pop_in_s1")).alias("TotalPopulation"), half_even(F.col("d_pop_in_s1_s2")).alias("people"))
-    wide = rows.groupBy("name_1").pivot("name_2", list(names_2)).agg(F.sum("people")).na.fill(0, list(names_2))
-    heads = rows.groupBy("name_1").agg(F.max("NAME").alias("NAME"), F.max("TotalPopulation").alias("TotalPopulation"))
-    return heads.join(wide, "name_1").select("NAME", "TotalPopulation", *quoted(names_2))
+    by = ["state"] if state else []
+    heads = names_1.select(*([F.col(state).alias("state")] if state else []), F.col(name).alias("name_1")).distinct()
+    rows = heads.join(pairs, [*by, "name_1"], "left")
+    people = half_even(F.col("d_pop_in_s1_s2"))
+    cells_ = [F.coalesce(F.sum(F.when(F.col("name_2") == n, people)), F.lit(0).cast("bigint")).alias(n) for n in names_2]
+    out = rows.groupBy(*by, "name_1").agg(F.max(F.when(F.col("name_2").isNotNull(), F.col("name_1"))).alias("NAME"),
+                                          F.max(half_even(F.col("d_pop_in_s1"))).alias("TotalPopulation"), *cells_)
+    return out.select(*by, "NAME", "TotalPopulation", *quoted(names_2))

@@ -100,27 +100,40 @@ EDGES_MEET = f"""l_ax <= r_bx and r_ax <= l_bx
 
 def _contacts(pairs: DataFrame, left: DataFrame, right: DataFrame, left_id: str, right_id: str,
               names: tuple[str, str], cell: float) -> DataFrame:
-    """Those of the given pairs whose outlines meet in at least one point."""
+    """Those of the given box pairs whose outlines meet in at least one point.
+
+    Outlines can meet only in the cells of the shared box, so a pair takes the
+    edges of both sides from there alone.
+    """
+    c = f"{float(cell)!r}D"
+
+    def span(lo, hi):
+        return f"explode(sequence(floor(greatest({lo}, r_{lo}) / {c} - 1e-9D), floor(least({hi}, r_{hi}) / {c} + 1e-9D)))"
+
     le = edge_cells(cells.edges(left, left_id).withColumnRenamed("id", names[0]), cell, "l_")
     re = edge_cells(cells.edges(right, right_id).withColumnRenamed("id", names[1]), cell, "r_")
-    near = pairs.select(*names).join(le.hint("merge"), names[0]).join(re.hint("merge"), [names[1], *cells.CELL])
+    shared = pairs.selectExpr(*names, *BOX, *[f"r_{b}" for b in BOX], f"{span('xmin', 'xmax')} as cx").selectExpr(
+        *names, "cx", f"{span('ymin', 'ymax')} as cy")
+    near = shared.join(le.hint("merge"), [names[0], *cells.CELL]).join(re.hint("merge"), [names[1], *cells.CELL])
     return near.where(EDGES_MEET).select(*names).distinct()
 
 
 def spatial_join_intersects(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
                             names: tuple[str, str] = PAIR, cell: float | None = None, layers: tuple[int, int] = (0, 1),
-                            boxes: DataFrame | None = None) -> DataFrame:
+                            boxes: DataFrame | None = None, ground: DataFrame | None = None) -> DataFrame:
     """Pairs that share at least a point.
 
     Shared ground settles most pairs; only those whose boxes meet without any
-    are looked at edge by edge. ``boxes`` may pass the box pairs if they are
-    already at hand.
+    are looked at edge by edge. ``boxes`` and ``ground`` may pass the box pairs and
+    the overlaps if they are already at hand.
     """
     cell = cell or cells.choose_cell(left, right)
-    ground = overlap_area(left, right, left_id, right_id, names, cell=cell, layers=layers).select(*names)
+    if ground is None:
+        ground = overlap_area(left, right, left_id, right_id, names, cell=cell, layers=layers)
     if boxes is None:
         boxes = bbox_join(left, right, left_id, right_id, names, cell, layers)
-    rest = boxes.select(*names).join(ground, list(names), "left_anti")
+    ground = ground.select(*names)
+    rest = boxes.join(ground, list(names), "left_anti")
     return ground.unionByName(_contacts(rest, left, right, left_id, right_id, names, cell))
 
 
@@ -133,9 +146,10 @@ def geometry_predicates(left: DataFrame, right: DataFrame, left_id: str, right_i
     these follow from the overlap, compared within 1e-9 of the smaller one.
     """
     cell = cell or cells.choose_cell(left, right)
-    boxes = bbox_join(left, right, left_id, right_id, names, cell).select(*names)
+    boxes = bbox_join(left, right, left_id, right_id, names, cell)
     shared = overlap_area(left, right, left_id, right_id, names, cell=cell)
-    touch = spatial_join_intersects(left, right, left_id, right_id, names, cell).withColumn("intersects", F.lit(True))
+    touch = spatial_join_intersects(left, right, left_id, right_id, names, cell, boxes=boxes, ground=shared).withColumn("intersects", F.lit(True))
+    boxes = boxes.select(*names)
     la = left.select(F.col(left_id).alias(names[0]), planar_area(F.col("geom")).alias("l_area"))
     ra = right.select(F.col(right_id).alias(names[1]), planar_area(F.col("geom")).alias("r_area"))
     j = (boxes.join(shared, list(names), "left").join(touch, list(names), "left")

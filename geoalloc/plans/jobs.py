@@ -40,14 +40,6 @@ def on_web_plane(shapes: DataFrame, srid: int) -> DataFrame:
     return project(shapes, MERCATOR, LONLAT) if srid == LONLAT else shapes
 
 
-def same_state(weights: DataFrame, src: DataFrame, tgt: DataFrame, src_id: str, tgt_id: str, src_state: str,
-               tgt_state: str) -> DataFrame:
-    """Only pairs inside one state, as if every state were a run of its own."""
-    s = src.select(F.col(src_id).alias("src_id"), F.col(src_state).cast("int").alias("s"))
-    t = tgt.select(F.col(tgt_id).alias("tgt_id"), F.col(tgt_state).cast("int").alias("t"))
-    return weights.join(s, "src_id").join(t, "tgt_id").where("s = t").drop("s", "t")
-
-
 def job_attribute_table(groups: DataFrame, group_shapes: DataFrame, tract_tables: Sequence[DataFrame],
                         tract_shapes: DataFrame, districts: DataFrame, district: str = "CD116FP",
                         state: str = "STATEFP", id: str = "id_0", srid: int = 0, compat: bool = False) -> DataFrame:
@@ -79,7 +71,7 @@ def job_aggregate_districts(tables: Sequence[DataFrame], shapes: DataFrame, dist
     tgt = add_target_area(attach_state_fips(districts, target.state), srid)
     cols = ["TotalPopulation", "TotalIncome", "SqKmPop", "PWLogPopPerSqKm", *data_cols]
     src_plane, tgt_plane = on_web_plane(src, srid), on_web_plane(tgt, srid)
-    weights = same_state(overlap_area(src_plane, tgt_plane, key, id), src, tgt, key, id, state, "STATEFP")
+    weights = areal.same_state(overlap_area(src_plane, tgt_plane, key, id), src, tgt, key, id, state, "STATEFP")
     est = areal.areal_interpolate_extensive(src_plane, tgt_plane, cols, key, id, weights=weights)
     heads = tgt.select(id, F.col("STATEFP").alias("StateFIPS"), F.col(target.name).alias(target.out_name), "SqMiles", "SqKm")
     out = drop_placeholder_districts(positional_concat(heads, est, id, id), target.out_name)
@@ -102,20 +94,30 @@ def job_dasymetric_districts(src: DataFrame, maps: dict[str, DataFrame], tiles:
 
 def job_sld_cd_overlaps(src: DataFrame, map1: DataFrame, map2: DataFrame, tiles: DataFrame, runs: DataFrame, grid: Grid,
                         pop: str, names_2: Sequence[str], src_id: str = "geoid", id: str = "id_0", name: str = "name",
-                        clips: DataFrame | None = None) -> DataFrame:
-    """People of each first-map area by second-map area, by developed land, as a matrix."""
+                        clips: DataFrame | None = None, state: str | None = None) -> DataFrame:
+    """People of each first-map area by second-map area, by developed land, as a matrix.
+
+    With ``state``, the state column of both maps, areas meet and are added up
+    inside their state alone, and rows have the ``state``; names may then repeat.
+    """
     pairs = dasymetric.dasymetric_overlap_pairs(map1, map2, src, tiles, runs, grid, pop, src_id, (id, id), (name, name),
-                                                clips=clips)
-    return dasymetric.overlap_matrix(pairs, map1, name, names_2)
+                                                clips=clips, states=(state, state) if state else None)
+    return dasymetric.overlap_matrix(pairs, map1, name, names_2, state)
 
 
 def job_areal_overlaps(src: DataFrame, components: DataFrame, targets: DataFrame, pop: str, names: Sequence[str],
-                       src_id: str = "geoid", id: str = "id_0", name: str = "name", srid: int = 0) -> DataFrame:
-    """People of each target by component, by shared ground, one column per component."""
+                       src_id: str = "geoid", id: str = "id_0", name: str = "name", srid: int = 0,
+                       state: str | None = None) -> DataFrame:
+    """People of each target by component, by shared ground, one column per component.
+
+    With ``state``, the state column of all three maps, every state is a run of
+    its own: slivers over its border do not count, and rows have the ``state``.
+    """
     src, components, targets = (on_web_plane(x, srid) for x in (src, components, targets))
-    long = areal.population_overlaps(src, components, targets, pop, src_id, id, id, name, name)
-    wide = areal.pivot_overlaps(long, ["tgt_id", "name", "TotalPopulation"], "component", "pop", names)
-    return wide.select("name", "TotalPopulation", *quoted(names))
+    long = areal.population_overlaps(src, components, targets, pop, src_id, id, id, name, name, states=(state,) * 3 if state else None)
+    by = ["state"] if state else []
+    wide = areal.pivot_overlaps(long, ["tgt_id", *by, "name", "TotalPopulation"], "component", "pop", names)
+    return wide.select(*by, "name", "TotalPopulation", *quoted(names))
 
 
 def job_tract_measures(tracts: DataFrame, states: DataFrame, spec: InterpolationSpec, srid: int = 0,

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 
 import pytest
@@ -187,3 +188,22 @@ def test_cell_size_is_bounded(spark):
     assert cells.box_cells(big, cell, "id").count() < 10_000
     got = pairs(spatial.overlap_area(s, big, "id", "id"), "src_id", "tgt_id")
     assert len(got) == 50 and sum(got.values()) == pytest.approx(50e-6)
+
+
+def coast(rng, cx, cy, radius, n):
+    """A ring whose outline wiggles on every scale, and stays near a circle."""
+    reach = [radius * (1 + 0.1 * math.sin(7 * a) + 0.5 / n * rng.uniform(-1, 1)) for a in (2 * math.pi * k / n for k in range(n))]
+    return closed([(cx + r * math.cos(2 * math.pi * k / n), cy + r * math.sin(2 * math.pi * k / n)) for k, r in enumerate(reach)])
+
+
+def test_candidates_grow_with_edges(spark):
+    rng, seen = random.Random(11), []
+    for n in (500, 2000, 4000):
+        a = shapes(spark, [(f"a{i}", [[coast(rng, 10 * i, 0, 6, n)]]) for i in range(3)])
+        b = shapes(spark, [(f"b{i}", [[coast(rng, 10 * i + 4, 3, 6, n)]]) for i in range(3)])
+        cell = cells.choose_cell(a, b)
+        left, right = (cells.strips(x, "id", cell) for x in (a, b))
+        keys = [*cells.CELL, *cells.BIN]
+        met = cells._binned(left, cell, "array(0, 1)", "array(0)").join(cells._binned(right, cell, "array(0)", "array(1)").select(keys), keys)
+        seen.append(met.count())
+    assert seen[1] <= 2.5**2 * seen[0] and seen[2] <= 2.5 * seen[1], seen

@@ -12,9 +12,15 @@ _MEET = "a.x0 <= b.x1 and b.x0 <= a.x1 and a.y0 <= b.y1 and b.y0 <= a.y1"
 _SHARE = "a.x0 < b.x1 and b.x0 < a.x1 and a.y0 < b.y1 and b.y0 < a.y1"
 
 
-def _over(name: str, left: str, right: str, lid: str, rid: str, l: str, r: str) -> str:
+def _over(name: str, left: str, right: str, lid: str, rid: str, l: str, r: str, also: str = "") -> str:
     return (f"{name} as (select a.{lid} as {l}, b.{rid} as {r}, {KM2} * {_OVER} as area "
-            f"from {left} a join {right} b on {_SHARE})")
+            f"from {left} a join {right} b on {_SHARE} {also})")
+
+
+SAME_STATE = "and a.statefp = b.statefp"
+#: Maps whose names repeat in every state.
+NAMED = """tgt_an as (select * replace ('R' || (id_0 % 5) as name) from tgt_a),
+tgt_bn as (select * replace ('N' || (id_0 % 2) as name) from tgt_b)"""
 
 
 OVL = _over("ovl", "src_tracts", "tgt_a", "k", "id_0", "src_id", "tgt_id")
@@ -88,10 +94,12 @@ def _district_out(kind: str, tgt: str, das: str) -> str:
   d.m4 as "AQM4E002", d.pz as "AQPZE003" from {das} d join {tgt} t on t.id_0 = d.tgt_id"""
 
 
-def _pair_sums(m1: str, m2: str, name: str = "pairs") -> str:
+def _pair_sums(m1: str, m2: str, name: str = "pairs", by_state: bool = False) -> str:
     """People in both of two maps, by pixel and by ground; sources need a tile."""
+    same, state = ("and a.statefp = b.statefp", "a.statefp as state,") if by_state else ("", "")
+    of_state = "n.state," if by_state else ""
     return f"""listed as (select * from src_tracts where k in (select k from src_tiles)),
-{name}_near as (select a.id_0 as i, b.id_0 as j, a.name as name_1, b.name as name_2 from {m1} a join {m2} b on {_MEET}
+{name}_near as (select {state} a.id_0 as i, b.id_0 as j, a.name as name_1, b.name as name_2 from {m1} a join {m2} b on {_MEET} {same}
   where a.id_0 in (select a.id_0 from {m1} a join listed b on {_MEET})),
 p1 as (select t.id_0 as i, p.k, p.pop, p.pcol, p.prow from pix p join {m1} t
   on p.pcol >= t.x0 and p.pcol < t.x1 and p.prow >= t.y0 and p.prow < t.y1),
@@ -103,22 +111,23 @@ b1 as (select a.id_0 as i, s.k, s."AQNFE001" as pop, greatest(a.x0, s.x0) as x0,
   on a.x0 < s.x1 and s.x0 < a.x1 and a.y0 < s.y1 and s.y0 < a.y1),
 a1 as (select i, sum(pop * (x1 - x0) * (y1 - y0) / 16) as a from b1 group by 1),
 a12 as (select a.i, b.id_0 as j, sum(a.pop * {_OVER} / 16) as a from b1 a join {m2} b on {_SHARE} group by 1, 2),
-{name} as (select n.name_1, n.name_2, sum(coalesce(d12.d, 0)) as d_pop_in_s1_s2, sum(coalesce(a12.a, 0)) as a_pop_in_s1_s2,
+{name} as (select {of_state} n.name_1, n.name_2, sum(coalesce(d12.d, 0)) as d_pop_in_s1_s2, sum(coalesce(a12.a, 0)) as a_pop_in_s1_s2,
   sum(coalesce(d1.d, 0)) as d_pop_in_s1, sum(coalesce(a1.a, 0)) as a_pop_in_s1
   from {name}_near n left join d12 on d12.i = n.i and d12.j = n.j left join a12 on a12.i = n.i and a12.j = n.j
-  left join d1 on d1.i = n.i left join a1 on a1.i = n.i group by 1, 2)"""
+  left join d1 on d1.i = n.i left join a1 on a1.i = n.i group by {of_state} n.name_1, n.name_2)"""
 
 
 _PAIR_COLS = """name_1, name_2, round(round(d_pop_in_s1_s2, 9), 4) as d_pop_in_s1_s2, round(round(a_pop_in_s1_s2, 9), 4) as a_pop_in_s1_s2,
   round(round(d_pop_in_s1, 9), 4) as d_pop_in_s1, round(round(a_pop_in_s1, 9), 4) as a_pop_in_s1"""
 
 
-def _matrix(m1: str) -> str:
+def _matrix(m1: str, by_state: bool = False) -> str:
+    head, same, by = ("n.statefp as state,", "and p.state = n.statefp", "n.statefp,") if by_state else ("", "", "")
     cells = ", ".join(f"coalesce(sum(case when name_2 = 'R{i}' then round_even(round(d_pop_in_s1_s2, 9), 0)::bigint end), 0)::bigint"
                       f" as \"R{i}\"" for i in range(5))
-    return f"""select max(p.name_1) as "NAME", max(round_even(round(d_pop_in_s1, 9), 0)::bigint) as "TotalPopulation", {cells}
-  from (select distinct name from {m1}) n left join (select * from pairs where d_pop_in_s1_s2 > 0 or a_pop_in_s1_s2 > 0) p
-  on p.name_1 = n.name group by n.name"""
+    return f"""select {head} max(p.name_1) as "NAME", max(round_even(round(d_pop_in_s1, 9), 0)::bigint) as "TotalPopulation", {cells}
+  from (select distinct {by.replace("n.", "")} name from {m1}) n left join (select * from pairs where d_pop_in_s1_s2 > 0 or a_pop_in_s1_s2 > 0) p
+  on p.name_1 = n.name {same} group by {by} n.name"""
 
 
 def _assigned(districts: str, chamber: str, kind: str) -> str:
@@ -200,14 +209,15 @@ select t.statefp::bigint as "StateFIPS", 'Congressional' as "DistrictType", t.na
   round_even(round(e.pz, 9), 0)::bigint::varchar as "AQPZE003" from tgt_a t join est e using (id_0)"""
 
 
-def _population_overlaps(comp: str, sel: str) -> str:
-    return f"""with {SQL}, {OVL}, {ALLOC}, {_over('ovc', 'src_tracts', comp, 'k', 'id_0', 'src_id', 'c_id')},
+def _population_overlaps(comp: str, sel: str, tgt: str = "tgt_a", also: str = "") -> str:
+    ovl = _over("ovl", "src_tracts", tgt, "k", "id_0", "src_id", "tgt_id", also)
+    return f"""with {SQL}, {NAMED}, {ovl}, {ALLOC}, {_over('ovc', 'src_tracts', comp, 'k', 'id_0', 'src_id', 'c_id', also)},
 parts as (select src_id, c_id, 100 * area / sum(area) over (partition by src_id) as share from ovc),
 people as (select a.src_id, a.tgt_id, a.share, s."AQNFE001" as n from alloc a join src_tracts s on s.k = a.src_id),
 tot as (select tgt_id, sum(n * share) as n from people group by 1),
 pair as (select p.tgt_id, q.c_id, sum(q.share * p.n / 100 * p.share) as n from people p join parts q using (src_id) group by 1, 2),
-long as (select t.id_0 as tgt_id, t.name, c.name as component, trunc(round(coalesce(pair.n, 0), 9))::bigint as pop,
-  trunc(round(coalesce(tot.n, 0), 9))::bigint as "TotalPopulation" from tgt_a t left join tot on tot.tgt_id = t.id_0
+long as (select t.id_0 as tgt_id, t.statefp as state, t.name, c.name as component, trunc(round(coalesce(pair.n, 0), 9))::bigint as pop,
+  trunc(round(coalesce(tot.n, 0), 9))::bigint as "TotalPopulation" from {tgt} t left join tot on tot.tgt_id = t.id_0
   left join pair on pair.tgt_id = t.id_0 left join {comp} c on c.id_0 = pair.c_id)
 {sel}"""
 
@@ -299,6 +309,7 @@ def build() -> dict[str, str]:
       {_OVER} = (b.x1 - b.x0) * (b.y1 - b.y0) as within from src_tracts a join tgt_b b on {_MEET}""")
     add("overlap_area", "select * from ovl", OVL)
     add("overlap_area_triangles", "select * from ovl", OVL)
+    add("overlap_area_dense", "select * from ovl", OVL)
     add("overlap_area_3", f"""select a.i as id_1, a.k as src_id, b.id_0 as id_2, {KM2} * {_OVER} as area from
       (select t.id_0 as i, s.k, greatest(t.x0, s.x0) as x0, least(t.x1, s.x1) as x1, greatest(t.y0, s.y0) as y0, least(t.y1, s.y1) as y1
        from tgt_a t join src_tracts s on t.x0 < s.x1 and s.x0 < t.x1 and t.y0 < s.y1 and s.y0 < t.y1) a join tgt_b b on {_SHARE}""")
@@ -325,10 +336,13 @@ def build() -> dict[str, str]:
       round(round(coalesce(sum(o.area * s."AQM4E002") / sum(o.area), 0), 9), 4) as "AQM4E002" from tgt_b t left join ovl_b o on o.tgt_id = t.id_0
       left join src_tracts s on s.k = o.src_id group by 1""", OVL_B)
     add("one_hot_shares", """select src_id, tgt_id as component, round(round(100 * area / sum(area) over (partition by src_id), 9), 4) as share from ovl_b""", OVL_B)
-    q["population_overlaps"] = _population_overlaps("tgt_b", "select * from long")
+    q["population_overlaps"] = _population_overlaps("tgt_b", "select * exclude (state) from long")
     cells = ", ".join(f"coalesce(sum(case when component = 'R{i}' then pop end), 0)::bigint as \"R{i}\"" for i in range(5))
     q["job_areal_overlaps"] = _population_overlaps("tgt_r", f'select name, "TotalPopulation", {cells} from long group by tgt_id, name, "TotalPopulation"')
 
+    q["job_areal_overlaps_states"] = _population_overlaps(
+        "tgt_an", f'select state, name, "TotalPopulation", {cells} from long group by tgt_id, state, name, "TotalPopulation"', "tgt_bn", SAME_STATE)
+
     add("tile_raster", f"""select t.rid, 'pixels' as filename, (t.c0 * 1000)::double as ulx, (t.r0 * 1000)::double as uly,
       (t.c1 - t.c0)::bigint as cols, (t.r1 - t.r0)::bigint as rows,
       (select string_agg(upper(lpad(to_hex(coalesce(p.cls, 255)), 2, '0')), '' order by g.r, g.c) from
@@ -361,6 +375,7 @@ def build() -> dict[str, str]:
     add("dasymetric_overlap_pairs_v1", f"select {_PAIR_COLS} from pairs", *two)
     add("dasymetric_overlap_pairs_v2", f"select {_PAIR_COLS} from pairs {keep.format(1)} order by name_1", *two)
     add("overlap_matrix", _matrix("tgt_a"), RASTER, _pair_sums("tgt_a", "tgt_r"))
+    add("job_sld_cd_overlaps_states", _matrix("tgt_bn", True), NAMED, RASTER, _pair_sums("tgt_bn", "tgt_an", by_state=True))
     add("job_sld_cd_overlaps", _matrix("tgt_b"), RASTER, _pair_sums("tgt_b", "tgt_r"))
     bands = ", ".join(f"coalesce(sum(case when c.name = 'R{i}' then {KM2} * {_OVER} end), 0) as \"R{i}\"" for i in range(5))
     add("pivot_overlaps", f"select a.id_0 as src_id, {bands} from tgt_b a join (select * from tgt_r) b on {_SHARE} join tgt_r c on c.id_0 = b.id_0 group by 1")

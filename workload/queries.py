@@ -315,6 +315,23 @@ def q_overlap_area(m):
     return m.overlaps
 
 
+def _stepped(m, name, n=24):
+    """The same boxes with ``n`` points on every side: many edges, the same ground."""
+    df = m.flat(name)
+    x0, y0, x1, y1 = (F.col(c) * st.UNIT for c in ("x0", "y0", "x1", "y1"))
+
+    def side(ax, ay, bx, by):
+        return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: point(ax + (bx - ax) * i / n, ay + (by - ay) * i / n))
+
+    ring = F.concat(side(x0, y0, x1, y0), side(x1, y0, x1, y1), side(x1, y1, x0, y1), side(x0, y1, x0, y0), F.array(point(x0, y0)))
+    return with_box(df.withColumn("geom", F.struct(F.lit(0).alias("srid"), F.array(F.array(ring)).alias("polys")).cast(GEOM_TYPE)))
+
+
+@query
+def q_overlap_area_dense(m):
+    return spatial.overlap_area(_stepped(m, "src_tracts"), _stepped(m, "tgt_a", 120), "k", "id_0")
+
+
 def _halved(m, name):
     """Every box as two triangles, which need cuts at a slant."""
     df = m.flat(name)
@@ -664,6 +681,23 @@ def q_job_sld_cd_overlaps(m):
     return jobs.job_sld_cd_overlaps(m.src, m.shapes("tgt_b"), m.shapes("tgt_r"), pop="AQNFE001", names_2=REGIONS, **m.land)
 
 
+def _renamed(m, table, prefix, n):
+    """A map whose names repeat in every state."""
+    return m.shapes(table).withColumn("name", F.concat(F.lit(prefix), (F.col("id_0") % n).cast("string")))
+
+
+@query
+def q_job_sld_cd_overlaps_states(m):
+    return jobs.job_sld_cd_overlaps(m.src, _renamed(m, "tgt_b", "N", 2), _renamed(m, "tgt_a", "R", 5), pop="AQNFE001",
+                                    names_2=REGIONS, state="statefp", **m.land)
+
+
+@query
+def q_job_areal_overlaps_states(m):
+    return jobs.job_areal_overlaps(m.src, _renamed(m, "tgt_a", "R", 5), _renamed(m, "tgt_b", "N", 2), "AQNFE001", REGIONS, "k",
+                                   state="statefp")
+
+
 @query
 def q_job_areal_overlaps(m):
     return jobs.job_areal_overlaps(m.src, m.shapes("tgt_r"), m.shapes("tgt_a"), "AQNFE001", REGIONS, "k")
