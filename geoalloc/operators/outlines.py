@@ -77,15 +77,23 @@ def _holds(ring: np.ndarray, q: np.ndarray) -> bool:
 
 
 def _untangled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Every ring replaced by its loops; a loop inside an odd number of others is a hole."""
+    """Every polygon replaced by the loops of its rings, by even and odd: a loop inside
+    an even number of others is the shell of a part, another a hole of the smallest
+    loop around it."""
     for pdf in batches:
         out = []
         for row in pdf.itertuples(index=False):
-            loops = _loops(np.column_stack([row.xs, row.ys]))
-            depth = [sum(_holds(o, (l[0] + l[1]) / 2) for o in loops if o is not l) for l in loops]
-            for l, k in zip(loops, depth):
-                out.append((row.id, row.poly, row.ring, k % 2, l[:, 0], l[:, 1]))
-        yield pd.DataFrame(out, columns=["id", "poly", "ring", "inner", "xs", "ys"])
+            loops = [l for xs, ys in zip(row.xs, row.ys) for l in _loops(np.column_stack([xs, ys]))]
+            loops.sort(key=lambda l: (*l[0].tolist(), len(l)))
+            around = [[j for j, o in enumerate(loops) if j != i and _holds(o, (l[0] + l[1]) / 2)] for i, l in enumerate(loops)]
+            holes: dict[int, int] = {}
+            for i, (l, outer) in enumerate(zip(loops, around)):
+                part, ring = i, 0
+                if len(outer) % 2:
+                    part = max(outer, key=lambda j: len(around[j]))
+                    ring = holes[part] = holes.get(part, 0) + 1
+                out.append((row.id, row.poly, part, ring, l[:, 0], l[:, 1]))
+        yield pd.DataFrame(out, columns=["id", "poly", "part", "ring", "xs", "ys"])
 
 
 def repair_geometries(shapes: DataFrame, id: str, cell: float | None = None) -> DataFrame:
@@ -105,13 +113,10 @@ def repair_geometries(shapes: DataFrame, id: str, cell: float | None = None) ->
     bad = (left.join(right.hint("merge"), keys).where("k > i + 1 and not (i = 0 and k = n - 1)").where(EDGES_MEET)
            .select(F.col("id").alias(id)).distinct())
     tangled = clean.join(bad, id, "left_semi")
-    text_id = rings(tangled, id).withColumn("id", F.col("id").cast("string"))
-    loops = text_id.mapInPandas(_untangled, "id string, poly int, ring int, inner int, xs array<double>, ys array<double>")
-    # shells of a split ring become polygons of their own, everything else holes of the first
-    n = F.expr("row_number() over (partition by id, poly order by ring, inner, xs[0], ys[0], size(xs))")
-    numbered = loops.withColumn("n", n).selectExpr(
-        "id", "cast(poly as bigint) * 1000000 + if(ring = 0 and inner = 0, n, 1) as poly",
-        "if(ring = 0 and inner = 0, 0, n) as ring", "xs", "ys")
+    whole = tangled.selectExpr(f"cast(`{id}` as string) as id", "posexplode(geom.polys) as (poly, rs)").selectExpr(
+        "id", "poly", "transform(rs, r -> r.x) as xs", "transform(rs, r -> r.y) as ys")
+    loops = whole.mapInPandas(_untangled, "id string, poly int, part int, ring int, xs array<double>, ys array<double>")
+    numbered = loops.selectExpr("id", "struct(poly, part) as poly", "ring", "xs", "ys")
     fixed = _with_rings(tangled.withColumn("__id", F.col(id)).withColumn(id, F.col(id).cast("string")), id, numbered)
     fixed = fixed.drop(id).withColumnRenamed("__id", id).withColumn("repaired", F.lit(True)).select(*clean.columns, "repaired")
     return clean.join(bad, id, "left_anti").withColumn("repaired", F.lit(False)).select(*clean.columns, "repaired").unionByName(fixed)
@@ -131,7 +136,7 @@ def shared_edges(shapes: DataFrame, id: str, quantize: int | None = None) -> Dat
         b = shapes.agg(F.min("xmin").alias("x0"), F.min("ymin").alias("y0"), F.max("xmax").alias("x1"), F.max("ymax").alias("y1")).first()
         for axis in "xy":
             lo, hi = b[f"{axis}0"], b[f"{axis}1"]
-            step = (hi - lo) / (quantize - 1) if hi and hi > lo else 1.0
+            step = (hi - lo) / (quantize - 1) if hi is not None and hi > lo else 1.0
             e = e.withColumns({f"{axis}{k}": F.rint((F.col(f"{axis}{k}") - lo) / step) for k in (1, 2)})
         e = e.where("x1 <> x2 or y1 <> y2")
     flip = "(x1 > x2 or (x1 = x2 and y1 > y2))"
@@ -233,15 +238,12 @@ def to_geojson_features(shapes: DataFrame, maxdec: int = 6, keep: Sequence[str]
     return shapes.select(*keep, text.alias("feature"))
 
 
-def collect_features(features: DataFrame, by: Sequence[str] = (), max_features: int = 100_000) -> DataFrame:
-    """One FeatureCollection document per key (or one in all).
+def collect_features(features: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """One FeatureCollection document per key (or one in all), as a single value.
 
-    A document is a single value, so this is for maps of known small size: more
-    than ``max_features`` in all is an error, not a shortened document. Large
-    maps are written feature by feature instead.
+    For maps that are wanted as a value; ``write_feature_collections`` writes
+    documents of any size without holding one in memory.
     """
-    if features.limit(max_features + 1).count() > max_features:
-        raise ValueError(f"more than {max_features} features; write them line by line instead")
     body = F.concat(F.lit('{"type":"FeatureCollection","features":['),
                     F.array_join(F.sort_array(F.collect_list("feature")), ","), F.lit("]}"))
     return features.groupBy(*by).agg(body.alias("collection"))

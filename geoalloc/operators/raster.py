@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from geoalloc.functions.geometry import BOX, LONLAT, box_area
@@ -28,25 +28,31 @@ def tile_raster(pixels: DataFrame, grid: Grid, filename: str = "pixels", nodata:
     """Pixel rows (``pcol, prow, cls`` and optionally ``filename``) to tiles.
 
     A tile is as wide and high as the pixels it has; gaps are ``nodata``. Groups
-    are bounded by the tile side, never by the data.
+    are bounded by the tile side, never by the data. Tile ids count up from those
+    of the first file by name, so they are unique over all files. A pixel of a
+    file that is given two classes is an error.
     """
     t = grid.tile
     if "filename" not in pixels.columns:
-        pixels = pixels.withColumn("filename", F.lit(filename))
+        pixels = pixels.withColumns({"filename": F.lit(filename), "file_no": F.lit(0).cast("long")})
+    else:  # a row for each file
+        files = pixels.select("filename").distinct().withColumn("file_no", F.row_number().over(Window.orderBy("filename")).cast("long") - 1)
+        pixels = pixels.drop("file_no").join(files, "filename")
     gap = f"{nodata:02X}"
-    keys = ["filename", "ty", "tx"]
-    lines = (pixels.selectExpr("filename", f"floor(prow / {t}) as ty", f"floor(pcol / {t}) as tx",
+    keys = ["filename", "file_no", "ty", "tx"]
+    lines = (pixels.selectExpr("filename", "file_no", f"floor(prow / {t}) as ty", f"floor(pcol / {t}) as tx",
                                f"cast(pmod(prow, {t}) as int) as r", f"cast(pmod(pcol, {t}) as int) as c", "cls")
              .groupBy(*keys, "r").agg(F.expr("sort_array(collect_set(struct(c, cls)))").alias("px"))
              .selectExpr(*keys, "r", "element_at(px, -1).c + 1 as w", f"""
-                 aggregate(px, struct(0 as pos, '' as s), (a, p) -> if(p.c < a.pos, a, struct(p.c + 1 as pos,
+                 aggregate(if(size(array_distinct(px.c)) = size(px), px, raise_error(concat('a pixel of ', filename, ' has two classes'))),
+                     struct(0 as pos, '' as s), (a, p) -> if(p.c < a.pos, a, struct(p.c + 1 as pos,
                      concat(a.s, repeat('{gap}', p.c - a.pos), lpad(hex(p.cls), 2, '0')) as s)),
                      a -> rpad(a.s, {2 * t}, '{gap}')) as s"""))
     return (lines.groupBy(*keys).agg(F.max("w").alias("cols"), F.expr("sort_array(collect_list(struct(r, s)))").alias("ls"))
             .selectExpr(*keys, "cols", f"""
                 aggregate(ls, struct(0 as pos, '' as s), (a, l) -> struct(l.r + 1 as pos, concat(a.s,
                     repeat('{gap}', (l.r - a.pos) * cols), substr(l.s, 1, 2 * cols)) as s)) as t""")
-            .selectExpr("(ty * 4294967296) + tx as rid", "filename", "tx", "ty",
+            .selectExpr("file_no * 4503599627370496 + ty * 4294967296 + tx as rid", "filename", "tx", "ty",
                         f"{grid.x0!r}D + tx * {t} * {grid.px_w!r}D as ulx", f"{grid.y0!r}D + ty * {t} * {grid.px_h!r}D as uly",
                         f"{grid.px_w!r}D as px_w", f"{grid.px_h!r}D as px_h", "cols", "t.pos as rows",
                         f"{nodata} as nodata", "8 as bits", "unhex(t.s) as band"))

@@ -4,26 +4,38 @@ from __future__ import annotations
 
 import struct
 from collections.abc import Iterator, Sequence
+from itertools import zip_longest
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from geoalloc.functions.columns import matching, quoted
 from geoalloc.functions.geometry import GEOM_TYPE, with_box
+from geoalloc.operators.outlines import _holds
 from geoalloc.operators.tables import VOTER_COLUMNS_DROPPED, clean_blocks
 from geoalloc.spec import CENSUS_COLUMNS
 
+MISSING = "missing"
+
+
+def strict(name: str, kind: str):
+    """A text column read as ``kind``: blank is null, anything else that cannot be read an error."""
+    c = f"trim(`{name}`)"
+    return F.expr(f"""case when {c} is null or {c} = '' then null when try_cast({c} as {kind}) is null
+        then raise_error(concat(_metadata.file_path, ', column {name}: cannot read ', `{name}`)) else try_cast({c} as {kind}) end""")
+
 
 def read_wide_csv(spark: SparkSession, path: str | list[str], pattern: str = CENSUS_COLUMNS, key: str = "GISJOIN",
                   keep: Sequence[str] = (), cast: str = "double") -> tuple[DataFrame, list[str]]:
     """Latin-1 CSV with header: key, kept columns and the data columns whose name
-    matches, with the list of the latter. Other columns are not parsed."""
+    matches, with the list of the latter. Other columns are not parsed. A value that
+    is not a number is an error that names the file and the column."""
     raw = spark.read.csv(path, header=True, encoding="ISO-8859-1")
     data = [c for c in matching(raw.columns, pattern) if c not in (key, *keep)]
-    return raw.select(*quoted([key, *keep]), *[F.expr(f"try_cast(`{c}` as {cast})").alias(c) for c in data]), data
+    return raw.select(*quoted([key, *keep]), *[strict(c, cast).alias(c) for c in data]), data
 
 
 def read_state_dictionary(spark: SparkSession, path: str) -> DataFrame:
@@ -52,7 +64,7 @@ def read_voterfile_blocks(spark: SparkSession, folder: str, key: str = "geoid20"
         missing = [c for c in wanted if c not in df.columns]
         if missing:
             raise ValueError(f"{name} lacks columns: {', '.join(missing)}")
-        counts = df.select(key, *[F.expr(f"try_cast(`{c}` as double)").cast("bigint").alias(c) for c in df.columns if c != key])
+        counts = df.select(key, *[strict(c, "double").cast("bigint").alias(c) for c in df.columns if c != key])
         block = clean_blocks(counts, key)
         block = block.select(key, "StateFIPS", "CountyFIPS", "TractId", "BlockId", *quoted(wanted))
         out = block if out is None else out.unionByName(block)
@@ -83,8 +95,14 @@ def read_geojson_shapes(spark: SparkSession, path: str | list[str], properties:
     from 1 in each file, as loaders number them.
     """
     if lines:
-        raw = spark.read.text(path).where("trim(value) <> ''").select(
-            F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("pos"),
+        # numbers inside each block of a file, and how many features stand before the block
+        read = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")).where("trim(value) <> ''")
+        read = read.withColumn("n", F.monotonically_increasing_id())
+        ahead = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+        blocks = read.groupBy("file", "block").agg(F.min("n").alias("first"), F.count("*").alias("many"))
+        blocks = blocks.select("file", "block", "first", F.coalesce(F.sum("many").over(ahead), F.lit(0)).alias("before"))
+        raw = read.join(blocks, ["file", "block"]).select(
+            "file", (F.col("n") - F.col("first") + F.col("before")).alias("pos"),
             F.from_json("value", f"struct<{_feature_schema(properties)}>").alias("f"))
     else:
         raw = spark.read.text(path, wholetext=True).select(
@@ -103,6 +121,7 @@ def _shape_records(data: bytes) -> Iterator[list[list[list[tuple[float, float]]]
         size = struct.unpack(">i", data[at + 4:at + 8])[0] * 2
         kind = struct.unpack("<i", data[at + 8:at + 12])[0]
         polys: list = []
+        holes: list = []
         if kind in (5, 15, 25):
             parts, points = struct.unpack("<2i", data[at + 44:at + 52])
             starts = np.frombuffer(data, "<i4", parts, at + 52).tolist() + [points]
@@ -110,16 +129,20 @@ def _shape_records(data: bytes) -> Iterator[list[list[list[tuple[float, float]]]
             for a, b in zip(starts, starts[1:]):
                 ring = xy[a:b]
                 turn = np.sum(ring[:-1, 0] * ring[1:, 1] - ring[1:, 0] * ring[:-1, 1])
-                # clockwise rings are shells, the others holes of the shell before them
-                if turn <= 0 or not polys:
-                    polys.append([])
-                polys[-1].append([{"x": float(x), "y": float(y)} for x, y in ring])
+                # clockwise rings are shells, the others holes of the smallest shell around them
+                (polys if turn <= 0 else holes).append((abs(turn), ring))
+            shells = sorted(polys, key=lambda p: p[0])
+            inside = {i: [r for _, r in holes if next((k for k, (_, s) in enumerate(shells) if _holds(s, (r[0] + r[1]) / 2)), None) == i] for i in range(len(shells))}
+            lost = [[r] for _, r in holes if not any(r is x for xs in inside.values() for x in xs)]
+            order = {id(r): i for i, (_, r) in enumerate(polys)}
+            polys = [[s, *inside[i]] for i, (_, s) in sorted(enumerate(shells), key=lambda x: order[id(x[1][1])])] + lost
+            polys = [[[{"x": float(x), "y": float(y)} for x, y in r] for r in rings] for rings in polys]
         yield polys
         at += 8 + size
 
 
-def _table_records(data: bytes) -> Iterator[dict[str, str]]:
-    """Text fields of a .dbf file, by column name."""
+def _table_records(data: bytes) -> Iterator[dict[str, str] | None]:
+    """Text fields of a .dbf file, by column name; None for a deleted row."""
     n, head, width = struct.unpack("<IHH", data[4:12])
     fields, at, off = [], 32, 1
     while data[at] != 0x0D:
@@ -129,18 +152,19 @@ def _table_records(data: bytes) -> Iterator[dict[str, str]]:
         at += 32
     for i in range(n):
         row = data[head + i * width:head + (i + 1) * width]
-        yield {name: row[o:o + w].decode("latin-1").strip() for name, o, w in fields}
+        yield None if row[:1] == b"*" else {name: row[o:o + w].decode("latin-1").strip() for name, o, w in fields}
 
 
 def read_shapefile_shapes(spark: SparkSession, folder: str, columns: Sequence[str], srid: int = 4326,
                           id: str = "id_0") -> DataFrame:
     """Polygon shapefiles of a folder: one row per record with the named text
     columns. The two files of a shape set meet by their common name, and sets are
-    parsed in parallel."""
+    parsed in parallel. A file without its partner, or with another number of
+    records, is an error; rows marked as deleted are left out."""
     files = spark.read.format("binaryFile").load(folder).selectExpr(
-        "regexp_replace(path, '[.](shp|dbf)$', '') as file", "lower(regexp_extract(path, '[.](\\\\w+)$', 1)) as kind", "content")
+        "regexp_replace(path, '[.](?i)(shp|dbf)$', '') as file", "lower(regexp_extract(path, '[.](\\\\w+)$', 1)) as kind", "content")
     sets = files.where("kind = 'shp'").selectExpr("file", "content as shp").join(
-        files.where("kind = 'dbf'").selectExpr("file", "content as dbf"), "file")
+        files.where("kind = 'dbf'").selectExpr("file", "content as dbf"), "file", "full")
     schema = (f"{id} bigint, file string, " + "".join(f"`{c}` string, " for c in columns)
               + "polys array<array<array<struct<x:double,y:double>>>>")
 
@@ -148,7 +172,13 @@ def read_shapefile_shapes(spark: SparkSession, folder: str, columns: Sequence[st
         for pdf in batches:
             for row in pdf.itertuples(index=False):
                 batch = []
-                for i, (polys, rec) in enumerate(zip(_shape_records(row.shp), _table_records(row.dbf))):
+                if row.shp is None or row.dbf is None:
+                    raise ValueError(f"{row.file} has no {'.shp' if row.shp is None else '.dbf'} file")
+                for i, (polys, rec) in enumerate(zip_longest(_shape_records(row.shp), _table_records(row.dbf), fillvalue=MISSING)):
+                    if polys is MISSING or rec is MISSING:
+                        raise ValueError(f"{row.file}: the files have different numbers of records")
+                    if rec is None:
+                        continue
                     batch.append((i + 1, row.file, *[rec.get(c) for c in columns], polys))
                     if len(batch) == 2000:
                         yield pd.DataFrame(batch, columns=[id, "file", *columns, "polys"])

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from geoalloc.functions.columns import fixed
@@ -34,6 +33,22 @@ def write_geojson(features: DataFrame, path: str, partition_by: Sequence[str] =
     features.select(*keys, F.col(column).alias("value")).write.mode("overwrite").partitionBy(*keys).text(path)
 
 
+def write_feature_collections(features: DataFrame, path: str, by: str) -> None:
+    """A FeatureCollection file in a folder of its own for each value of ``by``.
+
+    Written line by line from sorted rows: opening, features, end. No document is
+    held in memory, whatever its size.
+    """
+    order = Window.partitionBy(by).orderBy("feature")
+    rows = features.select(by, "feature").withColumn("n", F.row_number().over(order))
+    lines = rows.select(by, F.lit(1).alias("step"), "n", F.concat(F.when(F.col("n") > 1, ",").otherwise(""), "feature").alias("value"))
+    keys = features.select(by).distinct()
+    ends = [keys.select(by, F.lit(step).alias("step"), F.lit(0).alias("n"), F.lit(text).alias("value"))
+            for step, text in ((0, '{"type":"FeatureCollection","features":['), (2, "]}"))]
+    every = lines.unionByName(ends[0]).unionByName(ends[1])
+    every.repartition(by).sortWithinPartitions(by, "step", "n").select(by, "value").write.mode("overwrite").partitionBy(by).text(path)
+
+
 def materialize_table(df: DataFrame, name: str, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = ()) -> DataFrame:
     """Replaces a stored table and returns it read back, its lineage cut.
 
@@ -52,14 +67,12 @@ def stored(df: DataFrame) -> DataFrame:
     """The same rows, computed once and kept in the cluster's checkpoint folder.
 
     For tables that several branches of a plan read. The folder is the one the
-    cluster names in ``spark.checkpoint.dir``; a session without one gets a local
-    folder, which only a local master can use.
+    cluster names in ``spark.checkpoint.dir``; where that is unset, one in the
+    warehouse, which executors share as well.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="geoalloc-checkpoint-"))
+        context.setCheckpointDir(df.sparkSession.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints")
     return df.checkpoint()
 
 

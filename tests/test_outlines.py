@@ -11,6 +11,7 @@ from geoalloc.functions.geometry import (
     EQUAL_AREA, EQUIDISTANT, LONLAT, MERCATOR, geodesic_area, planar_area, project,
 )
 from geoalloc.operators import outlines, spatial
+from geoalloc.sources import writers
 from tests.helpers import area_of, blob, box, closed, shapes
 
 
@@ -116,6 +117,30 @@ def test_geojson_features(spark):
     assert got["m"]["geometry"]["type"] == "MultiPolygon" and got["m"]["properties"] == {"id": "m", "pop": None}
     c = json.loads(outlines.collect_features(f).first()["collection"])
     assert c["type"] == "FeatureCollection" and len(c["features"]) == 2
-    with pytest.raises(ValueError):
-        outlines.collect_features(f, max_features=1)
     assert math.isclose(got["a"]["geometry"]["coordinates"][0][2][1], 1.0)
+
+
+def test_quantized_map_that_ends_at_zero(spark):
+    for shift in (0, -10):
+        m = shapes(spark, [("a", [[box(shift, shift, shift + 10, shift + 10)]]), ("b", [[box(shift, shift, shift + 0.05, shift + 0.04)]])])
+        got = outlines.shared_edges(m, "id", quantize=101).agg(F.max("bx"), F.max("by")).first()
+        assert tuple(got) == (100.0, 100.0)
+
+
+def test_holes_of_a_split_ring_stay_in_their_part(spark):
+    bow = closed([(0, 0), (8, 8), (8, 0), (0, 8)])  # two triangles that meet at (4, 4)
+    m = shapes(spark, [("bow", [[bow, box(0.5, 3.5, 1.5, 4.5), box(6.5, 3.5, 7.5, 4.5)]])])
+    polys = outlines.repair_geometries(m, "id").first().geom.polys
+    assert len(polys) == 2 and all(len(rings) == 2 for rings in polys)
+    for shell, hole in polys:
+        assert min(p.x for p in shell) <= min(p.x for p in hole) and max(p.x for p in hole) <= max(p.x for p in shell)
+
+
+def test_collections_are_written_whole(spark, tmp_path):
+    features = spark.createDataFrame([(i % 2, json.dumps({"type": "Feature", "n": i})) for i in range(51)], "state int, feature string")
+    writers.write_feature_collections(features, str(tmp_path / "out"), "state")
+    for state in (0, 1):
+        files = [f for f in (tmp_path / "out" / f"state={state}").iterdir() if f.suffix == ".txt"]
+        assert len(files) == 1
+        found = json.loads(files[0].read_text())
+        assert found["type"] == "FeatureCollection" and sorted(f["n"] for f in found["features"]) == list(range(state, 51, 2))

@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 from geoalloc.functions import columns as cols
 from geoalloc.functions import measures as ms
 from geoalloc.functions.geometry import planar_area
-from geoalloc.operators import tables
+from geoalloc.operators import areal, raster, tables
 from geoalloc.plans.jobs import job_voterfile_tracts, run_if_stale
 from geoalloc.sources import readers, writers
-from geoalloc.spec import InterpolationSpec
+from geoalloc.spec import Grid, InterpolationSpec
 from tests.helpers import box, shapes
 
 SPEC = InterpolationSpec.for_vintage(2022)
+GRID = Grid(0.0, 0.0, 1.0, 1.0, tile=8)
 
 
 def test_three_ways_to_match(spark):
@@ -208,3 +209,65 @@ def test_placeholders_and_prefixes(spark):
     assert tables.prefix_match(df, "d", "0").count() == 1
     s = shapes(spark, [("a", [[box(0, 0, 1, 1)]])])
     assert tables.filter_excluded_ids(s, "id", ["a"]).count() == 0
+
+
+def test_feature_numbers_over_files_and_blocks(spark, tmp_path):
+    for name in ("a", "b"):
+        lines = [json.dumps({"type": "Feature", "geometry": {"type": "Polygon", "coordinates": [box(0, 0, 1, 1)]}, "properties": {"n": i}}) for i in range(400)]
+        (tmp_path / f"{name}.jsonl").write_text("\n\n".join(lines))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        got = readers.read_geojson_shapes(spark, str(tmp_path), "n:int", lines=True).select("file", "id_0", "n").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(got) == 800 and all(r.id_0 == r.n + 1 for r in got)
+
+
+def test_unreadable_values_are_errors(spark, tmp_path):
+    (tmp_path / "wide.csv").write_text('GISJOIN,AQNFE001\nG1,"1,234"\nG2,\n')
+    df, _ = readers.read_wide_csv(spark, str(tmp_path / "wide.csv"))
+    with pytest.raises(Exception, match="wide.csv, column AQNFE001"):
+        df.collect()
+    (tmp_path / "fine.csv").write_text("GISJOIN,AQNFE001\nG1, 12 \nG2,\n")
+    df, _ = readers.read_wide_csv(spark, str(tmp_path / "fine.csv"))
+    assert [tuple(r) for r in df.orderBy("GISJOIN").collect()] == [("G1", 12.0), ("G2", None)]
+
+
+def test_shapefile_pairs(spark, tmp_path):
+    square = [list(reversed(box(0, 0, 1, 1)))]
+    _shapefile(tmp_path / "UP", [square, square])
+    (tmp_path / "UP.shp").rename(tmp_path / "UP.SHP")
+    (tmp_path / "UP.dbf").rename(tmp_path / "UP.DBF")
+    raw = bytearray((tmp_path / "UP.DBF").read_bytes())
+    raw[raw.index(b"G0") - 1] = ord("*")  # deleted
+    (tmp_path / "UP.DBF").write_bytes(raw)
+    got = readers.read_shapefile_shapes(spark, str(tmp_path), ["GISJOIN"])
+    assert [(r.GISJOIN, r.id_0) for r in got.collect()] == [("G1", 2)]
+    (tmp_path / "alone.shp").write_bytes((tmp_path / "UP.SHP").read_bytes())
+    with pytest.raises(Exception, match="no .dbf"):
+        readers.read_shapefile_shapes(spark, str(tmp_path), ["GISJOIN"]).collect()
+
+
+def test_holes_belong_to_the_shell_around_them(spark, tmp_path):
+    far, near = list(reversed(box(10, 10, 14, 14))), list(reversed(box(0, 0, 4, 4)))
+    _shapefile(tmp_path / "two", [[near, far, box(1, 1, 2, 2)]])
+    geom = readers.read_shapefile_shapes(spark, str(tmp_path), ["GISJOIN"]).first().geom
+    assert [len(p) for p in geom.polys] == [2, 1] and geom.polys[0][0][0].x < 5
+
+
+def test_nine_hundred_columns_in_one_pair_join(spark):
+    src = shapes(spark, [("s", [[box(0, 0, 2, 2)]]), ("t", [[box(2, 0, 4, 2)]])]).withColumns({f"c{i}": F.lit(float(i)) for i in range(900)})
+    tgt = shapes(spark, [("a", [[box(1, 0, 4, 2)]])])
+    out = areal.areal_interpolate_extensive(src, tgt, [f"c{i}" for i in range(900)], "id", "id", allocate_total=False)
+    row = out.first()
+    assert row["c0"] == 0.0 and row["c899"] == 899 * 1.5
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("r_xa") < 200
+
+
+def test_tiles_of_two_files(spark):
+    rows = [("x", 0, 0, 21), ("x", 17, 0, 11), ("y", 0, 0, 24)]
+    tiles = raster.tile_raster(spark.createDataFrame(rows, "filename string, pcol long, prow long, cls int"), GRID)
+    assert tiles.count() == tiles.select("rid").distinct().count() == 3
+    twice = spark.createDataFrame([("x", 0, 0, 82), ("x", 0, 0, 11)], "filename string, pcol long, prow long, cls int")
+    with pytest.raises(Exception, match="two classes"):
+        raster.tile_raster(twice, GRID).collect()

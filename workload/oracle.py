@@ -291,8 +291,8 @@ def build() -> dict[str, str]:
     add("join_shapes_with_data", """select 'G' || k as "GISJOIN", "AQM4E002", 16::double as km2 from src_tracts where k % 10 <> 3""")
     add("build_data_geometries", """select "GISJOIN" as gisjoin, s.geoid, s.statefp::bigint as statefp, h."AQM4E002", h."AQPZE003", h."AQNFE001",
       h."AQRAE001", 16::double as km2 from half h join src_tracts s on 'G' || s.k = h."GISJOIN" """, f"half as ({HALF})")
-    add("job_build_data_geometries", """select "GISJOIN" as gisjoin, s.geoid, h."AQM4E002", h."AQNFE001"
-      from half h join src_tracts s on 'G' || s.k = h."GISJOIN" where h."AQM4E002" is null or h."AQNFE001" > 0""", f"half as ({HALF})")
+    add("job_build_data_geometries", """select "GISJOIN" as gisjoin, s.geoid, h."AQM4E002", h."AQPZE003", h."AQNFE001", h."AQRAE001"
+      from half h join src_tracts s on 'G' || s.k = h."GISJOIN" """, f"half as ({HALF})")
     add("join_states", 'select geoid, "StateAbbreviation", "OneDistrict" from src_tracts join states on "StateFIPS" = statefp')
     add("join_back_measures", 'select src_id, tgt_id, area, s."AQNFE001" from ovl join src_tracts s on s.k = src_id', OVL)
     add("positional_concat", """select t.id_0, t.name, round(round(coalesce(sum(a.share * s."AQM4E002"), 0), 9), 4) as "AQM4E002" from tgt_a t

@@ -722,7 +722,7 @@ def q_job_voterfile_tracts(m):
 def q_job_build_data_geometries(m):
     shapes = m.src.select(F.concat(F.lit("G"), F.col("k").cast("string")).alias("gisjoin"), "geoid", "geom", "statefp")
     out = jobs.job_build_data_geometries(shapes, list(_half_tables(m)))
-    return out.where("AQM4E002 is null or AQNFE001 > 0").select("gisjoin", "geoid", "AQM4E002", "AQNFE001")
+    return out.select("gisjoin", "geoid", "AQM4E002", "AQPZE003", "AQNFE001", "AQRAE001")
 
 
 @query
