@@ -6,8 +6,9 @@ those prefixes selective. The join runs in four steps:
 
 1. ``shingle_sets``: size and signature of every document's set. Equal sets form one class.
 2. ``shared_tokens``: tokens go, packed by hash range, to the tasks that count in how many
-   classes each occurs. Tokens of one class only can never match; the others return, packed
-   by class. A class can have a partner only if enough of its tokens are shared.
+   classes each occurs (up to 256). Tokens of one class only can never match; the others
+   return, packed by class. Tokens that are frequent in one task already skip the count. A
+   class can have a partner only if enough of its tokens are shared.
 3. ``near_pairs``: for each of three orders (rare first, ties by different hashes) the
    remaining prefix tokens meet in buckets, which are dealt out in blocks where they are
    large. A position bound prunes there. Surviving pairs are packed by pairs of home blocks.
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 from geoalloc.llm.common import Forest, U, WordHashes, components, mix, shingles, stored
 
 ORDERS = 3
-BATCH, FLUSH, BLOCK, HOME = 512, 1_500_000, 512, 256
+BATCH, FLUSH, BLOCK, HOME, HOT = 512, 1_500_000, 512, 256, 256
 SIDE = 7  # bytes of a token below its hash range
 
 
@@ -77,31 +78,88 @@ def pack_by(group: np.ndarray, n_groups: int, width_counts: np.ndarray) -> tuple
     return order, items, values
 
 
-PACKED = "bucket int, hi binary, lo binary, n binary, counts binary, tokens binary"
+PACKED = "bucket int, direct boolean, hi binary, lo binary, n binary, counts binary, tokens binary, dfs binary"
 
 
-def _send(sets: list[np.ndarray], marks: list[tuple[int, int]], parts: int) -> pa.RecordBatch:
-    """Token sets of distinct classes, packed by hash range of the tokens."""
+def bucket_of(tokens: np.ndarray, parts: int) -> np.ndarray:
+    """The hash range of each token; rising with the token."""
+    return ((tokens >> U(40)) * U(parts) >> U(24)).astype(np.int64)
+
+
+def wide(low: np.ndarray, bucket) -> np.ndarray:
+    """Tokens from what is left of them below their range; those of different ranges stay apart."""
+    return mix(low, 0) ^ mix(np.atleast_1d(np.asarray(bucket)).astype(U), 1)
+
+
+def packed(group: np.ndarray, marks: np.ndarray, sizes: np.ndarray, counts: np.ndarray, starts: np.ndarray, values: np.ndarray, dfs: np.ndarray | None, parts: int, direct: bool) -> pa.RecordBatch:
+    """A row for each group: classes of its entries, and each entry's run of values."""
+    order, items, bounds = pack_by(group, parts, counts)
+    at = np.repeat(starts[order], counts[order]) + ragged(counts[order])
+    some = np.flatnonzero(np.diff(items))
+    columns = [cut(x, items) for x in (marks["hi"][order], marks["lo"][order], sizes[order].astype("<u4"), counts[order].astype("<u4"))]
+    columns += [cut(values[at], bounds), cut(dfs[at], bounds) if dfs is not None else None]
+    return pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array([direct] * len(some), pa.bool_()),
+                                       *(pa.array([x[i] for i in some] if x is not None else [None] * len(some), pa.binary()) for x in columns)], NAMES)
+
+
+NAMES = [c.split()[0] for c in PACKED.split(", ")]
+MARK = np.dtype([("hi", "<u8"), ("lo", "<u4")])
+
+
+def entries_of(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Marks, set sizes and run lengths of the packed rows."""
+    hi, lo, n, counts = (joined(table, c, t) for c, t in (("hi", "<u8"), ("lo", "<u4"), ("n", "<u4"), ("counts", "<u4")))
+    marks = np.empty(len(hi), MARK)
+    marks["hi"], marks["lo"] = hi, lo
+    return marks, n, counts.astype(np.int64)
+
+
+def class_bucket(marks: np.ndarray, parts: int) -> np.ndarray:
+    return ((marks["hi"] >> U(32)) * U(parts) >> U(32)).astype(np.int64)
+
+
+def _send(sets: list[np.ndarray], pairs: list[tuple[int, int]], parts: int) -> Iterator[pa.RecordBatch]:
+    """Token sets of distinct classes, packed by hash range of the tokens.
+
+    A token that many of these classes hold is shared without counting: it goes straight to
+    its classes, and the count gets one entry for all of them (a class of none, size 0).
+    """
     sizes = np.array([len(s) for s in sets])
+    marks = np.empty(len(sets), MARK)
+    marks["hi"], marks["lo"] = [p[0] for p in pairs], [p[1] & 0xFFFFFFFF for p in pairs]
     tokens, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
-    bucket = ((tokens >> U(40)) * U(parts) >> U(24)).astype(np.int32) if parts > 1 else np.zeros(len(tokens), np.int32)
-    entry = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (bucket[1:] != bucket[:-1])]))  # sets are sorted, so a bucket's tokens stand together
-    counts = np.diff(np.append(entry, len(tokens)))
-    order, items, values = pack_by(bucket[entry], parts, counts)
-    at = np.repeat(entry[order], counts[order]) + ragged(counts[order])
-    low = tokens.view(np.uint8).reshape(-1, 8)[at, :SIDE]
-    marks, own = np.array(marks, U), owner[entry[order]]
-    some = np.flatnonzero(np.diff(items))
-    pick = lambda xs: [xs[i] for i in some]
-    return pa.RecordBatch.from_arrays([
-        pa.array(some.astype(np.int32)), *(pa.array(pick(cut(x, items)), pa.binary()) for x in (marks[own, 0], marks[own, 1].astype("<u4"), sizes[own].astype("<u4"), counts[order].astype("<u4"))),
-        pa.array(pick(cut(low, values)), pa.binary())], PACKED.replace(" int", "").replace(" binary", "").split(", "))
+    _, inverse, seen = np.unique(tokens, return_inverse=True, return_counts=True)
+    hot = (seen >= HOT)[inverse]
+
+    def runs_of(owners, groups):
+        edge = np.flatnonzero(np.concatenate([[True], (owners[1:] != owners[:-1]) | (groups[1:] != groups[:-1])]))
+        return edge, np.diff(np.append(edge, len(owners)))
+
+    def lows(x):
+        return x.view(np.uint8).reshape(-1, 8)[:, :SIDE]
+
+    cold, bucket = tokens[~hot], bucket_of(tokens[~hot], parts)
+    if len(cold):  # sets are sorted, so the tokens of a range stand together
+        edge, counts = runs_of(owner[~hot], bucket)
+        own = owner[~hot][edge]
+        yield packed(bucket[edge], marks[own], sizes[own], counts, edge, lows(cold), None, parts, False)
+    if hot.any():
+        known = np.unique(tokens[hot])
+        ranges = bucket_of(known, parts)
+        edge, counts = runs_of(np.zeros(len(known), int), ranges)
+        yield packed(ranges[edge], np.zeros(len(edge), MARK), np.zeros(len(edge), int), counts, edge, lows(known), None, parts, False)
+        full = wide(tokens[hot] & U((1 << 8 * SIDE) - 1), bucket_of(tokens[hot], parts))
+        edge, counts = runs_of(owner[hot], np.zeros(hot.sum(), int))
+        own = owner[hot][edge]
+        yield packed(class_bucket(marks[own], parts), marks[own], sizes[own], counts, edge, full, np.full(len(full), HOT, "<u4"), parts, True)
 
 
 def shared_tokens(docs: DataFrame, sets: DataFrame, k: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``hi, lo, n, tokens, dfs``: classes that may have a partner, with their shared tokens, stored.
 
-    ``tokens`` ascend; ``dfs`` are the numbers of classes that hold each.
+    ``tokens`` ascend; ``dfs`` are the numbers of classes that hold each, ``HOT`` standing for
+    that many and more. That is all the orders need, and it lets a task tell the holders of a
+    frequent token right away, so no task gathers all of them.
     """
     total = sets.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     parts = int(max(int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // FLUSH + 1))
@@ -116,55 +174,48 @@ def shared_tokens(docs: DataFrame, sets: DataFrame, k: int, percent: int, id_col
                         kept[mark] = s
                         held += len(s)
                     if held >= FLUSH:
-                        yield _send([*kept.values()], [*kept], parts)
+                        yield from _send([*kept.values()], [*kept], parts)
                         kept, held = {}, 0
         if kept:
-            yield _send([*kept.values()], [*kept], parts)
+            yield from _send([*kept.values()], [*kept], parts)
 
     def count(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        hi, lo, n, counts = (joined(table, c, t) for c, t in (("hi", "<u8"), ("lo", "<u4"), ("n", "<u4"), ("counts", "<u4")))
-        low = joined(table, "tokens", np.uint8).reshape(-1, SIDE)
-        tokens = np.zeros((len(low), 8), np.uint8)
-        tokens[:, :SIDE] = low
-        tokens = tokens.view("<u8").ravel()
-        both = np.empty(len(hi), [("hi", "<u8"), ("lo", "<u4")])
-        both["hi"], both["lo"] = hi, lo
-        first = np.zeros(len(hi), bool)
-        first[np.unique(both, return_index=True)[1]] = True  # a class that several tasks sent counts once
+        straight = table["direct"].to_numpy(zero_copy_only=False)
+        through, table = table.filter(pa.array(straight)), table.filter(pa.array(~straight))
+        marks, n, counts = entries_of(table)
+        low = np.zeros((counts.sum(), 8), np.uint8)
+        low[:, :SIDE] = joined(table, "tokens", np.uint8).reshape(-1, SIDE)
+        tokens = low.view("<u8").ravel()
+        first = n == 0  # an entry for many classes stays; a class that several tasks sent counts once
+        first[np.unique(marks, return_index=True)[1]] = True
         tokens, entry = tokens[np.repeat(first, counts)], np.repeat(np.flatnonzero(first), counts[first])
-        _, inverse, df = np.unique(tokens, return_inverse=True, return_counts=True)
-        df = df[inverse]
-        tokens, entry, df = tokens[df > 1], entry[df > 1], df[df > 1].astype("<u4")
-        wide = mix(tokens, 1 + key[0].as_py())  # tokens of different ranges stay apart
-        shared = np.bincount(entry, minlength=len(hi))
-        entries = np.flatnonzero(shared)
-        group = (hi[entries] >> U(32)).astype(np.int64) * parts >> 32
-        order, items, values = pack_by(group, parts, shared[entries])
-        starts = (np.cumsum(shared) - shared)[entries]
-        at = np.repeat(starts[order], shared[entries][order]) + ragged(shared[entries][order])
-        own, some = entries[order], np.flatnonzero(np.diff(items))
-        pick = lambda xs: pa.array([xs[i] for i in some], pa.binary())
-        return pa.table({"bucket": pa.array(some.astype(np.int32)), "hi": pick(cut(hi[own], items)), "lo": pick(cut(lo[own], items)), "n": pick(cut(n[own], items)),
-                         "counts": pick(cut(shared[own].astype("<u4"), items)), "tokens": pick(cut(wide[at], values)), "dfs": pick(cut(df[at], values))})
+        _, inverse = np.unique(tokens, return_inverse=True)
+        df = np.minimum(np.bincount(inverse, weights=np.where(n[entry] == 0, HOT, 1)), HOT).astype("<u4")[inverse]
+        keep = (df > 1) & (n[entry] > 0)
+        full, entry, df = wide(tokens[keep], key[0].as_py()), entry[keep], df[keep]
+        own, counts = np.unique(entry, return_counts=True)
+        out = packed(class_bucket(marks[own], parts), marks[own], n[own], counts, np.cumsum(counts) - counts, full, df, parts, False)
+        return pa.concat_tables([pa.Table.from_batches([out]), through.select(NAMES)])
 
     def gather(table: pa.Table) -> pa.Table:
-        hi, lo, n, counts = (joined(table, c, t) for c, t in (("hi", "<u8"), ("lo", "<u4"), ("n", "<u4"), ("counts", "<u4")))
+        marks, n, counts = entries_of(table)
         tokens, dfs = joined(table, "tokens", "<u8"), joined(table, "dfs", "<u4")
-        both = np.empty(len(hi), [("hi", "<u8"), ("lo", "<u4")])
-        both["hi"], both["lo"] = hi, lo
-        classes, at, inverse = np.unique(both, return_index=True, return_inverse=True)
-        shared = np.bincount(inverse, weights=counts, minlength=len(classes)).astype(np.int64)
-        may = 100 * shared >= percent * n[at].astype(np.int64)
+        classes, at, inverse = np.unique(marks, return_index=True, return_inverse=True)
         inverse = np.repeat(inverse, counts)
-        tokens, dfs, inverse = tokens[may[inverse]], dfs[may[inverse]], inverse[may[inverse]]
         order = np.lexsort((tokens, inverse))
+        tokens, dfs, inverse = tokens[order], dfs[order], inverse[order]
+        fresh = np.concatenate([[True], (inverse[1:] != inverse[:-1]) | (tokens[1:] != tokens[:-1])])[: len(tokens)]  # told by several tasks
+        tokens, dfs, inverse = tokens[fresh], dfs[fresh], inverse[fresh]
+        shared = np.bincount(inverse, minlength=len(classes))
+        may = 100 * shared >= percent * n[at].astype(np.int64)
+        tokens, dfs = tokens[may[inverse]], dfs[may[inverse]]
         bounds = np.concatenate([[0], np.cumsum(shared[may])])
         return pa.table({"hi": pa.array(classes["hi"][may].view("<i8")), "lo": pa.array(classes["lo"][may].astype(np.int64)), "n": pa.array(n[at][may].astype(np.int64)),
-                         "tokens": pa.array(cut(tokens[order], bounds), pa.binary()), "dfs": pa.array(cut(dfs[order], bounds), pa.binary())})
+                         "tokens": pa.array(cut(tokens, bounds), pa.binary()), "dfs": pa.array(cut(dfs, bounds), pa.binary())})
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null").select("text")
     sent = rows.mapInArrow(send, PACKED)
-    back = sent.repartition(parts, "bucket").groupBy("bucket").applyInArrow(count, PACKED + ", dfs binary")
+    back = sent.repartition(parts, "bucket").groupBy("bucket").applyInArrow(count, PACKED)
     return stored(back.repartition(parts, "bucket").groupBy("bucket").applyInArrow(gather, "hi long, lo long, n long, tokens binary, dfs binary"))
 
 
@@ -336,7 +387,7 @@ def jaccard_join(docs: DataFrame, k: int, percent: int, id_col: str = "doc_id",
     """
     sets = shingle_sets(docs, k, id_col, text_col)
     named = sets.where("id is not null and n > 0")
-    reps = named.groupBy("hi", "lo").agg(F.min("id").alias("class_id"))
+    reps = stored(named.groupBy("hi", "lo").agg(F.min("id").alias("class_id")))  # apart, so that the join below can split a class of many copies
     sets = stored(sets.join(reps, ["hi", "lo"], "left").withColumn("class_id", F.when(F.col("id").isNotNull(), F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("id")))))
     may = shared_tokens(docs, sets, k, percent, id_col, text_col)
     keys = sets.where("id = class_id and n > 0").select("hi", F.col("lo").bitwiseAND(F.lit(0xFFFFFFFF)).alias("lo"), F.col("class_id").alias("id")).distinct()
