@@ -1,8 +1,9 @@
 """Licence scan: TF-IDF cosine of lines to licence templates, then inheritance by directory.
 
-Templates are a short fixed list; term weights come from it. A line can reach the threshold
-only if it holds one of a template's heaviest terms (what is left of the template is shorter
-than the threshold), so only such lines are split into terms. A file has the licence of its
+Templates are a short fixed list; term weights come from it, and common words have none. A
+line can reach the threshold only if it holds one of a template's heaviest terms (what is left of the template is shorter
+than the threshold), and if its other words do not outweigh the known ones; only such lines
+are exploded. A file has the licence of its
 best line. If that is its last line the file is a licence file, which speaks for its folder;
 a file without a licence takes that of the nearest folder above it, found by joining every
 folder's ancestors. All of it is native expressions.
@@ -12,7 +13,6 @@ from __future__ import annotations
 
 import math
 import re
-import string
 from collections import Counter
 
 from pyspark.sql import Column, DataFrame
@@ -30,13 +30,19 @@ TEMPLATES = (
     ("MPL-2.0", "Subject to the terms of the Mozilla Public License, v. 2.0."),
     ("proprietary", "All rights reserved."),
 )
+#: Words without weight.
+STOP = "a all and are as at be by for from in is it of on or that the this to under use was with".split()
 LEAST = 0.7
 TERM = "[a-z0-9]+"
 
 
+def terms_of(text: str) -> Counter:
+    return Counter(t for t in re.findall(TERM, text.lower()) if t not in STOP)
+
+
 def template_weights(templates=TEMPLATES) -> tuple[dict[str, float], dict[str, dict[str, float]]]:
     """Inverse frequencies of terms among the templates, and each template's vector of length one."""
-    terms = {name: Counter(re.findall(TERM, text.lower())) for name, text in templates}
+    terms = {name: terms_of(text) for name, text in templates}
     among = Counter(t for c in terms.values() for t in c)
     idf = {t: math.log((1 + len(terms)) / (1 + n)) + 1 for t, n in among.items()}
     vectors = {}
@@ -48,11 +54,14 @@ def template_weights(templates=TEMPLATES) -> tuple[dict[str, float], dict[str, d
 
 
 def anchors(vectors: dict[str, dict[str, float]], least: float) -> list[str]:
-    """Terms of which every line at the threshold holds one: without them no template reaches it."""
+    """Terms of which every line at the threshold holds one: without them no template reaches it.
+
+    Long terms come first, as they are rarer in ordinary text.
+    """
     out = set()
     for vector in vectors.values():
         rest = 1.0
-        for term, weight in sorted(vector.items(), key=lambda x: (-x[1], x[0])):
+        for term, weight in sorted(vector.items(), key=lambda x: (len(x[0]) < 4, -x[1], x[0])):
             if rest < least * least * 0.999:
                 break
             out.add(term)
@@ -60,23 +69,26 @@ def anchors(vectors: dict[str, dict[str, float]], least: float) -> list[str]:
     return sorted(out)
 
 
-def lower(text: Column) -> Column:
-    return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
-
-
 def own_licences(files: DataFrame, templates=TEMPLATES, least: float = LEAST) -> DataFrame:
     """``path, licence, score, last``: each path's best line at the threshold, and whether it is the last line.
 
     Ties go to the earlier line, then to the smaller licence name.
     """
     idf, vectors = template_weights(templates)
-    some = "(^|[^a-z0-9])(" + "|".join(anchors(vectors, least)) + ")([^a-z0-9]|$)"
+    some = F.lit("(?<![a-z0-9])(?:" + "|".join(anchors(vectors, least)) + ")(?![a-z0-9])")
     spark, unknown = files.sparkSession, math.log(1 + len(templates)) + 1
     terms = F.broadcast(spark.createDataFrame([(t, w) for t, w in idf.items()], "term string, idf double"))
     weights = F.broadcast(spark.createDataFrame([(t, n, w) for n, v in vectors.items() for t, w in v.items()], "term string, licence string, weight double"))
-    texts = files.select("path", lower(F.col("text").cast("string")).alias("text")).where(F.rlike("text", F.lit(some)))
-    lines = texts.withColumn("lines", F.split("text", "\n")).select("path", F.size("lines").alias("count"), F.posexplode("lines").alias("line", "text")).where(F.rlike("text", F.lit(some)))
-    words = lines.select("path", "line", "count", F.explode(F.regexp_extract_all("text", F.lit(TERM), F.lit(0))).alias("term"))
+    texts = files.select("path", F.lower(F.col("text").cast("string")).alias("text")).where(F.rlike("text", some))
+    lines = texts.withColumn("lines", F.split("text", "\n")).select("path", F.size("lines").alias("count"), F.posexplode("lines").alias("line", "text")).where(F.rlike("text", some))
+    lines = lines.select("path", "line", "count", F.filter(F.regexp_extract_all("text", F.lit(TERM), F.lit(0)), lambda t: ~t.isin(STOP)).alias("terms"))
+    # the cosine is at most that of the known part of a line to the whole of it
+    weight_of = F.create_map(*(F.lit(x) for pair in idf.items() for x in pair))
+    known = F.filter("terms", lambda t: t.isin(list(idf)))
+    matched = F.aggregate(F.array_distinct(known), F.lit(0.0), lambda a, t: a + F.pow(F.size(F.filter(known, lambda x: x == t)) * weight_of[t], 2.0))
+    others = F.size(F.array_distinct(F.filter("terms", lambda t: ~t.isin(list(idf)))))
+    lines = lines.where(others * unknown**2 * least**2 <= matched * (1 - least**2) * 1.001)
+    words = lines.select("path", "line", "count", F.explode("terms").alias("term"))
     counted = words.groupBy("path", "line", "count", "term").agg(F.count("*").alias("times"))
     weighed = counted.join(terms, "term", "left").withColumn("own", F.col("times") * F.coalesce("idf", F.lit(unknown)))
     lengths = weighed.groupBy("path", "line", "count").agg(F.sqrt(F.sum(F.col("own") ** 2)).alias("length"))
@@ -125,11 +137,12 @@ def op3_licences(spark, sf_dir: str) -> DataFrame:
     return scan(files.select("path", "text")).withColumn("doc_id", F.element_at(F.split("path", "/"), -1).cast("long"))
 
 
+_STOP = ", ".join(f"'{t}'" for t in STOP)
 _VALUES = ", ".join("('{}', '{}')".format(*x) for x in TEMPLATES)
 SQL = f"""
 with recursive templates(licence, notice) as (values {_VALUES}),
 template_terms as (
-  select licence, term, count(*) as times from (select licence, unnest(regexp_extract_all(lower(notice), '[a-z0-9]+')) as term from templates) group by all),
+  select licence, term, count(*) as times from (select licence, unnest(regexp_extract_all(lower(notice), '[a-z0-9]+')) as term from templates) where term not in ({_STOP}) group by all),
 idf as (select term, ln((1.0 + (select count(*) from templates)) / (1 + count(*))) + 1 as idf from template_terms group by term),
 raw as (select licence, term, times * idf as w from template_terms join idf using (term)),
 weights as (select licence, term, w / sqrt(sum(w * w) over (partition by licence)) as weight from raw),
@@ -138,9 +151,9 @@ files as (
     then '' else '/' || (doc_id // 100) end as folder from documents),
 lines as (
   select doc_id, len(ls) as n, generate_subscripts(ls, 1) as line, unnest(ls) as line_text
-  from (select doc_id, string_split(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), chr(10)) as ls from files)
+  from (select doc_id, string_split(lower(text), chr(10)) as ls from files)
   where len(list_filter(ls, lambda x: regexp_matches(x, 'licen|rights|redistribution|released|subject|permitted'))) > 0),
-terms as (select doc_id, n, line, term, count(*) as times from (select doc_id, n, line, unnest(regexp_extract_all(line_text, '[a-z0-9]+')) as term from lines) group by all),
+terms as (select doc_id, n, line, term, count(*) as times from (select doc_id, n, line, unnest(regexp_extract_all(line_text, '[a-z0-9]+')) as term from lines) where term not in ({_STOP}) group by all),
 weighed as (select terms.*, times * coalesce(idf, ln(1.0 + (select count(*) from templates)) + 1) as own from terms left join idf using (term)),
 lengths as (select doc_id, line, n, sqrt(sum(own * own)) as length from weighed group by all),
 scored as (
