@@ -93,15 +93,13 @@ def link(messages: DataFrame, id_col: Column, text_col: Column, sent_col: Column
     best = best.select(F.col("scope").alias("in"), F.col("id").alias("reply"), F.col("best.first.id").alias("parent"), F.col("best.level").alias("level"))
     found = texts.join(best, F.col("scope").eqNullSafe(F.col("in")) & (F.col("id") == F.col("reply")), "left")
     found = stored(found.select("scope", "sent", "id", "own", "parent", "level"))
-    # steps from each reply double in length until all end at roots
-    steps = stored(found.where("parent is not null").select("scope", "id", F.col("parent").alias("up"), F.lit(1).cast("long").alias("depth")))
-    while True:
-        further = steps.select(F.col("scope").alias("in"), F.col("id").alias("at"), F.col("up").alias("next"), F.col("depth").alias("more"))
-        joined = steps.join(further, F.col("scope").eqNullSafe(F.col("in")) & (F.col("up") == F.col("at")), "left")
-        steps = stored(joined.select("scope", "id", F.coalesce("next", "up").alias("up"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"), F.col("next").isNotNull().alias("moved")))
-        if steps.where("moved").isEmpty():
-            break
-        steps = steps.drop("moved")
+    # steps from each reply double in length until they end at a root; those that do rest
+    steps = stored(found.where("parent is not null").select("scope", "id", F.col("parent").alias("up"), F.lit(1).cast("long").alias("depth"), F.lit(True).alias("open")))
+    while not steps.where("open").isEmpty():
+        further = steps.select(F.col("scope").alias("in"), F.col("id").alias("at"), F.col("up").alias("next"), F.col("depth").alias("more"), F.col("open").alias("on"))
+        joined = steps.where("open").join(further, F.col("scope").eqNullSafe(F.col("in")) & (F.col("up") == F.col("at")), "left")
+        moved = joined.select("scope", "id", F.coalesce("next", "up").alias("up"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"), F.coalesce("on", F.lit(False)).alias("open"))
+        steps = stored(steps.where("not open").unionByName(moved))
     ends = steps.select(F.col("scope").alias("in"), F.col("id").alias("at"), F.col("up").alias("root"), "depth")
     out = found.join(ends, F.col("scope").eqNullSafe(F.col("in")) & (F.col("id") == F.col("at")), "left")
     sent = F.when(F.col("sent") > -(2**63), F.col("sent"))
