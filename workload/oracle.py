@@ -411,6 +411,16 @@ def build() -> dict[str, str]:
     e = 'select k, {0} * 1000::DOUBLE as ax, {1} * 1000::DOUBLE as ay, {2} * 1000::DOUBLE as bx, {3} * 1000::DOUBLE as "by" from src_tracts'
     sides = [e.format(*c) for c in (("x0", "y0", "x1", "y0"), ("x0", "y1", "x1", "y1"), ("x0", "y0", "x0", "y1"), ("x1", "y0", "x1", "y1"))]
     add("shared_edges", 'select ax, ay, bx, "by", k, count(*) over (partition by ax, ay, bx, "by") as sharers from e', f"e as ({' union all '.join(sides)})")
+    corners = (("x0", "y0"), ("x1", "y0"), ("x1", "y1"), ("x0", "y1"), ("x0", "y0"))
+
+    def every(select, n):
+        return " union all ".join(select.format(n=i, x=x, y=y) for i, (x, y) in enumerate(corners[:n]))
+
+    add("project_points", " union all ".join(f"select id_0, {i}::bigint as n, {mx(x)} as x, {my(y)} as y from tgt_a, ell" for i, (x, y) in enumerate(corners)), _ELL)
+    add("simplify_points", every("select k, {x} * 1000::DOUBLE as x, {y} * 1000::DOUBLE as y from src_tracts", 4))
+    degrees = "round(round({x} * 0.4::DOUBLE - 140, 9), 4) as x, round(round({y} * 0.05::DOUBLE + 10, 9), 4) as y from src_tracts"
+    add("to_geojson_points", every("select geoid, {n}::bigint as n, " + degrees, 5))
+    add("job_export_geojson_points", every("select geoid, " + degrees, 4))
     add("simplify", f"select k, 5::bigint as points, 16 * {KM2} as area from src_tracts")
     feature = """select 'Feature' as type, 'Polygon' as kind, geoid, "AQRAE001" as income, round(round(x1 * 0.4::DOUBLE - 140, 9), 4) as x,
       round(round(y1 * 0.05::DOUBLE + 10, 9), 4) as y from src_tracts"""

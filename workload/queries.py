@@ -585,18 +585,58 @@ def q_shared_edges(m):
     return outlines.shared_edges(m.src, "k")
 
 
+def _points(df, *keys):
+    """Every point of single rings, in order."""
+    p = df.select(*keys, F.posexplode(F.expr("geom.polys[0][0]")).alias("n", "p"))
+    return p.select(*keys, "n", F.col("p.x").alias("x"), F.col("p.y").alias("y"))
+
+
 @query
-def q_simplify(m):
+def q_project_points(m):
+    p = _points(project(st.lonlat(m.flat("tgt_a")), MERCATOR), "id_0")
+    return p.select("id_0", "n", F.round("x", 3).alias("x"), F.round("y", 3).alias("y"))
+
+
+def _dented(m):
+    """Tracts with a slight bend in two sides and a straight point in the others."""
     x0, y0, x1, y1 = (F.col(c) * st.UNIT for c in ("x0", "y0", "x1", "y1"))
     mid = (x0 + x1) / 2
     ring = F.array(point(x0, y0), point(mid, y0 + 5), point(x1, y0), point(x1, (y0 + y1) / 2), point(x1, y1),
                    point(mid, y1 + 5), point(x0, y1), point(x0, (y0 + y1) / 2), point(x0, y0))
-    raw = with_box(m.flat("src_tracts").withColumn(
+    return with_box(m.flat("src_tracts").withColumn(
         "geom", F.struct(F.lit(0).alias("srid"), F.array(F.array(ring)).alias("polys")).cast(GEOM_TYPE)))
-    out = outlines.simplify(raw, "k", 10.0, srid=0)
+
+
+@query
+def q_simplify(m):
+    out = outlines.simplify(_dented(m), "k", 10.0, srid=0)
     return out.select("k", F.size(F.expr("geom.polys[0][0]")).alias("points"), planar_area(F.col("geom")).alias("area"))
 
 
+@query
+def q_simplify_points(m):
+    return _points(outlines.simplify(_dented(m), "k", 10.0, srid=0), "k").drop("n").distinct()
+
+
+def _feature_points(df):
+    """Every point of the features' outer rings, by position."""
+    f = "feature"
+    return df.select(F.get_json_object(f, "$.properties.geoid").alias("geoid"), F.posexplode(F.from_json(
+        F.get_json_object(f, "$.geometry.coordinates[0]"), "array<array<double>>")).alias("n", "p")).select(
+        "geoid", "n", F.col("p")[0].alias("x"), F.col("p")[1].alias("y"))
+
+
+@query
+def q_to_geojson_points(m):
+    return _feature_points(outlines.to_geojson_features(st.lonlat(m.flat("src_tracts"))))
+
+
+@query
+def q_job_export_geojson_points(m):
+    p = _feature_points(jobs.job_export_geojson(st.lonlat(m.flat("src_tracts")), "k"))
+    return p.select("geoid", F.round("x", 4).alias("x"), F.round("y", 4).alias("y")).distinct()
+
+
 def _feature_fields(df):
     f = "feature"
     return df.select(
