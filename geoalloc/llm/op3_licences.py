@@ -15,7 +15,7 @@ import math
 import re
 from collections import Counter
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Fixed values: (licence, notice).
@@ -69,6 +69,11 @@ def anchors(vectors: dict[str, dict[str, float]], least: float) -> list[str]:
     return sorted(out)
 
 
+def inline(spark: SparkSession, rows: list[tuple], *names: str) -> DataFrame:
+    """A short constant table as part of the plan."""
+    return spark.range(1).select(F.inline(F.array(*(F.struct(*(F.lit(x).alias(n) for n, x in zip(names, row))) for row in rows))))
+
+
 def own_licences(files: DataFrame, templates=TEMPLATES, least: float = LEAST) -> DataFrame:
     """``path, licence, score, last``: each path's best line at the threshold, and whether it is the last line.
 
@@ -77,8 +82,8 @@ def own_licences(files: DataFrame, templates=TEMPLATES, least: float = LEAST) ->
     idf, vectors = template_weights(templates)
     some = F.lit("(?<![a-z0-9])(?:" + "|".join(anchors(vectors, least)) + ")(?![a-z0-9])")
     spark, unknown = files.sparkSession, math.log(1 + len(templates)) + 1
-    terms = F.broadcast(spark.createDataFrame([(t, w) for t, w in idf.items()], "term string, idf double"))
-    weights = F.broadcast(spark.createDataFrame([(t, n, w) for n, v in vectors.items() for t, w in v.items()], "term string, licence string, weight double"))
+    terms = F.broadcast(inline(spark, [(t, w) for t, w in idf.items()], "term", "idf"))
+    weights = F.broadcast(inline(spark, [(t, n, w) for n, v in vectors.items() for t, w in v.items()], "term", "licence", "weight"))
     texts = files.select("path", F.lower(F.col("text").cast("string")).alias("text")).where(F.rlike("text", some))
     lines = texts.withColumn("lines", F.split("text", "\n")).select("path", F.size("lines").alias("count"), F.posexplode("lines").alias("line", "text")).where(F.rlike("text", some))
     lines = lines.select("path", "line", "count", F.filter(F.regexp_extract_all("text", F.lit(TERM), F.lit(0)), lambda t: ~t.isin(STOP)).alias("terms"))
