@@ -11,13 +11,17 @@ folder's ancestors. All of it is native expressions.
 
 from __future__ import annotations
 
+import functools
 import math
+import operator
 import re
 from collections import Counter
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from geoalloc.llm.common import stored
+
 #: Fixed values: (licence, notice).
 TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -33,7 +37,7 @@ TEMPLATES = (
 #: Words without weight.
 STOP = "a all and are as at be by for from in is it of on or that the this to under use was with".split()
 LEAST = 0.7
-TERM = "[a-z0-9]+"
+TERM = "[a-z0-9]+(?:[-.][a-z0-9]+)*"
 
 
 def terms_of(text: str) -> Counter:
@@ -61,7 +65,7 @@ def anchors(vectors: dict[str, dict[str, float]], least: float) -> list[str]:
     out = set()
     for vector in vectors.values():
         rest = 1.0
-        for term, weight in sorted(vector.items(), key=lambda x: (len(x[0]) < 4, -x[1], x[0])):
+        for term, weight in sorted(vector.items(), key=lambda x: (len(x[0]) < 3, -x[1], x[0])):
             if rest < least * least * 0.999:
                 break
             out.add(term)
@@ -80,12 +84,12 @@ def own_licences(files: DataFrame, templates=TEMPLATES, least: float = LEAST) ->
     Ties go to the earlier line, then to the smaller licence name.
     """
     idf, vectors = template_weights(templates)
-    some = F.lit("(?<![a-z0-9])(?:" + "|".join(anchors(vectors, least)) + ")(?![a-z0-9])")
+    some = functools.reduce(operator.or_, (F.contains("text", F.lit(w)) for w in anchors(vectors, least)))
     spark, unknown = files.sparkSession, math.log(1 + len(templates)) + 1
     terms = F.broadcast(inline(spark, [(t, w) for t, w in idf.items()], "term", "idf"))
     weights = F.broadcast(inline(spark, [(t, n, w) for n, v in vectors.items() for t, w in v.items()], "term", "licence", "weight"))
-    texts = files.select("path", F.lower(F.col("text").cast("string")).alias("text")).where(F.rlike("text", some))
-    lines = texts.withColumn("lines", F.split("text", "\n")).select("path", F.size("lines").alias("count"), F.posexplode("lines").alias("line", "text")).where(F.rlike("text", some))
+    texts = files.select("path", F.lower(F.col("text").cast("string")).alias("text")).where(some)
+    lines = texts.withColumn("lines", F.split("text", "\n")).select("path", F.size("lines").alias("count"), F.posexplode("lines").alias("line", "text")).where(some)
     lines = lines.select("path", "line", "count", F.filter(F.regexp_extract_all("text", F.lit(TERM), F.lit(0)), lambda t: ~t.isin(STOP)).alias("terms"))
     # the cosine is at most that of the known part of a line to the whole of it
     weight_of = F.create_map(*(F.lit(x) for pair in idf.items() for x in pair))
@@ -93,7 +97,7 @@ def own_licences(files: DataFrame, templates=TEMPLATES, least: float = LEAST) ->
     matched = F.aggregate(F.array_distinct(known), F.lit(0.0), lambda a, t: a + F.pow(F.size(F.filter(known, lambda x: x == t)) * weight_of[t], 2.0))
     others = F.size(F.array_distinct(F.filter("terms", lambda t: ~t.isin(list(idf)))))
     lines = lines.where(others * unknown**2 * least**2 <= matched * (1 - least**2) * 1.001)
-    words = lines.select("path", "line", "count", F.explode("terms").alias("term"))
+    words = stored(lines.select("path", "line", "count", "terms")).withColumn("term", F.explode("terms"))  # few lines; texts are read once
     counted = words.groupBy("path", "line", "count", "term").agg(F.count("*").alias("times"))
     weighed = counted.join(terms, "term", "left").withColumn("own", F.col("times") * F.coalesce("idf", F.lit(unknown)))
     lengths = weighed.groupBy("path", "line", "count").agg(F.sqrt(F.sum(F.col("own") ** 2)).alias("length"))
@@ -115,7 +119,7 @@ def scan(files: DataFrame, templates=TEMPLATES, least: float = LEAST) -> DataFra
     no folder and takes none. Rows that repeat a path are judged together: the best line of
     any. The root folder is the empty path. Other columns are not read.
     """
-    own = own_licences(files, templates, least)
+    own = stored(own_licences(files, templates, least))
     paths = files.select("path").withColumn("folder", folder_of(F.col("path")))
     speakers = own.where("last").withColumn("folder", folder_of(F.col("path")))
     speakers = speakers.groupBy("folder").agg(F.min(F.struct((-F.col("score")).alias("minus"), "path", "licence")).alias("best"))
@@ -147,7 +151,7 @@ _VALUES = ", ".join("('{}', '{}')".format(*x) for x in TEMPLATES)
 SQL = f"""
 with recursive templates(licence, notice) as (values {_VALUES}),
 template_terms as (
-  select licence, term, count(*) as times from (select licence, unnest(regexp_extract_all(lower(notice), '[a-z0-9]+')) as term from templates) where term not in ({_STOP}) group by all),
+  select licence, term, count(*) as times from (select licence, unnest(regexp_extract_all(lower(notice), '{TERM}')) as term from templates) where term not in ({_STOP}) group by all),
 idf as (select term, ln((1.0 + (select count(*) from templates)) / (1 + count(*))) + 1 as idf from template_terms group by term),
 raw as (select licence, term, times * idf as w from template_terms join idf using (term)),
 weights as (select licence, term, w / sqrt(sum(w * w) over (partition by licence)) as weight from raw),
@@ -158,7 +162,7 @@ lines as (
   select doc_id, len(ls) as n, generate_subscripts(ls, 1) as line, unnest(ls) as line_text
   from (select doc_id, string_split(lower(text), chr(10)) as ls from files)
   where len(list_filter(ls, lambda x: regexp_matches(x, 'licen|rights|redistribution|released|subject|permitted'))) > 0),
-terms as (select doc_id, n, line, term, count(*) as times from (select doc_id, n, line, unnest(regexp_extract_all(line_text, '[a-z0-9]+')) as term from lines) where term not in ({_STOP}) group by all),
+terms as (select doc_id, n, line, term, count(*) as times from (select doc_id, n, line, unnest(regexp_extract_all(line_text, '{TERM}')) as term from lines) where term not in ({_STOP}) group by all),
 weighed as (select terms.*, times * coalesce(idf, ln(1.0 + (select count(*) from templates)) + 1) as own from terms left join idf using (term)),
 lengths as (select doc_id, line, n, sqrt(sum(own * own)) as length from weighed group by all),
 scored as (
