@@ -90,11 +90,13 @@ def own_licences(files: DataFrame, templates=TEMPLATES, least: float = LEAST) ->
     weights = F.broadcast(inline(spark, [(t, n, w) for n, v in vectors.items() for t, w in v.items()], "term", "licence", "weight"))
     texts = files.select("path", F.lower(F.col("text").cast("string")).alias("text")).where(some)
     lines = texts.withColumn("lines", F.split("text", "\n")).select("path", F.size("lines").alias("count"), F.posexplode("lines").alias("line", "text")).where(some)
-    lines = lines.select("path", "line", "count", F.filter(F.regexp_extract_all("text", F.lit(TERM), F.lit(0)), lambda t: ~t.isin(STOP)).alias("terms"))
+    # exploding a single value keeps it from being worked out again wherever it is used
+    split = F.filter(F.regexp_extract_all("text", F.lit(TERM), F.lit(0)), lambda t: ~t.isin(STOP))
+    lines = lines.select("path", "line", "count", F.explode(F.array(split)).alias("terms"))
+    lines = lines.select("*", F.explode(F.array(F.filter("terms", lambda t: t.isin(list(idf))))).alias("known"))
     # the cosine is at most that of the known part of a line to the whole of it
     weight_of = F.create_map(*(F.lit(x) for pair in idf.items() for x in pair))
-    known = F.filter("terms", lambda t: t.isin(list(idf)))
-    matched = F.aggregate(F.array_distinct(known), F.lit(0.0), lambda a, t: a + F.pow(F.size(F.filter(known, lambda x: x == t)) * weight_of[t], 2.0))
+    matched = F.aggregate(F.array_distinct("known"), F.lit(0.0), lambda a, t: a + F.pow(F.size(F.filter("known", lambda x: x == t)) * weight_of[t], 2.0))
     others = F.size(F.array_distinct(F.filter("terms", lambda t: ~t.isin(list(idf)))))
     lines = lines.where(others * unknown**2 * least**2 <= matched * (1 - least**2) * 1.001)
     words = stored(lines.select("path", "line", "count", "terms")).withColumn("term", F.explode("terms"))  # few lines; texts are read once
