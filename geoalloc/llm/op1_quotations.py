@@ -1,8 +1,9 @@
 """Quotation linking: from messages that quote one another to reply-ordered conversations.
 
 Lines are split into quote levels by their leading marks. Runs of one level are passages,
-hashed in normal form (lower case, single blanks). The earliest message that wrote a passage
-itself is found by an equi-join on the hash, so a text that many wrote has one row to meet.
+hashed in normal form (lower case, single blanks) as a whole, by paragraphs and by lines, as
+replies quote parts. The earliest message that wrote a part itself is found by an equi-join on
+the hash, so a text that many wrote has one row to meet.
 Parents are followed to the root by doubling steps on stored tables.
 """
 
@@ -14,12 +15,13 @@ from itertools import groupby
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from geoalloc.llm.common import stored
 
 MARK = re.compile(r"[ \t]*((?:>[ \t]?)+)")
+BLANK = re.compile(r"\n(?:[^\S\n]*\n)+")
 SAID = re.compile(r"\S.* wrote:[ \t]*$")
 
 
@@ -43,37 +45,61 @@ def passages(text: str | None) -> tuple[str, list[tuple[int, str]]]:
     return own, [(0, own), *runs]
 
 
-def mark_of(passage: str) -> str | None:
-    """Hash of the normal form; none for a blank passage."""
-    plain = " ".join(passage.lower().split())
-    return xxhash.xxh3_128_hexdigest(plain.encode("utf-8", "surrogatepass")) if plain else None
+def parts(passage: str) -> list[tuple[int, int, str]]:
+    """``(kind, paragraph, text)``: the whole (kind 0), its paragraphs (1) and their lines (2), each where it has several."""
+    paragraphs = [x for x in BLANK.split(passage) if x.strip()]
+    out = [(0, -1, passage), *((1, n, x) for n, x in enumerate(paragraphs) if len(paragraphs) > 1)]
+    for n, paragraph in enumerate(paragraphs):
+        lines = [x for x in paragraph.split("\n") if x.strip()]
+        out += [(2, n, x) for x in lines if len(lines) > 1]
+    return out
+
+
+def normal(passage: str) -> str:
+    return " ".join(passage.lower().split())
+
+
+def mark_of(plain: str) -> str:
+    return xxhash.xxh3_128_hexdigest(plain.encode("utf-8", "surrogatepass"))
+
+
+def marked(found: list[tuple[int, str]]) -> list[dict]:
+    """The parts of the passages that are not blank: own ones once by mark, as the greatest kind of part; quoted ones by place."""
+    own, quoted = {}, []
+    for run, (level, passage) in enumerate(found):
+        for kind, paragraph, text in parts(passage):
+            if plain := normal(text):
+                row = {"level": level, "run": run, "paragraph": paragraph, "kind": kind, "mark": mark_of(plain), "size": len(plain)}
+                if level:
+                    quoted.append(row)
+                elif row["mark"] not in own or kind < own[row["mark"]]["kind"]:
+                    own[row["mark"]] = row
+    return [*own.values(), *quoted]
 
 
-def marked(found: list[tuple[int, str]]) -> dict[tuple[int, str], int]:
-    """Sizes of the passages that are not blank, by level and mark."""
-    out = {(level, mark_of(p)): len(p) for level, p in found}
-    return {k: size for k, size in out.items() if k[1]}
+PART = [("level", pa.int32()), ("run", pa.int32()), ("paragraph", pa.int32()), ("kind", pa.int32()), ("mark", pa.string()), ("size", pa.int64())]
 
 
 def parsed(messages: DataFrame) -> DataFrame:
-    """``scope, sent, id, own, found``: own text, and ``(level, mark, size)`` of the passages, stored."""
+    """``scope, sent, id, own, found``: own text, and ``PART`` of the passages' parts, stored."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [passages(x) for x in batch["text"].to_pylist()]
-            found = [[{"level": n, "mark": m, "size": size} for (n, m), size in marked(ps).items()] for _, ps in texts]
             yield pa.RecordBatch.from_arrays([batch["scope"], batch["sent"], batch["id"], pa.array([x for x, _ in texts], pa.string()),
-                                              pa.array(found, pa.list_(pa.struct([("level", pa.int32()), ("mark", pa.string()), ("size", pa.int64())])))], ["scope", "sent", "id", "own", "found"])
+                                              pa.array([marked(ps) for _, ps in texts], pa.list_(pa.struct(PART)))], ["scope", "sent", "id", "own", "found"])
 
-    return stored(messages.mapInArrow(run, "scope string, sent long, id string, own string, found array<struct<level:int,mark:string,size:long>>"))
+    return stored(messages.mapInArrow(run, "scope string, sent long, id string, own string, found array<struct<level:int,run:int,paragraph:int,kind:int,mark:string,size:long>>"))
 
 
 def link(messages: DataFrame, id_col: Column, text_col: Column, sent_col: Column, scope_col: Column | None = None) -> DataFrame:
     """``scope, sent, id, own, parent, level, root, depth`` for every message.
 
     ``parent`` is the earliest message (by ``sent``, then ``id``) of the same scope that itself
-    wrote what this one quotes, and came before it: of the shallowest quoted level that is
-    found, the longest passage decides, then the mark. ``level`` above 1 says that the messages
-    between are missing. ``root`` is the message at the end of the parents, ``depth`` their
+    wrote what this one quotes, and came before it. A quoted run is looked up as a whole, else
+    by paragraphs, and a paragraph that is not found by lines; each goes to the first that
+    wrote it as a whole text or run, else as a paragraph, else as a line. Of the shallowest
+    quoted level that is found, the parent with the greatest length of found text decides, then
+    the earliest. ``level`` above 1 says that the messages between are missing. ``root`` is the message at the end of the parents, ``depth`` their
     number; a conversation in reply order is a root's messages by depth, sent and id.
     Null and empty texts say and quote nothing. Messages with a null id keep their own text and
     are linked with nothing; a null scope is a scope, a null time comes before all others.
@@ -84,12 +110,19 @@ def link(messages: DataFrame, id_col: Column, text_col: Column, sent_col: Column
     named = rows.where("id is not null").groupBy("scope", "id").agg(F.min(F.struct("sent", "text")).alias("row")).select("scope", "row.sent", "id", "row.text")
     nameless = rows.where("id is null")
     texts = parsed(named.select("scope", "sent", "id", "text").unionByName(nameless))
-    spans = texts.where("id is not null").select("scope", "sent", "id", F.explode("found").alias("p")).select("scope", "sent", "id", "p.level", "p.mark", "p.size")
-    written = spans.where("level = 0").groupBy("scope", "mark").agg(F.min(F.struct("sent", "id")).alias("first"))
-    written = written.select(F.col("scope").alias("in"), F.col("mark").alias("of"), "first")
+    spans = texts.where("id is not null").select("scope", "sent", "id", F.explode("found").alias("p")).select("scope", "sent", "id", "p.*")
+    # the first writer of a text as a whole, as a paragraph and as a line
+    written = spans.where("level = 0").groupBy("scope", "mark").agg(*(F.min(F.when(F.col("kind") == k, F.struct("sent", "id"))).alias(f"first{k}") for k in range(3)))
+    written = written.select(F.col("scope").alias("in"), F.col("mark").alias("of"), "first0", "first1", "first2")
     quoted = spans.where("level > 0").join(written, F.col("scope").eqNullSafe(F.col("in")) & (F.col("mark") == F.col("of")))
-    quoted = quoted.where(F.struct("sent", "id") > F.col("first"))
-    best = quoted.groupBy("scope", "id").agg(F.min(F.struct("level", (-F.col("size")).alias("minus"), "mark", "first")).alias("best"))
+    writer = F.coalesce(*(F.when(F.col(f"first{k}") < F.struct("sent", "id"), F.col(f"first{k}")) for k in range(3)))
+    quoted = quoted.select("scope", "id", "level", "run", "paragraph", "kind", "size", writer.alias("first")).where("first is not null")
+    # a paragraph counts where its run is not found, a line where its paragraph is not
+    of_run = F.min("kind").over(Window.partitionBy("scope", "id", "level", "run"))
+    of_paragraph = F.min("kind").over(Window.partitionBy("scope", "id", "level", "run", "paragraph"))
+    quoted = quoted.withColumn("of_run", of_run).withColumn("of_paragraph", of_paragraph).where("kind = if(of_run = 0, 0, of_paragraph)")
+    sums = quoted.groupBy("scope", "id", "level", "first").agg(F.sum("size").alias("size"))
+    best = sums.groupBy("scope", "id").agg(F.min(F.struct("level", (-F.col("size")).alias("minus"), "first")).alias("best"))
     best = best.select(F.col("scope").alias("in"), F.col("id").alias("reply"), F.col("best.first.id").alias("parent"), F.col("best.level").alias("level"))
     found = texts.join(best, F.col("scope").eqNullSafe(F.col("in")) & (F.col("id") == F.col("reply")), "left")
     found = stored(found.select("scope", "sent", "id", "own", "parent", "level"))
@@ -109,7 +142,8 @@ def link(messages: DataFrame, id_col: Column, text_col: Column, sent_col: Column
 def as_mail(conversations: DataFrame, depth: int = 3) -> DataFrame:
     """Turns as messages that quote the turn they answer, and what that one quoted, to some depth.
 
-    Each turn answers the one before; every third turn the one before that.
+    Each turn answers the one before; every third turn the one before that. Of four turns one
+    quotes the first half of the lines only, and one answers between two parts of the quote.
     """
     turns = conversations.groupBy("conv_id", "turn").agg(F.min(F.struct(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.coalesce(F.col("role").cast("string"), F.lit("someone")).alias("role"))).alias("m"))
     turns = turns.where("conv_id is not null and turn is not null").select("conv_id", "turn", "m.text", "m.role")
@@ -119,8 +153,16 @@ def as_mail(conversations: DataFrame, depth: int = 3) -> DataFrame:
     for level in range(1, depth + 1):
         marks = "> " * level
         joined = mail.join(told, (F.col("conv_id") == F.col("c")) & (F.col("next") == F.col("t")), "left")
-        quote = F.concat(F.lit("\n" + "> " * (level - 1)), F.col("who"), F.lit(" wrote:\n" + marks), F.regexp_replace("said", "\n", "\n" + marks))
-        mail = joined.select("conv_id", "turn", F.concat("body", F.coalesce(quote, F.lit(""))).alias("body"), F.col("then").alias("next"))
+        says, quote = F.concat(F.lit("\n" + "> " * (level - 1)), F.col("who"), F.lit(" wrote:")), lambda text: F.concat(F.lit("\n" + marks), F.regexp_replace(text, "\n", "\n" + marks))
+        body = F.concat("body", F.coalesce(F.concat(says, quote(F.col("said"))), F.lit("")))
+        if level == 1:
+            lines, answer = F.split("said", "\n"), F.split("body", "\n", 2)
+            half = F.ceil(F.size(lines) / 2).cast("int")
+            head, tail = F.array_join(F.slice(lines, F.lit(1), half), "\n"), F.array_join(F.slice(lines, half + 1, F.size(lines)), "\n")
+            both = (F.trim(F.regexp_replace(head, r"\s", "")) != "") & (F.trim(F.regexp_replace(tail, r"\s", "")) != "")
+            between = F.concat(says, quote(head), F.lit("\n"), answer[0], quote(tail), F.lit("\n"), F.coalesce(F.get(answer, F.lit(1)), F.lit("")))
+            body = F.when(both & (F.col("turn") % 4 == 1), F.concat("body", says, quote(head))).when(both & (F.col("turn") % 4 == 2), between).otherwise(body)
+        mail = joined.select("conv_id", "turn", body.alias("body"), F.col("then").alias("next"))
     return mail.select("conv_id", "turn", F.col("body").alias("text"))
 
 

@@ -92,6 +92,33 @@ def test_long_threads_and_scopes(spark):
     assert {(r.scope, r.id, r.root, r.depth) for r in got} == {(s, name, "000", n) for s, name, n, _ in rows}
 
 
+def test_quotes_of_parts_are_linked(spark):
+    letter = "Dear all,\n\nfirst point,\nin two lines\n\nsecond point\nRegards\nA"
+    rows = [
+        ("a", 1, letter), ("b", 2, "> second point\nyes"), ("c", 3, "> first point, in\n> two lines\nno\n\n> second point\nyes again"),
+        ("d", 4, "> Dear all,\n>\n> yes again\n> in two lines\nmixed"), ("e", 5, "> No, like that.\n> no\nlost otherwise"),
+        ("f", 6, "> second point\n> Regards\nthanks"), ("g", 7, "second point"), ("h", 8, "> second point\nof g, who wrote nothing else"),
+        ("i", 9, "nothing\n> unknown\n>> second point"),
+    ]
+    frame = spark.createDataFrame(rows, "name string, at long, body string")
+    got = {r.id: (r.parent, r.level, r.root) for r in op1.link(frame, F.col("name"), F.col("body"), F.col("at")).collect()}
+    assert got["b"] == ("a", 1, "a") == got["c"] == got["f"]
+    assert got["d"] == ("a", 1, "a")  # a's lines outweigh c's
+    assert got["e"] == ("c", 1, "a") and got["h"] == ("g", 1, "g") and got["i"] == ("g", 2, "g")
+    mail = op1.link(spark.createDataFrame(MAIL, "name string, at long, body string"), F.col("name"), F.col("body"), F.col("at"))
+    assert [(r.parent, r.level, r.root, r.depth) for r in mail.where("id = 'e'").collect()] == [("c", 1, "a", 3)]
+
+
+def test_mail_quotes_parts(spark):
+    turns = [(1, n, "user", f"a{n}\nb{n}\n\nc{n}\nd{n}") for n in range(7)]
+    mail = op1.as_mail(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"))
+    texts = {r.turn: r.text for r in mail.collect()}
+    assert texts[1] == "a1\nb1\n\nc1\nd1\nuser wrote:\n> a0\n> b0\n> "
+    assert texts[2].startswith("\nuser wrote:\n> a1\n> b1\n> \na2\n> c1\n> d1\nb2\n\nc2\nd2\n> user wrote:\n> > a0")
+    got = {r.id: (r.parent, r.own) for r in op1.link(mail, F.col("turn"), F.col("text"), F.col("turn"), F.col("conv_id")).collect()}
+    assert got == {str(n): (None if n == 0 else str(n - (2 if n % 3 == 0 else 1)), turns[n][3]) for n in range(7)}
+
+
 # licences
 
 def test_licences(spark):
