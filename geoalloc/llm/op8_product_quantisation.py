@@ -6,7 +6,8 @@ of its nearest centroid with its codes, and as a query to the lists of its ``PRO
 There, asymmetric distances from look-up tables choose candidates: a vector's table sum plus
 the length of what its codes leave out bounds its true cosine from above, so the codes alone
 never lose a pair. Candidates are tested by the exact cosine in double precision. Large lists
-are dealt in blocks, and a pair that two lists meet is counted in one of them.
+are dealt in blocks of members and of askers, and a pair that two lists meet is counted in one
+of them.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 from geoalloc.llm.common import Forest, components, stored
 
-SUBSPACES, CODES, PROBES, PER_LIST, MOST_LISTS, SAMPLE, BLOCK = 16, 256, 8, 256, 4096, 20_000, 2048
+SUBSPACES, CODES, PROBES, PER_LIST, MOST_LISTS, SAMPLE, BLOCK, ASKERS = 16, 256, 8, 256, 4096, 20_000, 2048, 8192
 
 
 def unit_rows(vectors: list) -> tuple[np.ndarray, list[int]]:
@@ -125,6 +126,20 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93, id_col: str = "vec_
                           component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(False)).alias("kept"))
 
 
+def dealt(placed: DataFrame) -> DataFrame:
+    """Members and askers by ``label, list, part, ask_part``, about ``BLOCK`` and ``ASKERS`` of them at most; each asker meets each member of the list once."""
+    members = placed.groupBy("label", "home").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts")).withColumnRenamed("home", "list")
+    askers = placed.select("label", F.explode("lists").alias("list")).groupBy("label", "list").agg(F.ceil(F.count("*") / ASKERS).cast("int").alias("ask_parts"))
+    crowds = members.join(askers, ["label", "list"])  # members ask their own list, so none is lost
+    block = lambda name, seed: F.pmod(F.xxhash64("id", F.lit(seed)), name).cast("int")
+    blocks = lambda name: F.explode(F.sequence(F.lit(0), F.col(name) - 1))
+    # members stay in one block of their list and meet all blocks of askers, askers stay in one block and meet all blocks of members
+    member = placed.withColumn("list", F.col("home")).join(crowds, ["label", "list"]).withColumn("part", block("parts", 0)).withColumn("ask_part", blocks("ask_parts")).withColumn("asks", F.lit(False))
+    query = placed.withColumn("list", F.explode("lists")).join(crowds, ["label", "list"]).withColumn("part", blocks("parts")).withColumn("ask_part", block("ask_parts", 1)).withColumn("asks", F.lit(True))
+    columns = ["label", "list", "part", "ask_part", "asks", "id", "copies", "unit", "home", "lists", "codes", "rest"]
+    return member.select(columns).unionByName(query.select(*columns[:8], "home", "lists", F.lit(None).cast("binary").alias("codes"), F.lit(None).cast("double").alias("rest")))
+
+
 def list_links(classes: DataFrame, index: Index, least: float, probes: int) -> DataFrame:
     """``u, v, w, n``: degrees (label, null, class, copies near it) and spanning links (label, class, class, null)."""
     shared = classes.sparkSession.sparkContext.broadcast(index)  # bounded by MOST_LISTS and CODES
@@ -145,12 +160,7 @@ def list_links(classes: DataFrame, index: Index, least: float, probes: int) -> D
                 pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(left)], ["label", "id", "copies", "unit", "home", "lists", "codes", "rest"])
 
     placed = stored(classes.select("label", "id", "copies", "unit").mapInArrow(deal, "label string, id long, copies long, unit binary, home int, lists array<int>, codes binary, rest double"))
-    crowds = placed.groupBy("label", "home").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts")).withColumnRenamed("home", "list")
-    # members stay in one block of their list, queries visit all blocks of the lists they probe
-    member = placed.withColumn("list", F.col("home")).join(crowds, ["label", "list"]).withColumn("part", F.pmod(F.xxhash64("id"), "parts").cast("int")).withColumn("asks", F.lit(False))
-    query = placed.withColumn("list", F.explode("lists")).join(crowds, ["label", "list"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("asks", F.lit(True))
-    columns = ["label", "list", "part", "asks", "id", "copies", "unit", "home", "lists", "codes", "rest"]
-    work = member.select(columns).unionByName(query.select(*columns[:7], "home", "lists", F.lit(None).cast("binary").alias("codes"), F.lit(None).cast("double").alias("rest")))
+    work = dealt(placed)
 
     def search(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         index, label, at = shared.value, key[0].as_py(), key[1].as_py()
@@ -190,7 +200,7 @@ def list_links(classes: DataFrame, index: Index, least: float, probes: int) -> D
                     rows[c].append(value)
         return pa.table({"u": pa.array(rows["u"], pa.string()), "v": pa.array(rows["v"], pa.int64()), "w": pa.array(rows["w"], pa.int64()), "n": pa.array(rows["n"], pa.int64())})
 
-    return work.groupBy("label", "list", "part").applyInArrow(search, "u string, v long, w long, n long")
+    return work.groupBy("label", "list", "part", "ask_part").applyInArrow(search, "u string, v long, w long, n long")
 
 
 def op8_product_quantisation(spark, sf_dir: str) -> DataFrame:

@@ -258,3 +258,21 @@ def test_pipeline(spark, tmp_path):
     order = [r.doc_id for r in mixed.select("doc_id", "_metadata.file_name", "_metadata.row_index").orderBy("file_name", "row_index").collect()]
     assert list(pieces) == order
     assert corpus_pipeline.run(spark, SF_DIR).count() == packed.count()
+
+
+def test_crowds_are_dealt_on_both_sides(spark, monkeypatch):
+    monkeypatch.setattr(op8, "BLOCK", 64)
+    monkeypatch.setattr(op8, "ASKERS", 64, raising=False)
+    sizes, deal = [], op8.dealt
+
+    def seen(placed):
+        work = deal(placed)
+        sizes.extend(work.groupBy("label", "list", "part", "ask_part", "asks").count().select("count").toPandas()["count"])
+        return work
+
+    monkeypatch.setattr(op8, "dealt", seen)
+    x = np.random.default_rng(3).normal(size=16) + np.random.default_rng(4).normal(size=(400, 16)) * 0.01
+    rows = spark.createDataFrame([(i, "a", v.tolist()) for i, v in enumerate(x)], "vec_id long, label string, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in op8.near_duplicates(rows).collect()}
+    assert got == {i: (399, 0, i == 0) for i in range(400)}
+    assert len(sizes) > 20 and max(sizes) < 128
