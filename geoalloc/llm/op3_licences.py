@@ -4,8 +4,8 @@ Templates are a short fixed list; term weights come from it, and common words ha
 line can reach the threshold only if it holds one of a template's heaviest terms (what is left of the template is shorter
 than the threshold), and if its other words do not outweigh the known ones; only such lines
 are exploded. A file has the licence of its
-best line. If that is its last line the file is a licence file, which speaks for its folder;
-a file without a licence takes that of the nearest folder above it, found by joining every
+best line. If that is its last line that is not blank, or the file is named as one (LICENSE,
+COPYING.txt), the file is a licence file, which speaks for its folder; a file without a licence takes that of the nearest folder above it, found by joining every
 folder's ancestors. All of it is native expressions.
 """
 
@@ -38,6 +38,8 @@ TEMPLATES = (
 STOP = "a all and are as at be by for from in is it of on or that the this to under use was with".split()
 LEAST = 0.7
 TERM = "[a-z0-9]+(?:[-.][a-z0-9]+)*"
+#: Names of licence files, whatever their folder; not of code (license.py).
+NAMED = "(?i)(?:^|/)(?:[a-z0-9.]+[-_])?(?:un)?(?:licen[cs]es?|copying)(?:[-_.](?:mit|apache|bsd|l?gpl|mpl|cc|lesser|lib)[^/]*?)?(?:[.](?:txt|md|rst|html?))?$"
 
 
 def terms_of(text: str) -> Counter:
@@ -79,7 +81,7 @@ def inline(spark: SparkSession, rows: list[tuple], *names: str) -> DataFrame:
 
 
 def own_licences(files: DataFrame, templates=TEMPLATES, least: float = LEAST) -> DataFrame:
-    """``path, licence, score, last``: each path's best line at the threshold, and whether it is the last line.
+    """``path, licence, score, last``: each path's best line at the threshold, and whether only blank lines follow it.
 
     Ties go to the earlier line, then to the smaller licence name.
     """
@@ -89,7 +91,7 @@ def own_licences(files: DataFrame, templates=TEMPLATES, least: float = LEAST) ->
     terms = F.broadcast(inline(spark, [(t, w) for t, w in idf.items()], "term", "idf"))
     weights = F.broadcast(inline(spark, [(t, n, w) for n, v in vectors.items() for t, w in v.items()], "term", "licence", "weight"))
     texts = files.select("path", F.lower(F.col("text").cast("string")).alias("text")).where(some)
-    lines = texts.withColumn("lines", F.split("text", "\n")).select("path", F.size("lines").alias("count"), F.posexplode("lines").alias("line", "text")).where(some)
+    lines = texts.withColumn("lines", F.split(F.rtrim("text", F.lit(" \t\r\n")), "\n")).select("path", F.size("lines").alias("count"), F.posexplode("lines").alias("line", "text")).where(some)
     # exploding a single value keeps it from being worked out again wherever it is used
     split = F.filter(F.regexp_extract_all("text", F.lit(TERM), F.lit(0)), lambda t: ~t.isin(STOP))
     lines = lines.select("path", "line", "count", F.explode(F.array(split)).alias("terms"))
@@ -116,15 +118,15 @@ def folder_of(path: Column) -> Column:
 def scan(files: DataFrame, templates=TEMPLATES, least: float = LEAST) -> DataFrame:
     """``path, licence, score, how, source_path`` for every row of ``files`` (``path, text``).
 
-    ``how`` is own, inherited or null. Among a folder's licence files the best score speaks,
-    then the smaller path. Null and empty texts have no licence of their own; a null path has
+    ``how`` is own, inherited or null. Among a folder's licence files those named as such come
+    first, then the best score, then the smaller path. Null and empty texts have no licence of their own; a null path has
     no folder and takes none. Rows that repeat a path are judged together: the best line of
     any. The root folder is the empty path. Other columns are not read.
     """
     own = stored(own_licences(files, templates, least))
     paths = files.select("path").withColumn("folder", folder_of(F.col("path")))
-    speakers = own.where("last").withColumn("folder", folder_of(F.col("path")))
-    speakers = speakers.groupBy("folder").agg(F.min(F.struct((-F.col("score")).alias("minus"), "path", "licence")).alias("best"))
+    speakers = own.withColumn("named", F.rlike("path", F.lit(NAMED))).where("last or named").withColumn("folder", folder_of(F.col("path")))
+    speakers = speakers.groupBy("folder").agg(F.min(F.struct(~F.col("named"), (-F.col("score")).alias("minus"), "path", "licence")).alias("best"))
     speakers = speakers.select(F.col("folder").alias("above"), F.col("best.licence").alias("given"), F.col("best.path").alias("giver"))
     folders = paths.where("folder is not null").select("folder").distinct()
     steps = F.split("folder", "/")

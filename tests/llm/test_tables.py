@@ -143,6 +143,20 @@ def test_licences(spark):
     assert op3.scan(frame.where("false")).count() == 0
 
 
+def test_licence_files_end_and_begin_as_they_like(spark):
+    files = [
+        ("ends/LICENSE.txt", "Released under the MIT License.\n"), ("ends/x.py", "code"),
+        ("blank/notes", "words\nReleased under the MIT License.\n \r\n\n"), ("blank/x.py", "code"),
+        ("head/COPYING", "MIT License\n\nCopyright 2024 Example\n\nwords that go on"), ("head/x.py", "code"), ("head/z.py", "code\nLicensed under CC BY-NC 4.0."),
+        ("code/license.py", "Released under the MIT License.\ncode"), ("code/x.py", "code"),
+    ]
+    found = {r.path: (r.licence, r.how, r.source_path) for r in op3.scan(spark.createDataFrame(files, "path string, text string")).collect()}
+    assert found["ends/x.py"] == ("MIT", "inherited", "ends/LICENSE.txt")
+    assert found["blank/x.py"] == ("MIT", "inherited", "blank/notes")
+    assert found["head/x.py"] == ("MIT", "inherited", "head/COPYING") and found["head/z.py"][0] == "CC-BY-NC-4.0"
+    assert found["code/x.py"] == (None, None, None)
+
+
 def test_anchors_lose_no_line(spark):
     idf, vectors = op3.template_weights()
     some = set(op3.anchors(vectors, op3.LEAST))
