@@ -157,6 +157,24 @@ def test_licence_files_end_and_begin_as_they_like(spark):
     assert found["code/x.py"] == (None, None, None)
 
 
+def test_other_wordings_of_licences(spark):
+    gpl = "# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n# the Free Software Foundation, either version 3 of the License, or\n# (at your option) any later version.\n#\n"
+    texts = dict(op3.full_texts())
+    files = {
+        "a1": ("Licensed under the MIT License.", "MIT"), "a2": ("Copyright 2024 Example Inc. All rights reserved.", "proprietary"),
+        "a3": ("// SPDX-License-Identifier: MIT\ncode", "MIT"), "a4": ("# Copyright 2024 Someone\n#\n" + gpl + "import os\n", "GPL-3.0"),
+        "a5": (gpl.replace("version 3", "version 2").replace("#", " *"), "GPL-2.0"), "a6": ("x = 1  # SPDX-License-Identifier: GPL-3.0-or-later", "GPL-3.0"),
+        "a7": ("/*\n * Copyright 2020 X\n * Licensed under the Apache License, Version 2.0 (the \"License\");\n * you may not use this file except in compliance with the License.\n */\ncode", "Apache-2.0"),
+        "a8": ("much said before and released under the MIT License. Many words follow it", "MIT"),
+        "a9": ("the license of mit has rights that nobody reserved", None), "b1": ("words " * 50, None),
+        "b2": ("Permission is hereby granted, free of charge, " + texts["MIT"].split("free of charge, ")[1].split("\n\n")[0], "MIT"),
+    }
+    files |= {f"t{i}/x/{name}": (f"Copyright 2024 Some Body\n\n{text}\n", name) for i, (name, text) in enumerate(texts.items())}
+    files |= {f"t{i}/y/code": ("code", None) for i in range(len(texts))} | {f"t{i}/x/code": ("code", name) for i, name in enumerate(texts)}
+    got = op3.scan(spark.createDataFrame([(p, t) for p, (t, _) in files.items()], "path string, text string")).collect()
+    assert {r.path: r.licence for r in got} == {p: n for p, (_, n) in files.items()}
+
+
 def test_anchors_lose_no_line(spark):
     idf, vectors = op3.template_weights()
     some = set(op3.anchors(vectors, op3.LEAST))
