@@ -95,7 +95,7 @@ def by_length(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarr
             dims = batch["dim"].to_numpy(zero_copy_only=False)
             for dim in np.unique(dims).tolist():
                 some = batch.filter(pa.array(dims == dim))
-                yield dim, np.frombuffer(b"".join(some["x"].to_pylist()), "<i8").reshape(-1, dim), some
+                yield dim, np.frombuffer(b"".join(some["x"].to_pylist()), "<i8").reshape(some.num_rows, dim), some
 
 
 def exact_sums(fit: DataFrame) -> dict[int, Model]:

@@ -47,10 +47,42 @@ ESCAPE = re.compile(rb"""\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A
 #: Runs that could hold the shortest secret, 16 bytes; lines are joined where they are long.
 BASE64 = (re.compile(rb"(?:[A-Za-z0-9+/]{40,}\r?\n)*[A-Za-z0-9+/]{22,}"), re.compile(rb"(?:[A-Za-z0-9_-]{40,}\r?\n)*[A-Za-z0-9_-]{22,}"))
 URL_SAFE = bytes.maketrans(b"-_", b"+/")
+#: Pieces in which streams are unpacked.
+PIECE = 1 << 20
+
+
+def _deflated(bits: int):
+    def pieces(data: bytes) -> Iterator[bytes]:
+        stream = zlib.decompressobj(bits)
+        for at in range(0, len(data), PIECE):
+            rest = data[at : at + PIECE]
+            while not stream.eof and (piece := stream.decompress(rest, PIECE)):
+                yield piece
+                rest = stream.unconsumed_tail
+            if stream.eof:
+                return
+    return pieces
+
+
+def _blocks(make):
+    def pieces(data: bytes) -> Iterator[bytes]:
+        stream = make()
+        yield stream.decompress(data, PIECE)
+        while not stream.eof and not stream.needs_input:
+            yield stream.decompress(b"", PIECE)
+    return pieces
+
+
+def _frames(data: bytes) -> Iterator[bytes]:
+    with zstandard.ZstdDecompressor().stream_reader(data) as stream:
+        while piece := stream.read(PIECE):
+            yield piece
+
+
+#: First bytes of streams, and their readers.
 STREAMS = (
-    (b"\x1f\x8b\x08", lambda: zlib.decompressobj(31)), (b"\x78\x01", zlib.decompressobj), (b"\x78\x5e", zlib.decompressobj), (b"\x78\x9c", zlib.decompressobj),
-    (b"\x78\xda", zlib.decompressobj), (b"BZh", bz2.BZ2Decompressor), (b"\xfd7zXZ\x00", lzma.LZMADecompressor), (b"\x28\xb5\x2f\xfd", lambda: zstandard.ZstdDecompressor().decompressobj()))
-CHUNK = 1 << 16
+    (b"\x1f\x8b\x08", _deflated(31)), (b"\x78\x01", _deflated(15)), (b"\x78\x5e", _deflated(15)), (b"\x78\x9c", _deflated(15)), (b"\x78\xda", _deflated(15)),
+    (b"BZh", _blocks(bz2.BZ2Decompressor)), (b"\xfd7zXZ\x00", _blocks(lzma.LZMADecompressor)), (b"\x28\xb5\x2f\xfd", _frames))
 
 
 @dataclass
@@ -148,35 +180,18 @@ def from_base64(layer: Layer) -> Iterator[Layer]:
                 yield Layer(data, low[skip + k * 8 // 6], high[skip + (k * 8 + 7) // 6], (*layer.way, "base64"))
 
 
-def unpacked(data: bytes, make, most: int) -> tuple[bytes, bool]:
+def unpacked(data: bytes, pieces, most: int) -> tuple[bytes, bool]:
     """What a stream at the head of ``data`` holds, up to ``most`` bytes, and whether that was all.
 
     A stream that breaks off or is damaged gives what stands before that.
     """
-    out, size, stream = [], 0, make()
+    out, size = [], 0
     try:
-        for at in range(0, len(data), CHUNK):
-            chunk = data[at : at + CHUNK]
-            while chunk and not getattr(stream, "eof", False):
-                if isinstance(stream, (bz2.BZ2Decompressor, lzma.LZMADecompressor)):
-                    piece, chunk = stream.decompress(chunk, CHUNK * 16), b""
-                    more = not stream.needs_input and not stream.eof
-                elif hasattr(stream, "unconsumed_tail"):
-                    piece = stream.decompress(chunk, CHUNK * 16)
-                    chunk, more = stream.unconsumed_tail, False
-                else:  # zstandard gives blocks of 128 KiB at most for every few bytes: feed it little at a time
-                    piece, chunk, more = stream.decompress(chunk[:256]), chunk[256:], False
-                while True:
-                    out.append(piece)
-                    size += len(piece)
-                    if size > most:
-                        return b"".join(out)[:most], False
-                    if not more:
-                        break
-                    piece = stream.decompress(b"", CHUNK * 16)
-                    more = not stream.needs_input and not stream.eof
-            if getattr(stream, "eof", False):
-                break
+        for piece in pieces(data):
+            out.append(piece)
+            size += len(piece)
+            if size > most:
+                return b"".join(out)[:most], False
     except (zlib.error, OSError, EOFError, ValueError, lzma.LZMAError, zstandard.ZstdError):
         pass
     return b"".join(out), True
@@ -204,10 +219,10 @@ class Scan:
         if 3 * zero.sum() > len(data) > zero.sum():
             some = np.flatnonzero(~zero)
             yield Layer(data.replace(b"\0", b""), layer.low[some], layer.high[some], (*layer.way, "unicode"))
-        for head, make in STREAMS:
+        for head, pieces in STREAMS:
             at = data.find(head)
             while at >= 0:
-                out, whole = unpacked(data[at:], make, self.room)
+                out, whole = unpacked(data[at:], pieces, self.room)
                 self.whole &= whole
                 self.room -= len(out)
                 if out:
