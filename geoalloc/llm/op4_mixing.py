@@ -53,6 +53,8 @@ def whole_parts(weights: dict, period: int = PERIOD) -> dict:
     """Weights as whole parts of the period by largest remainders, at least one for a positive weight."""
     total = sum(weights.values())
     exact = {s: w / total * period for s, w in weights.items() if w > 0}
+    if not exact:
+        return {}
     parts = {s: max(1, int(x)) for s, x in exact.items()}
     by_rest = sorted(exact, key=lambda s: (parts[s] - exact[s], s is not None, s))
     while (left := period - sum(parts.values())) != 0:
@@ -93,8 +95,9 @@ def schedule(docs: DataFrame, weights: dict | None = None, block_chars: int = BL
     is a hash of the text that tells rows of equal ids apart. Sizes count characters, at least
     one for each row, so null and empty texts have a place. A row belongs to the block in which
     it starts. A null source is a source; null ids are allowed; equal rows follow one another.
-    Sources without a weight come after all slots of the others, as if due at the end;
-    ``weights`` default to tempered sizes. An empty table gives no rows.
+    Sources without a weight come after all slots of the others, as if due at the end, and so
+    do all rows where no source of the table has one; ``weights`` default to tempered sizes.
+    A negative or infinite weight is an error. An empty table gives no rows.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
                        F.greatest(F.length(F.coalesce(F.col("text").cast("string"), F.lit(""))), F.lit(1)).cast("long").alias("chars"),
@@ -104,7 +107,10 @@ def schedule(docs: DataFrame, weights: dict | None = None, block_chars: int = BL
     if not sizes:
         return rows.select("*", *(F.lit(0).cast("long").alias(c) for c in ("block", "release", "deadline", "slot", "start")))
     period = max(period, 4 * len(sizes))
-    parts = whole_parts({s: w for s, w in (weights or tempered_weights(sizes)).items() if s in sizes}, period)
+    weights = tempered_weights(sizes) if weights is None else weights
+    if any(not 0 <= w < float("inf") for w in weights.values()):
+        raise ValueError("weights must be finite and not negative")
+    parts = whole_parts({s: w for s, w in weights.items() if s in sizes}, period)
     table = docs.sparkSession.createDataFrame(pfair_period(parts), "of string, turn long, at long, opens long, due long")  # period rows
     quota = docs.sparkSession.createDataFrame(list(parts.items()), "name string, quota long")
     placed = running_sums(rows, "source", "chars", ["doc_id", "row"]).withColumn("block", F.floor(F.col("start") / block_chars))
