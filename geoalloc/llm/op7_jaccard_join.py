@@ -2,17 +2,22 @@
 
 Two sets with a Jaccard similarity of at least t share a token among the first
 ``n - ceil(t n) + 1`` of each, whatever order of all tokens is taken. Rare-first orders make
-those prefixes selective. The join runs in four steps:
-
-1. ``shingle_sets``: size and signature of every document's set. Equal sets form one class.
-2. ``shared_tokens``: tokens go, packed by hash range, to the tasks that count in how many
-   classes each occurs (up to 256). Tokens of one class only can never match; the others
-   return, packed by class. Tokens that are frequent in one task already skip the count. A
-   class can have a partner only if enough of its tokens are shared.
-3. ``near_pairs``: for each of three orders (rare first, ties by different hashes) the
+those prefixes selective. The join runs in five steps:
+
+1. ``counted``: one pass over the texts gives every row's set size and signature, and sends
+   its tokens, packed by hash range, to the tasks that count in how many sets each occurs (up
+   to 256). Tokens of one set only can never match. Tokens that are frequent in one task
+   already skip the count. Equal sets form one class with a number of its own.
+2. ``gathered``: the shared tokens, packed by class. A class can have a partner only if
+   enough of its tokens are shared.
+3. ``crowds``: classes with a common least token under one of several hashes are tested
+   against the first of them. What links forms groups, so a crowd of near copies is one
+   group before any pairs are listed.
+4. ``near_pairs``: for each of three orders (rare first, ties by different hashes) the
    remaining prefix tokens meet in buckets, which are dealt out in blocks where they are
-   large. A position bound prunes there. Surviving pairs are packed by pairs of home blocks.
-4. In a pair of blocks only pairs that every order brought are verified exactly, on the
+   large. Only classes of different groups are paired, and a position bound prunes there.
+   Surviving pairs are packed by pairs of home blocks.
+5. In a pair of blocks only pairs that every order brought are verified exactly, on the
    shared tokens and the sizes. Pairs already joined there need no test; the links of a
    spanning forest go on to connected components.
 
@@ -26,6 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,27 +39,14 @@ from geoalloc.llm.common import Forest, U, WordHashes, components, mix, shingles
 
 ORDERS = 3
 BATCH, FLUSH, BLOCK, HOME, HOT = 512, 1_500_000, 512, 256, 256
+HASHES = 4
 SIDE = 7  # bytes of a token below its hash range
 
 
-def shingle_sets(docs: DataFrame, k: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, n, hi, lo``: set size and 128-bit signature of each row's shingles, stored."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        for whole in batches:
-            for at in range(0, whole.num_rows, BATCH):
-                batch = whole.slice(at, BATCH)
-                sets = [shingles(x, k, hashes) for x in batch["text"].to_pylist()]
-                marks = np.array([signature(s) for s in sets], U).reshape(-1, 2).view("<i8")
-                yield pa.RecordBatch.from_arrays([batch["id"], pa.array([len(s) for s in sets], pa.int64()), pa.array(marks[:, 0]), pa.array(marks[:, 1])], ["id", "n", "hi", "lo"])
-
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return stored(rows.mapInArrow(run, "id long, n long, hi long, lo long"))
-
-
 def signature(s: np.ndarray) -> tuple[int, int]:
+    """96 bits of a set: 64 and 32."""
     whole = xxhash.xxh3_128_intdigest(s.tobytes())
-    return whole >> 64, whole & (1 << 64) - 1
+    return whole >> 64, whole & (1 << 32) - 1
 
 
 def ragged(lengths: np.ndarray) -> np.ndarray:
@@ -126,7 +119,7 @@ def _send(sets: list[np.ndarray], pairs: list[tuple[int, int]], parts: int) -> I
     """
     sizes = np.array([len(s) for s in sets])
     marks = np.empty(len(sets), MARK)
-    marks["hi"], marks["lo"] = [p[0] for p in pairs], [p[1] & 0xFFFFFFFF for p in pairs]
+    marks["hi"], marks["lo"] = [p[0] for p in pairs], [p[1] for p in pairs]
     tokens, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
     _, inverse, seen = np.unique(tokens, return_inverse=True, return_counts=True)
     hot = (seen >= HOT)[inverse]
@@ -154,32 +147,54 @@ def _send(sets: list[np.ndarray], pairs: list[tuple[int, int]], parts: int) -> I
         yield packed(class_bucket(marks[own], parts), marks[own], sizes[own], counts, edge, full, np.full(len(full), HOT, "<u4"), parts, True)
 
 
-def shared_tokens(docs: DataFrame, sets: DataFrame, k: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``hi, lo, n, tokens, dfs``: classes that may have a partner, with their shared tokens, stored.
+def _set_rows(ids: list, marks: list[tuple[int, int]], sizes: list[int], bucket: int) -> pa.RecordBatch:
+    """Ids, signatures and sizes of rows, packed as one row; ``tokens`` holds the ids, ``dfs`` which of them are null."""
+    columns = [[np.array(x, kind).tobytes()] for x, kind in (([m[0] for m in marks], "<u8"), ([m[1] for m in marks], "<u4"), (sizes, "<u4"), ([], "<u4"),
+                                                           ([i or 0 for i in ids], "<i8"), ([i is None for i in ids], np.uint8))]
+    return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([True]), *(pa.array(c, pa.binary()) for c in columns)], NAMES)
+
 
-    ``tokens`` ascend; ``dfs`` are the numbers of classes that hold each, ``HOT`` standing for
-    that many and more. That is all the orders need, and it lets a task tell the holders of a
+def parts_for(docs: DataFrame, text_col: str) -> int:
+    """Number of hash ranges: about ``FLUSH`` tokens each, at six characters a word."""
+    chars = docs.agg(F.coalesce(F.sum(F.length(F.col(text_col).cast("string"))), F.lit(0))).first()[0]
+    return int(max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), chars // 6 // FLUSH + 1))
+
+
+def counted(docs: DataFrame, parts: int, k: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Packed rows, stored: in buckets below ``parts`` the shared tokens by class, beyond them the sets of all rows.
+
+    The number kept with a token is that of the sets that hold it, ``HOT`` standing for that
+    many and more. That is all the orders need, and it lets a task tell the holders of a
     frequent token right away, so no task gathers all of them.
     """
-    total = sets.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    parts = int(max(int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // FLUSH + 1))
-
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, kept, held = WordHashes(), {}, 0
+        hashes, kept, held, own = WordHashes(), {}, 0, ([], [], [])
+        bucket = parts + TaskContext.get().partitionId() % parts
         for whole in batches:
             for at in range(0, whole.num_rows, BATCH):
-                for text in whole["text"].slice(at, BATCH).to_pylist():
+                batch = whole.slice(at, BATCH)
+                for id_, text in zip(batch["id"].to_pylist(), batch["text"].to_pylist()):
                     s = shingles(text, k, hashes)
-                    if len(s) and (mark := signature(s)) not in kept:
+                    mark = signature(s)
+                    for xs, x in zip(own, (id_, mark, len(s))):
+                        xs.append(x)
+                    if len(s) and id_ is not None and mark not in kept:
                         kept[mark] = s
                         held += len(s)
                     if held >= FLUSH:
                         yield from _send([*kept.values()], [*kept], parts)
                         kept, held = {}, 0
+                if len(own[0]) >= 50_000:
+                    yield _set_rows(*own, bucket)
+                    own = ([], [], [])
         if kept:
             yield from _send([*kept.values()], [*kept], parts)
+        if own[0]:
+            yield _set_rows(*own, bucket)
 
     def count(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        if key[0].as_py() >= parts:
+            return table.select(NAMES)
         straight = table["direct"].to_numpy(zero_copy_only=False)
         through, table = table.filter(pa.array(straight)), table.filter(pa.array(~straight))
         marks, n, counts = entries_of(table)
@@ -197,6 +212,25 @@ def shared_tokens(docs: DataFrame, sets: DataFrame, k: int, percent: int, id_col
         out = packed(class_bucket(marks[own], parts), marks[own], n[own], counts, np.cumsum(counts) - counts, full, df, parts, False)
         return pa.concat_tables([pa.Table.from_batches([out]), through.select(NAMES)])
 
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    sent = rows.mapInArrow(send, PACKED)
+    return stored(sent.repartition(parts, "bucket").groupBy("bucket").applyInArrow(count, PACKED))
+
+
+def set_rows(packed_rows: DataFrame, parts: int) -> DataFrame:
+    """``id, n, hi, lo``: set size and signature of each row."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for hi, lo, n, ids, null in zip(*(batch[c].to_pylist() for c in ("hi", "lo", "n", "tokens", "dfs"))):
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.frombuffer(ids, "<i8"), mask=np.frombuffer(null, np.uint8).astype(bool)), pa.array(np.frombuffer(n, "<u4").astype(np.int64)),
+                    pa.array(np.frombuffer(hi, "<i8")), pa.array(np.frombuffer(lo, "<u4").astype(np.int64))], ["id", "n", "hi", "lo"])
+
+    return packed_rows.where(F.col("bucket") >= parts).mapInArrow(run, "id long, n long, hi long, lo long")
+
+
+def gathered(packed_rows: DataFrame, parts: int, percent: int) -> DataFrame:
+    """``hi, lo, n, tokens, dfs``: classes that may have a partner, with their shared tokens, ascending."""
     def gather(table: pa.Table) -> pa.Table:
         marks, n, counts = entries_of(table)
         tokens, dfs = joined(table, "tokens", "<u8"), joined(table, "dfs", "<u4")
@@ -213,10 +247,8 @@ def shared_tokens(docs: DataFrame, sets: DataFrame, k: int, percent: int, id_col
         return pa.table({"hi": pa.array(classes["hi"][may].view("<i8")), "lo": pa.array(classes["lo"][may].astype(np.int64)), "n": pa.array(n[at][may].astype(np.int64)),
                          "tokens": pa.array(cut(tokens, bounds), pa.binary()), "dfs": pa.array(cut(dfs, bounds), pa.binary())})
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null").select("text")
-    sent = rows.mapInArrow(send, PACKED)
-    back = sent.repartition(parts, "bucket").groupBy("bucket").applyInArrow(count, PACKED)
-    return stored(back.repartition(parts, "bucket").groupBy("bucket").applyInArrow(gather, "hi long, lo long, n long, tokens binary, dfs binary"))
+    back = packed_rows.where(F.col("bucket") < parts)
+    return back.repartition(parts, "bucket").groupBy("bucket").applyInArrow(gather, "hi long, lo long, n long, tokens binary, dfs binary")
 
 
 def prefixes(id_: int, n: int, tokens: np.ndarray, dfs: np.ndarray, percent: int, trail: int = 6):
@@ -232,74 +264,62 @@ def prefixes(id_: int, n: int, tokens: np.ndarray, dfs: np.ndarray, percent: int
         yield k, own, n - len(tokens) + np.arange(len(own)), before
 
 
-def near_pairs(classes: DataFrame, percent: int) -> DataFrame:
-    """``u, v``: links between classes ``id, n, tokens, dfs``, enough of them to connect all that link."""
-    def home(batches):
+PAIRS = "one long, two long, ord int, pairs binary, ids array<long>"
+LINKS = "u long, v long"
+
+
+def homes_of(classes: DataFrame) -> DataFrame:
+    """``id, homes``: the least token of each class under ``HASHES`` hashes."""
+    def run(batches):
         for b in batches:
             tokens = [np.frombuffer(x, "<u8") for x in b["tokens"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([b["id"], pa.array([int(mix(t, 77).min() >> U(1)) for t in tokens], pa.int64())], ["id", "home"])
+            yield pa.RecordBatch.from_arrays([b["id"], pa.array([[int(mix(t, 77 + k).min() >> U(1)) for k in range(HASHES)] for t in tokens], pa.list_(pa.int64()))], ["id", "homes"])
 
-    homes = classes.select("id", "tokens").mapInArrow(home, "id long, home long")
-    crowds = homes.groupBy("home").agg(F.ceil(F.count("*") / HOME).alias("parts"))
-    homes = homes.join(crowds, "home").select("id", F.xxhash64("home", F.pmod(F.xxhash64("id"), "parts")).alias("block"))
-    classes = stored(classes.join(homes, "id"))
+    return classes.select("id", "tokens").mapInArrow(run, "id long, homes array<long>")
 
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, 64):
-                batch = whole.slice(at, 64)
-                out = [[] for _ in range(7)]
-                for id_, n, block, tokens, dfs in zip(*(batch[c].to_pylist() for c in ("id", "n", "block", "tokens", "dfs"))):
-                    for k, own, places, before in prefixes(id_, n, np.frombuffer(tokens, "<u8"), np.frombuffer(dfs, "<u4"), percent):
-                        m = len(own)
-                        for xs, x in zip(out, (own.view("<i8").tolist(), [k] * m, [id_] * m, [n] * m, places.tolist(), [block] * m, [x.tobytes() for x in before])):
-                            xs += x
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))],
-                                                 ["token", "ord", "id", "n", "place", "block", "before"])
 
-    rows = stored(classes.mapInArrow(spread, "token long, ord int, id long, n long, place long, block long, before binary"))
-    crowds = rows.groupBy("token", "ord").agg(F.count("*").alias("many")).where("many > 1").withColumn("parts", F.ceil(F.col("many") / BLOCK).cast("int"))
-    deal = rows.join(crowds, ["token", "ord"]).withColumn("own", F.pmod(F.xxhash64("id"), "parts").cast("int"))
-    deal = deal.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    deal = deal.withColumns({"one": F.least("own", "other"), "two": F.greatest("own", "other")})
-    # many small buckets share a task call
-    parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    deal = deal.select("ord", "token", "one", "two", "own", "id", "n", "place", "block", "before").repartition(parts, "ord", "token", "one", "two").sortWithinPartitions("ord", "token", "one", "two")
+def in_blocks(classes: DataFrame) -> DataFrame:
+    """Classes with ``homes`` and ``block``, stored: up to ``HOME`` or so classes of one first home."""
+    homes = homes_of(classes).withColumn("home", F.col("homes")[0])
+    many = homes.groupBy("home").agg(F.ceil(F.count("*") / HOME).alias("parts"))
+    homes = homes.join(many, "home").select("id", "homes", F.xxhash64("home", F.pmod(F.xxhash64("id"), "parts")).alias("block"))
+    return stored(classes.join(homes, "id"))
+
+
+def crowds(classes: DataFrame, percent: int) -> DataFrame:
+    """``u, v``: links of classes with the first one that shares a home with them, stored.
+
+    The first one of a home is a minimum with a map-side part, so a home of any size is no
+    group; every class meets at most ``HASHES`` others here.
+    """
+    at = classes.select("id", "block", F.posexplode("homes").alias("k", "home"))
+    first = at.groupBy("k", "home").agg(F.min(F.struct("id", "block")).alias("first"), F.count("*").alias("many")).where("many > 1").select("k", "home", "first")
+    pairs = at.join(first, ["k", "home"]).where("id != first.id")
+    swap = "block < first.block or block = first.block and id < first.id"
+    pairs = pairs.selectExpr(f"if({swap}, block, first.block) as one", f"if({swap}, first.block, block) as two", f"if({swap}, id, first.id) as u", f"if({swap}, first.id, id) as v").distinct()
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                yield packed_pairs(*(b[c].to_numpy() for c in ("one", "two")), np.zeros(b.num_rows, np.int64), *(b[c].to_numpy() for c in ("u", "v")))
+
+    return stored(tested(stored(pairs.mapInArrow(pack, PAIRS)), classes, percent, 1))
 
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict = {}
-        size = 0
-        for bucket in runs(batches, ("ord", "token", "one", "two")):
-            a, b = bucket_pairs(bucket, percent)
-            if len(a):
-                ids, blocks, order = bucket["id"], bucket["block"], int(bucket["ord"][0])
-                swap = (blocks[a] > blocks[b]) | (blocks[a] == blocks[b]) & (ids[a] > ids[b])
-                a, b = np.where(swap, b, a), np.where(swap, a, b)
-                both = np.lexsort((blocks[b], blocks[a]))
-                a, b = a[both], b[both]
-                edge = np.flatnonzero(np.concatenate([[True], (np.diff(blocks[a]) != 0) | (np.diff(blocks[b]) != 0)]))
-                for s, e in zip(edge, [*edge[1:], len(a)]):
-                    found.setdefault((int(blocks[a[s]]), int(blocks[b[s]]), order), []).append(np.stack([ids[a[s:e]], ids[b[s:e]]], 1))
-                size += len(a)
-            if size > 400_000:
-                yield packed_pairs(found)
-                found, size = {}, 0
-        if found:
-            yield packed_pairs(found)
 
-    pairs = stored(deal.mapInArrow(meet, "one long, two long, ord int, pairs binary, ids array<long>"))
+def tested(pairs: DataFrame, classes: DataFrame, percent: int, orders: int) -> DataFrame:
+    """``u, v``: those of the packed pairs that all ``orders`` brought and that link, a spanning forest for each pair of blocks."""
     # the blocks of a pair get the sets of the classes that pairs there name
     need = pairs.select("one", "two", F.explode("ids").alias("id")).distinct()
     members = need.join(classes.select("id", "n", "tokens"), "id").select("one", "two", F.lit(-1).alias("ord"), F.lit(None).cast("binary").alias("pairs"), "id", "n", "tokens")
     work = pairs.select("one", "two", "ord", "pairs", F.lit(None).cast("long").alias("id"), F.lit(None).cast("long").alias("n"), F.lit(None).cast("binary").alias("tokens")).unionByName(members)
 
     def verify(table: pa.Table) -> pa.Table:
-        orders, chosen = table["ord"].to_pylist(), None
-        for k in range(ORDERS):
-            seen = [p for o, p in zip(orders, table["pairs"].to_pylist()) if o == k]
+        brought, chosen = table["ord"].to_pylist(), None
+        for k in range(orders):
+            seen = [p for o, p in zip(brought, table["pairs"].to_pylist()) if o == k]
             seen = np.unique(np.frombuffer(b"".join(seen), [("u", "<i8"), ("v", "<i8")]))
             chosen = seen if chosen is None else np.intersect1d(chosen, seen, assume_unique=True)
-        sets = {i: (n, np.frombuffer(t, "<u8")) for o, i, n, t in zip(orders, *(table[c].to_pylist() for c in ("id", "n", "tokens"))) if o == -1}
+        sets = {i: (n, np.frombuffer(t, "<u8")) for o, i, n, t in zip(brought, *(table[c].to_pylist() for c in ("id", "n", "tokens"))) if o == -1}
         number = {i: x for x, i in enumerate(sets)}
         forest, links = Forest(len(sets)), []
         for u, v in chosen.tolist():
@@ -309,7 +329,57 @@ def near_pairs(classes: DataFrame, percent: int) -> DataFrame:
                 links.append((u, v))
         return pa.table({"u": pa.array([x for x, _ in links], pa.int64()), "v": pa.array([x for _, x in links], pa.int64())})
 
-    return work.groupBy("one", "two").applyInArrow(verify, "u long, v long")
+    return work.groupBy("one", "two").applyInArrow(verify, LINKS)
+
+
+def near_pairs(classes: DataFrame, percent: int) -> DataFrame:
+    """``u, v``: links between classes ``id, n, tokens, dfs``, enough of them to connect all that link."""
+    classes = in_blocks(classes)
+    known = crowds(classes, percent)
+    groups = components(known)
+    classes = stored(classes.join(groups.withColumnsRenamed({"node": "id", "component": "crowd"}), "id", "left").withColumn("crowd", F.coalesce("crowd", "id")))
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 64):
+                batch = whole.slice(at, 64)
+                out = [[] for _ in range(8)]
+                for id_, n, block, crowd, tokens, dfs in zip(*(batch[c].to_pylist() for c in ("id", "n", "block", "crowd", "tokens", "dfs"))):
+                    for k, own, places, before in prefixes(id_, n, np.frombuffer(tokens, "<u8"), np.frombuffer(dfs, "<u4"), percent):
+                        m = len(own)
+                        for xs, x in zip(out, (own.view("<i8").tolist(), [k] * m, [id_] * m, [n] * m, places.tolist(), [block] * m, [crowd] * m, [x.tobytes() for x in before])):
+                            xs += x
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))],
+                                                 ["token", "ord", "id", "n", "place", "block", "crowd", "before"])
+
+    rows = stored(classes.mapInArrow(spread, "token long, ord int, id long, n long, place long, block long, crowd long, before binary"))
+    buckets = rows.groupBy("token", "ord").agg(F.count("*").alias("many"), F.min("crowd").alias("low"), F.max("crowd").alias("high")).where("low < high")
+    buckets = buckets.select("token", "ord", F.ceil(F.col("many") / BLOCK).cast("int").alias("parts"))
+    deal = rows.join(buckets, ["token", "ord"]).withColumn("own", F.pmod(F.xxhash64("id"), "parts").cast("int"))
+    deal = deal.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    deal = deal.withColumns({"one": F.least("own", "other"), "two": F.greatest("own", "other")})
+    # many small buckets share a task call
+    parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    deal = deal.select("ord", "token", "one", "two", "own", "crowd", "id", "n", "place", "block", "before").repartition(parts, "ord", "token", "one", "two")
+    deal = deal.sortWithinPartitions("ord", "token", "one", "two", F.col("own") != F.col("one"), "crowd")
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, size = [], 0
+        for rows in whole_buckets(batches):
+            for a, b in bucket_pairs(rows, percent):
+                ids, blocks = rows["id"], rows["block"]
+                swap = (blocks[a] > blocks[b]) | (blocks[a] == blocks[b]) & (ids[a] > ids[b])
+                a, b = np.where(swap, b, a), np.where(swap, a, b)
+                found.append((blocks[a], blocks[b], rows["ord"][a].astype(np.int64), ids[a], ids[b]))
+                size += len(a)
+                if size > 400_000:
+                    yield packed_pairs(*map(np.concatenate, zip(*found)))
+                    found, size = [], 0
+        if size:
+            yield packed_pairs(*map(np.concatenate, zip(*found)))
+
+    links = tested(stored(deal.mapInArrow(meet, PAIRS)), classes, percent, ORDERS)
+    return groups.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(links)
 
 
 def enough(common, sizes, percent: int):
@@ -317,20 +387,24 @@ def enough(common, sizes, percent: int):
     return 100 * common >= percent * (sizes - common)
 
 
-def runs(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[dict]:
-    """Columns of each run of rows with equal keys, over a sorted stream of batches."""
+KEYS = ("ord", "token", "one", "two")
+
+
+def whole_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Columns of whole buckets, many at a time, over a sorted stream of batches."""
     held = None
     for batch in batches:
         if not batch.num_rows:
             continue
         batch = pa.Table.from_batches([batch])
         held = batch if held is None else pa.concat_tables([held, batch])
-        columns = {c: held[c].to_numpy() for c in keys}
-        edge = np.flatnonzero(np.any([np.diff(x) != 0 for x in columns.values()], axis=0)) + 1
-        for s, e in zip([0, *edge[:-1]], edge) if len(edge) else ():
-            yield unpacked(held.slice(s, e - s))
-        held = held.slice(int(edge[-1])).combine_chunks() if len(edge) else held
-    if held is not None and held.num_rows:
+        last = held.slice(held.num_rows - 1)
+        same = np.all([held[c].to_numpy() == last[c][0].as_py() for c in KEYS], axis=0)
+        done = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
+        if done:
+            yield unpacked(held.slice(0, done))
+            held = held.slice(done).combine_chunks()
+    if held is not None:
         yield unpacked(held)
 
 
@@ -339,40 +413,66 @@ def unpacked(table: pa.Table) -> dict:
     return out | {"before": joined(table, "before", "<u8").reshape(table.num_rows, -1)}
 
 
-def bucket_pairs(bucket: dict, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of a bucket (or of two blocks of it) that may link and share no token just before.
+def run_ends(*columns: np.ndarray) -> np.ndarray:
+    """For each row the end of the run of rows with equal values that it stands in."""
+    edge = np.flatnonzero(np.any([x[1:] != x[:-1] for x in columns], axis=0)) + 1
+    ends = np.append(edge, len(columns[0]))
+    return np.repeat(ends, np.diff(ends, prepend=0))
 
-    A pair whose first common token stands here has at most the tokens from here on in
-    common; pairs that share an earlier token were met there under a looser bound.
+
+def bucket_pairs(rows: dict, percent: int, most: int = 200_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs within buckets (or of two blocks of one) that may link and share no token just before.
+
+    Rows stand by bucket, side and crowd. A pair whose first common token stands here has at
+    most the tokens from here on in common; pairs that share an earlier token were met there
+    under a looser bound.
     """
-    own = bucket["own"]
-    left = np.flatnonzero(own == bucket["one"][0])
-    right = np.flatnonzero(own == bucket["two"][0])
-    n, rest, before = bucket["n"], bucket["n"] - bucket["place"], bucket["before"]
-    same, firsts, seconds = bucket["one"][0] == bucket["two"][0], [], []
-    for at in range(0, len(left), 128):
-        a = left[at : at + 128]
-        may = enough(np.minimum(rest[a][:, None], rest[right][None]), n[a][:, None] + n[right][None], percent)
-        if same:
-            may &= a[:, None] < right[None]
-        x, y = np.nonzero(may)
-        x, y = a[x], right[y]
-        for s in range(0, len(x), 100_000):
-            i, j = x[s : s + 100_000], y[s : s + 100_000]
-            earlier = np.zeros(len(i), bool)
-            for c in range(before.shape[1]):
-                earlier |= ((before[i] == before[j, c][:, None]) & (before[i] != 0)).any(1)
-            firsts.append(i[~earlier]), seconds.append(j[~earlier])
-    return (np.concatenate(firsts), np.concatenate(seconds)) if firsts else (np.empty(0, int), np.empty(0, int))
-
-
-def packed_pairs(found: dict) -> pa.RecordBatch:
-    all_pairs = [np.unique(np.concatenate(x), axis=0) for x in found.values()]
-    keys = list(found)
-    return pa.RecordBatch.from_arrays([
-        pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()), pa.array([k[2] for k in keys], pa.int32()),
-        pa.array([np.ascontiguousarray(x).astype("<i8").tobytes() for x in all_pairs], pa.binary()),
-        pa.array([np.unique(x).tolist() for x in all_pairs], pa.list_(pa.int64()))], ["one", "two", "ord", "pairs", "ids"])
+    keys = [rows[c] for c in KEYS]
+    end, same = run_ends(*keys), rows["one"] == rows["two"]
+    side = rows["own"] != rows["one"]
+    # inside one block a row meets what stands behind its crowd, across blocks the whole other side
+    start = np.where(same, run_ends(*keys, rows["crowd"]), run_ends(*keys, side))
+    many = np.where(same | ~side, end - start, 0)
+    n, rest, before, crowd = rows["n"], rows["n"] - rows["place"], rows["before"], rows["crowd"]
+    upto = np.cumsum(many)
+    low = 0
+    while low < len(many):
+        high = max(low + 1, int(np.searchsorted(upto, (upto[low - 1] if low else 0) + most, side="right")))
+        i = np.repeat(np.arange(low, high), many[low:high])
+        j = np.repeat(start[low:high], many[low:high]) + ragged(many[low:high])
+        low = high
+        may = (crowd[i] != crowd[j]) & enough(np.minimum(rest[i], rest[j]), n[i] + n[j], percent)
+        i, j = i[may], j[may]
+        earlier = np.zeros(len(i), bool)
+        for c in range(before.shape[1]):
+            earlier |= ((before[i] == before[j, c][:, None]) & (before[i] != 0)).any(1)
+        if not earlier.all():
+            yield i[~earlier], j[~earlier]
+
+
+def packed_pairs(one: np.ndarray, two: np.ndarray, order: np.ndarray, u: np.ndarray, v: np.ndarray) -> pa.RecordBatch:
+    """Distinct pairs, a row for each pair of blocks and order, with the ids named there."""
+    rows = np.unique(np.stack([one, two, order, u, v], 1).astype(np.int64), axis=0)
+    edge = np.flatnonzero(np.any(np.diff(rows[:, :3], axis=0, prepend=rows[:1, :3] - 1) != 0, axis=1))
+    group = np.repeat(np.arange(len(edge)), np.diff(np.append(edge, len(rows))))
+    named = np.unique(np.stack([np.repeat(group, 2), rows[:, 3:].ravel()], 1), axis=0)
+    bounds = np.searchsorted(named[:, 0], np.arange(len(edge) + 1))
+    flat = np.ascontiguousarray(rows[:, 3:]).astype("<i8")
+    pairs = [flat[s:e].tobytes() for s, e in zip(edge, [*edge[1:], len(rows)])]
+    return pa.RecordBatch.from_arrays([pa.array(rows[edge, 0]), pa.array(rows[edge, 1]), pa.array(rows[edge, 2].astype(np.int32)), pa.array(pairs, pa.binary()),
+                                       pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(named[:, 1]))], ["one", "two", "ord", "pairs", "ids"])
+
+
+def linked_classes(docs: DataFrame, k: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``id, n, hi, lo`` of every row; ``hi, lo, class, class_id`` of the classes; ``u, v``, links of class numbers."""
+    parts = parts_for(docs, text_col)
+    both = counted(docs, parts, k, id_col, text_col)
+    sets = stored(set_rows(both, parts))
+    # apart, so that a join with the rows can split a class of many copies
+    classes = sets.where("id is not null and n > 0").groupBy("hi", "lo").agg(F.min("id").alias("class_id"))
+    classes = stored(classes.withColumn("class", F.monotonically_increasing_id()))
+    may = gathered(both, parts, percent)
+    return sets, classes, near_pairs(stored(may.join(classes.withColumnRenamed("class", "id"), ["hi", "lo"]).select("id", "n", "tokens", "dfs")), percent)
 
 
 def jaccard_join(docs: DataFrame, k: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -385,35 +485,53 @@ def jaccard_join(docs: DataFrame, k: int, percent: int, id_col: str = "doc_id",
     Repeated rows are links of their id to itself; an id with several texts links with all
     their partners. Other columns are not read, whatever their names.
     """
-    sets = shingle_sets(docs, k, id_col, text_col)
-    named = sets.where("id is not null and n > 0")
-    reps = stored(named.groupBy("hi", "lo").agg(F.min("id").alias("class_id")))  # apart, so that the join below can split a class of many copies
-    sets = stored(sets.join(reps, ["hi", "lo"], "left").withColumn("class_id", F.when(F.col("id").isNotNull(), F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("id")))))
-    may = shared_tokens(docs, sets, k, percent, id_col, text_col)
-    keys = sets.where("id = class_id and n > 0").select("hi", F.col("lo").bitwiseAND(F.lit(0xFFFFFFFF)).alias("lo"), F.col("class_id").alias("id")).distinct()
-    links = near_pairs(stored(may.join(keys, ["hi", "lo"]).select("id", "n", "tokens", "dfs")), percent)
+    sets, classes, links = linked_classes(docs, k, percent, id_col, text_col)
+    mine = stored(sets.where("id is not null and n > 0").join(classes, ["hi", "lo"]).select("id", "hi", "lo", "class", "class_id"))
     # one id on several sets holds their classes together
-    lowest = sets.where("id is not null").groupBy("id").agg(F.min("class_id").alias("u"), F.max("class_id").alias("v")).where("u != v")
-    several = sets.join(lowest.select("id", "u"), "id").select("u", F.col("class_id").alias("v"))
+    several = mine.groupBy("id").agg(F.min("class").alias("u"), F.max("class").alias("v")).where("u != v")
+    several = mine.join(several.select("id", "u"), "id").select("u", F.col("class").alias("v"))
     found = components(links.unionByName(several))
-    return (sets.join(found.select(F.col("node").alias("class_id"), "component"), "class_id", "left")
-            .select("id", F.col("n").alias("n_shingles"), "class_id", F.coalesce("component", "class_id").alias("component_id")))
+    of = classes.join(found.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
+    lowest = of.groupBy("component").agg(F.min("class_id").alias("component_id"))
+    of = of.join(lowest, "component").select("hi", "lo", "class_id", "component_id")
+    out = sets.join(of, ["hi", "lo"], "left")
+    own = lambda c: F.when(F.col("id").isNotNull(), F.when(F.col("n") > 0, F.col(c)).otherwise(F.col("id"))).alias(c)
+    return out.select("id", F.col("n").alias("n_shingles"), own("component_id"), own("class_id"))
 
 
 def one_of_each(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """``docs`` with one row of each component: a row of its smallest id, the least of repeated ones.
+    """``docs`` with one row of each component of linked texts: of its smallest id, the least row.
 
-    Rows with a null id stay.
+    Rows with a null id and those without words stay. Texts are linked by their sets alone, so
+    an id with several texts loses none that is no near copy.
     """
-    found = stored(jaccard_join(docs, k, percent))
-    left_out = stored(found.where("id != component_id").select(F.col("id").alias("doc_id")).distinct())
-    again = stored(found.where("id is not null").groupBy("id").count().where("count > 1").select(F.col("id").alias("doc_id")))
-    stay = docs.join(left_out, "doc_id", "left_anti")
+    sets, classes, links = linked_classes(docs, k, percent)
+    found = components(links)
+    of = classes.join(found.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
+    first = of.groupBy("component").agg(F.min(F.struct("class_id", "hi", "lo")).alias("first")).select("first.*")
+    stay = stored(first.withColumnRenamed("class_id", "doc_id"))
+    worded = sets.where("id is not null and n > 0")
+    again = stored(sets.where("id is not null").groupBy("id").agg(F.count("*").alias("rows")).where("rows > 1").select(F.col("id").alias("doc_id")))
+    left_out = worded.join(stay.withColumnRenamed("doc_id", "id"), ["id", "hi", "lo"], "left_anti").select(F.col("id").alias("doc_id")).distinct()
+    single = docs.join(left_out, "doc_id", "left_anti")
     if again.isEmpty():
-        return stay.select(docs.columns)
-    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
-    least = stay.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(whole).alias("row")).select("row.*")
-    return stay.join(again, "doc_id", "left_anti").select(docs.columns).unionByName(least.select(docs.columns))
+        return single.select(docs.columns)
+    # rows of repeated ids are told apart by their sets
+    rows = docs.join(again, "doc_id", "left_semi").select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    rows = rows.select("row", F.col("row.text").cast("string").alias("text"))
+
+    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in batches:
+            own = [shingles(x, k, hashes) for x in batch["text"].to_pylist()]
+            marks = [signature(s) for s in own]
+            yield pa.RecordBatch.from_arrays([batch["row"], pa.array([len(s) for s in own], pa.int64()), pa.array(np.array([m[0] for m in marks], U).view("<i8")), pa.array([m[1] for m in marks], pa.int64())], ["row", "n", "hi", "lo"])
+
+    rows = rows.mapInArrow(signed, f"row {rows.schema['row'].dataType.simpleString()}, n long, hi long, lo long").withColumn("doc_id", F.col("row.doc_id"))
+    rows = stored(rows)
+    least = rows.where("n > 0").join(stay, ["doc_id", "hi", "lo"], "left_semi").groupBy("doc_id", "hi", "lo").agg(F.min("row").alias("row"))
+    more = rows.where("n = 0").select("row.*").unionByName(least.select("row.*"))
+    return single.join(again, "doc_id", "left_anti").select(docs.columns).unionByName(more.select(docs.columns))
 
 
 def op7_jaccard_join(spark, sf_dir: str) -> DataFrame:
