@@ -22,6 +22,8 @@ from geoalloc.sources.writers import stored
 CELL = ("cx", "cy")
 #: Shapes of one map in one cell that a task should have to meet at most.
 HOT_ROWS = 100_000
+#: Share of a cell to which heights of edges are exact.
+ROUNDING = 1e-12
 STRIP = ("cx", "cy", "sign", "xa", "xb", "ya", "yb")
 BIN = ("level", "bin", "role")
 #: Levels of bins across a cell; the finest are 2^-30 of it.
@@ -198,6 +200,12 @@ def area_by(strip_rows: DataFrame, *keys: str) -> DataFrame:
     return strip_rows.groupBy(*keys).agg(F.sum(F.expr("sign * (xb - xa) * (ya + yb) / 2")).alias("area"))
 
 
+def ground_by(strip_rows: DataFrame, cell: float, *keys: str) -> DataFrame:
+    """Areas that are more than the rounding of their own strips."""
+    sums = strip_rows.groupBy(*keys).agg(F.sum(F.expr("sign * (xb - xa) * (ya + yb) / 2")).alias("area"), F.sum(F.expr("xb - xa")).alias("wide"))
+    return sums.where(f"area > {ROUNDING * cell!r}D * wide").drop("wide")
+
+
 def _binned(strip_rows: DataFrame, cell: float, own_roles: str, coarse_roles: str) -> DataFrame:
     """Strips dealt by x, so that those far apart in a cell do not meet.
 
@@ -243,6 +251,8 @@ def overlap_by_pair(left: DataFrame, right: DataFrame, left_keys: list[str], rig
                     cell: float, layers: tuple[int, int] = (0, 1)) -> DataFrame:
     """Sums the overlap of two strip tables by the given keys of both.
 
+    A sum within the rounding of its own terms is no ground: heights are exact to
+    ``ROUNDING`` of a cell, over the width that the strips of the two share.
     ``layers`` tells which of the maps that ``cell`` was chosen for the two are.
     """
     # integral of min(l, r) = integral of l minus the part where l exceeds r
@@ -250,8 +260,9 @@ def overlap_by_pair(left: DataFrame, right: DataFrame, left_keys: list[str], rig
         pow(greatest(l0 - r0, l1 - r1), 2) / (2 * (abs(l0 - r0) + abs(l1 - r1))),
         (greatest(l0 - r0, 0D) + greatest(l1 - r1, 0D)) / 2))"""
     j = _paired(left, right, right_keys, cell, layers)
-    return (j.selectExpr(*left_keys, *right_keys, f"{part} as part")
-            .groupBy(*left_keys, *right_keys).agg(F.sum("part").alias("area")))
+    sums = (j.selectExpr(*left_keys, *right_keys, f"{part} as part", "hi - lo as wide")
+            .groupBy(*left_keys, *right_keys).agg(F.sum("part").alias("area"), F.sum("wide").alias("wide")))
+    return sums.where(f"area > {ROUNDING * cell!r}D * wide").drop("wide")
 
 
 def intersect_strips(left: DataFrame, right: DataFrame, right_keys: list[str], cell: float,

@@ -18,7 +18,7 @@ from geoalloc.functions.measures import (
     density, pop_weighted_log_density, weighted_extensive_sum, weighted_intensive_mean, weighted_population,
 )
 from geoalloc.operators import cells, raster
-from geoalloc.operators.spatial import NOISE, bbox_join, on_area_plane, overlap_area, spatial_join_intersects
+from geoalloc.operators.spatial import bbox_join, on_area_plane, overlap_area, spatial_join_intersects
 from geoalloc.sources.writers import stored
 from geoalloc.spec import Grid, InterpolationSpec
 
@@ -180,10 +180,9 @@ def dasymetric_overlap_pairs(map1: DataFrame, map2: DataFrame, src: DataFrame, t
     s = cells.strips(ground, src_id, side).withColumnRenamed("id", "src_id")
     s_1 = cells.strips(map1_p, ids[0], side).withColumnRenamed("id", "id_1")
     s_2 = cells.strips(map2_p, ids[1], side).withColumnRenamed("id", "id_2")
-    real = F.col("area") > NOISE * side * side
     in_1 = cells.intersect_strips(s, s_1, ["id_1"], side, (0, 1))
-    a_1 = people(cells.area_by(in_1, "id_1", "src_id").where(real), "per_m2", "area", "id_1")
-    a_12 = people(cells.overlap_by_pair(in_1, s_2, ["id_1", "src_id"], ["id_2"], side, (0, 2)).where(real), "per_m2", "area", "id_1", "id_2")
+    a_1 = people(cells.ground_by(in_1, side, "id_1", "src_id"), "per_m2", "area", "id_1")
+    a_12 = people(cells.overlap_by_pair(in_1, s_2, ["id_1", "src_id"], ["id_2"], side, (0, 2)), "per_m2", "area", "id_1", "id_2")
 
     near = bbox_join(map1, map2, ids[0], ids[1], ("id_1", "id_2"), cell, (1, 2)).select("id_1", "id_2")
     if min_pop is None:

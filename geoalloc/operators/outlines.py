@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geoalloc.functions.geometry import BOX, EQUIDISTANT, GEOM_TYPE, LONLAT, project, tidy, with_box
-from geoalloc.operators import cells
-from geoalloc.operators.spatial import EDGES_MEET, edge_cells
+from geoalloc.operators import cells, noding
+from geoalloc.sources.writers import stored
 
 RING_SCHEMA = "id string, poly int, ring int, xs array<double>, ys array<double>"
 
@@ -37,89 +36,29 @@ def _with_rings(shapes: DataFrame, id: str, ring_rows: DataFrame) -> DataFrame:
 
 # --- repair ----------------------------------------------------------------
 
-def _loops(xy: np.ndarray) -> list[np.ndarray]:
-    """A closed ring as loops that do not meet themselves: the ring is cut where
-    its edges meet, and a walk along it closes a loop at each point seen before."""
-    p, d = xy[:-1], np.diff(xy, axis=0)
-    n = len(p)
-    cuts = [[(0.0, (x, y))] for x, y in p.tolist()]
-    for i in range(n - 2):
-        j = np.arange(i + 2, n - (i == 0))
-        w, den = p[j] - p[i], d[i, 0] * d[j, 1] - d[i, 1] * d[j, 0]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            t = (w[:, 0] * d[j, 1] - w[:, 1] * d[j, 0]) / den
-            u = (w[:, 0] * d[i, 1] - w[:, 1] * d[i, 0]) / den
-        for k in np.flatnonzero((den != 0) & (t >= 0) & (t <= 1) & (u >= 0) & (u <= 1)):
-            q = tuple((p[i] + t[k] * d[i]).tolist())
-            cuts[i].append((t[k], q))
-            cuts[j[k]].append((u[k], q))
-    out, path = [], []
-    seen: dict[tuple, int] = {}
-    for q in [q for edge in cuts for _, q in sorted(edge)] + [cuts[0][0][1]]:
-        if q in seen:
-            loop = path[seen[q]:] + [q]
-            for gone in path[seen[q] + 1:]:
-                seen.pop(gone, None)
-            del path[seen[q] + 1:]
-            if len(loop) >= 4:
-                out.append(np.array(loop))
-        else:
-            seen[q] = len(path)
-            path.append(q)
-    return out
-
-
-def _holds(ring: np.ndarray, q: np.ndarray) -> bool:
-    a, b = ring[:-1], ring[1:]
-    with np.errstate(divide="ignore", invalid="ignore"):
-        x = a[:, 0] + (q[1] - a[:, 1]) * (b[:, 0] - a[:, 0]) / (b[:, 1] - a[:, 1])
-    return bool((((a[:, 1] > q[1]) != (b[:, 1] > q[1])) & (x > q[0])).sum() % 2)
-
-
-def _untangled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Every polygon replaced by the loops of its rings, by even and odd: a loop inside
-    an even number of others is the shell of a part, another a hole of the smallest
-    loop around it."""
-    for pdf in batches:
-        out = []
-        for row in pdf.itertuples(index=False):
-            loops = [l for xs, ys in zip(row.xs, row.ys) for l in _loops(np.column_stack([xs, ys]))]
-            loops.sort(key=lambda l: (*l[0].tolist(), len(l)))
-            around = [[j for j, o in enumerate(loops) if j != i and _holds(o, (l[0] + l[1]) / 2)] for i, l in enumerate(loops)]
-            holes: dict[int, int] = {}
-            for i, (l, outer) in enumerate(zip(loops, around)):
-                part, ring = i, 0
-                if len(outer) % 2:
-                    part = max(outer, key=lambda j: len(around[j]))
-                    ring = holes[part] = holes.get(part, 0) + 1
-                out.append((row.id, row.poly, part, ring, l[:, 0], l[:, 1]))
-        yield pd.DataFrame(out, columns=["id", "poly", "part", "ring", "xs", "ys"])
-
-
-def repair_geometries(shapes: DataFrame, id: str, cell: float | None = None) -> DataFrame:
-    """Closes rings, drops repeated points and rings without area, and turns rings
-    that cross or touch themselves into simple loops with even-odd ground.
-
-    Crossings are found by an equi-join of edges on ring and cell; only shapes
-    that have one go through the loop helper. ``repaired`` marks them.
+def repair_geometries(shapes: DataFrame, id: str) -> DataFrame:
+    """Closes rings, drops repeated points and rings without area, and turns polygons
+    whose rings cross or touch themselves, or cross one another, into simple loops with
+    even-odd ground. Rings that do not meet stay shell and holes as they are given.
+
+    ``repaired`` marks those; it is null for a shape that stays as it was because
+    roundings of its crossings contradict one another. Rings of repaired shapes start at
+    their least point, shells counter-clockwise, holes clockwise. Edges meet in bins
+    of their own size; loops are traced in tables (``noding``).
     """
     clean = with_box(shapes.withColumn("geom", tidy(F.col("geom"))))
-    cell = cell or cells.choose_cell(clean)
-    e = (rings(clean, id).selectExpr("id", "poly", "ring", "size(xs) - 1 as n", "xs", "ys", "explode(sequence(0, size(xs) - 2)) as i")
-         .selectExpr("id", "poly", "ring", "n", "i", "xs[i] as x1", "ys[i] as y1", "xs[i + 1] as x2", "ys[i + 1] as y2"))
-    keys = ["id", "poly", "ring", *cells.CELL]
-    left = edge_cells(e, cell, "l_")
-    right = edge_cells(e.withColumnRenamed("i", "k").drop("n"), cell, "r_")
-    bad = (left.join(right.hint("merge"), keys).where("k > i + 1 and not (i = 0 and k = n - 1)").where(EDGES_MEET)
-           .select(F.col("id").alias(id)).distinct())
-    tangled = clean.join(bad, id, "left_semi")
-    whole = tangled.selectExpr(f"cast(`{id}` as string) as id", "posexplode(geom.polys) as (poly, rs)").selectExpr(
-        "id", "poly", "transform(rs, r -> r.x) as xs", "transform(rs, r -> r.y) as ys")
-    loops = whole.mapInPandas(_untangled, "id string, poly int, part int, ring int, xs array<double>, ys array<double>")
-    numbered = loops.selectExpr("id", "struct(poly, part) as poly", "ring", "xs", "ys")
-    fixed = _with_rings(tangled.withColumn("__id", F.col(id)).withColumn(id, F.col(id).cast("string")), id, numbered)
-    fixed = fixed.drop(id).withColumnRenamed("__id", id).withColumn("repaired", F.lit(True)).select(*clean.columns, "repaired")
-    return clean.join(bad, id, "left_anti").withColumn("repaired", F.lit(False)).select(*clean.columns, "repaired").unionByName(fixed)
+    e = noding.polygon_edges(clean, id)
+    meetings = stored(noding.edge_meetings(e).selectExpr("id", "poly", *(f"{s}_{c}" for s in "ab" for c in ("ring", "i", "x1", "y1", "x2", "y2")), "cuts", "tangled"))
+    bad = stored(meetings.where("tangled").select("id").distinct())
+    if bad.isEmpty():
+        return clean.withColumn("repaired", F.lit(False))
+    loops, lost = noding.untangled(e.join(bad, "id", "left_semi"), meetings.join(bad, "id", "left_semi"))
+    loops = loops.selectExpr("id", "struct(poly, part) as poly", "ring", "xs", "ys")
+    marks = bad.join(lost.withColumn("repaired", F.lit(False)), "id", "left").selectExpr(f"id as `{id}`", "repaired is null as repaired", "true as tangled")
+    rows = clean.join(marks, id, "left")
+    fixed = _with_rings(rows.where("repaired").withColumn("geom", F.struct("geom.srid", F.array().cast("array<array<array<struct<x:double,y:double>>>>").alias("polys"))), id, loops)
+    rest = rows.where("repaired is null or not repaired").withColumn("repaired", F.when(F.col("tangled").isNull(), F.lit(False)))
+    return rest.select(*clean.columns, "repaired").unionByName(fixed.select(*clean.columns, "repaired"))
 
 
 # --- borders ---------------------------------------------------------------

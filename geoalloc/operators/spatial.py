@@ -11,11 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geoalloc.functions.geometry import BOX, EQUAL_AREA, LONLAT, planar_area, project
-from geoalloc.operators import cells
+from geoalloc.operators import cells, edges
 
 PAIR = ("src_id", "tgt_id")
-#: Overlaps below this share of a cell are rounding, not ground.
-NOISE = 1e-12
 #: Cut of lon/lat edges, in degrees, before areas are taken on the equal-area plane.
 EDGE_STEP = 0.05
 
@@ -52,9 +50,8 @@ def overlap_area(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
     """``area`` of every pair that shares ground; touching pairs fall out."""
     left, right = on_area_plane(left, srid), on_area_plane(right, srid)
     cell = cell or cells.choose_cell(left, right)
-    pairs = cells.overlap_by_pair(_cut(left, left_id, names[0], cell), _cut(right, right_id, names[1], cell),
-                                  [names[0]], [names[1]], cell, layers)
-    return pairs.where(F.col("area") > NOISE * cell * cell)
+    return cells.overlap_by_pair(_cut(left, left_id, names[0], cell), _cut(right, right_id, names[1], cell),
+                                 [names[0]], [names[1]], cell, layers)
 
 
 def overlap_area_3(a: DataFrame, b: DataFrame, c: DataFrame, ids: tuple[str, str, str],
@@ -65,7 +62,7 @@ def overlap_area_3(a: DataFrame, b: DataFrame, c: DataFrame, ids: tuple[str, str
     cell = cell or cells.choose_cell(a, b, c)
     first = cells.intersect_strips(_cut(b, ids[1], names[1], cell), _cut(a, ids[0], names[0], cell), [names[0]], cell, (1, 0))
     out = cells.overlap_by_pair(first, _cut(c, ids[2], names[2], cell), [names[1], names[0]], [names[2]], cell, (1, 2))
-    return out.where(F.col("area") > NOISE * cell * cell).select(*names, "area")
+    return out.select(*names, "area")
 
 
 def edge_cells(edge_rows: DataFrame, cell: float, p: str = "") -> DataFrame:
@@ -87,35 +84,46 @@ def edge_cells(edge_rows: DataFrame, cell: float, p: str = "") -> DataFrame:
     return e.select(*kept, *cells.CELL, *[F.col(k).alias(p + k) for k in ("ax", "ay", "bx", "by")])
 
 
-def _side(a: str, b: str, c: str) -> str:
-    return f"signum(({b}x - {a}x) * ({c}y - {a}y) - ({b}y - {a}y) * ({c}x - {a}x))"
+def sized_edges(shapes: DataFrame, id: str, name: str) -> DataFrame:
+    """All edges of a map with their size classes: ``name, sx, sy, x1, y1, x2, y2``."""
+    rings = edges.with_classes(shapes, "flatten(geom.polys)").selectExpr(f"`{id}` as `{name}`", "least", "explode(flatten(geom.polys)) as r")
+    each = "inline(zip_with(slice(r, 1, greatest(size(r) - 1, 0)), slice(r, 2, greatest(size(r) - 1, 0)), (p, q) -> struct(p.x as x1, p.y as y1, q.x as x2, q.y as y2)))"
+    return edges.with_class(rings.selectExpr(f"`{name}`", "least", each).where("x1 <> x2 or y1 <> y2")).drop("least")
 
 
-#: Two closed edges ``l_`` and ``r_`` have a point in common.
-EDGES_MEET = f"""l_ax <= r_bx and r_ax <= l_bx
-    and least(l_ay, l_by) <= greatest(r_ay, r_by) and least(r_ay, r_by) <= greatest(l_ay, l_by)
-    and {_side('l_a', 'l_b', 'r_a')} * {_side('l_a', 'l_b', 'r_b')} <= 0
-    and {_side('r_a', 'r_b', 'l_a')} * {_side('r_a', 'r_b', 'l_b')} <= 0"""
+def border_edges(pairs: DataFrame, left: DataFrame, right: DataFrame, left_id: str, right_id: str,
+                 names: tuple[str, str], cell: float) -> tuple[DataFrame, DataFrame]:
+    """Edges of both sides of each box pair in the cells of the shared box, ready to meet by ``names`` and cell."""
+    c = f"{float(cell)!r}D"
+
+    def span(lo, hi):
+        return f"explode(sequence(floor(greatest({lo}, r_{lo}) / {c} - 1e-9D), floor(least({hi}, r_{hi}) / {c} + 1e-9D)))"
+
+    def classes(shapes, id, name, column):
+        return edges.with_classes(shapes, "flatten(geom.polys)").selectExpr(f"`{id}` as `{name}`", f"classes as {column}")
+
+    shared = pairs.join(classes(left, left_id, names[0], "l_classes"), names[0]).join(classes(right, right_id, names[1], "r_classes"), names[1])
+    shared = shared.selectExpr("*", f"{span('xmin', 'xmax')} as cx").selectExpr("*", f"{span('ymin', 'ymax')} as cy")
+
+    def near(shapes, id, name, other):
+        e = edge_cells(sized_edges(shapes, id, name), cell).withColumnsRenamed({"ax": "x1", "ay": "y1", "bx": "x2", "by": "y2"})
+        j = shared.select(*names, *cells.CELL, F.col(other).alias("other"), *BOX, *[f"r_{b}" for b in BOX]).join(e.hint("merge"), [name, *cells.CELL])
+        j = j.where("greatest(xmin, r_xmin) <= greatest(x1, x2) and least(x1, x2) <= least(xmax, r_xmax) and greatest(ymin, r_ymin) <= greatest(y1, y2) and least(y1, y2) <= least(ymax, r_ymax)")
+        return j.select(*names, *cells.CELL, "other", "sx", "sy", "x1", "y1", "x2", "y2")
+
+    return near(left, left_id, names[0], "r_classes"), near(right, right_id, names[1], "l_classes")
 
 
 def _contacts(pairs: DataFrame, left: DataFrame, right: DataFrame, left_id: str, right_id: str,
               names: tuple[str, str], cell: float) -> DataFrame:
     """Those of the given box pairs whose outlines meet in at least one point.
 
-    Outlines can meet only in the cells of the shared box, so a pair takes the
-    edges of both sides from there alone.
+    Outlines can meet only in the cells of the shared box, so a pair takes the edges of
+    both sides from there alone, and these meet in bins of their own size.
     """
-    c = f"{float(cell)!r}D"
-
-    def span(lo, hi):
-        return f"explode(sequence(floor(greatest({lo}, r_{lo}) / {c} - 1e-9D), floor(least({hi}, r_{hi}) / {c} + 1e-9D)))"
-
-    le = edge_cells(cells.edges(left, left_id).withColumnRenamed("id", names[0]), cell, "l_")
-    re = edge_cells(cells.edges(right, right_id).withColumnRenamed("id", names[1]), cell, "r_")
-    shared = pairs.selectExpr(*names, *BOX, *[f"r_{b}" for b in BOX], f"{span('xmin', 'xmax')} as cx").selectExpr(
-        *names, "cx", f"{span('ymin', 'ymax')} as cy")
-    near = shared.join(le.hint("merge"), [names[0], *cells.CELL]).join(re.hint("merge"), [names[1], *cells.CELL])
-    return near.where(EDGES_MEET).select(*names).distinct()
+    a, b = border_edges(pairs, left, right, left_id, right_id, names, cell)
+    met = edges.with_turns(edges.meeting(a, b, [*names, *cells.CELL]))
+    return met.where(edges.HAVE_A_POINT).select(*names).distinct()
 
 
 def spatial_join_intersects(left: DataFrame, right: DataFrame, left_id: str, right_id: str,

@@ -157,6 +157,15 @@ def test_chunks_have_the_ids_of_whole_texts(rows):
         assert np.frombuffer(ids.of(t), "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids
 
 
+def test_chunks_of_mixed_strings():
+    ids, tokenizer, rng = ChunkIds(TOKENIZER, "<u4"), Tokenizer.from_file(TOKENIZER), random.Random(8)
+    letters = list("abcXYZéÉßñÑçÇİıŞşĞŁœŒæĿŉſǅǆÅΣσςЖж東ﬁ\u0301\u0307\u200b09.,.,.,;:'’-_$%#<|>\t\x0b\x1c\u00a0  \n") + ["the", "schung", "İKİ", "SERGİ", "école", "nation", "don't"]
+    texts = ["İKİ.", "yeni bir SERGİ, ve"] + ["".join(rng.choice(letters) for _ in range(rng.randrange(1, 14))) for _ in range(100_000)]
+    want = tokenizer.encode_batch(texts, add_special_tokens=False)
+    wrong = [t for t, w in zip(texts, want) if np.frombuffer(ids.of(t), "<u4").tolist() != w.ids]
+    assert not wrong, wrong[:20]
+
+
 def test_winnowing_keeps_the_rightmost_minimum_of_every_window():
     rng = np.random.default_rng(0)
     for n in (0, 1, 5, WINDOW, WINDOW + 1, 200):

@@ -406,8 +406,12 @@ def build() -> dict[str, str]:
     def my(c):
         return f"round(ln(tan(pi() / 4 + radians({c} * 0.05::DOUBLE + 10) / 2)) * a, 3)"
     add("project", f"select id_0, {mx('x0')} as xmin, {my('y0')} as ymin, {mx('x1')} as xmax, {my('y1')} as ymax from tgt_a, ell", _ELL)
-    add("repair_geometries", f"""select k, k % 5 = 0 as repaired, (case when k % 5 = 0 then 2 else 1 end)::bigint as polys,
-      (case when k % 5 = 0 then 8 else 5 end)::bigint as points, case when k % 5 = 0 then 8 * {KM2} else 16 * {KM2} end as area from src_tracts""")
+    mid, low, high, left, right = ("(x0 + x1) / 2", "(y0 + y1) / 2"), ("x1", "y0"), ("x1", "y1"), ("x0", "y0"), ("x0", "y1")
+    # bow ties fall into their two triangles, each from its least point; boxes stay
+    loops = [(True, 0, (left, mid, right, left)), (True, 1, (mid, low, high, mid)), (False, 0, (left, low, high, right, left))]
+    add("repair_geometries", " union all ".join(
+        f"select k, {tied} as repaired, {poly}::bigint as poly, 0::bigint as ring, {n}::bigint as n, {x} * 1000::DOUBLE as x, {y} * 1000::DOUBLE as y from src_tracts where (k % 5 = 0) = {tied}"
+        for tied, poly, points in loops for n, (x, y) in enumerate(points)))
     e = 'select k, {0} * 1000::DOUBLE as ax, {1} * 1000::DOUBLE as ay, {2} * 1000::DOUBLE as bx, {3} * 1000::DOUBLE as "by" from src_tracts'
     sides = [e.format(*c) for c in (("x0", "y0", "x1", "y0"), ("x0", "y1", "x1", "y1"), ("x0", "y0", "x0", "y1"), ("x1", "y0", "x1", "y1"))]
     add("shared_edges", 'select ax, ay, bx, "by", k, count(*) over (partition by ax, ay, bx, "by") as sharers from e', f"e as ({' union all '.join(sides)})")

@@ -576,8 +576,8 @@ def q_repair_geometries(m):
     raw = m.flat("src_tracts").withColumn(
         "geom", F.struct(F.lit(0).alias("srid"), F.array(F.array(ring, spot)).alias("polys")).cast(GEOM_TYPE))
     out = outlines.repair_geometries(with_box(raw), "k")
-    return out.select("k", "repaired", F.size("geom.polys").alias("polys"),
-                      F.size(F.flatten(F.flatten("geom.polys"))).alias("points"), planar_area(F.col("geom")).alias("area"))
+    rings = out.select("k", "repaired", F.posexplode("geom.polys").alias("poly", "rings")).select("k", "repaired", "poly", F.posexplode("rings").alias("ring", "points"))
+    return rings.select("k", "repaired", "poly", "ring", F.posexplode("points").alias("n", "p")).select("k", "repaired", "poly", "ring", "n", F.col("p.x").alias("x"), F.col("p.y").alias("y"))
 
 
 @query
