@@ -66,7 +66,7 @@ class ChunkIds(dict):
             self.clear()
         if self.plain and is_plain(low := chunk.lower()):
             ids = self.modelled(low)
-        elif self.plain and len(chunk) > 1 and chunk[-1] in ".," and chunk[-2].isalpha():
+        elif self.plain and chunk[-1:] in (".", ",") and is_plain(low[:-1]):
             ids = self[chunk[:-1]] + self[chunk[-1]]
         else:
             ids = self.encoded(chunk)
