@@ -104,7 +104,8 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93, id_col: str = "vec_
             yield pa.RecordBatch.from_arrays([batch["id"], batch["label"], pa.array(out, pa.binary()), pa.array(widths, pa.int32())], ["id", "label", "unit", "width"])
 
     rows = stored(rows.mapInArrow(scale, "id long, label string, unit binary, width int"))
-    classes = stored(rows.where("id is not null and label is not null and unit is not null").groupBy("label", "unit", "width").agg(F.min("id").alias("id"), F.count("*").alias("copies")))
+    classes = stored(rows.where("id is not null and label is not null and unit is not null").groupBy("label", "unit", "width").agg(F.count("*").alias("copies"))
+                     .withColumn("id", F.monotonically_increasing_id()))  # a number of the class, for an id may have several
     sizes = {r[0]: r[1] for r in classes.groupBy("width").count().collect()}  # vector lengths, one in practice
     links = None
     for width, count in sorted(sizes.items()):
@@ -115,13 +116,18 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93, id_col: str = "vec_
     links = stored(links)
     degrees = links.where("v is null").groupBy(F.col("u").alias("label_of"), F.col("w").alias("of_class")).agg(F.sum("n").alias("near"))
     members = rows.join(classes.select("label", "unit", F.col("id").alias("class"), "copies"), ["label", "unit"], "left")
-    members = members.withColumn("class", F.when(F.col("id").isNotNull(), F.col("class")))
+    members = stored(members.select("id", "label", F.when(F.col("id").isNotNull(), F.col("class")).alias("class"), "copies"))
     # an id in several classes holds them together
-    several = members.where("class is not null and id != class").select(F.col("id").alias("a"), F.col("class").alias("b"))
+    several = members.where("class is not null").groupBy("id").agg(F.min("class").alias("a"), F.max("class").alias("b")).where("a != b")
+    several = members.join(several.select("id", "a"), "id").where("class is not null").select("a", F.col("class").alias("b"))
     found = components(links.where("v is not null").select(F.col("v").alias("a"), F.col("w").alias("b")).unionByName(several), "a", "b")
     members = members.join(degrees, (F.col("label") == F.col("label_of")) & (F.col("class") == F.col("of_class")), "left")
-    members = members.join(found, F.col("id") == F.col("node"), "left")
-    component = F.coalesce("component", "id")
+    members = members.join(found, F.col("class") == F.col("node"), "left").withColumn("component", F.coalesce("component", "class"))
+    # a row without a class of an id that has one belongs to that one's component
+    lowest = members.where("component is not null").groupBy("component").agg(F.min("id").alias("component_id"))
+    of_id = members.where("component is not null").groupBy("id").agg(F.min("component").alias("of_id"))
+    members = members.join(of_id, "id", "left").withColumn("component", F.coalesce("component", "of_id")).join(lowest, "component", "left")
+    component = F.coalesce("component_id", "id")
     return members.select(F.col("id").alias(id_col), F.when(F.col("id").isNotNull(), F.coalesce(F.col("near") + F.col("copies") - 1, F.col("copies") - 1, F.lit(0))).alias("n_links"),
                           component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(False)).alias("kept"))
 
