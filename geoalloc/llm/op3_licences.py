@@ -138,22 +138,23 @@ def own_licences(files: DataFrame, templates=TEMPLATES, least: float = LEAST) ->
     terms = F.broadcast(inline(spark, [(t, w) for t, w in idf.items()], "term", "idf"))
     weights = F.broadcast(inline(spark, [(t, n, w) for n, v in vectors.items() for t, w in v.items()], "term", "licence", "weight"))
     texts = files.select("path", F.explode(F.array(F.lower(F.col("text").cast("string")))).alias("text")).where(some)
-    lines = texts.withColumn("lines", F.split(F.rtrim("text", F.lit(" \t\r\n")), "\n")).select("path", F.size("lines").alias("count"), F.posexplode("lines").alias("line", "text")).where(some)
+    key = ["path", "of_text", "line"]  # rows may repeat a path with other texts
+    lines = texts.withColumn("lines", F.split(F.rtrim("text", F.lit(" \t\r\n")), "\n")).select("path", F.xxhash64("text").alias("of_text"), F.size("lines").alias("count"), F.posexplode("lines").alias("line", "text")).where(some)
     # exploding a single value keeps it from being worked out again wherever it is used
     split = F.filter(F.regexp_extract_all("text", F.lit(TERM), F.lit(0)), lambda t: ~t.isin(STOP))
-    lines = lines.select("path", "line", "count", F.explode(F.array(split)).alias("terms"))
+    lines = lines.select(*key, "count", F.explode(F.array(split)).alias("terms"))
     lines = lines.select("*", F.explode(F.array(F.filter("terms", lambda t: t.isin(list(idf))))).alias("known"))
     # the cosine is at most that of the known part of a line to the whole of it
     weight_of = F.create_map(*(F.lit(x) for pair in idf.items() for x in pair))
     matched = F.aggregate(F.array_distinct("known"), F.lit(0.0), lambda a, t: a + F.pow(F.size(F.filter("known", lambda x: x == t)) * weight_of[t], 2.0))
     others = F.size(F.array_distinct(F.filter("terms", lambda t: ~t.isin(list(idf)))))
     lines = lines.where(others * unknown**2 * least**2 <= matched * (1 - least**2) * 1.001)
-    words = stored(lines.select("path", "line", "count", "terms")).withColumn("term", F.explode("terms"))  # few lines; texts are read once
-    counted = words.groupBy("path", "line", "count", "term").agg(F.count("*").alias("times"))
+    words = stored(lines.select(*key, "count", "terms")).withColumn("term", F.explode("terms"))  # few lines; texts are read once
+    counted = words.groupBy(*key, "count", "term").agg(F.count("*").alias("times"))
     weighed = counted.join(terms, "term", "left").withColumn("own", F.col("times") * F.coalesce("idf", F.lit(unknown)))
-    lengths = weighed.groupBy("path", "line", "count").agg(F.sqrt(F.sum(F.col("own") ** 2)).alias("length"))
-    products = weighed.join(weights, "term").groupBy("path", "line", "licence").agg(F.sum(F.col("own") * F.col("weight")).alias("product"))
-    scored = products.join(lengths, ["path", "line"]).withColumn("score", F.round(F.col("product") / F.col("length"), 6)).where(F.col("score") >= least)
+    lengths = weighed.groupBy(*key, "count").agg(F.sqrt(F.sum(F.col("own") ** 2)).alias("length"))
+    products = weighed.join(weights, "term").groupBy(*key, "licence").agg(F.sum(F.col("own") * F.col("weight")).alias("product"))
+    scored = products.join(lengths, key).withColumn("score", F.round(F.col("product") / F.col("length"), 6)).where(F.col("score") >= least)
     best = scored.groupBy("path").agg(F.min(F.struct((-F.col("score")).alias("minus"), "line", "licence", "count")).alias("best"))
     return best.select("path", "best.licence", (-F.col("best.minus")).alias("score"), (F.col("best.line") == F.col("best.count") - 1).alias("last"))
 
