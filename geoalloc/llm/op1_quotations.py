@@ -139,17 +139,29 @@ def link(messages: DataFrame, id_col: Column, text_col: Column, sent_col: Column
     return out.select("scope", sent.alias("sent"), "id", "own", "parent", "level", F.coalesce("root", "id").alias("root"), F.coalesce("depth", F.lit(0)).alias("depth"))
 
 
+def turns_of(conversations: DataFrame) -> DataFrame:
+    """``conv_id, turn, text, role, mark`` of every row; a null text is empty, a null role someone."""
+    text, role = F.coalesce(F.col("text").cast("string"), F.lit("")), F.coalesce(F.col("role").cast("string"), F.lit("someone"))
+    return conversations.select("conv_id", "turn", text.alias("text"), role.alias("role"), F.sha2(F.concat(role, F.lit("\n"), text), 256).alias("mark"))
+
+
 def as_mail(conversations: DataFrame, depth: int = 3) -> DataFrame:
     """Turns as messages that quote the turn they answer, and what that one quoted, to some depth.
 
     Each turn answers the one before; every third turn the one before that. Of four turns one
     quotes the first half of the lines only, and one answers between two parts of the quote.
+    Rows that repeat a turn of a conversation are messages of their own, told apart by ``mark``, a
+    hash of role and text (equal rows are one message); where such a turn is answered, its least
+    text is quoted. Rows without a conversation quote nothing; those without a turn are
+    messages without an id, as often as they stand there.
     """
-    turns = conversations.groupBy("conv_id", "turn").agg(F.min(F.struct(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.coalesce(F.col("role").cast("string"), F.lit("someone")).alias("role"))).alias("m"))
-    turns = turns.where("conv_id is not null and turn is not null").select("conv_id", "turn", "m.text", "m.role")
+    rows = turns_of(conversations)
+    turns = rows.where("turn is not null").distinct()
+    mail = turns.unionByName(rows.where("turn is null"))
+    quoted = turns.where("conv_id is not null").groupBy("conv_id", "turn").agg(F.min(F.struct("text", "role")).alias("m")).select("conv_id", "turn", "m.*")
     answers = F.col("turn") - F.when(F.col("turn") % 3 == 0, 2).otherwise(1)
-    mail = turns.select("conv_id", "turn", F.col("text").alias("body"), answers.alias("next"))
-    told = turns.select(F.col("conv_id").alias("c"), F.col("turn").alias("t"), F.col("text").alias("said"), F.col("role").alias("who"), answers.alias("then"))
+    mail = mail.select("conv_id", "turn", "mark", F.col("text").alias("body"), answers.alias("next"))
+    told = quoted.select(F.col("conv_id").alias("c"), F.col("turn").alias("t"), F.col("text").alias("said"), F.col("role").alias("who"), answers.alias("then"))
     for level in range(1, depth + 1):
         marks = "> " * level
         joined = mail.join(told, (F.col("conv_id") == F.col("c")) & (F.col("next") == F.col("t")), "left")
@@ -162,35 +174,43 @@ def as_mail(conversations: DataFrame, depth: int = 3) -> DataFrame:
             both = (F.trim(F.regexp_replace(head, r"\s", "")) != "") & (F.trim(F.regexp_replace(tail, r"\s", "")) != "")
             between = F.concat(says, quote(head), F.lit("\n"), answer[0], quote(tail), F.lit("\n"), F.coalesce(F.get(answer, F.lit(1)), F.lit("")))
             body = F.when(both & (F.col("turn") % 4 == 1), F.concat("body", says, quote(head))).when(both & (F.col("turn") % 4 == 2), between).otherwise(body)
-        mail = joined.select("conv_id", "turn", body.alias("body"), F.col("then").alias("next"))
-    return mail.select("conv_id", "turn", F.col("body").alias("text"))
+        mail = joined.select("conv_id", "turn", "mark", body.alias("body"), F.col("then").alias("next"))
+    return mail.select("conv_id", "turn", "mark", F.col("body").alias("text"))
 
 
 def op1_quotations(spark, sf_dir: str) -> DataFrame:
-    """All turns as mail, linked again by what they quote; the answer lists turns of the conversation."""
-    mail = as_mail(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
-    found = link(mail, F.lpad(F.col("turn").cast("string"), 12, "0"), F.col("text"), F.col("turn"), F.col("conv_id"))
-    return found.select(F.col("scope").cast("long").alias("conv_id"), F.col("id").cast("long").alias("turn"), F.col("parent").cast("long").alias("parent_turn"),
-                        "level", F.col("root").cast("long").alias("root_turn"), "depth", F.col("own").alias("text"))
+    """All turns as mail, linked again by what they quote; the answer lists turns of the conversation, a row for each of the table."""
+    table = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    name = F.concat(F.lpad(F.col("turn").cast("string"), 12, "0"), F.lit("|"), "mark")
+    found = link(as_mail(table), name, F.col("text"), F.col("turn"), F.col("conv_id"))
+    found = stored(found.withColumnRenamed("id", "name").drop("sent"))
+    rows = turns_of(table).where("turn is not null").select(F.col("conv_id").cast("string").alias("of"), name.alias("id"))
+    every = rows.join(found, F.col("of").eqNullSafe(F.col("scope")) & (F.col("id") == F.col("name"))).drop("of", "id").unionByName(found.where("name is null"))
+    turn = lambda c: F.substring_index(c, "|", 1).cast("long")
+    return every.select(F.col("scope").cast("long").alias("conv_id"), turn("name").alias("turn"), turn("parent").alias("parent_turn"),
+                        "level", turn("root").alias("root_turn"), "depth", F.col("own").alias("text"))
 
 
 SQL = """
-with recursive turns as (
-  select conv_id, turn, coalesce(text, '') as text, trim(regexp_replace(lower(coalesce(text, '')), '\\s+', ' ', 'g')) as plain,
-    turn - case when turn % 3 = 0 then 2 else 1 end as answers from conversations),
+with recursive rows as (
+  select conv_id, turn, coalesce(text, '') as text, coalesce(role, 'someone') as role, turn - case when turn % 3 = 0 then 2 else 1 end as answers from conversations),
+turns as (
+  select *, trim(regexp_replace(lower(text), '\\s+', ' ', 'g')) as plain, sha256(role || chr(10) || text) as mark from rows),
+heard as (select conv_id, turn, answers, arg_min(plain, (text, role)) as plain from turns where conv_id is not null and turn is not null group by all),
+named as (select distinct conv_id, turn, mark, plain, answers from turns where conv_id is not null and turn is not null),
 chain as (  -- what each turn quotes, by level
-  select t.conv_id, t.turn, 1 as level, q.plain, q.answers from turns t join turns q on q.conv_id = t.conv_id and q.turn = t.answers
+  select t.conv_id, t.turn, t.mark, 1 as level, q.plain, q.answers from named t join heard q on q.conv_id = t.conv_id and q.turn = t.answers
   union all
-  select c.conv_id, c.turn, c.level + 1, q.plain, q.answers from chain c join turns q on q.conv_id = c.conv_id and q.turn = c.answers where c.level < 3),
+  select c.conv_id, c.turn, c.mark, c.level + 1, q.plain, q.answers from chain c join heard q on q.conv_id = c.conv_id and q.turn = c.answers where c.level < 3),
 found as (
-  select c.conv_id, c.turn, c.level, min(w.turn) as parent from chain c join turns w on w.conv_id = c.conv_id and w.plain = c.plain and w.turn < c.turn
+  select c.conv_id, c.turn, c.mark, c.level, min((w.turn, w.mark)) as parent from chain c join named w on w.conv_id = c.conv_id and w.plain = c.plain and (w.turn, w.mark) < (c.turn, c.mark)
   where c.plain <> '' group by all),
-best as (select * from found qualify row_number() over (partition by conv_id, turn order by level) = 1),
+best as (select * from found qualify row_number() over (partition by conv_id, turn, mark order by level) = 1),
 climb as (
-  select conv_id, turn, turn as reached, 0 as depth from turns
+  select conv_id, turn, mark, (turn, mark) as reached, 0 as depth from named
   union all
-  select k.conv_id, k.turn, b.parent, k.depth + 1 from climb k join best b on b.conv_id = k.conv_id and b.turn = k.reached),
-top as (select conv_id, turn, arg_max(reached, depth) as root, max(depth) as depth from climb group by all)
-select t.conv_id, t.turn, b.parent as parent_turn, b.level, p.root as root_turn, p.depth, trim(t.text) as text
-from turns t left join best b using (conv_id, turn) join top p using (conv_id, turn)
+  select k.conv_id, k.turn, k.mark, b.parent, k.depth + 1 from climb k join best b on b.conv_id = k.conv_id and (b.turn, b.mark) = k.reached),
+top as (select conv_id, turn, mark, arg_max(reached, depth) as root, max(depth) as depth from climb group by all)
+select t.conv_id, t.turn, b.parent[1] as parent_turn, b.level, coalesce(p.root[1], t.turn) as root_turn, coalesce(p.depth, 0) as depth, trim(t.text) as text
+from turns t left join best b using (conv_id, turn, mark) left join top p using (conv_id, turn, mark)
 """
