@@ -119,8 +119,38 @@ def test_mail_quotes_parts(spark):
     assert got == {str(n): (None if n == 0 else str(n - (2 if n % 3 == 0 else 1)), turns[n][3]) for n in range(7)}
 
 
+def test_every_turn_is_in_the_answer(spark, tmp_path):
+    import duckdb
+
+    from tests.compare import plain
+
+    rows = [(c, t, r, f"text {c} {t}") for c in (1, 2) for t in range(6) for r in ("user",)]
+    rows += [(1, 3, "user", "another third"), (1, 3, "user", "another third"), (1, 4, "model", "text 1 4"), (2, 0, None, None), (2, 0, None, None), (2, 2, "user", "text 2 0"), (2, 5, "user", ""),
+             (None, 3, "user", "nowhere"), (None, 3, "user", "nowhere"), (1, None, "user", "no turn"), (1, None, "user", "no turn"), (None, None, None, None)]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumns({c: F.lit(1) for c in ("id", "mark", "name", "scope", "sent")}).write.parquet(str(tmp_path / "conversations.parquet"))
+    got = op1.op1_quotations(spark, str(tmp_path))
+    con = duckdb.connect()
+    con.sql(f"create view conversations as select * from '{tmp_path}/conversations.parquet/*.parquet'")
+    want = con.sql(op1.SQL)
+    assert sorted(got.columns) == sorted(want.columns) and got.count() == len(rows)
+    columns = sorted(got.columns)
+    mine = sorted(tuple(plain(r[c]) or "" for c in columns) for r in got.collect())
+    theirs = sorted(tuple(plain(v) or "" for v in r) for r in want.select(*columns).fetchall())
+    # a message without a turn has no root
+    theirs = sorted(r if r[columns.index("turn")] else tuple("" if c == "root_turn" else v for c, v in zip(columns, r)) for r in theirs)
+    assert mine == theirs
+
+
 # licences
 
+def test_rows_of_one_path(spark):
+    rows = [("a", "Released under the MIT License."), ("a", "Licensed under CC BY-NC 4.0."), ("a", "All rights reserved."), ("b", "Released under the MIT License."), ("b", "words\nReleased under the MIT License."),
+            ("c", "Released under the MIT License."), ("c", "Released under the MIT License.")]
+    got = {r.path: (r.licence, r.score) for r in op3.own_licences(spark.createDataFrame(rows, "path string, text string")).collect()}
+    assert got["b"] == got["c"] == ("MIT", 1.0) and got["a"][1] == 1.0
+    assert op3.scan(spark.createDataFrame(rows, "path string, text string")).where("licence is null").count() == 0
+
+
 def test_licences(spark):
     files = [
         ("LICENSE", "words\nReleased under the MIT License."),
@@ -257,6 +287,13 @@ def test_vectors_against_brute_force(spark):
     assert {r.vec_id: r.n_links for r in got}[7015] == 1 and {r.vec_id: r.n_links for r in got}[7019] == 1
 
 
+def test_an_id_with_several_vectors(spark):
+    rows = [(1, [1.0, 0.0, 0.0]), (1, [0.0, 1.0, 0.0]), (2, [1.0, 0.01, 0.0]), (3, [0.01, 1.0, 0.0]), (4, [0.0, 1.0, 0.01]), (9, [0.0, 0.0, 1.0]), (4, None), (0, [0.0, 0.0, 2.0])]
+    frame = spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<double>, label int")
+    got = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in op8.near_duplicates(frame).collect())
+    assert got == [(0, 1, 0, True), (1, 1, 1, True), (1, 2, 1, True), (2, 1, 1, False), (3, 2, 1, False), (4, 0, 1, False), (4, 2, 1, False), (9, 1, 0, False)]
+
+
 def test_no_vectors(spark):
     none = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert op8.near_duplicates(none).count() == 0

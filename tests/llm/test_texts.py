@@ -107,6 +107,51 @@ def test_jaccard_join_of_a_crowd(spark):
     assert got == roots(sets, links)
 
 
+def words(rng, n):
+    return [f"w{rng.randrange(10**9)}" for _ in range(n)]
+
+
+def test_an_id_with_several_texts(spark):
+    rng = random.Random(4)
+    a, b, c = (words(rng, 200) for _ in range(3))
+    rows = [(5, a), (5, b), (7, a[1:]), (9, b[1:]), (11, c), (11, c), (12, c[2:])]
+    rows = [(i, " ".join(t)) for i, t in rows] + [(13, ""), (13, "a b"), (13, None), (14, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.id, r.component_id) for r in jaccard_join(docs, 4, 85).collect())
+    assert got == [(5, 5), (5, 5), (7, 5), (9, 5), (11, 11), (11, 11), (12, 11), (13, 13), (13, 13), (13, 13), (14, 14)]
+    kept = sorted((r.doc_id, r.text or "") for r in one_of_each(docs, 4, 85).collect())
+    assert kept == sorted([(5, rows[0][1]), (5, rows[1][1]), (11, rows[4][1]), (13, ""), (13, ""), (13, "a b"), (14, "")])
+
+
+def test_a_crowd_stores_no_square_of_pairs(spark, monkeypatch):
+    import geoalloc.llm.op7_jaccard_join as op7
+
+    sizes, keep = [], op7.stored
+
+    def seen(df):
+        out = keep(df)
+        if "pairs" in out.columns:
+            sizes.append(out.agg(F.coalesce(F.sum(F.octet_length("pairs")), F.lit(0))).first()[0])
+        return out
+
+    monkeypatch.setattr(op7, "stored", seen)
+    rng = random.Random(6)
+    base = words(rng, 150)
+    stored_bytes = []
+    for n in (300, 600):
+        rows = []
+        for i in range(n):
+            t = list(base)
+            for _ in range(rng.choice([1, 2])):
+                t[rng.randrange(150)] = rng.choice(base)
+            rows.append((i, " ".join(t)))
+        sizes.clear()
+        got = jaccard_join(spark.createDataFrame(rows, "doc_id long, text string"), 4, 85).collect()
+        assert sum(r.component_id == 0 for r in got) > 0.9 * n
+        stored_bytes.append(sum(sizes))
+    assert stored_bytes[1] < 2.5 * stored_bytes[0] and stored_bytes[1] < 16 * 600 * 20
+
+
 def test_jaccard_join_of_nothing(none, spark):
     assert jaccard_join(none, 4, 85).count() == 0
     alone = jaccard_join(spark.createDataFrame([(1, None), (2, "")], "doc_id long, text string"), 4, 85)
@@ -271,6 +316,16 @@ def test_mixing(docs, rows, none):
     assert mixed.columns == docs.columns and sorted(map(str, mixed.collect())) == sorted(map(str, docs.collect()))
 
 
+def test_mixing_without_usable_weights(docs, rows, none):
+    assert op4.whole_parts({}, 10) == {} == op4.whole_parts({"a": 0}, 10)
+    for weights in ({}, {"nobody": 1.0}, {"s1": 0.0}):
+        plan = op4.schedule(docs, weights, block_chars=500, period=20)
+        assert plan.count() == len(rows) and plan.select("slot").distinct().collect() == [(2**62,)]
+    for weights in ({"s1": -1.0, "s2": 1.0}, {"s1": float("nan")}, {"s1": float("inf")}):
+        with pytest.raises(ValueError):
+            op4.schedule(docs, weights)
+
+
 def test_quality(spark):
     rng = random.Random(2)
     good = ["sun", "tree", "river", "stone", "cloud", "field", "bird", "leaf"]
