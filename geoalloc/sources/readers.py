@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-import struct
-from collections.abc import Iterator, Sequence
-from itertools import zip_longest
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,9 +11,10 @@ from pyspark.sql import types as T
 from geoalloc.functions.columns import matching, quoted
 from geoalloc.functions.geometry import GEOM_TYPE, with_box
 from geoalloc.operators.tables import VOTER_COLUMNS_DROPPED, clean_blocks
+from geoalloc.sources.shapefiles import read_shapefile_shapes
 from geoalloc.spec import CENSUS_COLUMNS
 
-MISSING = "missing"
+__all__ = ["read_geojson_shapes", "read_shapefile_shapes", "read_state_dictionary", "read_voterfile_blocks", "read_wide_csv"]
 
 
 def strict(name: str, kind: str):
@@ -81,7 +78,47 @@ def _geom_from_json(kind, coords, srid: int):
     points = "transform(r, p -> struct(p[0] as x, p[1] as y))"
     poly = f"transform(from_json({coords}, 'array<array<array<double>>>'), r -> {points})"
     multi = (f"transform(from_json({coords}, 'array<array<array<array<double>>>>'), g -> transform(g, r -> {points}))")
-    return F.expr(f"struct({srid} as srid, if({kind} = 'Polygon', array({poly}), {multi}) as polys)").cast(GEOM_TYPE)
+    polys = f"""case {kind} when 'Polygon' then array({poly}) when 'MultiPolygon' then {multi}
+        else if({kind} is null, null, raise_error(concat('a geometry of kind ', {kind}, ' is no area'))) end"""
+    return F.expr(f"struct({srid} as srid, {polys} as polys)").cast(GEOM_TYPE)
+
+
+def _sums_before(pieces: DataFrame, value: str, name: str) -> DataFrame:
+    """Adds the sum of ``value`` over all pieces of the file ahead of each one: inside its block, and of the blocks ahead."""
+    ahead = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("file", "block").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = pieces.groupBy("file", "block").agg(F.sum(value).alias("__sum")).select("file", "block", F.coalesce(F.sum("__sum").over(ahead), F.lit(0)).alias("__before"))
+    pieces = pieces.withColumn("__own", F.coalesce(F.sum(value).over(inside), F.lit(0))).join(blocks, ["file", "block"])
+    return pieces.withColumn(name, F.col("__before") + F.col("__own")).drop("__own", "__before")
+
+
+def collection_features(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``file, pos, text``: the features of FeatureCollections, cut out of files that are read in blocks.
+
+    A file is split behind every closing brace, which any number of tasks do at once. Whether
+    a piece begins inside a text follows from the quotes ahead of it, its depth from the
+    brackets outside of texts, and a feature ends where a brace closes depth 3 in an array of
+    the document: three prefix sums over pieces, block by block. The few pieces of a
+    feature are then put together; nothing larger than a feature is held.
+    """
+    p = spark.read.option("lineSep", "}").text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    p = p.withColumn("n", F.monotonically_increasing_id()).withColumn("bare", F.regexp_replace("value", r"(?s)\\.", ""))
+    p = _sums_before(p.withColumn("quotes", F.expr("length(bare) - length(replace(bare, '\"', ''))")), "quotes", "quotes_before")
+    outside = F.when(F.col("quotes_before") % 2 == 1, F.regexp_replace("bare", '^[^"]*("|$)', "")).otherwise(F.col("bare"))
+    p = p.withColumn("outer", F.regexp_replace(outside, '"[^"]*("|$)', "")).withColumn("in_text", (F.col("quotes_before") + F.col("quotes")) % 2 == 1)
+    p = p.withColumn("squares", F.expr("length(translate(outer, ']', '')) - length(translate(outer, '[', ''))"))
+    p = p.withColumn("step", F.expr("squares + length(outer) - length(translate(outer, '{', '')) - if(in_text, 0, 1)"))
+    p = p.select("value", "file", "block", "n", "squares", "step", "in_text")
+    p = _sums_before(_sums_before(p, "step", "depth"), "squares", "array_depth")
+    p = p.withColumn("ends", F.expr("if(not in_text and depth + step = 2 and array_depth + squares = 1, 1, 0)"))
+    p = _sums_before(p, "ends", "pos")
+    # what stands ahead of the first feature: other members, texts and arrays of anything but objects
+    head = r'(?s)^(?:[^"\[]|"(?:[^"\\]|\\.)*+"|\[(?!\s*+\{))*+\[\s*+'
+    text = F.when(F.col("depth") > 2, F.col("value")).when((F.col("depth") == 2) & (F.col("array_depth") == 1), F.regexp_replace("value", r"(?s)^[^{]*", "")).otherwise(F.regexp_replace("value", head, ""))
+    p = p.select("file", "pos", "ends", F.struct("block", "n", (F.col("depth") <= 2).alias("begins"), text.alias("text")).alias("piece"))
+    f = p.groupBy("file", "pos").agg(F.max("ends").alias("ends"), F.sort_array(F.collect_list("piece")).alias("pieces")).where("ends = 1")
+    last = "array_max(transform(pieces, (x, i) -> if(x.begins, i, 0)))"
+    return f.selectExpr("file", "pos", f"concat(array_join(transform(slice(pieces, {last} + 1, size(pieces)), x -> x.text), '}}'), '}}') as text")
 
 
 def read_geojson_shapes(spark: SparkSession, path: str | list[str], properties: str, srid: int = 4326,
@@ -89,9 +126,10 @@ def read_geojson_shapes(spark: SparkSession, path: str | list[str], properties:
     """GeoJSON features, one row each: id, file, properties, geometry and box.
 
     ``properties`` is a schema such as ``"NAME:string,pop:bigint"``. One
-    FeatureCollection per file by default; ``lines`` reads one feature per line,
-    which is the form for maps too large for one task. The id counts features
-    from 1 in each file, as loaders number them.
+    FeatureCollection per file by default, read in blocks by any number of tasks; ``lines``
+    reads one feature per line. The id counts features from 1 in each file, as loaders
+    number them. Points, lines and objects that are no features are errors; a feature
+    without a geometry has none here.
     """
     if lines:
         # numbers inside each block of a file, and how many features stand before the block
@@ -104,93 +142,8 @@ def read_geojson_shapes(spark: SparkSession, path: str | list[str], properties:
             "file", (F.col("n") - F.col("first") + F.col("before")).alias("pos"),
             F.from_json("value", f"struct<{_feature_schema(properties)}>").alias("f"))
     else:
-        raw = spark.read.text(path, wholetext=True).select(
-            F.col("_metadata.file_path").alias("file"),
-            F.posexplode(F.from_json("value", f"struct<features:array<struct<{_feature_schema(properties)}>>>")["features"])
-            .alias("pos", "f"))
+        raw = collection_features(spark, path).select("file", "pos", F.from_json("text", f"struct<{_feature_schema(properties)}>").alias("f"))
+        raw = raw.where(F.expr("if(f.type = 'Feature', true, raise_error(concat(file, ': object ', pos + 1, ' is no feature')))"))
     rows = raw.select((F.col("pos") + 1).cast("bigint").alias(id), "file", "f.properties.*",
                       _geom_from_json("f.geometry.type", "f.geometry.coordinates", srid).alias("geom"))
     return with_box(rows)
-
-
-def _holds(ring: np.ndarray, q: np.ndarray) -> bool:
-    a, b = ring[:-1], ring[1:]
-    with np.errstate(divide="ignore", invalid="ignore"):
-        x = a[:, 0] + (q[1] - a[:, 1]) * (b[:, 0] - a[:, 0]) / (b[:, 1] - a[:, 1])
-    return bool((((a[:, 1] > q[1]) != (b[:, 1] > q[1])) & (x > q[0])).sum() % 2)
-
-
-def _shape_records(data: bytes) -> Iterator[list[list[list[tuple[float, float]]]]]:
-    """Polygon records of a .shp file (public ESRI layout): parts as polygons with holes."""
-    at = 100
-    while at + 12 <= len(data):
-        size = struct.unpack(">i", data[at + 4:at + 8])[0] * 2
-        kind = struct.unpack("<i", data[at + 8:at + 12])[0]
-        polys: list = []
-        holes: list = []
-        if kind in (5, 15, 25):
-            parts, points = struct.unpack("<2i", data[at + 44:at + 52])
-            starts = np.frombuffer(data, "<i4", parts, at + 52).tolist() + [points]
-            xy = np.frombuffer(data, "<f8", 2 * points, at + 52 + 4 * parts).reshape(-1, 2)
-            for a, b in zip(starts, starts[1:]):
-                ring = xy[a:b]
-                turn = np.sum(ring[:-1, 0] * ring[1:, 1] - ring[1:, 0] * ring[:-1, 1])
-                # clockwise rings are shells, the others holes of the smallest shell around them
-                (polys if turn <= 0 else holes).append((abs(turn), ring))
-            shells = sorted(polys, key=lambda p: p[0])
-            inside = {i: [r for _, r in holes if next((k for k, (_, s) in enumerate(shells) if _holds(s, (r[0] + r[1]) / 2)), None) == i] for i in range(len(shells))}
-            lost = [[r] for _, r in holes if not any(r is x for xs in inside.values() for x in xs)]
-            order = {id(r): i for i, (_, r) in enumerate(polys)}
-            polys = [[s, *inside[i]] for i, (_, s) in sorted(enumerate(shells), key=lambda x: order[id(x[1][1])])] + lost
-            polys = [[[{"x": float(x), "y": float(y)} for x, y in r] for r in rings] for rings in polys]
-        yield polys
-        at += 8 + size
-
-
-def _table_records(data: bytes) -> Iterator[dict[str, str] | None]:
-    """Text fields of a .dbf file, by column name; None for a deleted row."""
-    n, head, width = struct.unpack("<IHH", data[4:12])
-    fields, at, off = [], 32, 1
-    while data[at] != 0x0D:
-        name = data[at:at + 11].split(b"\0")[0].decode("latin-1")
-        fields.append((name, off, data[at + 16]))
-        off += data[at + 16]
-        at += 32
-    for i in range(n):
-        row = data[head + i * width:head + (i + 1) * width]
-        yield None if row[:1] == b"*" else {name: row[o:o + w].decode("latin-1").strip() for name, o, w in fields}
-
-
-def read_shapefile_shapes(spark: SparkSession, folder: str, columns: Sequence[str], srid: int = 4326,
-                          id: str = "id_0") -> DataFrame:
-    """Polygon shapefiles of a folder: one row per record with the named text
-    columns. The two files of a shape set meet by their common name, and sets are
-    parsed in parallel. A file without its partner, or with another number of
-    records, is an error; rows marked as deleted are left out."""
-    files = spark.read.format("binaryFile").load(folder).selectExpr(
-        "regexp_replace(path, '[.](?i)(shp|dbf)$', '') as file", "lower(regexp_extract(path, '[.](\\\\w+)$', 1)) as kind", "content")
-    sets = files.where("kind = 'shp'").selectExpr("file", "content as shp").join(
-        files.where("kind = 'dbf'").selectExpr("file", "content as dbf"), "file", "full")
-    schema = (f"{id} bigint, file string, " + "".join(f"`{c}` string, " for c in columns)
-              + "polys array<array<array<struct<x:double,y:double>>>>")
-
-    def parse(batches):
-        for pdf in batches:
-            for row in pdf.itertuples(index=False):
-                batch = []
-                if row.shp is None or row.dbf is None:
-                    raise ValueError(f"{row.file} has no {'.shp' if row.shp is None else '.dbf'} file")
-                for i, (polys, rec) in enumerate(zip_longest(_shape_records(row.shp), _table_records(row.dbf), fillvalue=MISSING)):
-                    if polys is MISSING or rec is MISSING:
-                        raise ValueError(f"{row.file}: the files have different numbers of records")
-                    if rec is None:
-                        continue
-                    batch.append((i + 1, row.file, *[rec.get(c) for c in columns], polys))
-                    if len(batch) == 2000:
-                        yield pd.DataFrame(batch, columns=[id, "file", *columns, "polys"])
-                        batch = []
-                if batch:
-                    yield pd.DataFrame(batch, columns=[id, "file", *columns, "polys"])
-
-    rows = sets.mapInPandas(parse, schema)
-    return with_box(rows.withColumn("geom", F.struct(F.lit(srid).alias("srid"), "polys").cast(GEOM_TYPE)).drop("polys"))

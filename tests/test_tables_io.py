@@ -2,9 +2,11 @@ from __future__ import annotations
 
 import json
 import os
+import random
 import struct
 import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -255,6 +257,75 @@ def test_holes_belong_to_the_shell_around_them(spark, tmp_path):
     assert [len(p) for p in geom.polys] == [2, 1] and geom.polys[0][0][0].x < 5
 
 
+def test_shapefile_ranges(spark, tmp_path):
+    """One file read by several tasks, with and without its index, same rows."""
+    records = [[list(reversed(box(i, 0, i + 1, 2)))] + ([box(i + 0.2, 0.5, i + 0.5, 1)] if i % 3 == 0 else []) for i in range(700)]
+    _shapefile(tmp_path / "a", records)
+    shp = (tmp_path / "a.shp").read_bytes()
+    plain = readers.read_shapefile_shapes(spark, str(tmp_path), ["GISJOIN"])
+    rows = {r.id_0: r for r in plain.collect()}
+    at, index = 100, b""
+    while at < len(shp):
+        size = struct.unpack(">2i", shp[at:at + 8])[1]
+        index += struct.pack(">2i", at // 2, size)
+        at += 8 + 2 * size
+    (tmp_path / "a.shx").write_bytes(shp[:100] + index)
+    many = readers.read_shapefile_shapes(spark, f"file:{tmp_path}", ["GISJOIN", "NONE"], range_bytes=10_000)
+    assert many.rdd.getNumPartitions() > 5 and "Exchange" not in many._jdf.queryExecution().executedPlan().toString()
+    got = {r.id_0: r for r in many.collect()}
+    assert len(got) == 700 and all(got[i].geom == rows[i].geom and got[i].GISJOIN == rows[i].GISJOIN == f"G{i - 1}" and got[i].NONE is None for i in rows)
+    assert [len(got[i].geom.polys[0]) for i in (1, 2, 4)] == [2, 1, 2] and got[5].xmin == 4.0
+    (tmp_path / "a.shp").write_bytes(shp[:108] + struct.pack("<i", 3) + shp[112:])
+    with pytest.raises(Exception, match="no area"):
+        many.collect()
+
+
+def test_many_holes(spark):
+    from geoalloc.sources.shapefiles import polygons
+
+    shells = [np.array(list(reversed(box(40 * k, 0, 40 * k + 40, 40))), float) for k in range(3)] + [np.array(list(reversed(box(10, 10, 12, 12))), float)]
+    holes = [np.array(box(x + 0.1, y + 0.1, x + 0.4, y + 0.4), float) for x in range(120) for y in range(40)] + [np.array(box(500, 0, 501, 1), float)]
+    found = polygons([*shells, *holes])
+    assert [len(p) - 1 for p in found] == [1600 - 4, 1600, 1600, 4, 0]
+
+
+def test_collections_in_blocks(spark, tmp_path):
+    """Texts with brackets and quotes, members around the features, one line or many, split anywhere."""
+    rng = random.Random(3)
+    odd = ['a{b', 'c}d"', '[{"x":1}]', "\\", '\\"', "}", "{", "é日\u2028", "", "[ {", "\n\t", "Feature"]
+
+    def feature(i):
+        ring = [[float(i), 0.0], [i + 1.0, 0.0], [i + 1.0, 1.0], [float(i), 0.0]]
+        kind = ({"type": "Polygon", "coordinates": [ring]}, {"type": "MultiPolygon", "coordinates": [[ring], [ring]]}, None)[i % 3]
+        return {"type": "Feature", "id": rng.choice(odd), "properties": {"NAME": rng.choice(odd) + str(i) + rng.choice(odd), "more": {"x": [{"y": rng.choice(odd)}]}}, "geometry": kind}
+
+    before = {"type": "FeatureCollection", "name": 'x[{"', "bbox": [0, 1, 2], "crs": {"type": "name", "properties": {"name": "urn", "list": [{"a": []}]}}}
+    want = {}
+    for name, n, indent in (("one", 300, None), ("two", 200, 2), ("none", 0, None), ("first", 3, 1)):
+        doc = {**({} if name == "first" else before), "features": [feature(i) for i in range(n)], "after": {"x": {"y": {}}}, "last": [[], [1]]}
+        (tmp_path / f"{name}.geojson").write_text(json.dumps(doc, indent=indent, ensure_ascii=name == "two"))
+        want |= {(name, i + 1): f for i, f in enumerate(doc["features"])}
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for part in (size, "1500b"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", part)
+        spark.conf.set("spark.sql.files.openCostInBytes", "0" if part != size else "4m")
+        try:
+            df = readers.read_geojson_shapes(spark, str(tmp_path / "*.geojson"), "NAME:string")
+            tasks = spark.read.option("lineSep", "}").text(str(tmp_path / "one.geojson")).rdd.getNumPartitions()
+            got = {(r.file.rsplit("/", 1)[1].split(".")[0], r.id_0): r for r in df.collect()}
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        assert set(got) == set(want) and (part == size or tasks > 10)
+        for k, f in want.items():
+            kind = f["geometry"] and f["geometry"]["type"]
+            assert got[k].NAME == f["properties"]["NAME"] and (got[k].geom.polys is None if kind is None else len(got[k].geom.polys) == 1 + (kind == "MultiPolygon"))
+            assert kind is None or got[k].xmin == float(k[1] - 1)
+    for bad, word in (({"type": "Feature", "properties": {}, "geometry": {"type": "Point", "coordinates": [1, 2]}}, "Point"), ({"type": "x"}, "no feature")):
+        (tmp_path / "bad.json").write_text(json.dumps({"type": "FeatureCollection", "features": [bad]}))
+        with pytest.raises(Exception, match=word):
+            readers.read_geojson_shapes(spark, str(tmp_path / "bad.json"), "NAME:string").collect()
+
+
 def test_nine_hundred_columns_in_one_pair_join(spark):
     src = shapes(spark, [("s", [[box(0, 0, 2, 2)]]), ("t", [[box(2, 0, 4, 2)]])]).withColumns({f"c{i}": F.lit(float(i)) for i in range(900)})
     tgt = shapes(spark, [("a", [[box(1, 0, 4, 2)]])])
