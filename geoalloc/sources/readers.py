@@ -12,16 +12,17 @@ from geoalloc.functions.columns import matching, quoted
 from geoalloc.functions.geometry import GEOM_TYPE, with_box
 from geoalloc.operators.tables import VOTER_COLUMNS_DROPPED, clean_blocks
 from geoalloc.sources.shapefiles import read_shapefile_shapes
+from geoalloc.sources.writers import stored
 from geoalloc.spec import CENSUS_COLUMNS
 
 __all__ = ["read_geojson_shapes", "read_shapefile_shapes", "read_state_dictionary", "read_voterfile_blocks", "read_wide_csv"]
 
 
-def strict(name: str, kind: str):
+def strict(name: str, kind: str, file: str = "_metadata.file_path"):
     """A text column read as ``kind``: blank is null, anything else that cannot be read an error."""
     c = f"trim(`{name}`)"
     return F.expr(f"""case when {c} is null or {c} = '' then null when try_cast({c} as {kind}) is null
-        then raise_error(concat(_metadata.file_path, ', column {name}: cannot read ', `{name}`)) else try_cast({c} as {kind}) end""")
+        then raise_error(concat({file}, ', column {name}: cannot read ', `{name}`)) else try_cast({c} as {kind}) end""")
 
 
 def read_wide_csv(spark: SparkSession, path: str | list[str], pattern: str = CENSUS_COLUMNS, key: str = "GISJOIN",
@@ -45,26 +46,31 @@ def read_state_dictionary(spark: SparkSession, path: str) -> DataFrame:
 def read_voterfile_blocks(spark: SparkSession, folder: str, key: str = "geoid20", example: str | None = None) -> DataFrame:
     """All CSV files of a folder, cleaned, with the count columns of an example file.
 
-    Each file is read by its own header, for column order and the small parties
-    differ by state. A file that lacks one of the example's columns is an error.
+    Files differ by state in the order of their columns and the small parties they have. All are
+    read in one scan of lines; each file's first line, a row of a small table, tells where
+    its values belong. A file that lacks one of the example's columns (by default the first
+    file by name) is an error. Quoted values may hold commas, but no line ends.
     """
-    names = [r["f"] for r in spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder)
-             .selectExpr("path as f").orderBy("f").collect()]
-    if not names:
-        raise FileNotFoundError(f"no csv files in {folder}")
-    frames = {f: spark.read.csv(f, header=True) for f in names}
-    first = frames[example or names[0]]
-    wanted = [c for c in first.columns if c != key and c not in matching(first.columns, VOTER_COLUMNS_DROPPED, "search")]
-    out = None
-    for name, df in frames.items():
-        missing = [c for c in wanted if c not in df.columns]
-        if missing:
-            raise ValueError(f"{name} lacks columns: {', '.join(missing)}")
-        counts = df.select(key, *[strict(c, "double").cast("bigint").alias(c) for c in df.columns if c != key])
-        block = clean_blocks(counts, key)
-        block = block.select(key, "StateFIPS", "CountyFIPS", "TractId", "BlockId", *quoted(wanted))
-        out = block if out is None else out.unionByName(block)
-    return out
+    lines = spark.read.option("pathGlobFilter", "*.csv").text(folder).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    lines = lines.where("trim(value) <> ''").withColumn("n", F.monotonically_increasing_id())
+    heads = lines.where("block = 0").groupBy("file").agg(F.min(F.struct("n", "value")).alias("head"))
+    names = "transform(split(head.value, ','), c -> trim(BOTH '\\ufeff\"' FROM trim(c)))"
+    heads = stored(heads.selectExpr("file", "head.n as head", f"{names} as names"))
+    leader = heads.where(F.endswith("file", F.lit(example or ""))).orderBy("file").first()
+    if leader is None:
+        raise FileNotFoundError(f"no csv files in {folder}" if example is None else f"no file {example} in {folder}")
+    wanted = [c for c in leader["names"] if c != key and c not in matching(leader["names"], VOTER_COLUMNS_DROPPED, "search")]
+    lacks = heads.select("file", F.array_except(F.lit([key, *wanted]), "names").alias("missing")).where("size(missing) > 0").orderBy("file").first()
+    if lacks is not None:
+        raise ValueError(f"{lacks['file']} lacks columns: {', '.join(lacks['missing'])}")
+    every = [r[0] for r in heads.select(F.explode("names").alias("c")).distinct().orderBy("c").collect()]  # names, not files
+    width = heads.agg(F.max(F.size("names"))).first()[0]
+    values = F.from_csv("value", ", ".join(f"c{i} string" for i in range(width))).alias("v")
+    rows = lines.join(heads, "file").where("n <> head").select("file", "names", values)
+    rows = rows.select("file", "names", F.array(*(F.col(f"v.c{i}") for i in range(width))).alias("v"))
+    rows = rows.select("file", *(F.get("v", F.array_position("names", F.lit(c)).cast("int") - 1).alias(c) for c in every))
+    counts = rows.select(key, *[strict(c, "double", "file").cast("bigint").alias(c) for c in every if c != key])
+    return clean_blocks(counts, key).select(key, "StateFIPS", "CountyFIPS", "TractId", "BlockId", *quoted(wanted))
 
 
 # --- shapes ----------------------------------------------------------------

@@ -246,6 +246,30 @@ def build() -> dict[str, str]:
         q[name] = f"with {', '.join([SQL, *ctes])} {sql}"
 
     add("select_by_pattern", 'select geoid, "AQNFE001", "AQRAE001", "AQM4E002", "AQPZE003" from src_tracts')
+    tract_columns = 'geoid, statefp, x0, y0, x1, y1, "AQNFE001", "AQRAE001", "AQM4E002", "AQPZE003"'
+    add("read_wide_csv", """select geoid as "GISJOIN", statefp::varchar as statefp, "AQNFE001"::double as "AQNFE001", "AQRAE001"::double as "AQRAE001",
+      "AQM4E002"::double as "AQM4E002", "AQPZE003"::double as "AQPZE003" from src_tracts""")
+    add("read_state_dictionary", 'select "StateAbbreviation", "StateFIPS"::bigint as "StateFIPS", "OneDistrict", "SLDUpperOnly" from states where "StateFIPS" < 60')
+    block_parts = [f"regexp_extract(geoid20, '(\\d{{2}})(\\d{{3}})(\\d{{6}})(\\d{{4}}\\w?)', {i}) as \"{c}\"" for i, c in enumerate(("StateFIPS", "CountyFIPS", "TractId", "BlockId"), 1)]
+    # what a file leaves out does not count as another party
+    other = "coalesce(party_oth, 0) + case when party_lib in (0, 2) then party_grn else 0 end + case when party_lib in (0, 1) then party_lib else 0 end"
+    add("read_voterfile_blocks", f"""select geoid20, {', '.join(block_parts)}, party_dem::bigint as party_dem, party_rep::bigint as party_rep, ({other})::bigint as party_oth,
+      total_reg::bigint as total_reg from vf_blocks where regexp_full_match(geoid20, '\\d+\\w?')""")
+    add("write_csv_fixed", """select geoid, k::varchar as k, printf('%.2f', "AQNFE001" / 8.0) as eighths, case when "AQRAE001" is not null then "AQRAE001" || '.00' end as income, statefp::bigint as statefp from src_tracts""")
+    add("write_map_stats", "select id_0::bigint as id_0, name, statefp::bigint as statefp from tgt_a")
+    box = (("x0", "y0"), ("x1", "y0"), ("x1", "y1"), ("x0", "y1"), ("x0", "y0"))
+
+    def ring(keys, points):
+        return " union all ".join(f"select {keys}, {n}::bigint as n, {x} * 1000::DOUBLE as x, {y} * 1000::DOUBLE as y from src_tracts" for n, (x, y) in enumerate(points))
+
+    add("write_geojson", ring("geoid, statefp::bigint as statefp", box))
+    add("read_geojson_shapes", ring("geoid, statefp::bigint as statefp", box))
+    add("read_shapefile_shapes", f"select geoid, dense_rank() over (partition by statefp order by geoid) as record, n, x, y from ({ring('geoid, statefp', box[::-1])})")
+    add("materialize_table", f"select k, {tract_columns} from src_tracts")
+    add("append_keyed", 'select geoid, statefp, "AQNFE001" from src_tracts')
+    add("assert_unique_key", f"select k, {tract_columns} from src_tracts")
+    add("skip_if_current", " union all ".join(f"select '{t}' as name, count(*) as rows, true as made, false as none from {t}" for t in ("customer", "supplier", "orders")))
+    add("validate_common_columns", 'select geoid, statefp, "AQNFE001" from src_tracts')
     add("drop_by_pattern", "select geoid20, party_dem, party_rep, party_oth::bigint as party_oth, total_reg::bigint as total_reg from vf_blocks")
     add("extensive_columns", 'select geoid, "AQM4E002", "AQPZE003" from src_tracts')
     q["derive_census_groups"] = GROUPS

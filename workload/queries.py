@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from geoalloc.functions.geometry import (
 )
 from geoalloc.operators import areal, assign, dasymetric, outlines, raster, spatial, tables
 from geoalloc.plans import jobs
+from geoalloc.sources import readers, writers
 from geoalloc.spec import InterpolationSpec, SourceSpec, TargetSpec
 from workload import standins as st
 
@@ -99,6 +101,117 @@ class Maps:
         return dict(tiles=self.dev_tiles, runs=self.runs, grid=st.GRID)
 
 
+# --- files and stored tables: written from a table, read back ---------------
+
+@query
+def q_read_wide_csv(m):
+    path = st.scratch(m.spark)
+    m.flat("src_tracts").withColumnRenamed("geoid", "GISJOIN").drop("k").write.option("encoding", "ISO-8859-1").csv(path, header=True)
+    return readers.read_wide_csv(m.spark, path, keep=["statefp"])[0]
+
+
+@query
+def q_read_state_dictionary(m):
+    path = st.scratch(m.spark)
+    flags = {c: F.initcap(F.col(c).cast("string")) for c in ("OneDistrict", "SLDUpperOnly")}
+    m.states.withColumns(flags).write.csv(path, header=True)
+    return readers.read_state_dictionary(m.spark, path)
+
+
+@query
+def q_read_voterfile_blocks(m):
+    """A file for each remainder of the count by four, without some of the small parties."""
+    path = st.scratch(m.spark)
+    rows = m.flat("vf_blocks").withColumn("f", F.col("party_lib"))
+    for f, left_out in enumerate(([], ["party_grn"], ["party_lib"], ["party_lib", "party_grn"])):
+        own = rows.where(F.col("f") == f).drop("f", *left_out)
+        own.select("geoid20", *reversed(own.columns[1:])).write.csv(f"{path}/{f}", header=True)
+    return readers.read_voterfile_blocks(m.spark, [f"{path}/{f}" for f in range(4)])
+
+
+@query
+def q_write_csv_fixed(m):
+    path = st.scratch(m.spark)
+    src = m.flat("src_tracts").select("geoid", "statefp", "k", (F.col("AQNFE001") / 8).alias("eighths"), (F.col("AQRAE001") * 1.0).alias("income"))
+    writers.write_csv_fixed(src, path, partition_by=["statefp"])
+    return m.spark.read.csv(path, header=True, schema="geoid string, k string, eighths string, income string, statefp bigint")
+
+
+@query
+def q_write_map_stats(m):
+    path = st.scratch(m.spark)
+    shapes = m.shapes("tgt_a").withColumns({"id": F.col("id_0"), "color": F.lit("red"), "opacity": F.lit(0.5)})
+    writers.write_map_stats(shapes, path)
+    return m.spark.read.csv(path, header=True, schema="id_0 bigint, name string, statefp bigint")
+
+
+def _corners(shapes, *keys):
+    p = shapes.select(*keys, F.posexplode(F.expr("geom.polys[0][0]")).alias("n", "p"))
+    return p.select(*keys, "n", F.col("p.x").alias("x"), F.col("p.y").alias("y"))
+
+
+@query
+def q_write_geojson(m):
+    """One feature a line, in folders by state, read back by lines."""
+    path = st.scratch(m.spark)
+    writers.write_geojson(outlines.to_geojson_features(m.src.select("geoid", "statefp", "geom"), keep=["statefp"]), path, ["statefp"])
+    return _corners(readers.read_geojson_shapes(m.spark, f"{path}/*/*.txt", "geoid:string,statefp:bigint", srid=0, lines=True), "geoid", "statefp")
+
+
+@query
+def q_read_geojson_shapes(m):
+    """A FeatureCollection for each state, read back in blocks."""
+    path = st.scratch(m.spark)
+    features = outlines.to_geojson_features(m.src.withColumn("state", F.col("statefp")).select("geoid", "statefp", "state", "geom"), keep=["state"])
+    writers.write_feature_collections(features, path, "state")
+    return _corners(readers.read_geojson_shapes(m.spark, f"{path}/*/*.txt", "geoid:string,statefp:bigint", srid=0), "geoid", "statefp")
+
+
+@query
+def q_read_shapefile_shapes(m):
+    path = st.scratch(m.spark)
+    st.write_shapefiles(m.src, path, "statefp", "geoid")
+    read = readers.read_shapefile_shapes(m.spark, path, ["GEOID"], srid=0, range_bytes=1 << 16)
+    return _corners(read.select(F.col("GEOID").alias("geoid"), F.col("id_0").alias("record"), "geom"), "geoid", "record")
+
+
+@query
+def q_materialize_table(m):
+    name = f"tracts_{uuid.uuid4().hex}"
+    return writers.materialize_table(m.flat("src_tracts"), name, partition_by=["statefp"], cluster_by=["statefp", "geoid"])
+
+
+@query
+def q_append_keyed(m):
+    name = f"tracts_{uuid.uuid4().hex}"
+    src = m.flat("src_tracts").select("geoid", "statefp", "AQNFE001")
+    for rest in range(2):
+        writers.append_keyed(src.where(F.col("statefp") % 2 == rest), name, "geoid")
+    return m.spark.table(name)
+
+
+@query
+def q_assert_unique_key(m):
+    return writers.assert_unique_key(m.flat("src_tracts"), "geoid")
+
+
+@query
+def q_skip_if_current(m):
+    """Which of the tables have a copy that need not be made again."""
+    path, out = st.scratch(m.spark), None
+    for name in ("customer", "supplier", "orders"):
+        st.table(m.spark, m.dir, name).groupBy().count().write.parquet(f"{path}/{name}")
+        made, none = (writers.skip_if_current(m.spark, f"{path}/{n}", [f"{m.dir}/{name}.parquet"]) for n in (name, f"no-{name}"))
+        row = m.spark.read.parquet(f"{path}/{name}").select(F.lit(name).alias("name"), F.col("count").alias("rows"), F.lit(made).alias("made"), F.lit(none).alias("none"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query
+def q_validate_common_columns(m):
+    return cols.validate_common_columns(m.flat("src_tracts"), ["geoid", "statefp", "AQNFE001"]).select("geoid", "statefp", "AQNFE001")
+
+
 # --- columns ---------------------------------------------------------------
 
 @query

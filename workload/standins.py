@@ -7,10 +7,14 @@ sees five-point polygons in metres.
 
 from __future__ import annotations
 
+import struct
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geoalloc.functions.geometry import box_geom, with_box
+from geoalloc.sources.shapefiles import open_files
 from geoalloc.spec import Grid
 
 UNIT = 1000.0
@@ -118,6 +122,41 @@ def code_table(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "customer").select(key, *cols, (k % 1000).alias("JMAE001"))
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder that the whole cluster sees, below ``spark.checkpoint.dir`` or else the warehouse."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/files-{uuid.uuid4().hex}"
+
+
+def write_shapefiles(df: DataFrame, folder: str, by: str, name: str) -> None:
+    """Box shapes as polygon shapefiles, a set of three files for each value of ``by``, each written by the task that holds it."""
+    def write(pdf):
+        store, path = open_files(folder)
+        store.create_dir(path, recursive=True)
+        body, index, rows = [], [], []
+        at = 50
+        for n, r in enumerate(pdf.sort_values(name).itertuples(index=False), 1):
+            points = [(r.xmin, r.ymin), (r.xmin, r.ymax), (r.xmax, r.ymax), (r.xmax, r.ymin), (r.xmin, r.ymin)]
+            record = struct.pack("<i4d3i", 5, r.xmin, r.ymin, r.xmax, r.ymax, 1, 5, 0) + b"".join(struct.pack("<2d", *p) for p in points)
+            body.append(struct.pack(">2i", n, len(record) // 2) + record)
+            index.append(struct.pack(">2i", at, len(record) // 2))
+            at += 4 + len(record) // 2
+            rows.append(b" " + str(getattr(r, name)).encode("latin-1").ljust(30))
+        value = pdf[by].iloc[0]
+
+        def head(words):
+            return struct.pack(">7i", 9994, 0, 0, 0, 0, 0, words) + struct.pack("<2i", 1000, 5) + b"\0" * 64
+
+        fields = name.upper().encode()[:10].ljust(11, b"\0") + b"C" + b"\0" * 4 + bytes([30]) + b"\0" * 15
+        table = struct.pack("<B3BIHH20x", 3, 1, 1, 1, len(rows), 65, 31) + fields + b"\r" + b"".join(rows)
+        for kind, data in (("shp", head(at) + b"".join(body)), ("shx", head(50 + 4 * len(index)) + b"".join(index)), ("dbf", table)):
+            with store.open_output_stream(f"{path}/{by}-{value}.{kind}") as out:
+                out.write(data)
+        return pdf.iloc[:1][[by]]
+
+    df.select(by, name, "xmin", "ymin", "xmax", "ymax").groupBy(by).applyInPandas(write, df.select(by).schema).count()
+
+
 # The same stand-ins for the SQL side of the comparison.
 SQL = """
 states as (select n_nationkey,
