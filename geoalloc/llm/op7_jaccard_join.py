@@ -11,7 +11,7 @@ those prefixes selective. The join runs in five steps:
 2. ``gathered``: the shared tokens, packed by class. A class can have a partner only if
    enough of its tokens are shared.
 3. ``crowds``: classes with a common least token under one of several hashes are tested
-   against the first of them. What links forms groups, so a crowd of near copies is one
+   against one of them, drawn by hash. What links forms groups, so a crowd of near copies is one
    group before any pairs are listed.
 4. ``near_pairs``: for each of three orders (rare first, ties by different hashes) the
    remaining prefix tokens meet in buckets, which are dealt out in blocks where they are
@@ -39,7 +39,7 @@ from geoalloc.llm.common import Forest, U, WordHashes, components, mix, shingles
 
 ORDERS = 3
 BATCH, FLUSH, BLOCK, HOME, HOT = 512, 1_500_000, 512, 256, 256
-HASHES = 4
+HASHES = 8
 SIDE = 7  # bytes of a token below its hash range
 
 
@@ -287,13 +287,14 @@ def in_blocks(classes: DataFrame) -> DataFrame:
 
 
 def crowds(classes: DataFrame, percent: int) -> DataFrame:
-    """``u, v``: links of classes with the first one that shares a home with them, stored.
+    """``u, v``: links of classes with the one drawn from each of their homes, stored.
 
-    The first one of a home is a minimum with a map-side part, so a home of any size is no
+    The draw of a home is a minimum with a map-side part, so a home of any size is no
     group; every class meets at most ``HASHES`` others here.
     """
     at = classes.select("id", "block", F.posexplode("homes").alias("k", "home"))
-    first = at.groupBy("k", "home").agg(F.min(F.struct("id", "block")).alias("first"), F.count("*").alias("many")).where("many > 1").select("k", "home", "first")
+    first = at.groupBy("k", "home").agg(F.min(F.struct(F.xxhash64("id", "k").alias("draw"), "id", "block")).alias("first"), F.count("*").alias("many"))
+    first = first.where("many > 1").select("k", "home", "first")  # another one for each hash
     pairs = at.join(first, ["k", "home"]).where("id != first.id")
     swap = "block < first.block or block = first.block and id < first.id"
     pairs = pairs.selectExpr(f"if({swap}, block, first.block) as one", f"if({swap}, first.block, block) as two", f"if({swap}, id, first.id) as u", f"if({swap}, first.id, id) as v").distinct()
