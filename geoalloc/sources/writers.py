@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -11,15 +11,17 @@ from pyspark.sql import functions as F
 from geoalloc.functions.columns import fixed
 
 
-def write_csv_fixed(df: DataFrame, path: str, decimals: int = 2, partition_by: Sequence[str] = ()) -> None:
+def write_csv_fixed(df: DataFrame, path: str, decimals: int = 2, partition_by: Sequence[str] = (), only_given: bool = False) -> None:
     """CSV with header, doubles with a fixed number of decimals, whole numbers as they are.
 
     One folder per value of ``partition_by`` (a state, say) in place of one file
-    per value.
+    per value. ``only_given`` replaces the folders of the values that occur and leaves
+    the others alone; they change over when all are written.
     """
     doubles = [c for c, t in df.dtypes if t in ("double", "float") and c not in partition_by]
     out = df.withColumns({c: fixed(F.col(f"`{c}`").cast("double"), decimals) for c in doubles})
-    out.write.mode("overwrite").partitionBy(*partition_by).csv(path, header=True)
+    write = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if only_given else "static")
+    write.partitionBy(*partition_by).csv(path, header=True)
 
 
 def write_map_stats(shapes: DataFrame, path: str, drop: Sequence[str] = ("id", "color", "opacity", "geom")) -> None:
@@ -111,3 +113,63 @@ def skip_if_current(spark: SparkSession, output: str, inputs: Sequence[str]) ->
     except AnalysisException:
         return False
     return made is not None and _newest(spark, inputs) <= made
+
+
+def input_marks(inputs: Mapping[str, DataFrame], state: str, recipe: str = "") -> DataFrame:
+    """``state, input, rows, mark, recipe``: a fingerprint of the rows that each input has of each state.
+
+    Two sums of row hashes that no order of rows changes. Rows without a state have one
+    of their own.
+    """
+    out = None
+    for name, df in inputs.items():
+        row = F.xxhash64(*(F.col(f"`{c}`") for c in sorted(df.columns)))
+        own = df.select(F.col(f"`{state}`").cast("string").alias("state"), row.alias("h")).groupBy("state").agg(
+            F.count("*").alias("rows"), F.concat_ws(":", F.hex(F.bit_xor("h")), F.sum(F.pmod("h", F.lit(1_000_000_007))).cast("string")).alias("mark"))
+        own = own.select("state", F.lit(name).alias("input"), "rows", "mark", F.lit(recipe).alias("recipe"))
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
+def stale_states(spark: SparkSession, marks: DataFrame, known: str) -> DataFrame:
+    """``state, gone``: states whose marks are not those stored at ``known``; ``gone`` if no input has them any more."""
+    if not _exists(spark, known):
+        return marks.select("state", F.lit(False).alias("gone")).distinct()
+    key = ["state", "input", "rows", "mark", "recipe"]
+    both = marks.select(*key, F.lit(1).alias("now")).unionByName(spark.read.parquet(known).select(*key, F.lit(0).alias("now")))
+    rows = both.groupBy(*key).agg(F.count("*").alias("times"), F.max("now").alias("now"))
+    return rows.groupBy("state").agg(F.min("times").alias("times"), (F.max("now") == 0).alias("gone")).where("times = 1").select("state", "gone")
+
+
+def _path(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    where, store = _path(spark, path)
+    return store.exists(where)
+
+
+def rebuild_stale(spark: SparkSession, output: str, inputs: Mapping[str, DataFrame], build: Callable[[dict[str, DataFrame]], DataFrame],
+                  state: str, recipe: str = "", decimals: int = 2) -> list[str | None]:
+    """Writes the folders of those states whose input rows, or whose ``recipe``, changed since the last run; returns these states.
+
+    ``build`` gets the inputs with the rows of stale states alone and gives the rows to write,
+    with the column ``state``. Folders of states that no input has any more go. The marks of
+    the inputs are kept beside the output and replaced last, so a run that breaks off is made
+    up for by the next one.
+    """
+    known = f"{output.rstrip('/')}_marks"
+    marks = stored(input_marks(inputs, state, recipe))
+    stale = stored(stale_states(spark, marks, known))
+    names = [r["state"] for r in stale.orderBy("state").collect()]  # a row for each state
+    if not names:
+        return []
+    own = {n: df.join(F.broadcast(stale.select(F.col("state").alias("__state"))), F.col(f"`{state}`").cast("string").eqNullSafe(F.col("__state")), "left_semi") for n, df in inputs.items()}
+    write_csv_fixed(build(own), output, decimals, [state], only_given=True)
+    for r in stale.where("gone").collect():
+        where, store = _path(spark, f"{output.rstrip('/')}/{state}={r['state'] or '__HIVE_DEFAULT_PARTITION__'}")
+        store.delete(where, True)
+    marks.write.mode("overwrite").parquet(known)
+    return names

@@ -141,6 +141,37 @@ def test_fixed_csv_and_staleness(spark, tmp_path):
     assert {r["d"] for r in spark.read.csv(str(tmp_path / "one"), header=True).collect()} == {"0.1", None}
 
 
+def test_only_touched_states_are_built_again(spark, tmp_path):
+    out = str(tmp_path / "out")
+
+    def run(people, areas, recipe="1"):
+        inputs = {"people": spark.createDataFrame(people, "st string, id int, n int").repartition(3), "areas": spark.createDataFrame(areas, "st string, km double")}
+        built = []
+
+        def build(own):
+            built.extend(r.st for r in own["people"].select("st").distinct().collect())
+            return own["people"].groupBy("st").agg(F.sum("n").alias("n")).join(own["areas"], "st")
+
+        return writers.rebuild_stale(spark, out, inputs, build, "st", recipe), sorted(built)
+
+    def folders():
+        return {d.name: sorted((f.name, f.stat().st_mtime_ns) for f in d.iterdir()) for d in (tmp_path / "out").iterdir() if d.is_dir()}
+
+    people, areas = [("CO", 1, 5), ("CO", 2, 6), ("AK", 3, 7), ("FL", 4, 8)], [("CO", 1.0), ("AK", 2.0), ("FL", 3.0)]
+    assert run(people, areas) == (["AK", "CO", "FL"], ["AK", "CO", "FL"])
+    first = folders()
+    assert run(people[::-1], areas) == ([], []) and folders() == first
+    people[1] = ("CO", 2, 60)
+    assert run(people, areas) == (["CO"], ["CO"])
+    second = folders()
+    assert {s for s in first if first[s] != second[s]} == {"st=CO"}
+    areas[2] = ("FL", 3.5)
+    assert run(people, areas)[0] == ["FL"]
+    assert run(people[:2], areas[:1])[0] == ["AK", "FL"] and set(folders()) == {"st=CO"}
+    assert {(r.st, r.n, r.km) for r in spark.read.csv(out, header=True).collect()} == {("CO", "65", "1.00")}
+    assert run(people, areas)[0] == ["AK", "FL"] and run(people, areas, "2")[0] == ["AK", "CO", "FL"]
+
+
 def test_stored_tables_and_keys(spark):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     assert writers.materialize_table(df, "geo_t1", cluster_by=["k"]).count() == 2

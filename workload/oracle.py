@@ -269,6 +269,8 @@ def build() -> dict[str, str]:
     add("append_keyed", 'select geoid, statefp, "AQNFE001" from src_tracts')
     add("assert_unique_key", f"select k, {tract_columns} from src_tracts")
     add("skip_if_current", " union all ".join(f"select '{t}' as name, count(*) as rows, true as made, false as none from {t}" for t in ("customer", "supplier", "orders")))
+    add("rebuild_stale", """select statefp::bigint as statefp, (sum("AQNFE001") + case when statefp = 7 then count(*) else 0 end)::bigint as people, count(*) as tracts,
+      true as run_0, statefp = 7 as run_1 from src_tracts group by statefp""")
     add("validate_common_columns", 'select geoid, statefp, "AQNFE001" from src_tracts')
     add("drop_by_pattern", "select geoid20, party_dem, party_rep, party_oth::bigint as party_oth, total_reg::bigint as total_reg from vf_blocks")
     add("extensive_columns", 'select geoid, "AQM4E002", "AQPZE003" from src_tracts')
