@@ -358,3 +358,44 @@ def test_quality_without_labels_or_texts(docs, rows, none, spark):
     assert got.count() == len(rows) and got.where("not kept").count() == 0
     assert set(docs.columns) - {"grade_of_text"} <= set(got.columns)
     assert op2.graded(none, model).count() == 0
+
+
+def test_quality_against_plain_sums(spark):
+    """Likelihood and tails worked out term by term; the fit is a low point of the former."""
+    import math
+
+    rng = random.Random(12)
+    words_of = op2.WordFeatures()
+    texts = [" ".join(rng.choice(["sun", "tree", "stone", "bird"] + ["rot", "mud"] * (i % 3 == 0) + ["vile"] * (i % 5 == 0)) for _ in range(rng.randrange(4, 40))) for i in range(400)]
+    grades = [2 - (i % 3 == 0) - (i % 5 == 0) if rng.random() < 0.8 else rng.randrange(3) for i in range(400)]
+    rows = [op2.features(t, words_of) for t in texts]
+    model = op2.fit_rows(rows, np.array(grades))
+    assert len(model.numbers) > 5 and (model.weights >= 0).all()
+
+    def tails(row, weights, thresholds):
+        known = dict(zip(model.numbers.tolist(), weights))
+        s = -op2.STEEP * math.log(1 + sum(known.get(x, 0.0) for x in row.tolist()))
+        return [1 / (1 + math.exp(t - s)) for t in thresholds]
+
+    def loss(weights, thresholds):
+        total = 0.0
+        for row, g in zip(rows, grades):
+            at = [1.0, *tails(row, weights, thresholds), 0.0]
+            total -= (3.0 if g < 2 else 1.0) * math.log(max(at[g] - at[g + 1], 1e-9)) / len(rows)
+        return total + 0.5e-6 * sum(w * w for w in weights) + 0.5e-4 * (thresholds[0] ** 2 + math.log(thresholds[1] - thresholds[0]) ** 2)
+
+    weights, thresholds = model.weights.tolist(), model.thresholds.tolist()
+    least = loss(weights, thresholds)
+    assert least < 0.9 * loss([0.0] * len(weights), thresholds)
+    for j in range(2):
+        for step in (-0.3, 0.3):
+            moved = [t + step * (k == j) for k, t in enumerate(thresholds)]
+            assert moved[0] >= moved[1] or loss(weights, moved) > least - 2e-3
+    for j in rng.sample(range(len(weights)), 6):
+        for step in (-0.3, 0.3):
+            assert loss([max(0.0, w + step * (k == j)) for k, w in enumerate(weights)], thresholds) > least - 2e-3
+    docs = spark.createDataFrame(list(enumerate([*texts, None, "", "vile " * 5000])), "doc_id long, text string")
+    got = {r.doc_id: r for r in op2.graded(docs, model).collect()}
+    for i, t in enumerate([*texts, None, "", "vile " * 5000]):
+        want = tails(op2.features(t, words_of), weights, thresholds)
+        assert [got[i].tail_1, got[i].tail_2] == pytest.approx(want, abs=1e-6) and got[i].expected_grade == pytest.approx(sum(want), abs=1e-6) and got[i].kept == (got[i].tail_2 >= 0.5)
