@@ -98,8 +98,11 @@ def job_sld_cd_overlaps(src: DataFrame, map1: DataFrame, map2: DataFrame, tiles:
     """People of each first-map area by second-map area, by developed land, as a matrix.
 
     With ``state``, the state column of both maps, areas meet and are added up
-    inside their state alone, and rows have the ``state``; names may then repeat.
+    inside their state alone, and rows have the ``state``; names may then repeat. Without
+    it a name that occurs twice in a map is an error.
     """
+    if state is None:
+        map1, map2 = (assert_unique_key(m, name) for m in (map1, map2))
     pairs = dasymetric.dasymetric_overlap_pairs(map1, map2, src, tiles, runs, grid, pop, src_id, (id, id), (name, name),
                                                 clips=clips, states=(state, state) if state else None)
     return dasymetric.overlap_matrix(pairs, map1, name, names_2, state)
@@ -111,8 +114,11 @@ def job_areal_overlaps(src: DataFrame, components: DataFrame, targets: DataFrame
     """People of each target by component, by shared ground, one column per component.
 
     With ``state``, the state column of all three maps, every state is a run of
-    its own: slivers over its border do not count, and rows have the ``state``.
+    its own: slivers over its border do not count, and rows have the ``state``. Without it
+    a name that occurs twice among the components or the targets is an error.
     """
+    if state is None:
+        components, targets = (assert_unique_key(m, name) for m in (components, targets))
     src, components, targets = (on_web_plane(x, srid) for x in (src, components, targets))
     long = areal.population_overlaps(src, components, targets, pop, src_id, id, id, name, name, states=(state,) * 3 if state else None)
     by = ["state"] if state else []

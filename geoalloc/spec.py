@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+# Column patterns and key columns of the census tables.
 #: Columns matched by this pattern hold census values (``AQNFE001`` and the like).
 CENSUS_COLUMNS = r"^[A-Z0-9]+E\d+$"
 #: Census columns carried into the district and tract tables.

@@ -150,27 +150,40 @@ TRACT_SUMS = """select "StateFIPS" || "CountyFIPS" || "TractId" as geoid, "State
   sum(party_dem)::bigint as party_dem, sum(party_rep)::bigint as party_rep, sum(party_oth)::bigint as party_oth,
   sum(total_reg)::bigint as total_reg from blocks group by 2, 3, 4"""
 
-# the groups of the raw code columns, spelled out for this side
+# Code numbers of each census group.
 _GROUPS = {
-    "BG_Population": "1", "S_Male": "2", "S_Female": "26", "A_Under18": "3-6 27-30", "A_18To24": "7-10 31-34",
-    "A_25To44": "11-14 35-38", "A_45To64": "15-19 39-43", "A_65AndOver": "20-25 44-49", "R_White": "2", "R_Black": "3",
-    "R_Asian": "5", "R_Other": "4 6-10", "Eth_Hispanic": "3", "Eth_NotHispanic": "2", "E_L9": "3-6 20-23",
-    "E_9To12": "7-10 24-27", "E_HSGrad": "11 28", "E_AS": "12-14 29-31", "E_BA": "15 32", "E_AD": "16-18 33-35",
-    "TotalIncome": "1"}
-
-
-def _sum_of(spec: str, mod: int = 89) -> str:
-    terms = []
-    for part in spec.split():
-        lo, _, hi = part.partition("-")
-        terms += [f"(c_custkey * {n}) % {mod}" for n in range(int(lo), int(hi or lo) + 1)]
-    return " + ".join(terms)
+    "BG_Population": (1,),
+    "S_Male": (2,),
+    "S_Female": (26,),
+    "A_Under18": (3, 4, 5, 6, 27, 28, 29, 30),
+    "A_18To24": (7, 8, 9, 10, 31, 32, 33, 34),
+    "A_25To44": (11, 12, 13, 14, 35, 36, 37, 38),
+    "A_45To64": (15, 16, 17, 18, 19, 39, 40, 41, 42, 43),
+    "A_65AndOver": (20, 21, 22, 23, 24, 25, 44, 45, 46, 47, 48, 49),
+    "R_White": (2,),
+    "R_Black": (3,),
+    "R_Asian": (5,),
+    "R_Other": (4, 6, 7, 8, 9, 10),
+    "Eth_Hispanic": (3,),
+    "Eth_NotHispanic": (2,),
+    "E_L9": (3, 4, 5, 6, 20, 21, 22, 23),
+    "E_9To12": (7, 8, 9, 10, 24, 25, 26, 27),
+    "E_HSGrad": (11, 28),
+    "E_AS": (12, 13, 14, 29, 30, 31),
+    "E_BA": (15, 32),
+    "E_AD": (16, 17, 18, 33, 34, 35),
+    "TotalIncome": (1,),
+}
+
+
+def _sum_of(codes: tuple[int, ...], mod: int = 89) -> str:
+    return " + ".join(f"(c_custkey * {n}) % {mod}" for n in codes)
 
 
 GROUPS = "select 'G' || c_custkey as \"GISJOIN\", " + ", ".join(
     f'({_sum_of(v)})::bigint as "{k}"' for k, v in _GROUPS.items()) + " from customer"
 CITIZENS = (f"select 'G' || c_custkey as \"GISJOIN\", c_custkey % 1000 as \"T_Population\", "
-            f"({_sum_of('4 6 15 17', 83)})::bigint as \"C_U18\", ({_sum_of('9 11 20 22', 83)})::bigint as \"C_O18\" from customer")
+            f"({_sum_of((4, 6, 15, 17), 83)})::bigint as \"C_U18\", ({_sum_of((9, 11, 20, 22), 83)})::bigint as \"C_O18\" from customer")
 
 
 def _attribute_job() -> str:
