@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from geoalloc.functions.columns import fixed
@@ -51,17 +51,43 @@ def write_feature_collections(features: DataFrame, path: str, by: str) -> None:
     every.repartition(by).sortWithinPartitions(by, "step", "n").select(by, "value").write.mode("overwrite").partitionBy(by).text(path)
 
 
-def materialize_table(df: DataFrame, name: str, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = ()) -> DataFrame:
+def curve_place(x: Column, y: Column) -> Column:
+    """Place of a cell on a space-filling curve (Z order): the bits of both numbers by turns, from 2^31 below zero on."""
+    def spread(c):
+        c = c.cast("bigint") + F.lit(2**31)
+        for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555)):
+            c = c.bitwiseOR(F.shiftleft(c, shift)).bitwiseAND(F.lit(mask))
+        return c
+
+    # the highest bit of y is the sign of a long: turned over, places sort as unsigned numbers
+    return spread(x).bitwiseOR(F.shiftleft(spread(y), 1)).bitwiseXOR(F.lit(-(2**63)))
+
+
+def materialize_table(df: DataFrame, name: str, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = (),
+                      curve: tuple[str, str] | None = None, bucket_by: Sequence[str] = (), buckets: int = 0) -> DataFrame:
     """Replaces a stored table and returns it read back, its lineage cut.
 
     ``cluster_by`` sorts the files by those columns (state and cell, say), so that
-    readers skip the rest.
+    readers skip the rest; ``curve`` names two whole-number columns (a cell) and lays the files
+    along a space-filling curve, so that each holds a compact part of the map. ``bucket_by``
+    deals rows into ``buckets`` files by hash: a join on just these columns (a cell join of a
+    map that is met again and again) then reads the table without an exchange.
     """
     spark = df.sparkSession
-    if cluster_by:
+    if bucket_by:
+        if curve or cluster_by or buckets < 1:
+            raise ValueError("buckets need a number of their own, and no other layout")
+        df = df.repartition(buckets, *bucket_by)
+    elif curve:
+        place = curve_place(*(F.col(c) for c in curve))
+        df = df.repartitionByRange(place).sortWithinPartitions(place)
+    elif cluster_by:
         df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
     spark.sql(f"drop table if exists {name}")
-    df.write.mode("overwrite").partitionBy(*partition_by).format("parquet").saveAsTable(name)
+    write = df.write.mode("overwrite").partitionBy(*partition_by).format("parquet")
+    if bucket_by:
+        write = write.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
+    write.saveAsTable(name)
     return spark.table(name)
 
 

@@ -187,6 +187,32 @@ def test_stored_tables_and_keys(spark):
     assert writers.assert_unique_key(df, "k") is df
 
 
+def test_layouts_of_stored_cells(spark):
+    rng = random.Random(2)
+    spots = [(rng.choice([0, -1, 1, 5, -2**31, 2**31 - 1, rng.randrange(-2**31, 2**31)]), rng.randrange(-2**31, 2**31)) for _ in range(200)]
+    frame = spark.createDataFrame(spots, "cx long, cy long")
+    got = [(r.p, r.cx, r.cy) for r in frame.select(writers.curve_place(F.col("cx"), F.col("cy")).alias("p"), "cx", "cy").collect()]
+
+    def plain(x, y):
+        x, y = x + 2**31, y + 2**31
+        return sum((x >> k & 1) << 2 * k | (y >> k & 1) << 2 * k + 1 for k in range(32))
+
+    assert [(x, y) for _, x, y in sorted(got)] == sorted(spots, key=lambda s: plain(*s))
+    grid = spark.range(64 * 64).selectExpr("id % 64 - 32 as cx", "id div 64 - 32 as cy", "id")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small files stay apart
+    laid = writers.materialize_table(grid.repartition(3), "laid_cells", curve=("cx", "cy"))
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    boxes = laid.groupBy(F.input_file_name()).agg((F.max("cx") - F.min("cx") + 1).alias("w"), (F.max("cy") - F.min("cy") + 1).alias("h"), F.count("*").alias("n")).collect()
+    assert sum(r.n for r in boxes) == 4096 and len(boxes) > 1 and all(r.w * r.h <= 4 * 4096 / len(boxes) for r in boxes)
+    kept = writers.materialize_table(grid, "dealt_cells", bucket_by=["cx", "cy"], buckets=5)
+    other = grid.select("cx", "cy", F.col("id").alias("other"))
+    j = kept.join(other.hint("merge"), ["cx", "cy"])
+    plan = j._jdf.queryExecution().executedPlan().toString()
+    assert j.where("id = other").count() == 4096 and plan.count("Exchange hashpartitioning") == 1  # the other side alone
+    with pytest.raises(ValueError):
+        writers.materialize_table(grid, "none", bucket_by=["cx"], curve=("cx", "cy"))
+
+
 def test_geojson_files(spark, tmp_path):
     def feature(name, kind, coords):
         return {"type": "Feature", "geometry": {"type": kind, "coordinates": coords}, "properties": {"NAME": name, "pop": 3, "id": 9}}

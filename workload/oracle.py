@@ -279,6 +279,9 @@ def build() -> dict[str, str]:
     add("read_geojson_shapes", ring("geoid, statefp::bigint as statefp", box))
     add("read_shapefile_shapes", f"select geoid, dense_rank() over (partition by statefp order by geoid) as record, n, x, y from ({ring('geoid, statefp', box[::-1])})")
     add("materialize_table", f"select k, {tract_columns} from src_tracts")
+    span = "(floor(least(a.{1}, b.{1}) / 16.0) - floor(greatest(a.{0}, b.{0}) / 16.0) + 1)"
+    across, up = span.format("x0", "x1"), span.format("y0", "y1")
+    add("materialize_cells", f"select a.k, b.id_0, ({across} * {up})::bigint as cells from src_tracts a, tgt_a b where {across} > 0 and {up} > 0")
     add("append_keyed", 'select geoid, statefp, "AQNFE001" from src_tracts')
     add("assert_unique_key", f"select k, {tract_columns} from src_tracts")
     add("skip_if_current", " union all ".join(f"select '{t}' as name, count(*) as rows, true as made, false as none from {t}" for t in ("customer", "supplier", "orders")))

@@ -13,7 +13,7 @@ from geoalloc.functions import measures as ms
 from geoalloc.functions.geometry import (
     GEOM_TYPE, MERCATOR, geodesic_area, planar_area, point, project, with_box,
 )
-from geoalloc.operators import areal, assign, dasymetric, outlines, raster, spatial, tables
+from geoalloc.operators import areal, assign, cells, dasymetric, outlines, raster, spatial, tables
 from geoalloc.plans import jobs
 from geoalloc.sources import readers, writers
 from geoalloc.spec import InterpolationSpec, SourceSpec, TargetSpec
@@ -181,6 +181,15 @@ def q_materialize_table(m):
     return writers.materialize_table(m.flat("src_tracts"), name, partition_by=["statefp"], cluster_by=["statefp", "geoid"])
 
 
+@query
+def q_materialize_cells(m):
+    """Tract cells stored in buckets, met by district cells: pairs that share a cell."""
+    cell = 16 * st.UNIT
+    kept = writers.materialize_table(cells.box_cells(m.src, cell, "k"), f"cells_{uuid.uuid4().hex}", bucket_by=["cx", "cy"], buckets=8)
+    met = kept.select("cx", "cy", "k").join(cells.box_cells(m.shapes("tgt_a"), cell, "id_0").select("cx", "cy", "id_0").hint("merge"), ["cx", "cy"])
+    return met.groupBy("k", "id_0").agg(F.count("*").alias("cells"))
+
+
 @query
 def q_append_keyed(m):
     name = f"tracts_{uuid.uuid4().hex}"
