@@ -10,7 +10,6 @@ Candidates follow the edges that lie near each other, whatever their number in o
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 #: Edges shorter than this share of all edges of a shape are binned like those.
 SHORT = 0.1
