@@ -64,13 +64,12 @@ def dasymetric_weights(src: DataFrame, tgt: DataFrame, tiles: DataFrame, runs: D
     cell = cell or cells.choose_cell(src, tgt)
     if clips is None:
         clips = stored(raster.clip_raster_to_geometries(runs, src, src_id, grid, "src_id"))
-    pairs = bbox_join(src, tgt, src_id, tgt_id, cell=cell)
     if preclipped:
+        pairs = bbox_join(src, tgt, src_id, tgt_id, cell=cell)
         lit = tiles.select("rid", "tx", "ty", "cols", "rows").join(runs.select("rid"), "rid", "left_semi")
         pair_tiles = tiles_touched(src, src_id, lit, grid, exact=False)
     else:
-        meet = spatial_join_intersects(src, tgt, src_id, tgt_id, cell=cell, boxes=pairs)
-        pairs = pairs.join(meet, ["src_id", "tgt_id"], "left_semi")
+        pairs = spatial_join_intersects(src, tgt, src_id, tgt_id, cell=cell, boxes=True)
         pair_tiles = tiles_touched(src, src_id, tiles, grid)
     envelopes = raster.clip_envelope_area(pairs, pair_tiles, grid, merged=preclipped)
     in_both = raster.clip_runs(clips, raster.scan_spans(tgt, tgt_id, grid, "tgt_id"))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from geoalloc.functions.geometry import BOX, EQUAL_AREA, LONLAT, planar_area, project
 from geoalloc.operators import cells, edges
+from geoalloc.sources.writers import stored
 
 PAIR = ("src_id", "tgt_id")
 #: Cut of lon/lat edges, in degrees, before areas are taken on the equal-area plane.
@@ -126,23 +127,38 @@ def _contacts(pairs: DataFrame, left: DataFrame, right: DataFrame, left_id: str,
     return met.where(edges.HAVE_A_POINT).select(*names).distinct()
 
 
+def box_pairs(left: DataFrame, right: DataFrame, left_id: str, right_id: str, names: tuple[str, str] = PAIR,
+              cell: float | None = None, layers: tuple[int, int] = (0, 1)) -> DataFrame:
+    """Pairs whose boxes meet, with both boxes and the ``area`` they share (null: none).
+
+    Kept in the checkpoint folder: what shares ground is settled, what does not is looked
+    at edge by edge, and neither branch works the pairs out again.
+    """
+    cell = cell or cells.choose_cell(left, right)
+    ground = overlap_area(left, right, left_id, right_id, names, cell=cell, layers=layers)
+    return stored(bbox_join(left, right, left_id, right_id, names, cell, layers).join(ground, list(names), "left"))
+
+
+def touching(pairs: DataFrame, left: DataFrame, right: DataFrame, left_id: str, right_id: str,
+             names: tuple[str, str], cell: float) -> DataFrame:
+    """Those of ``box_pairs`` that share a point but no ground."""
+    return _contacts(pairs.where("area is null").drop("area"), left, right, left_id, right_id, names, cell)
+
+
 def spatial_join_intersects(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
                             names: tuple[str, str] = PAIR, cell: float | None = None, layers: tuple[int, int] = (0, 1),
-                            boxes: DataFrame | None = None, ground: DataFrame | None = None) -> DataFrame:
-    """Pairs that share at least a point.
+                            boxes: bool = False) -> DataFrame:
+    """Pairs that share at least a point, with the boxes of both if ``boxes``.
 
     Shared ground settles most pairs; only those whose boxes meet without any
-    are looked at edge by edge. ``boxes`` and ``ground`` may pass the box pairs and
-    the overlaps if they are already at hand.
+    are looked at edge by edge.
     """
     cell = cell or cells.choose_cell(left, right)
-    if ground is None:
-        ground = overlap_area(left, right, left_id, right_id, names, cell=cell, layers=layers)
-    if boxes is None:
-        boxes = bbox_join(left, right, left_id, right_id, names, cell, layers)
-    ground = ground.select(*names)
-    rest = boxes.join(ground, list(names), "left_anti")
-    return ground.unionByName(_contacts(rest, left, right, left_id, right_id, names, cell))
+    pairs = box_pairs(left, right, left_id, right_id, names, cell, layers)
+    touch = touching(pairs, left, right, left_id, right_id, names, cell)
+    if boxes:
+        touch = pairs.join(touch, list(names), "left_semi").drop("area")
+    return pairs.where("area is not null").select(*touch.columns).unionByName(touch)
 
 
 def geometry_predicates(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
@@ -154,17 +170,14 @@ def geometry_predicates(left: DataFrame, right: DataFrame, left_id: str, right_i
     these follow from the overlap, compared within 1e-9 of the smaller one.
     """
     cell = cell or cells.choose_cell(left, right)
-    boxes = bbox_join(left, right, left_id, right_id, names, cell)
-    shared = overlap_area(left, right, left_id, right_id, names, cell=cell)
-    touch = spatial_join_intersects(left, right, left_id, right_id, names, cell, boxes=boxes, ground=shared).withColumn("intersects", F.lit(True))
-    boxes = boxes.select(*names)
+    pairs = box_pairs(left, right, left_id, right_id, names, cell)
+    touch = touching(pairs, left, right, left_id, right_id, names, cell).withColumn("touch", F.lit(True))
     la = left.select(F.col(left_id).alias(names[0]), planar_area(F.col("geom")).alias("l_area"))
     ra = right.select(F.col(right_id).alias(names[1]), planar_area(F.col("geom")).alias("r_area"))
-    j = (boxes.join(shared, list(names), "left").join(touch, list(names), "left")
-         .join(la, names[0]).join(ra, names[1]))
+    j = pairs.select(*names, "area").join(touch, list(names), "left").join(la, names[0]).join(ra, names[1])
     within, contains = "area >= l_area * (1 - 1e-9D)", "area >= r_area * (1 - 1e-9D)"
     return j.selectExpr(
-        *names, "coalesce(area, 0D) as area", "coalesce(intersects, false) as intersects",
+        *names, "coalesce(area, 0D) as area", "area is not null or touch is not null as intersects",
         f"coalesce(not ({within}) and not ({contains}), false) as overlaps",
         f"coalesce({contains}, false) as contains", f"coalesce({within}, false) as within")
 
