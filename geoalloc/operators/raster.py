@@ -90,9 +90,10 @@ def reclass_raster(tiles: DataFrame, rules=DEVELOPED, nodata: int = 0) -> DataFr
     return tiles.mapInPandas(recode, TILE_SCHEMA)
 
 
-def raster_runs(tiles: DataFrame, grid: Grid, value: int = 1) -> DataFrame:
-    """Set pixels as runs: ``rid, tx, prow, c_from, c_to`` (``c_to`` excluded)."""
+def raster_runs(tiles: DataFrame, grid: Grid, value: int = 1, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Set pixels as runs: ``rid, tx, prow, c_from, c_to`` (``c_to`` excluded), and the columns ``keep`` of their tile."""
     side = grid.tile
+    kept = "".join(f", {k} {tiles.schema[k].dataType.simpleString()}" for k in keep)
 
     def runs(batches):
         for pdf in batches:
@@ -103,10 +104,10 @@ def raster_runs(tiles: DataFrame, grid: Grid, value: int = 1) -> DataFrame:
                 stop = np.nonzero(step == -1)[1]
                 if len(r):
                     yield pd.DataFrame({"rid": row.rid, "tx": row.tx, "prow": row.ty * side + r,
-                                        "c_from": row.tx * side + start, "c_to": row.tx * side + stop})
+                                        "c_from": row.tx * side + start, "c_to": row.tx * side + stop, **{k: getattr(row, k) for k in keep}})
 
-    return tiles.select("rid", "tx", "ty", "cols", "rows", "bits", "band").mapInPandas(
-        runs, "rid bigint, tx bigint, prow bigint, c_from bigint, c_to bigint")
+    return tiles.select("rid", "tx", "ty", "cols", "rows", "bits", "band", *keep).mapInPandas(
+        runs, f"rid bigint, tx bigint, prow bigint, c_from bigint, c_to bigint{kept}")
 
 
 def scan_spans(shapes: DataFrame, id: str, grid: Grid, name: str = "geom_id") -> DataFrame:
@@ -116,31 +117,36 @@ def scan_spans(shapes: DataFrame, id: str, grid: Grid, name: str = "geom_id") ->
     Rows and columns are half open, and an edge is always walked the same way, so
     two shapes that share an edge never both claim a pixel.
     """
-    t = grid.tile
     e = cells.edges(shapes, id).selectExpr(
         f"id as {name}", *[f"({k} - {grid.x0!r}D) / {grid.px_w!r}D as {k}" for k in ("x1", "x2")],
         *[f"({k} - {grid.y0!r}D) / {grid.px_h!r}D as {k}" for k in ("y1", "y2")])
-    e = e.selectExpr(name, *[f"if(y1 < y2, {a}, {b}) as {o}" for a, b, o in (
+    return spans_of(e, [name], grid.tile)
+
+
+def spans_of(e: DataFrame, keys: list[str], t: int) -> DataFrame:
+    """Spans of outlines given as edges in pixels, cut at every ``t`` columns."""
+    e = e.selectExpr(*keys, *[f"if(y1 < y2, {a}, {b}) as {o}" for a, b, o in (
         ("x1", "x2", "ux"), ("y1", "y2", "uy"), ("x2", "x1", "wx"), ("y2", "y1", "wy"))])
     e = e.where("ceil(wy - 0.5D) > ceil(uy - 0.5D)")
     e = e.selectExpr("*", "explode(sequence(ceil(uy - 0.5D), ceil(wy - 0.5D) - 1)) as prow")
-    rows = e.selectExpr(name, "prow", "ux + (prow + 0.5D - uy) * ((wx - ux) / (wy - uy)) as x").groupBy(
-        name, "prow").agg(F.expr("sort_array(collect_list(x))").alias("xs"))
-    spans = rows.selectExpr(name, "prow", """explode(transform(sequence(1, cast(size(xs) / 2 as int)),
+    rows = e.selectExpr(*keys, "prow", "ux + (prow + 0.5D - uy) * ((wx - ux) / (wy - uy)) as x").groupBy(
+        *keys, "prow").agg(F.expr("sort_array(collect_list(x))").alias("xs"))
+    spans = rows.selectExpr(*keys, "prow", """explode(transform(sequence(1, cast(size(xs) / 2 as int)),
         i -> struct(ceil(xs[2 * i - 2] - 0.5D) as a, ceil(xs[2 * i - 1] - 0.5D) as b))) as s""").where("s.b > s.a")
-    spans = spans.selectExpr(name, "prow", "s.a as a", "s.b as b", f"explode(sequence(floor(s.a / {t}), floor((s.b - 1) / {t}))) as tx")
-    return spans.selectExpr(name, "prow", "tx", f"greatest(a, tx * {t}) as c_from", f"least(b, (tx + 1) * {t}) as c_to")
+    spans = spans.selectExpr(*keys, "prow", "s.a as a", "s.b as b", f"explode(sequence(floor(s.a / {t}), floor((s.b - 1) / {t}))) as tx")
+    return spans.selectExpr(*keys, "prow", "tx", f"greatest(a, tx * {t}) as c_from", f"least(b, (tx + 1) * {t}) as c_to")
 
 
 def clip_runs(runs: DataFrame, spans: DataFrame) -> DataFrame:
     """Runs inside spans: every column of both sides, with the shared stretch.
 
-    Spans are explosions whose size the planner cannot know: never broadcast.
+    Runs and spans of several files meet inside their ``file``. Spans are explosions whose size the planner cannot know: never broadcast.
     """
     s = spans.withColumnsRenamed({"c_from": "s_from", "c_to": "s_to"})
     kept = [c for c in runs.columns if c not in ("c_from", "c_to")] + [
-        c for c in s.columns if c not in ("prow", "tx", "s_from", "s_to")]
-    return runs.join(s.hint("merge"), ["prow", "tx"]).where("c_from < s_to and s_from < c_to").selectExpr(
+        c for c in s.columns if c not in ("file", "prow", "tx", "s_from", "s_to")]
+    on = [c for c in ("file", "prow", "tx") if c in runs.columns]
+    return runs.join(s.hint("merge"), on).where("c_from < s_to and s_from < c_to").selectExpr(
         *kept, "greatest(c_from, s_from) as c_from", "least(c_to, s_to) as c_to")
 
 
@@ -183,10 +189,10 @@ def raster_union_by_geom(clips: DataFrame, name: str = "geom_id") -> DataFrame:
         F.min("prow").alias("r_from"), (F.max("prow") + 1).alias("r_to"))
 
 
-def tile_boxes(tiles: DataFrame, grid: Grid) -> DataFrame:
+def tile_boxes(tiles: DataFrame, grid: Grid, keep: tuple[str, ...] = ()) -> DataFrame:
     """Pixel extent of every tile; the pixels themselves are not read."""
     t = grid.tile
-    return tiles.selectExpr("rid", "tx", "ty", f"tx * {t} as t_c0", f"tx * {t} + cols as t_c1",
+    return tiles.selectExpr("rid", *keep, "tx", "ty", f"tx * {t} as t_c0", f"tx * {t} + cols as t_c1",
                             f"ty * {t} as t_r0", f"ty * {t} + rows as t_r1")
 
 

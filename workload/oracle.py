@@ -58,6 +58,19 @@ def _weights(tgt: str, name: str = "wgt", merged: bool = False, where: str = "tr
   from {name}_env e left join {name}_both b on b.k = e.k and b.id_0 = e.id_0 left join own o on o.k = e.k)"""
 
 
+# two files: centre and ground of each pixel; the east counts where the west has no pixel around the centre
+FILES = f"""
+fp as (select case when pcol < 100 then 'west' else 'east' end as filename, case when pcol < 100 then pcol else pcol - 100 end as c, prow as r, cls from pixels),
+fpx as (select *, filename = 'west' as w, case when filename = 'west' then c + 0.5 else 90.125 + (c + 0.5) * 1.5 end::double as x,
+  case when filename = 'west' then r + 0.5 else 0.125 + (r + 0.5) * 1.5 end::double as y, case when filename = 'west' then 1 else 2.25 end * {KM2} as m2 from fp),
+fdev as (select a.* from fpx a left join (select c as wc, r as wr from fpx where w) b on b.wc = floor(a.x)::bigint and b.wr = floor(a.y)::bigint
+  where a.cls between 20 and 29 and (a.w or b.wc is null)),
+fpix as (select s.k, p.* from fdev p join src_tracts s on floor(p.x / 4)::bigint * 4 = s.x0 and floor(p.y / 4)::bigint * 4 = s.y0),
+fown as (select k, sum(m2) as m2 from fpix group by k),
+fwgt as (select p.k as src_id, t.id_0 as tgt_id, sum(p.m2) / any_value(o.m2) as rast_wgt, sum(p.m2) as dev_area_m2, 1 as rast_area_m2
+  from fpix p join fown o on o.k = p.k join tgt_a t on p.x >= t.x0 and p.x < t.x1 and p.y >= t.y0 and p.y < t.y1 group by 1, 2)"""
+
+
 def _log_density(area: str) -> str:
     return (f"exp(sum(case when w.rast_wgt * s.\"AQNFE001\" > 0 then w.rast_wgt * s.\"AQNFE001\" * "
             f"ln(w.rast_wgt * s.\"AQNFE001\" * {KM2} / w.{area}) else 0 end) / nullif(sum(w.rast_wgt * s.\"AQNFE001\"), 0))")
@@ -404,6 +417,16 @@ def build() -> dict[str, str]:
         RASTER, _weights("tgt_a"))
     km = "((t.x1 - t.x0) * (t.y1 - t.y0))::double"
     add("dasymetric_interpolate", _das_select("tgt_a", km), RASTER, _weights("tgt_a"), _dasymetric("wgt"))
+    add("tile_raster_files", """select t.filename, t.tx, t.ty, case when w then t.tx * 16000 else 90125 + t.tx * 24000 end::double as ulx,
+      case when w then t.ty * 16000 else 125 + t.ty * 24000 end::double as uly, case when w then 1000 else 1500 end::double as px_w, t.cols, t.rows,
+      (select string_agg(upper(lpad(to_hex(coalesce(p.cls, 255)), 2, '0')), '' order by g.r, g.c) from
+        (select t.ty * 16 + r as r, t.tx * 16 + c as c from range(16) x(r), range(16) y(c) where r < t.rows and c < t.cols) g
+        left join fp p on p.filename = t.filename and p.r = g.r and p.c = g.c) as band
+      from (select filename, any_value(w) as w, c // 16 as tx, r // 16 as ty, max(c % 16) + 1 as cols, max(r % 16) + 1 as rows from fpx group by 1, 3, 4) t""", FILES)
+    add("mosaic_clips", """select k as geom_id, case when w then 0 else 1 end::bigint as file, count(*) as dev, sum(m2)::double as dev_area_m2 from fpix group by 1, 2""", FILES)
+    add("dasymetric_interpolate_mosaic", f"""select t.id_0 as "ID", t.name as "DistrictName", {km} as "SqKm", round(round(d.dev_km2, 9), 4) as "DevSqKm",
+      d.pop as "TotalPopulation", round(round(d.per_dev_km2, 9), 4) as "PopPerDevSqKm", round(round(d.income, 9), 4) as "PerCapitaIncome",
+      d.m4 as "AQM4E002", d.pz as "AQPZE003" from tgt_a t join das d on d.tgt_id = t.id_0""", FILES, _dasymetric("fwgt"))
     add("dasymetric_interpolate_nomap", _das_select("tgt_b", "d.env_km2"), RASTER, _weights("tgt_b"), _dasymetric("wgt"))
     add("dasymetric_interpolate_preclipped", _das_select("tgt_a", km), RASTER,
         _weights("tgt_a", merged=True, where='z."AQNFE001" > 0'), _dasymetric("wgt"))

@@ -13,7 +13,7 @@ from geoalloc.functions import measures as ms
 from geoalloc.functions.geometry import (
     GEOM_TYPE, MERCATOR, geodesic_area, planar_area, point, project, with_box,
 )
-from geoalloc.operators import areal, assign, cells, dasymetric, outlines, raster, spatial, tables
+from geoalloc.operators import areal, assign, cells, dasymetric, mosaic, outlines, raster, spatial, tables
 from geoalloc.plans import jobs
 from geoalloc.sources import readers, writers
 from geoalloc.spec import InterpolationSpec, SourceSpec, TargetSpec
@@ -81,6 +81,15 @@ class Maps:
     def runs(self):
         return self._once("runs", lambda: raster.raster_runs(self.dev_tiles, st.GRID))
 
+    @property
+    def file_tiles(self):
+        """All pixels as two files: the east has larger pixels and reaches over the west."""
+        return self._once("file_tiles", lambda: mosaic.tile_files(st.two_files(self.flat("pixels")), st.GRIDS))
+
+    @property
+    def file_runs(self):
+        return self._once("file_runs", lambda: mosaic.mosaic_runs(self.file_tiles, st.GRIDS))
+
     @property
     def clips(self):
         return raster.clip_raster_to_geometries(self.runs, self.src, "k", st.GRID)
@@ -590,6 +599,17 @@ def q_raster_union_by_geom(m):
     return raster.raster_union_by_geom(m.clips)
 
 
+@query
+def q_tile_raster_files(m):
+    return m.file_tiles.select("filename", "tx", "ty", "ulx", "uly", "px_w", "cols", "rows", F.hex("band").alias("band"))
+
+
+@query
+def q_mosaic_clips(m):
+    clips = raster.clip_runs(m.file_runs, mosaic.mosaic_spans(m.src, "k", m.file_tiles, st.GRIDS))
+    return mosaic.ground(clips, st.GRIDS, "geom_id", "file")
+
+
 # --- dasymetric ------------------------------------------------------------
 
 @query
@@ -607,6 +627,13 @@ def q_dasymetric_interpolate_nomap(m):
     return dasymetric.dasymetric_interpolate(m.src, m.shapes("tgt_b"), spec=SPEC, area_from="envelope", **m.land)
 
 
+@query
+def q_dasymetric_interpolate_mosaic(m):
+    weights = mosaic.mosaic_weights(m.src, m.shapes("tgt_a"), m.file_tiles, m.file_runs, st.GRIDS, "geoid", "id_0")
+    out = dasymetric.dasymetric_interpolate(m.src, m.shapes("tgt_a"), m.file_tiles, m.file_runs, st.GRID, SPEC, weights=weights)
+    return out.select("ID", "DistrictName", "SqKm", "DevSqKm", "TotalPopulation", "PopPerDevSqKm", "PerCapitaIncome", "AQM4E002", "AQPZE003").where("DevSqKm > 0")
+
+
 @query
 def q_dasymetric_interpolate_preclipped(m):
     return dasymetric.dasymetric_interpolate_preclipped(m.src, m.shapes("tgt_a"), spec=SPEC, **m.land)

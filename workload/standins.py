@@ -19,6 +19,8 @@ from geoalloc.spec import Grid
 
 UNIT = 1000.0
 GRID = Grid(0.0, 0.0, UNIT, UNIT, tile=16)
+#: Two coverages: the east has pixels of one and a half units and begins inside the west.
+GRIDS = {"west": GRID, "east": Grid(90.125 * UNIT, 0.125 * UNIT, 1.5 * UNIT, 1.5 * UNIT, tile=16)}
 GROUP_CODES = {"JLZE": range(1, 50), "JMBE": range(2, 11), "JMKE": range(2, 4),
                "JN9E": range(3, 36), "JQLE": range(1, 2)}
 CITIZEN_CODES = (4, 6, 9, 11, 15, 17, 20, 22)
@@ -97,6 +99,11 @@ def pixels(spark, sf_dir) -> DataFrame:
         .when(p == "4-NOT SPECIFIED", 11).otherwise(82).alias("cls"))
 
 
+def two_files(px: DataFrame) -> DataFrame:
+    east = F.col("pcol") >= 100
+    return px.select(F.when(east, "east").otherwise("west").alias("filename"), F.when(east, F.col("pcol") - 100).otherwise(F.col("pcol")).alias("pcol"), "prow", "cls")
+
+
 def vf_blocks(spark, sf_dir) -> DataFrame:
     k, c = F.col("o_orderkey"), F.col("o_custkey")
 
