@@ -1,17 +1,18 @@
 """Token counts by a separator scan over flat token files without an index.
 
 Files hold nothing but little-endian ids, documents one after another, each closed by an
-end-of-document id. Every file is read in blocks; a vectorised comparison finds the separators
-of a block. A prefix scan over the blocks (small rows: how many ids, where the last separator)
-tells each block where its first document began, which stitches documents over block bounds.
+end-of-document id. A file of any size is dealt in ranges of blocks to the tasks, which read
+theirs by offset, a block at a time; a vectorised comparison finds the separators of a block. A
+prefix scan over the blocks (small rows: how many ids, where the last separator) tells each
+block where its first document began, which stitches documents over the bounds of blocks and tasks.
 
-Files are read by Spark's binary source, one row for each, so a file is at most 2 GiB; the
-writer makes one file of each input partition.
+Spark lists the files; Arrow opens them, so they lie on paths that all executors see or in stores that it knows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from urllib.parse import quote
 
 import numpy as np
 import pyarrow as pa
@@ -20,8 +21,11 @@ from pyspark.sql import functions as F
 
 from geoalloc.llm.common import shared_folder, stored
 from geoalloc.llm.op6_packing import BATCH, TOKENIZER, ChunkIds
+from geoalloc.sources.shapefiles import open_files
 
 BLOCK_IDS = 1 << 18
+RANGE_BLOCKS = 64  # blocks that one task reads of a file at a stretch
+MOST_TASKS = 10_000
 END_ID = 49_407  # <|endoftext|> of the default tokenizer
 
 
@@ -49,26 +53,29 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, en
     return width
 
 
-def scan_blocks(spark: SparkSession, path: str, width: int, end_id: int, block_ids: int = BLOCK_IDS) -> DataFrame:
+def scan_blocks(spark: SparkSession, path: str, width: int, end_id: int, block_ids: int = BLOCK_IDS, range_blocks: int = RANGE_BLOCKS) -> DataFrame:
     """``file, block, n, ends``: per block of each file its number of ids and the places after its separators in the file."""
-    files = spark.read.format("binaryFile").load(path).select(F.regexp_extract("path", "[^/]*$", 0).alias("file"), "content")
+    size = block_ids * width
+    files = spark.read.format("binaryFile").load(path).where("length > 0").selectExpr("path", "regexp_extract(path, '[^/]*$', 0) as file", "length")  # contents are not read
+    ranges = files.selectExpr("*", f"explode(sequence(0L, (length - 1) div {size * range_blocks})) as part")
+    tasks = min(max(ranges.count(), 1), MOST_TASKS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for name, content in zip(batch["file"].to_pylist(), batch["content"]):
-                raw = content.as_buffer()
-                if len(raw) % width:
-                    raise ValueError(f"{name} ends inside an id")
-                ids = np.frombuffer(raw, f"<u{width}")
-                for at in range(0, len(ids), block_ids):
-                    own = ids[at : at + block_ids]
-                    ends = np.flatnonzero(own == end_id) + at + 1
-                    yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([at // block_ids], pa.int64()), pa.array([len(own)], pa.int64()), pa.array([ends], pa.list_(pa.int64()))], ["file", "block", "n", "ends"])
+        for row in (r for batch in batches for r in batch.to_pylist()):
+            if row["length"] % width:
+                raise ValueError(f"{row['file']} ends inside an id")
+            store, place = open_files(quote(row["path"], safe="/:@"))
+            with store.open_input_file(place) as f:
+                first, last = row["part"] * range_blocks, -(-row["length"] // size)
+                for block in range(first, min(first + range_blocks, last)):
+                    own = np.frombuffer(f.read_at(min(size, row["length"] - block * size), block * size), f"<u{width}")
+                    ends = np.flatnonzero(own == end_id) + block * block_ids + 1
+                    yield pa.RecordBatch.from_arrays([pa.array([row["file"]]), pa.array([block], pa.int64()), pa.array([len(own)], pa.int64()), pa.array([ends], pa.list_(pa.int64()))], ["file", "block", "n", "ends"])
 
-    return files.mapInArrow(run, "file string, block long, n long, ends array<long>")
+    return ranges.repartition(tasks).mapInArrow(run, "file string, block long, n long, ends array<long>")
 
 
-def count_tokens(spark: SparkSession, path: str, width: int, end_id: int = END_ID, block_ids: int = BLOCK_IDS) -> DataFrame:
+def count_tokens(spark: SparkSession, path: str, width: int, end_id: int = END_ID, block_ids: int = BLOCK_IDS, range_blocks: int = RANGE_BLOCKS) -> DataFrame:
     """``file, number, start, tokens, closed`` for every document of the files below ``path``.
 
     ``number`` counts from 0 in a file, ``start`` is the place of the first id, ``tokens``
@@ -76,7 +83,7 @@ def count_tokens(spark: SparkSession, path: str, width: int, end_id: int = END_I
     has no separator to count. Documents do not go on from one file to the next. Empty files
     have none; a file that ends inside an id is an error.
     """
-    blocks = stored(scan_blocks(spark, path, width, end_id, block_ids))
+    blocks = stored(scan_blocks(spark, path, width, end_id, block_ids, range_blocks))
     ahead = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)  # a row for each block of a file
     after = Window.partitionBy("file").orderBy("block").rowsBetween(1, 1)
     small = blocks.select("file", "block", "n", F.size("ends").cast("long").alias("closed"), F.try_element_at("ends", F.lit(-1)).alias("last"))

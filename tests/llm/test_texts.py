@@ -18,7 +18,7 @@ from geoalloc.llm.common import components, shared_folder
 from geoalloc.llm.op6_packing import TOKENIZER, ChunkIds, pack
 from geoalloc.llm.op7_jaccard_join import jaccard_join, one_of_each
 from geoalloc.llm.op9_winnowing import WINDOW, code_points, edited_digests, fingerprints, gram_hashes, winnow
-from geoalloc.llm.op10_separators import END_ID, count_tokens, write_token_files
+from geoalloc.llm.op10_separators import END_ID, count_tokens, scan_blocks, write_token_files
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 #: columns whose names the operators use inside
@@ -266,8 +266,8 @@ def test_token_counts(docs, rows, none, spark):
     path = shared_folder(spark)
     width = write_token_files(docs, path)
     want = sorted(len(tokenizer.encode(t or "", add_special_tokens=False).ids) + 1 for _, t, *_ in rows)
-    for block in (1, 5, 1000, 1 << 18):
-        got = count_tokens(spark, path, width, block_ids=block).collect()
+    for block, at_once in ((1, 1 << 16), (5, 4000), (1000, 3), (1 << 18, 64)):
+        got = count_tokens(spark, path, width, block_ids=block, range_blocks=at_once).collect()
         assert sorted(r.tokens for r in got) == want and all(r.closed for r in got)
         for name in {r.file for r in got}:
             own = sorted((r.number, r.start, r.tokens) for r in got if r.file == name)
@@ -281,14 +281,28 @@ def test_token_counts_of_unclosed_ends(spark, tmp_path):
     (tmp_path / "a.bin").write_bytes(np.array([5, 6, END_ID, END_ID, 9, 9, 9], "<u4").tobytes())
     (tmp_path / "b.bin").write_bytes(np.array([7], "<u4").tobytes())
     (tmp_path / "c.bin").write_bytes(b"")
-    for block in (1, 2, 3, 100):
-        got = sorted(tuple(r) for r in count_tokens(spark, str(tmp_path), 4, block_ids=block).collect())
+    for block, at_once in ((1, 1), (2, 1), (3, 2), (100, 64)):
+        got = sorted(tuple(r) for r in count_tokens(spark, str(tmp_path), 4, block_ids=block, range_blocks=at_once).collect())
         assert got == [("a.bin", 0, 0, 3, True), ("a.bin", 1, 3, 1, True), ("a.bin", 2, 4, 3, False), ("b.bin", 0, 0, 1, False)]
     (tmp_path / "d.bin").write_bytes(b"123")
     with pytest.raises(Exception, match="inside an id"):
         count_tokens(spark, str(tmp_path), 4).count()
 
 
+def test_one_file_is_read_by_several_tasks(spark, tmp_path):
+    """Documents from one id to several ranges long, in a file whose name needs escapes."""
+    rng = random.Random(8)
+    lengths = [rng.choice([1, 2, 7, 40, 300]) for _ in range(60)]
+    ids = [i for n in lengths for i in [3] * (n - 1) + [END_ID]]
+    (tmp_path / "a b%20c.bin").write_bytes(np.array(ids, "<u2").tobytes())
+    blocks = scan_blocks(spark, str(tmp_path), 2, END_ID, block_ids=10, range_blocks=4)
+    tasks = blocks.withColumn("task", F.spark_partition_id()).groupBy("task").agg(F.count("*").alias("n")).collect()
+    assert len(tasks) > 8 and sum(t.n for t in tasks) == -(-len(ids) // 10)
+    got = sorted(tuple(r) for r in count_tokens(spark, str(tmp_path), 2, block_ids=10, range_blocks=4).collect())
+    starts = np.cumsum([0, *lengths[:-1]]).tolist()
+    assert got == [("a b%20c.bin", k, at, n, True) for k, (at, n) in enumerate(zip(starts, lengths))]
+
+
 def test_periods_deviate_by_less_than_a_block():
     for parts in ({"a": 5, "b": 3, "c": 2}, {"a": 1, None: 99}, {"a": 333, "b": 333, "c": 334}, {"a": 7}):
         period, done = sum(parts.values()), dict.fromkeys(parts, 0)
