@@ -31,13 +31,15 @@ EDGE = [*RING, "i"]
 GRID_BITS = 42
 #: Neighbouring rows whose prefix sum one window works out.
 RUN = 4096
+#: Polygons of at most so many edges try all pairs of them in place, without a join.
+FEW_EDGES = 32
 
 
 def polygon_edges(shapes: DataFrame, id: str) -> DataFrame:
     """Edges of all rings: ``id, poly, ring, n, i, x1, y1, x2, y2`` with their classes and those of their polygon."""
     polys = shapes.selectExpr(f"`{id}` as id", "posexplode(geom.polys) as (poly, rs)")
     polys = ed.with_classes(polys, "rs").withColumnRenamed("classes", "other")
-    polys = polys.selectExpr("*", f"explode(array(pow(2D, ceil(log2(array_max(transform(flatten(rs), p -> greatest(abs(p.x), abs(p.y)))))) - {GRID_BITS}))) as grid")
+    polys = polys.selectExpr("*", f"explode(array({_grid('rs')})) as grid")
     rings = polys.selectExpr(*POLY, "least", "other", "grid", "posexplode(rs) as (ring, r)").selectExpr(*RING, "least", "other", "grid", "size(r) - 1 as n", "r")
     each = "posexplode(zip_with(slice(r, 1, n), slice(r, 2, n), (p, q) -> struct(p.x as x1, p.y as y1, q.x as x2, q.y as y2))) as (i, e)"
     return ed.with_class(rings.selectExpr(*RING, "least", "other", "grid", "n", each).selectExpr(*EDGE, "least", "other", "grid", "n", "e.*"))
@@ -51,7 +53,41 @@ def edge_meetings(edge_rows: DataFrame) -> DataFrame:
     its shell in points is fine.
     """
     e = edge_rows.drop("least")
-    j = ed.meeting(e, e, POLY).where("a_ring < b_ring or a_ring = b_ring and a_i < b_i")
+    return _judged(ed.meeting(e, e, POLY).where("a_ring < b_ring or a_ring = b_ring and a_i < b_i"))
+
+
+def polygon_meetings(shapes: DataFrame, id: str) -> DataFrame:
+    """``edge_meetings`` of all polygons of a map.
+
+    Where no polygon of a shape has more than ``FEW_EDGES`` edges they meet inside their row, all
+    against all; other shapes, and those of an id that repeats, go through the bins.
+    """
+    few = f"coalesce(forall(geom.polys, rs -> size(flatten(rs)) - size(rs) <= {FEW_EDGES}), false)"
+    again = stored(shapes.groupBy(F.col(id)).agg(F.count("*").alias("many")).where("many > 1").select(id))
+    small, rest = shapes.where(few), shapes.where(f"not {few}")
+    if not again.isEmpty():
+        rest = rest.unionByName(small.join(again, id, "left_semi").select(*shapes.columns))
+        small = small.join(again, id, "left_anti")
+    polys = small.where(F.col(id).isNotNull()).selectExpr(f"`{id}` as id", "posexplode(geom.polys) as (poly, rs)")
+    each = "transform(slice(r, 1, size(r) - 1), (p, i) -> struct(ring, i, size(r) - 1 as n, p.x as x1, p.y as y1, r[i + 1].x as x2, r[i + 1].y as y2))"
+    # exploding a single value keeps it from being worked out again for every pair
+    polys = polys.selectExpr(*POLY, f"explode(array({_grid('rs')})) as grid", "rs")
+    polys = polys.selectExpr(*POLY, "grid", f"explode(array(flatten(transform(filter(rs, r -> size(r) > 1), (r, ring) -> {each})))) as es")
+    pairs = polys.selectExpr(*POLY, "grid", "es", "posexplode(es) as (k, a)").selectExpr(*POLY, "grid", "a", "explode(slice(es, k + 2, size(es))) as b")
+    for axis in "xy":
+        low, high = ([f"{f}({s}.{axis}1, {s}.{axis}2)" for s in "ab"] for f in ("least", "greatest"))
+        pairs = pairs.where(f"{low[0]} <= {high[1]} and {low[1]} <= {high[0]}")
+    columns = [f"{s}.{c} as {s}_{c}" for s in "ab" for c in ("ring", "i", "n", "x1", "y1", "x2", "y2")]
+    own = _judged(pairs.selectExpr(*POLY, "grid as a_grid", *columns))
+    return edge_meetings(polygon_edges(rest, id)).select(own.columns).unionByName(own)
+
+
+def _grid(rings: str) -> str:
+    return f"pow(2D, ceil(log2(array_max(transform(flatten({rings}), p -> greatest(abs(p.x), abs(p.y)))))) - {GRID_BITS})"
+
+
+def _judged(j: DataFrame) -> DataFrame:
+    """Pairs of edges whose boxes meet, with ``cuts`` and ``tangled``; those without a point in common fall out."""
     j = ed.with_turns(j.selectExpr("*", "a_ring = b_ring and (b_i = a_i + 1 or a_i = 0 and b_i = a_n - 1) as joined"))
     j = j.selectExpr("*", "s1 = 0 and s2 = 0 as inline")
 

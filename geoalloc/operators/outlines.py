@@ -47,12 +47,12 @@ def repair_geometries(shapes: DataFrame, id: str) -> DataFrame:
     of their own size; loops are traced in tables (``noding``).
     """
     clean = with_box(shapes.withColumn("geom", tidy(F.col("geom"))))
-    e = noding.polygon_edges(clean, id)
-    meetings = stored(noding.edge_meetings(e).selectExpr("id", "poly", *(f"{s}_{c}" for s in "ab" for c in ("ring", "i", "x1", "y1", "x2", "y2")), "cuts", "tangled"))
+    meetings = stored(noding.polygon_meetings(clean, id).selectExpr("id", "poly", *(f"{s}_{c}" for s in "ab" for c in ("ring", "i", "x1", "y1", "x2", "y2")), "cuts", "tangled"))
     bad = stored(meetings.where("tangled").select("id").distinct())
     if bad.isEmpty():
         return clean.withColumn("repaired", F.lit(False))
-    loops, lost = noding.untangled(e.join(bad, "id", "left_semi"), meetings.join(bad, "id", "left_semi"))
+    e = noding.polygon_edges(clean.join(bad.withColumnRenamed("id", id), id, "left_semi"), id)
+    loops, lost = noding.untangled(e, meetings.join(bad, "id", "left_semi"))
     loops = loops.selectExpr("id", "struct(poly, part) as poly", "ring", "xs", "ys")
     marks = bad.join(lost.withColumn("repaired", F.lit(False)), "id", "left").selectExpr(f"id as `{id}`", "repaired is null as repaired", "true as tangled")
     rows = clean.join(marks, id, "left")

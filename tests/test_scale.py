@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
+from geoalloc.operators import noding
+from tests.helpers import box, shapes
+from tests.test_edges import tangle
 from workload.queries import Maps, _stepped
 
 
@@ -31,3 +36,23 @@ def test_edges_of_a_small_file_are_the_work_of_several_tasks(spark, folder):
     assert [df.rdd.getNumPartitions() for df in dense] == [3, 3]
     assert [df.count() for df in dense] == [11_000, 2_500]
     assert dense[0].agg(F.count_distinct("k"), F.max("k")).first() == (11_000, 10_999)
+
+
+def test_small_polygons_meet_in_place_as_they_do_in_bins(spark, monkeypatch):
+    rng = random.Random(5)
+    rows = [(str(k), tangle(rng, k % 5)) for k in range(40)]
+    rows += [("wide", [[box(0, 0, 3, 3), box(1, 1, 2, 5)], tangle(rng, 2)[0]]), (None, [[box(0, 0, 1, 1), box(0, 0, 1, 1)]]),
+             ("again", tangle(rng, 0)), ("again", tangle(rng, 2)), ("empty", [])]
+    s = shapes(spark, rows)
+
+    def seen(df):
+        # the two edges of a pair may be named in either order only by their own numbers
+        return sorted(str(r) for r in df.select("id", "poly", "a_ring", "a_i", "b_ring", "b_i", F.sort_array("cuts").alias("cuts"), "tangled").distinct().collect())
+
+    want = seen(noding.edge_meetings(noding.polygon_edges(s, "id")))
+    assert len(want) > 100 and seen(noding.polygon_meetings(s, "id")) == want
+    # nothing small is left to the bins
+    left = []
+    monkeypatch.setattr(noding, "polygon_edges", lambda df, id, was=noding.polygon_edges: left.append(df.count()) or was(df, id))
+    noding.polygon_meetings(shapes(spark, [(str(k), [[box(0, 0, 2, 2)]]) for k in range(5)]), "id")
+    assert left == [0]
