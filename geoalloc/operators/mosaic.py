@@ -9,8 +9,10 @@ their origins are a table that joins, not branches of the plan.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,9 +33,14 @@ def common(grids: Mapping[str, Grid]) -> Grid:
 
 
 def grid_table(spark: SparkSession, grids: Mapping[str, Grid]) -> DataFrame:
-    """``file, filename, x0, y0, gw, gh``; files count up in order of precedence."""
+    """``file, filename, x0, y0, gw, gh``; files count up in order of precedence.
+
+    As small as the given grids, so it goes to the rows it joins: dealt by file, all rows of one would be one task.
+    """
     rows = [(n, name, float(g.x0), float(g.y0), float(g.px_w), float(g.px_h)) for n, (name, g) in enumerate(grids.items())]
-    return spark.createDataFrame(rows, "file bigint, filename string, x0 double, y0 double, gw double, gh double")
+    types = [pa.int64(), pa.string(), *[pa.float64()] * 4]
+    table = pa.table([pa.array(c, t) for c, t in zip(zip(*rows), types)], ["file", "filename", "x0", "y0", "gw", "gh"])
+    return F.broadcast(spark.createDataFrame(table))
 
 
 def tile_files(pixels: DataFrame, grids: Mapping[str, Grid], nodata: int = 255) -> DataFrame:
@@ -70,7 +77,7 @@ def covered_before(tiles: DataFrame, grids: Mapping[str, Grid], nodata: int = 25
     """
     side = common(grids).tile
     boxes = extents(tiles, grids)
-    over = bbox_join(boxes, boxes, "file", "file", ("late", "early")).where("early < late").select("late", "early")
+    over = F.broadcast(bbox_join(boxes, boxes, "file", "file", ("late", "early")).where("early < late").select("late", "early"))
     g = grid_table(tiles.sparkSession, grids).drop("filename")
     own = g.withColumnsRenamed({c: f"e_{c}" for c in ("x0", "y0", "gw", "gh")})
 
@@ -105,11 +112,27 @@ def mosaic_runs(tiles: DataFrame, grids: Mapping[str, Grid], rules=raster.DEVELO
     return j.selectExpr("file", "rid", "tx", "prow", f"inline({free}) as (c_from, c_to)")
 
 
+def near_files(shapes: DataFrame, id: str, tiles: DataFrame, grids: Mapping[str, Grid], name: str, *keep: str) -> DataFrame:
+    """Each shape with the files whose box meets its own: ``name, file``, the grid of the file, the box of the shape and ``keep``.
+
+    There is a box for each of the given grids, so the boxes go to the shapes, in cells that are
+    large enough for both: a file that reaches over very many shapes takes few cells, and no shape is shuffled.
+    """
+    boxes = extents(tiles, grids)
+    side = max(cells.choose_cell(df, hot_rows=math.inf) for df in (shapes, boxes))
+    own = shapes.where(F.col(id).isNotNull()).select(F.col(id).alias(name), *keep, *BOX)
+    own = cells.box_cells(own, side, name, *keep)
+    far = cells.box_cells(boxes.join(grid_table(tiles.sparkSession, grids).drop("filename"), "file"), side, "file", "x0", "y0", "gw", "gh")
+    j = own.join(F.broadcast(far.withColumnsRenamed({b: f"r_{b}" for b in BOX})), list(cells.CELL))
+    j = j.where("xmin <= r_xmax and r_xmin <= xmax and ymin <= r_ymax and r_ymin <= ymax")
+    return j.where(f"cx = floor(greatest(xmin, r_xmin) / {float(side)!r}D) and cy = floor(greatest(ymin, r_ymin) / {float(side)!r}D)").drop(
+        *cells.CELL, *(f"r_{b}" for b in BOX))
+
+
 def mosaic_spans(shapes: DataFrame, id: str, tiles: DataFrame, grids: Mapping[str, Grid], name: str = "geom_id") -> DataFrame:
     """Pixel centres inside each shape, for every file whose box meets the shape's: ``name, file, prow, tx, c_from, c_to``."""
-    near = bbox_join(shapes, extents(tiles, grids), id, "file", (name, "file")).select(name, "file")
-    near = near.join(grid_table(shapes.sparkSession, grids).drop("filename"), "file")
-    e = cells.edges(shapes, id).withColumnRenamed("id", name).join(near.hint("merge"), name)
+    near = near_files(shapes, id, tiles, grids, name, "geom").selectExpr("geom", f"struct({name}, file, x0, y0, gw, gh) as own")
+    e = cells.edges(near, "own").selectExpr("id.*", "x1", "y1", "x2", "y2")
     e = e.selectExpr(name, "file", *[f"({k} - x0) / gw as {k}" for k in ("x1", "x2")], *[f"({k} - y0) / gh as {k}" for k in ("y1", "y2")])
     return raster.spans_of(e, [name, "file"], common(grids).tile)
 
@@ -134,9 +157,7 @@ def envelopes(pairs: DataFrame, src: DataFrame, src_id: str, tiles: DataFrame, g
         lo, hi = (f"({p}{e} - y0) / gh" for e in ("ymin", "ymax"))
         return df.selectExpr("*", f"({p}xmin - x0) / gw as {p}u0", f"({p}xmax - x0) / gw as {p}u1", f"least({lo}, {hi}) as {p}v0", f"greatest({lo}, {hi}) as {p}v1")
 
-    g = grid_table(tiles.sparkSession, grids).drop("filename")
-    near = bbox_join(src, extents(tiles, grids), src_id, "file", ("src_id", "file")).select("src_id", "file", *BOX).join(g, "file")
-    s = in_pixels(near).drop(*BOX).selectExpr("*", f"explode(sequence(ceil(u0 / {t}) - 1, floor(u1 / {t}))) as tx")
+    s = in_pixels(near_files(src, src_id, tiles, grids, "src_id")).drop(*BOX).selectExpr("*", f"explode(sequence(ceil(u0 / {t}) - 1, floor(u1 / {t}))) as tx")
     s = s.selectExpr("*", f"explode(sequence(ceil(v0 / {t}) - 1, floor(v1 / {t}))) as ty")
     boxes = raster.tile_boxes(_numbered(tiles, grids), one, keep=("file",))
     s = s.join(boxes, ["file", "tx", "ty"]).where("u0 <= t_c1 and t_c0 <= u1 and v0 <= t_r1 and t_r0 <= v1")

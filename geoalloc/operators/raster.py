@@ -10,7 +10,6 @@ a sum. A clip of a clip is the same join once more.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,7 +36,7 @@ def tile_raster(pixels: DataFrame, grid: Grid, filename: str = "pixels", nodata:
         pixels = pixels.withColumns({"filename": F.lit(filename), "file_no": F.lit(0).cast("long")})
     else:  # a row for each file
         files = pixels.select("filename").distinct().withColumn("file_no", F.row_number().over(Window.orderBy("filename")).cast("long") - 1)
-        pixels = pixels.drop("file_no").join(files, "filename")
+        pixels = pixels.drop("file_no").join(F.broadcast(files), "filename")  # dealt by file, its pixels would be one task
     gap = f"{nodata:02X}"
     keys = ["filename", "file_no", "ty", "tx"]
     lines = (pixels.selectExpr("filename", "file_no", f"floor(prow / {t}) as ty", f"floor(pcol / {t}) as tx",
@@ -97,14 +96,15 @@ def raster_runs(tiles: DataFrame, grid: Grid, value: int = 1, keep: tuple[str, .
 
     def runs(batches):
         for pdf in batches:
+            found = []
             for row in pdf.itertuples(index=False):
                 on = np.pad((_pixels_of(row) == value).astype(np.int8), ((0, 0), (1, 1)))
                 step = np.diff(on, axis=1)
                 r, start = np.nonzero(step == 1)
-                stop = np.nonzero(step == -1)[1]
-                if len(r):
-                    yield pd.DataFrame({"rid": row.rid, "tx": row.tx, "prow": row.ty * side + r,
-                                        "c_from": row.tx * side + start, "c_to": row.tx * side + stop, **{k: getattr(row, k) for k in keep}})
+                found.append((row.ty * side + r, row.tx * side + start, row.tx * side + np.nonzero(step == -1)[1]))
+            if found:
+                own = pdf[["rid", "tx", *keep]].iloc[np.repeat(np.arange(len(pdf)), [len(f[0]) for f in found])].reset_index(drop=True)
+                yield own.assign(**{c: np.concatenate(v) for c, v in zip(("prow", "c_from", "c_to"), zip(*found))})[["rid", "tx", "prow", "c_from", "c_to", *keep]]
 
     return tiles.select("rid", "tx", "ty", "cols", "rows", "bits", "band", *keep).mapInPandas(
         runs, f"rid bigint, tx bigint, prow bigint, c_from bigint, c_to bigint{kept}")

@@ -7,7 +7,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from geoalloc.operators import noding
+from geoalloc.operators import mosaic, noding
+from geoalloc.spec import Grid
 from tests.helpers import box, shapes
 from tests.test_edges import tangle
 from workload.queries import Maps, _stepped
@@ -56,3 +57,28 @@ def test_small_polygons_meet_in_place_as_they_do_in_bins(spark, monkeypatch):
     monkeypatch.setattr(noding, "polygon_edges", lambda df, id, was=noding.polygon_edges: left.append(df.count()) or was(df, id))
     noding.polygon_meetings(shapes(spark, [(str(k), [[box(0, 0, 2, 2)]]) for k in range(5)]), "id")
     assert left == [0]
+
+
+GRIDS = {"west": Grid(0.0, 0.0, 1.0, 1.0, tile=4), "east": Grid(5.0, 0.0, 1.5, 1.5, tile=4)}
+
+
+def mosaic_tiles(spark):
+    pixels = [(f, c, r, 21) for f in GRIDS for c in range(8) for r in range(8)]
+    return mosaic.tile_files(spark.createDataFrame(pixels, "filename string, pcol bigint, prow bigint, cls int"), GRIDS)
+
+
+def test_shapes_meet_files_without_being_shuffled(spark):
+    s = shapes(spark, [(str(k), [[box(k, 1, k + 2, 3)]]) for k in range(16)])
+    near = mosaic.near_files(s, "id", mosaic_tiles(spark), GRIDS, "geom_id")
+    # the box of the west is 0 to 8, of the east 5 to 17
+    want = {(str(k), f) for k in range(16) for f, a, b in ((0, 0, 8), (1, 5, 17)) if k <= b and a <= k + 2}
+    got = [(r["geom_id"], r["file"]) for r in near.collect()]
+    assert set(got) == want and len(got) == len(want)
+    assert "SortMergeJoin" not in plan(mosaic.mosaic_spans(s, "id", mosaic_tiles(spark), GRIDS))
+
+
+def test_rows_of_a_file_are_not_gathered_by_it(spark):
+    tiles = mosaic_tiles(spark)
+    clips = spark.createDataFrame([("a", 1, 0, 0, 4)], "geom_id string, file bigint, prow bigint, c_from bigint, c_to bigint")
+    for df in (tiles, mosaic.ground(clips, GRIDS, "geom_id"), mosaic._numbered(tiles, GRIDS)):
+        assert "BroadcastHashJoin" in plan(df) and "SortMergeJoin" not in plan(df)
