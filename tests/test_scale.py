@@ -82,3 +82,10 @@ def test_rows_of_a_file_are_not_gathered_by_it(spark):
     clips = spark.createDataFrame([("a", 1, 0, 0, 4)], "geom_id string, file bigint, prow bigint, c_from bigint, c_to bigint")
     for df in (tiles, mosaic.ground(clips, GRIDS, "geom_id"), mosaic._numbered(tiles, GRIDS)):
         assert "BroadcastHashJoin" in plan(df) and "SortMergeJoin" not in plan(df)
+
+
+def test_tiles_are_made_once_for_all_that_reads_them(spark, folder):
+    m = Maps(spark, folder)
+    for tiles in (m.land["tiles"], m.file_tiles):
+        assert "ExistingRDD" in plan(tiles) and "Aggregate" not in plan(tiles) and "MapInPandas" not in plan(tiles)
+    assert m.land["tiles"].count() == 13

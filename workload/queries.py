@@ -71,11 +71,11 @@ class Maps:
 
     @property
     def tiles(self):
-        return self._once("tiles", lambda: raster.tile_raster(self.flat("pixels"), st.GRID))
+        return self._once("tiles", lambda: writers.stored(raster.tile_raster(self.flat("pixels"), st.GRID)))
 
     @property
     def dev_tiles(self):
-        return self._once("dev_tiles", lambda: raster.reclass_raster(self.tiles))
+        return self._once("dev_tiles", lambda: writers.stored(raster.reclass_raster(self.tiles)))
 
     @property
     def runs(self):
@@ -84,7 +84,7 @@ class Maps:
     @property
     def file_tiles(self):
         """All pixels as two files: the east has larger pixels and reaches over the west."""
-        return self._once("file_tiles", lambda: mosaic.tile_files(st.two_files(self.flat("pixels")), st.GRIDS))
+        return self._once("file_tiles", lambda: writers.stored(mosaic.tile_files(st.two_files(self.flat("pixels")), st.GRIDS)))
 
     @property
     def file_runs(self):
