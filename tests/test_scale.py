@@ -11,7 +11,8 @@ from geoalloc.operators import mosaic, noding
 from geoalloc.spec import Grid
 from tests.helpers import box, shapes
 from tests.test_edges import tangle
-from workload.queries import Maps, _stepped
+from workload import standins as st
+from workload.queries import Maps, _dented, _stepped
 
 
 def plan(df):
@@ -39,6 +40,11 @@ def test_edges_of_a_small_file_are_the_work_of_several_tasks(spark, folder):
     assert dense[0].agg(F.count_distinct("k"), F.max("k")).first() == (11_000, 10_999)
 
 
+def test_rings_to_thin_are_dealt_into_tasks(spark, folder):
+    sizes = _dented(Maps(spark, folder)).select("k", "geom").rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    assert sum(sizes) == 11_000 and max(sizes) <= st.TASK_ROWS["customer"]
+
+
 def test_small_polygons_meet_in_place_as_they_do_in_bins(spark, monkeypatch):
     rng = random.Random(5)
     rows = [(str(k), tangle(rng, k % 5)) for k in range(40)]
