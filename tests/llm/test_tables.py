@@ -40,7 +40,7 @@ def test_query_matches_sql(spark, con, name):
 def test_all_are_registered():
     names = entry_point.queries()
     assert set(QUERIES) | {"pipeline"} <= set(names)
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 # quotations
