@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geoalloc.llm.common import Forest, U, WordHashes, components, mix, shingles, stored
+from geoalloc.llm.op5_url_filter import KEYS_PER_BLOCK, MOST_BLOCKS, block_of, bloom_filter, mask_of
 
 ORDERS = 3
 BATCH, FLUSH, BLOCK, HOME, HOT = 512, 1_500_000, 512, 256, 256
@@ -500,6 +501,27 @@ def jaccard_join(docs: DataFrame, k: int, percent: int, id_col: str = "doc_id",
     return out.select("id", F.col("n").alias("n_shingles"), own("component_id"), own("class_id"))
 
 
+def screened(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``docs`` with ``__may``: whether the ``doc_id`` may be in ``ids``, a stored table of distinct ones.
+
+    Never false for one that is. The filter has a greatest size, so it is broadcast, and rows that
+    it clears need no join: more ids than it was made for raise the share of the others only.
+    """
+    blocks = min(MOST_BLOCKS, 1 << max(4, (ids.count() // KEYS_PER_BLOCK).bit_length()))
+    words = bloom_filter(ids.select(F.col("doc_id").alias("key")), blocks).withColumnsRenamed({"block": "__block", "word": "__word"})
+    key = F.col("doc_id").cast("long")
+    rows = docs.join(F.broadcast(words), block_of(key, blocks) == F.col("__block"), "left")
+    may = F.coalesce(F.col("__word").bitwiseAND(mask_of(key)) == mask_of(key), F.lit(False))
+    return rows.withColumn("__may", may).drop("__block", "__word")
+
+
+def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose ``doc_id`` is not in ``ids``; texts of those that the filter leaves open only are shuffled."""
+    rows = screened(docs, ids)
+    rest = rows.where("__may").join(ids, "doc_id", "left_anti")
+    return rows.where("not __may").select(docs.columns).unionByName(rest.select(docs.columns))
+
+
 def one_of_each(docs: DataFrame, k: int, percent: int) -> DataFrame:
     """``docs`` with one row of each component of linked texts: of its smallest id, the least row.
 
@@ -514,11 +536,11 @@ def one_of_each(docs: DataFrame, k: int, percent: int) -> DataFrame:
     worded = sets.where("id is not null and n > 0")
     again = stored(sets.where("id is not null").groupBy("id").agg(F.count("*").alias("rows")).where("rows > 1").select(F.col("id").alias("doc_id")))
     left_out = worded.join(stay.withColumnRenamed("doc_id", "id"), ["id", "hi", "lo"], "left_anti").select(F.col("id").alias("doc_id")).distinct()
-    single = docs.join(left_out, "doc_id", "left_anti")
+    left_out = stored(left_out)
     if again.isEmpty():
-        return single.select(docs.columns)
+        return without(docs, left_out)
     # rows of repeated ids are told apart by their sets
-    rows = docs.join(again, "doc_id", "left_semi").select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    rows = screened(docs, again).where("__may").join(again, "doc_id", "left_semi").select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
     rows = rows.select("row", F.col("row.text").cast("string").alias("text"))
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -532,7 +554,8 @@ def one_of_each(docs: DataFrame, k: int, percent: int) -> DataFrame:
     rows = stored(rows)
     least = rows.where("n > 0").join(stay, ["doc_id", "hi", "lo"], "left_semi").groupBy("doc_id", "hi", "lo").agg(F.min("row").alias("row"))
     more = rows.where("n = 0").select("row.*").unionByName(least.select("row.*"))
-    return single.join(again, "doc_id", "left_anti").select(docs.columns).unionByName(more.select(docs.columns))
+    single = without(docs, stored(left_out.unionByName(again.select("doc_id")).distinct()))
+    return single.unionByName(more.select(docs.columns))
 
 
 def op7_jaccard_join(spark, sf_dir: str) -> DataFrame:

@@ -16,7 +16,7 @@ from geoalloc.llm import op2_quality as op2
 from geoalloc.llm import op4_mixing as op4
 from geoalloc.llm.common import components, shared_folder
 from geoalloc.llm.op6_packing import TOKENIZER, ChunkIds, pack
-from geoalloc.llm.op7_jaccard_join import jaccard_join, one_of_each
+from geoalloc.llm.op7_jaccard_join import jaccard_join, one_of_each, screened, without
 from geoalloc.llm.op9_winnowing import WINDOW, code_points, edited_digests, fingerprints, gram_hashes, winnow
 from geoalloc.llm.op10_separators import END_ID, count_tokens, scan_blocks, write_token_files
 
@@ -165,6 +165,33 @@ def test_one_of_each(docs, rows):
     assert sorted(x for x in got if x is not None) == sorted(want) and got.count(None) == 2
 
 
+def test_texts_that_stay_are_not_shuffled(spark, tmp_path, monkeypatch):
+    spark.range(4000).selectExpr("id as doc_id", "concat('text ', id) as text", "7 as key", "7 as block").unionByName(
+        spark.sql("select cast(null as bigint) as doc_id, 'none' as text, 7 as key, 7 as block")).write.parquet(f"{tmp_path}/docs")
+    spark.range(0, 5000, 10).withColumnRenamed("id", "doc_id").write.parquet(f"{tmp_path}/ids")
+    docs, ids = spark.read.parquet(f"{tmp_path}/docs"), spark.read.parquet(f"{tmp_path}/ids")
+    want = sorted(x for x in range(4000) if x % 10)
+
+    def kept():
+        out = without(docs, ids)
+        assert out.columns == docs.columns
+        got = [r.doc_id for r in out.collect()]
+        assert got.count(None) == 1 and sorted(x for x in got if x is not None) == want
+        return out
+
+    open_ = {r.doc_id for r in screened(docs, ids).where("__may").collect()}
+    assert set(range(0, 4000, 10)) <= open_ and len(open_) < 500 and None not in open_
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        cleared = kept()._jdf.queryExecution().executedPlan().toString().split("SortMergeJoin")[0]
+        assert "NOT" in cleared and "Exchange hashpartitioning(doc_id" not in cleared
+        assert "shiftright" in one_of_each(docs, 5, 80)._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    monkeypatch.setattr("geoalloc.llm.op7_jaccard_join.MOST_BLOCKS", 4)  # a filter of far too few words
+    kept()
+
+
 def test_packing(docs, rows):
     tokenizer = Tokenizer.from_file(TOKENIZER)
     want = {}
