@@ -22,6 +22,10 @@ those prefixes selective. The join runs in five steps:
    spanning forest go on to connected components.
 
 Nothing is capped: a bucket of any size is cut into blocks, and each pair of blocks is met.
+
+Hash ranges and stored tables are dealt into tasks by the size of the texts (``parts_for``):
+where ``spark.sql.shuffle.partitions`` is far more than a small input needs, the partitions of
+a shuffle share tasks.
 """
 
 from __future__ import annotations
@@ -40,6 +44,7 @@ from geoalloc.llm.op5_url_filter import KEYS_PER_BLOCK, MOST_BLOCKS, block_of, b
 
 ORDERS = 3
 BATCH, FLUSH, BLOCK, HOME, HOT = 512, 1_500_000, 512, 256, 256
+FEW = 250_000  # tokens that are worth a hash range of their own
 HASHES = 8
 SIDE = 7  # bytes of a token below its hash range
 
@@ -155,10 +160,15 @@ def _set_rows(ids: list, marks: list[tuple[int, int]], sizes: list[int], bucket:
     return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([True]), *(pa.array(c, pa.binary()) for c in columns)], NAMES)
 
 
-def parts_for(docs: DataFrame, text_col: str) -> int:
-    """Number of hash ranges: about ``FLUSH`` tokens each, at six characters a word."""
+def parts_for(docs: DataFrame, text_col: str) -> tuple[int, int]:
+    """Number of hash ranges: the shuffle partitions, but at least ``FEW`` tokens each, and about ``FLUSH`` at most. Number of tasks for what is stored.
+
+    A word counts as six characters. There are never more tasks than partitions, and cores are not left idle for either.
+    """
     chars = docs.agg(F.coalesce(F.sum(F.length(F.col(text_col).cast("string"))), F.lit(0))).first()[0]
-    return int(max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), chars // 6 // FLUSH + 1))
+    cores, shuffle = docs.sparkSession.sparkContext.defaultParallelism, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    most = int(chars // 6 // FLUSH + 1)
+    return max(min(shuffle, max(cores, int(chars // 6 // FEW + 1))), most), max(cores, most)
 
 
 def counted(docs: DataFrame, parts: int, k: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -279,15 +289,15 @@ def homes_of(classes: DataFrame) -> DataFrame:
     return classes.select("id", "tokens").mapInArrow(run, "id long, homes array<long>")
 
 
-def in_blocks(classes: DataFrame) -> DataFrame:
+def in_blocks(classes: DataFrame, tasks: int) -> DataFrame:
     """Classes with ``homes`` and ``block``, stored: up to ``HOME`` or so classes of one first home."""
     homes = homes_of(classes).withColumn("home", F.col("homes")[0])
     many = homes.groupBy("home").agg(F.ceil(F.count("*") / HOME).alias("parts"))
     homes = homes.join(many, "home").select("id", "homes", F.xxhash64("home", F.pmod(F.xxhash64("id"), "parts")).alias("block"))
-    return stored(classes.join(homes, "id"))
+    return stored(classes.join(homes, "id").coalesce(tasks))
 
 
-def crowds(classes: DataFrame, percent: int) -> DataFrame:
+def crowds(classes: DataFrame, percent: int, tasks: int) -> DataFrame:
     """``u, v``: links of classes with the one drawn from each of their homes, stored.
 
     The draw of a home is a minimum with a map-side part, so a home of any size is no
@@ -305,10 +315,10 @@ def crowds(classes: DataFrame, percent: int) -> DataFrame:
             if b.num_rows:
                 yield packed_pairs(*(b[c].to_numpy() for c in ("one", "two")), np.zeros(b.num_rows, np.int64), *(b[c].to_numpy() for c in ("u", "v")))
 
-    return stored(tested(stored(pairs.mapInArrow(pack, PAIRS)), classes, percent, 1))
+    return stored(tested(stored(pairs.coalesce(tasks).mapInArrow(pack, PAIRS)), classes, percent, 1, tasks))
 
 
-def tested(pairs: DataFrame, classes: DataFrame, percent: int, orders: int) -> DataFrame:
+def tested(pairs: DataFrame, classes: DataFrame, percent: int, orders: int, tasks: int) -> DataFrame:
     """``u, v``: those of the packed pairs that all ``orders`` brought and that link, a spanning forest for each pair of blocks."""
     # the blocks of a pair get the sets of the classes that pairs there name
     need = pairs.select("one", "two", F.explode("ids").alias("id")).distinct()
@@ -331,15 +341,17 @@ def tested(pairs: DataFrame, classes: DataFrame, percent: int, orders: int) -> D
                 links.append((u, v))
         return pa.table({"u": pa.array([x for x, _ in links], pa.int64()), "v": pa.array([x for _, x in links], pa.int64())})
 
-    return work.groupBy("one", "two").applyInArrow(verify, LINKS)
+    return work.groupBy("one", "two").applyInArrow(verify, LINKS).coalesce(tasks)
 
 
-def near_pairs(classes: DataFrame, percent: int) -> DataFrame:
+def near_pairs(classes: DataFrame, percent: int, tasks: int) -> DataFrame:
     """``u, v``: links between classes ``id, n, tokens, dfs``, enough of them to connect all that link."""
-    classes = in_blocks(classes)
-    known = crowds(classes, percent)
+    classes = in_blocks(classes, tasks)
+    known = crowds(classes, percent, tasks)
     groups = components(known)
-    classes = stored(classes.join(groups.withColumnsRenamed({"node": "id", "component": "crowd"}), "id", "left").withColumn("crowd", F.coalesce("crowd", "id")))
+    groups = stored(groups.coalesce(tasks))
+    classes = classes.join(groups.withColumnsRenamed({"node": "id", "component": "crowd"}), "id", "left").withColumn("crowd", F.coalesce("crowd", "id"))
+    classes = stored(classes.coalesce(tasks))
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -362,7 +374,7 @@ def near_pairs(classes: DataFrame, percent: int) -> DataFrame:
     deal = deal.withColumns({"one": F.least("own", "other"), "two": F.greatest("own", "other")})
     # many small buckets share a task call
     parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    deal = deal.select("ord", "token", "one", "two", "own", "crowd", "id", "n", "place", "block", "before").repartition(parts, "ord", "token", "one", "two")
+    deal = deal.select("ord", "token", "one", "two", "own", "crowd", "id", "n", "place", "block", "before").repartition(parts, "ord", "token", "one", "two").coalesce(tasks)
     deal = deal.sortWithinPartitions("ord", "token", "one", "two", F.col("own") != F.col("one"), "crowd")
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -380,7 +392,7 @@ def near_pairs(classes: DataFrame, percent: int) -> DataFrame:
         if size:
             yield packed_pairs(*map(np.concatenate, zip(*found)))
 
-    links = tested(stored(deal.mapInArrow(meet, PAIRS)), classes, percent, ORDERS)
+    links = tested(stored(deal.mapInArrow(meet, PAIRS)), classes, percent, ORDERS, tasks)
     return groups.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(links)
 
 
@@ -465,16 +477,16 @@ def packed_pairs(one: np.ndarray, two: np.ndarray, order: np.ndarray, u: np.ndar
                                        pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(named[:, 1]))], ["one", "two", "ord", "pairs", "ids"])
 
 
-def linked_classes(docs: DataFrame, k: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """``id, n, hi, lo`` of every row; ``hi, lo, class, class_id`` of the classes; ``u, v``, links of class numbers."""
-    parts = parts_for(docs, text_col)
+def linked_classes(docs: DataFrame, k: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame, DataFrame, int]:
+    """``id, n, hi, lo`` of every row; ``hi, lo, class, class_id`` of the classes; ``u, v``, links of class numbers; number of tasks to store tables by."""
+    parts, tasks = parts_for(docs, text_col)
     both = counted(docs, parts, k, id_col, text_col)
     sets = stored(set_rows(both, parts))
     # apart, so that a join with the rows can split a class of many copies
     classes = sets.where("id is not null and n > 0").groupBy("hi", "lo").agg(F.min("id").alias("class_id"))
-    classes = stored(classes.withColumn("class", F.monotonically_increasing_id()))
-    may = gathered(both, parts, percent)
-    return sets, classes, near_pairs(stored(may.join(classes.withColumnRenamed("class", "id"), ["hi", "lo"]).select("id", "n", "tokens", "dfs")), percent)
+    classes = stored(classes.coalesce(tasks).withColumn("class", F.monotonically_increasing_id()))
+    may = gathered(both, parts, percent).join(classes.withColumnRenamed("class", "id"), ["hi", "lo"]).select("id", "n", "tokens", "dfs")
+    return sets, classes, near_pairs(stored(may.coalesce(tasks)), percent, tasks), tasks
 
 
 def jaccard_join(docs: DataFrame, k: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -487,12 +499,12 @@ def jaccard_join(docs: DataFrame, k: int, percent: int, id_col: str = "doc_id",
     Repeated rows are links of their id to itself; an id with several texts links with all
     their partners. Other columns are not read, whatever their names.
     """
-    sets, classes, links = linked_classes(docs, k, percent, id_col, text_col)
-    mine = stored(sets.where("id is not null and n > 0").join(classes, ["hi", "lo"]).select("id", "hi", "lo", "class", "class_id"))
+    sets, classes, links, tasks = linked_classes(docs, k, percent, id_col, text_col)
+    mine = stored(sets.where("id is not null and n > 0").join(classes, ["hi", "lo"]).select("id", "hi", "lo", "class", "class_id").coalesce(tasks))
     # one id on several sets holds their classes together
     several = mine.groupBy("id").agg(F.min("class").alias("u"), F.max("class").alias("v")).where("u != v")
     several = mine.join(several.select("id", "u"), "id").select("u", F.col("class").alias("v"))
-    found = components(links.unionByName(several))
+    found = components(links.unionByName(several.coalesce(tasks)))
     of = classes.join(found.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
     lowest = of.groupBy("component").agg(F.min("class_id").alias("component_id"))
     of = of.join(lowest, "component").select("hi", "lo", "class_id", "component_id")
@@ -528,15 +540,15 @@ def one_of_each(docs: DataFrame, k: int, percent: int) -> DataFrame:
     Rows with a null id and those without words stay. Texts are linked by their sets alone, so
     an id with several texts loses none that is no near copy.
     """
-    sets, classes, links = linked_classes(docs, k, percent)
+    sets, classes, links, tasks = linked_classes(docs, k, percent)
     found = components(links)
     of = classes.join(found.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
     first = of.groupBy("component").agg(F.min(F.struct("class_id", "hi", "lo")).alias("first")).select("first.*")
-    stay = stored(first.withColumnRenamed("class_id", "doc_id"))
+    stay = stored(first.withColumnRenamed("class_id", "doc_id").coalesce(tasks))
     worded = sets.where("id is not null and n > 0")
-    again = stored(sets.where("id is not null").groupBy("id").agg(F.count("*").alias("rows")).where("rows > 1").select(F.col("id").alias("doc_id")))
+    again = stored(sets.where("id is not null").groupBy("id").agg(F.count("*").alias("rows")).where("rows > 1").select(F.col("id").alias("doc_id")).coalesce(tasks))
     left_out = worded.join(stay.withColumnRenamed("doc_id", "id"), ["id", "hi", "lo"], "left_anti").select(F.col("id").alias("doc_id")).distinct()
-    left_out = stored(left_out)
+    left_out = stored(left_out.coalesce(tasks))
     if again.isEmpty():
         return without(docs, left_out)
     # rows of repeated ids are told apart by their sets

@@ -76,6 +76,54 @@ def test_components_of_chains_and_hubs(spark):
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def test_components_in_few_rounds(spark, monkeypatch):
+    import geoalloc.llm.common as common
+
+    tables, keep = [], common.stored
+    monkeypatch.setattr(common, "stored", lambda df: tables.append(keep(df)) or tables[-1])
+    links = [(i, i + 1) for i in range(600)] + [(i, i) for i in range(5)] + [(i, i + 1) for i in range(0, 600, 7)] + [(1000, i) for i in range(1001, 1100)]
+    random.Random(2).shuffle(links)
+    for most in (500_000, 50):  # edges of a task at once, and in several lots
+        monkeypatch.setattr(common, "EDGES", most, raising=False)
+        tables.clear()
+        got = [(r.node, r.component) for r in components(spark.createDataFrame(links, "u long, v long")).collect()]
+        assert sorted(got) == [(i, 0) for i in range(601)] + [(i, 1000) for i in range(1000, 1100)]
+        assert len(tables) <= 6
+
+
+def test_small_texts_take_few_tasks(spark, monkeypatch):
+    """Stored tables are dealt by their size, not by a number of shuffle partitions far beyond it."""
+    import geoalloc.llm.common as common
+    import geoalloc.llm.op7_jaccard_join as op7
+
+    files, keep = [], common.stored
+
+    def seen(df):
+        out = keep(df)
+        files.append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(common, "stored", seen)
+    monkeypatch.setattr(op7, "stored", seen)
+    rng, rows = random.Random(8), []
+    for i in range(300):
+        t = words(rng, 60)
+        rows += [(2 * i, " ".join(t)), (2 * i + 1, " ".join([*t[:-1], "end"]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    held = {"spark.sql.shuffle.partitions": "96", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        got = {r.id: r.component_id for r in jaccard_join(docs, 4, 85).collect()}
+        assert got == {i: i - i % 2 for i in range(600)}
+        assert sorted(r.doc_id for r in one_of_each(docs, 4, 85).collect()) == [*range(0, 600, 2)]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert max(files) <= 3 * spark.sparkContext.defaultParallelism
+
+
 @pytest.mark.parametrize(("k", "percent"), [(4, 85), (5, 80)])
 def test_jaccard_join(docs, rows, k, percent):
     sets = {}
