@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from geoalloc.llm.common import shared_folder, stored
-from geoalloc.llm.op6_packing import BATCH, TOKENIZER, ChunkIds
+from geoalloc.llm.op6_packing import BATCH, TOKENIZER, chunk_ids
 from geoalloc.sources.shapefiles import open_files
 
 BLOCK_IDS = 1 << 18
@@ -43,7 +43,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, en
     close = end_id.to_bytes(width, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = ChunkIds(tokenizer, f"<u{width}", names_are_text=True)
+        ids = chunk_ids(tokenizer, f"<u{width}", names_are_text=True)
         for whole in batches:
             for at in range(0, whole.num_rows, BATCH):
                 yield pa.RecordBatch.from_arrays([pa.array([ids.of(x) + close[:-1] for x in whole["text"].slice(at, BATCH).to_pylist()], pa.binary())], ["ids"])

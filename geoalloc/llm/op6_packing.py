@@ -9,9 +9,13 @@ window of all can be short.
 
 from __future__ import annotations
 
+import os
+import re
+import struct
 import unicodedata
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -24,9 +28,12 @@ from geoalloc.llm.common import stored
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 BATCH = 1024
-
-
-PROBES = ("a b\nc", "The end, thoner$$$ Erheit\u00e4t. 10 x!", "\u00c9\u00ealle l'eau  cci\u00f3n", "zzqvx", "a")
+LONGEST = 100  # characters of a chunk that is remembered
+PROBES = ("a b\nc", "The end, thoner$$$ Erheit\u00e4t. 10 x!", "\u00c9\u00ealle l'eau  cci\u00f3n", "zzqvx", "a",
+          "don't. \u00e9\u00e9! x" + "x".join(chr(c) for c in range(0x21, 0x7F) if not chr(c).isalpha()))
+#: an ASCII sign or digit after a letter below U+0180; dotted capital I is none, as its dot comes off when it is lower-cased
+WORD_END = re.compile("[!-@\\[-`{-~](?<=[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f].)")
+UNSURE = re.compile("[\u0130\u0180-\U0010ffff]")  # other characters are composed, and lower-cased one by one
 
 
 class ChunkIds(dict):
@@ -35,7 +42,9 @@ class ChunkIds(dict):
     Some tokenizers drop white space and never join text across it, so a text has the ids of
     its chunks. Chunks are split at blanks and line feeds alone; other white space stays
     inside a chunk, where the tokenizer itself sees it. Others get whole texts. Which kind a
-    tokenizer is, and whether its model may be asked for plain words directly, is probed.
+    tokenizer is, and whether its model may be asked for plain words directly, is probed; if it
+    may, words are also split from the signs after them, and texts of ASCII and Latin letters are lower-cased first.
+    When half of ``most`` chunks are new, older ones go unless they were met again meanwhile.
     """
 
     def __init__(self, path: str, kind: str, most: int = 600_000, names_are_text: bool = False):
@@ -43,40 +52,61 @@ class ChunkIds(dict):
         from tokenizers.pre_tokenizers import ByteLevel
 
         super().__init__()
-        self.tokenizer, self.kind, self.most = Tokenizer.from_file(path), kind, most
+        self.tokenizer, self.kind, self.most, self.old = Tokenizer.from_file(path), kind, most, {}
         self.tokenizer.encode_special_tokens = names_are_text
-        self.by_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
+        by_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.ask, self.letters = self.tokenizer.model.tokenize, {c: by_bytes.pre_tokenize_str(chr(c))[0][0] for c in range(0x80, 0x180)}
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.names = [x.content.lower() for x in added]
         whole = [self.encoded(x) for x in PROBES]
         self.plain = False
         self.chunks = whole == [b"".join(map(self.encoded, x.replace("\n", " ").split(" "))) for x in PROBES]
         words = [w for x in PROBES for w in x.lower().split() if is_plain(w)]
-        self.plain = self.chunks and [*map(self.encoded, words)] == [*map(self.modelled, words)]
+        self.plain = self.chunks and not any(x.normalized for x in added) and [*map(self.encoded, words)] == [*map(self.modelled, words)]
+        self.plain = self.plain and whole == [*map(self.of, PROBES)]
         self.clear()
 
     def encoded(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
     def modelled(self, word: str) -> bytes:
-        if not word.isascii():
-            word = self.by_bytes.pre_tokenize_str(word)[0][0]
-        return np.array([x.id for x in self.tokenizer.model.tokenize(word)], self.kind).tobytes()
+        ids = [x.id for x in self.ask(word if word.isascii() else word.translate(self.letters))]
+        return struct.pack(f"<{len(ids)}{'H' if self.kind == '<u2' else 'I'}", *ids)
 
     def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= self.most:
-            self.clear()
-        if self.plain and is_plain(low := chunk.lower()):
-            ids = self.modelled(low)
-        elif self.plain and chunk[-1:] in (".", ",") and is_plain(low[:-1]):
-            ids = self[chunk[:-1]] + self[chunk[-1]]
-        else:
-            ids = self.encoded(chunk)
-        self[chunk] = ids
+        ids = self.old.get(chunk)
+        if ids is None:
+            low = chunk.lower()
+            ids = self.modelled(low) if self.plain and is_plain(low) else self.encoded(chunk)
+        if len(chunk) <= LONGEST:
+            if 2 * len(self) >= self.most:
+                self.old = dict(self)
+                self.clear()
+            self[chunk] = ids
         return ids
 
+    def parted(self, text: str) -> str:
+        """A blank before each sign after a letter; names of added tokens, in any case, must stay as they are."""
+        low = text.lower()
+        if any(name in low for name in self.names):
+            return text
+        return WORD_END.sub(r" \g<0>", low if text.isascii() or not UNSURE.search(text) else text)
+
     def of(self, text: str | None) -> bytes:
         if not self.chunks:
             return self.encoded(text or "")
-        return b"".join(map(self.__getitem__, (text or "").replace("\n", " ").split(" ")))
+        text = self.parted(text or "") if self.plain else text or ""
+        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
+
+
+@lru_cache(maxsize=1)
+def known(path: str, kind: str, names_are_text: bool, changed: int) -> ChunkIds:
+    return ChunkIds(path, kind, names_are_text=names_are_text)
+
+
+def chunk_ids(path: str, kind: str, names_are_text: bool = False) -> ChunkIds:
+    """The ids that this process remembers, from one task to the next."""
+    return known(path, kind, names_are_text, os.stat(path).st_mtime_ns)
 
 
 def is_plain(low: str) -> bool:
@@ -101,7 +131,7 @@ def token_table(docs: DataFrame, keys: list[str], tokenizer: str = TOKENIZER, en
     part = docs.select(*(F.col(k).alias(f"k{i}") for i, k in enumerate(keys)), F.col("text").cast("string").alias("text"), *(F.col(c).alias(n) for c, n in zip(place, ("file", "row"))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, end = ChunkIds(tokenizer, kind), np.array([end_id], kind).tobytes()
+        ids, end = chunk_ids(tokenizer, kind), np.array([end_id], kind).tobytes()
         name, start, following, before = f"{TaskContext.get().partitionId():012d}", 0, None, 0
         for whole in batches:
             for at in range(0, whole.num_rows, BATCH):

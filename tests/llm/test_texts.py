@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import random
 import zlib
 from itertools import combinations
@@ -285,6 +286,47 @@ def test_chunks_of_mixed_strings():
     assert not wrong, wrong[:20]
 
 
+def test_words_are_asked_for_once(monkeypatch):
+    """Capitals and signs after a word do not make it another one, and words met again outlive those met once."""
+    asked = []
+    for name in ("encoded", "modelled"):
+        monkeypatch.setattr(ChunkIds, name, lambda self, text, keep=getattr(ChunkIds, name): asked.append(text) or keep(self, text))
+    ids, tokenizer = ChunkIds(TOKENIZER, "<u2"), Tokenizer.from_file(TOKENIZER)
+    asked.clear()
+    text = "nation Nation NATION nation. nation, Nation: nation***\nnation.*** nation) école École ÉCOLE, école!"
+    assert np.frombuffer(ids.of(text), "<u2").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert asked.count("nation") == 1 and asked.count("école") == 1 and len(asked) <= 10
+    ids = ChunkIds(TOKENIZER, "<u2", most=20)
+    asked.clear()
+    for i in range(200):
+        ids.of(f"nation word{'abcdefghij'[i % 10]}{'abcdefghijklmnopqrst'[i // 10]} " + "x" * (200 + i))
+    assert asked.count("nation") == 1 and len(ids) + len(ids.old) <= 20 and max(map(len, ids)) <= 100
+
+
+def test_tasks_of_a_process_share_what_they_know(tmp_path):
+    import shutil
+
+    from geoalloc.llm.op6_packing import chunk_ids
+
+    path = shutil.copy(TOKENIZER, tmp_path / "t.json")
+    ids = chunk_ids(str(path), "<u2")
+    assert chunk_ids(str(path), "<u2") is ids and chunk_ids(str(path), "<u2", names_are_text=True) is not ids
+    os.utime(path, ns=(1, 1))
+    assert chunk_ids(str(path), "<u2") is not ids
+
+
+def test_names_of_tokens_inside_texts():
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    letters = ["<|endoftext|>", "<|ENDOFTEXT|>", "<|startoftext|>", "<|endof", "text|>", "<|", "|>", "A", "É", "é", "İ", "’", "\u0307", "'S", "'", "n'T", "9", "Σ", " ", " ", "\n", "\x1c", ".", ",", "*"]
+    rng = random.Random(9)
+    for as_text in (False, True):
+        ids = ChunkIds(TOKENIZER, "<u4", names_are_text=as_text)
+        tokenizer.encode_special_tokens = as_text
+        texts = ["".join(rng.choice(letters) for _ in range(rng.randrange(1, 12))) for _ in range(20_000)]
+        wrong = [t for t, w in zip(texts, tokenizer.encode_batch(texts, add_special_tokens=False)) if np.frombuffer(ids.of(t), "<u4").tolist() != w.ids]
+        assert not wrong, wrong[:20]
+
+
 def test_winnowing_keeps_the_rightmost_minimum_of_every_window():
     rng = np.random.default_rng(0)
     for n in (0, 1, 5, WINDOW, WINDOW + 1, 200):
