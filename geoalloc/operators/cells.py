@@ -24,7 +24,7 @@ CELL = ("cx", "cy")
 HOT_ROWS = 100_000
 #: Share of a cell to which heights of edges are exact.
 ROUNDING = 1e-12
-STRIP = ("cx", "cy", "sign", "xa", "xb", "ya", "yb")
+STRIP = ("cx", "cy", "sign", "xa", "xb", "ya", "yb", "bottom", "top")
 BIN = ("level", "bin", "role")
 #: Levels of bins across a cell; the finest are 2^-30 of it.
 MOST_LEVELS = 30
@@ -107,7 +107,8 @@ def edges(shapes: DataFrame, id: str, geom: str = "geom") -> DataFrame:
     """One row per edge: end points and ``turn``, +1 if the area lies to its left.
 
     Rings may be given in either direction: the first of a polygon is its shell,
-    the others are holes.
+    the others are holes. ``bottom`` and ``top`` are the least and the greatest y of
+    the polygon.
     """
     def each(measure):
         # over the edges p -> q of ring r
@@ -116,9 +117,11 @@ def edges(shapes: DataFrame, id: str, geom: str = "geom") -> DataFrame:
     area = f"aggregate({each('(p.x - r[0].x) * (q.y - r[0].y) - (q.x - r[0].x) * (p.y - r[0].y)')}, 0D, (s, v) -> s + v)"
     ring = f"""struct(signum({area}) * if(i = 0, 1D, -1D) as turn,
         {each('struct(p.x as x1, p.y as y1, q.x as x2, q.y as y2)')} as edges)"""
-    rows = shapes.selectExpr(f"`{id}` as id", f"""explode(flatten(transform({geom}.polys,
-        poly -> transform(filter(poly, r -> size(r) > 1), (r, i) -> {ring})))) as r""")
-    return rows.selectExpr("id", "r.turn as turn", "inline(r.edges) as (x1, y1, x2, y2)")
+    polys = shapes.selectExpr(f"`{id}` as id", f"""explode(transform(transform({geom}.polys, poly -> filter(poly, r -> size(r) > 1)),
+        poly -> struct(array_min(transform(flatten(poly), p -> p.y)) as bottom, array_max(transform(flatten(poly), p -> p.y)) as top,
+                       transform(poly, (r, i) -> {ring}) as rings))) as g""")
+    rows = polys.selectExpr("id", "g.bottom as bottom", "g.top as top", "explode(g.rings) as r")
+    return rows.selectExpr("id", "bottom", "top", "r.turn as turn", "inline(r.edges) as (x1, y1, x2, y2)")
 
 
 def _cut_at_columns(edge_rows: DataFrame, cell: float) -> DataFrame:
@@ -129,23 +132,25 @@ def _cut_at_columns(edge_rows: DataFrame, cell: float) -> DataFrame:
     """
     back = "(x1 > x2 or (x1 = x2 and y1 > y2))"
     e = edge_rows.where("x1 <> x2 or y1 <> y2").selectExpr(
-        "id", f"if({back}, turn, -turn) as sign",
+        "id", "bottom", "top", f"if({back}, turn, -turn) as sign",
         f"if({back}, x2, x1) as ax", f"if({back}, y2, y1) as ay",
         f"if({back}, x1, x2) as bx", f"if({back}, y1, y2) as by")
     c = f"{float(cell)!r}D"
     e = e.selectExpr("*", f"explode(sequence(floor(ax / {c}), greatest(floor(ax / {c}), ceil(bx / {c}) - 1))) as cx")
     e = e.selectExpr("*", f"cx * {c} as x0", f"(cx + 1) * {c} as x9", "try_divide(by - ay, bx - ax) as slope")
     return e.selectExpr(
-        "id", "sign", "cx", "x0", "ax = bx as upright",
+        "id", "bottom", "top", "sign", "cx", "x0", "ax = bx as upright",
         "greatest(ax, x0) as px", "if(ax < x0, ay + slope * (x0 - ax), ay) as py",
         "least(bx, x9) as qx", "if(bx > x9, ay + slope * (x9 - ax), by) as qy")
 
 
 def strips(shapes: DataFrame, id: str, cell: float, geom: str = "geom") -> DataFrame:
-    """Cuts shapes into signed strips: ``id, cx, cy, sign, xa, xb, ya, yb``.
+    """Cuts shapes into signed strips: ``id, cx, cy, sign, xa, xb, ya, yb, bottom, top``.
 
     ``xa..xb`` and the heights ``ya, yb`` of the edge above the strip are relative
-    to the lower left corner of the cell. Three kinds of strip make up a cell:
+    to the lower left corner of the cell. ``bottom`` and ``top`` are those of the whole
+    polygon: a strip reaches down to the cell border, its polygon does not. Three kinds
+    of strip make up a cell:
 
     * *edge pieces* inside the cell,
     * *steps*: where the outline crosses the top of the cell, the ground to the
@@ -164,7 +169,7 @@ def strips(shapes: DataFrame, id: str, cell: float, geom: str = "geom") -> DataF
     own = (cut.selectExpr("*", "qy > py as rising", "least(py, qy) as low", "greatest(py, qy) as high")
            .selectExpr("*", f"ceil(high / {c}) - 1 as top_row",
                        f"if(px = x0 and rising, floor(low / {c}), ceil(low / {c}) - 1) as step_row")
-           .selectExpr("id", "cx", "x0", "sign", "upright", "rising", "px", "py", "qx", "qy", f"""explode(concat(
+           .selectExpr("id", "bottom", "top", "cx", "x0", "sign", "upright", "rising", "px", "py", "qx", "qy", f"""explode(concat(
                if(upright, array(), transform(sequence(least(floor(low / {c}), top_row), top_row),
                   r -> struct(true as piece, r as cy))),
                if((upright and px = x0) or top_row - 1 < step_row, array(), transform(sequence(step_row, top_row - 1),
@@ -182,17 +187,17 @@ def strips(shapes: DataFrame, id: str, cell: float, geom: str = "geom") -> DataF
                f"""case when not piece then x0 + {c}
                   when rising then if(qy > y9, x_y9, qx) else if(qy < y0, x_y0, qx) end - x0 as xb""",
                f"if(piece, least(greatest(py - y0, 0D), {c}), {c}) as ya",
-               f"if(piece, least(greatest(qy - y0, 0D), {c}), {c}) as yb")
+               f"if(piece, least(greatest(qy - y0, 0D), {c}), {c}) as yb", "bottom", "top")
            .where("xa < xb and (ya > 0 or yb > 0)"))
 
     # For each edge that starts on a vertical grid line, j is the first row it is not above.
     floors = (cut.where("not upright and px = x0")
-              .selectExpr("id", "cx", "sign", f"if(qy > py, floor(py / {c}), ceil(py / {c}) - 1) as j")
-              .selectExpr("id", "cx", "j", "sum(sign) over (partition by id, cx order by j desc) as sign",
-                          "lead(j) over (partition by id, cx order by j desc) as next")
+              .selectExpr("id", "bottom", "top", "cx", "sign", f"if(qy > py, floor(py / {c}), ceil(py / {c}) - 1) as j")
+              .selectExpr("id", "bottom", "top", "cx", "j", "sum(sign) over (partition by id, bottom, top, cx order by j desc) as sign",
+                          "lead(j) over (partition by id, bottom, top, cx order by j desc) as next")
               .where("next < j and sign <> 0")
               .selectExpr("id", "cx", "explode(sequence(next, j - 1)) as cy", "sign",
-                          "0D as xa", f"{c} as xb", f"{c} as ya", f"{c} as yb"))
+                          "0D as xa", f"{c} as xb", f"{c} as ya", f"{c} as yb", "bottom", "top"))
     return own.unionByName(floors)
 
 
@@ -229,19 +234,22 @@ def _paired(left: DataFrame, right: DataFrame, right_keys: list[str], cell: floa
     Of two strips the narrower one is looked up at the level of the wider: role 0
     is the right one at its own level, role 1 the left one. The pair counts in the
     bin where the shared x range begins. Candidates are then in proportion to the
-    pairs that do share an x range. A merge join: the strips are explosions, whose
-    size the planner cannot know, so neither side may be broadcast.
+    pairs that do share an x range. Strips of two polygons of which one ends below
+    the other add up to nothing and go no further. A merge join: the strips are
+    explosions, whose size the planner cannot know, so neither side may be broadcast.
     """
     kept = [k for k in left.columns if k not in STRIP]
     left = _binned(left, cell, "array(0, 1)", "array(0)")
     right = _binned(right, cell, "array(0)", "array(1)")
-    right = right.selectExpr(*CELL, *BIN, *right_keys, "sign as r_sign", "xa as r_xa", "xb as r_xb", "ya as r_ya", "yb as r_yb")
+    right = right.selectExpr(*CELL, *BIN, *right_keys, "sign as r_sign", "xa as r_xa", "xb as r_xb", "ya as r_ya", "yb as r_yb", "bottom as r_bottom", "top as r_top")
     left, right, keys = split_hot(left, right, cell, layers)
-    j = left.join(right.hint("merge"), [*keys, *BIN]).where("xa < r_xb and r_xa < xb and floor(greatest(xa, r_xa) / wide) = bin")
+    j = left.join(right.hint("merge"), [*keys, *BIN]).where(
+        "xa < r_xb and r_xa < xb and bottom < r_top and r_bottom < top and floor(greatest(xa, r_xa) / wide) = bin")
     j = j.selectExpr("*", "greatest(xa, r_xa) as lo", "least(xb, r_xb) as hi",
                      "(yb - ya) / (xb - xa) as slope", "(r_yb - r_ya) / (r_xb - r_xa) as r_slope")
     return j.selectExpr(
         *kept, *right_keys, *CELL, "sign * r_sign as sign", "lo", "hi",
+        "greatest(bottom, r_bottom) as bottom", "least(top, r_top) as top",
         "if(lo = xa, ya, ya + slope * (lo - xa)) as l0", "if(hi = xb, yb, ya + slope * (hi - xa)) as l1",
         "if(lo = r_xa, r_ya, r_ya + r_slope * (lo - r_xa)) as r0",
         "if(hi = r_xb, r_yb, r_ya + r_slope * (hi - r_xa)) as r1")

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from geoalloc.functions.geometry import planar_area
+from geoalloc.functions.geometry import LONLAT, planar_area
 from geoalloc.operators import areal, cells, spatial
 from tests.helpers import area_of, blob, box, closed, shapes
 
@@ -207,3 +207,29 @@ def test_candidates_grow_with_edges(spark):
         met = cells._binned(left, cell, "array(0, 1)", "array(0)").join(cells._binned(right, cell, "array(0)", "array(1)").select(keys), keys)
         seen.append(met.count())
     assert seen[1] <= 2.5**2 * seen[0] and seen[2] <= 2.5 * seen[1], seen
+
+
+@pytest.mark.parametrize("n", [8, 64])
+def test_polygons_above_one_another_are_not_summed(spark, n):
+    """Flat boxes piled up in one cell: each goes on with the two it meets, not with all of the pile."""
+    h = 8 / n
+    a = shapes(spark, [(str(i), [[box(0, i * h, 8, (i + 1) * h)]]) for i in range(n)])
+    # the last shape has a part at either end of the pile
+    b = shapes(spark, [(str(i), [[box(1, (i + 0.5) * h, 7, (i + 1.5) * h)]]) for i in range(n - 1)] + [("ends", [[box(0, 0, 1, h / 2)], [box(7, 8 - h / 2, 8, 8)]])])
+    left, right = cells.strips(a, "id", 8.0), cells.strips(b, "id", 8.0)
+    met = cells._paired(left, right.withColumnRenamed("id", "r"), ["r"], 8.0, (0, 1))
+    assert met.count() <= 12 * n
+    assert cells.intersect_strips(left, right.withColumnRenamed("id", "r"), ["r"], 8.0).count() <= 12 * n
+    want = {(str(i + k), str(i)): 3 * h for i in range(n - 1) for k in (0, 1)} | {("0", "ends"): h / 2, (str(n - 1), "ends"): h / 2}
+    assert pairs(spatial.overlap_area(a, b, "id", "id", cell=8.0), "src_id", "tgt_id") == pytest.approx(want)
+
+
+def test_latitudes_beyond_the_poles_are_not_folded_back(spark):
+    """Shapes meet as they do in lon/lat: the ground at 100 degrees has the size of that at 80, but is not it."""
+    boxes = {"north": (79, 80), "over": (100, 101), "across": (89, 91), "round": (439, 440), "south": (-80, -79), "under": (-101, -100), "cap": (89, 90)}
+    s = shapes(spark, [(k, [[box(0, y0, 1, y1)]]) for k, (y0, y1) in boxes.items()], srid=LONLAT)
+    got = pairs(spatial.overlap_area(s, s, "id", "id", srid=LONLAT), "src_id", "tgt_id")
+    assert set(got) == {(k, k) for k in boxes} | {("across", "cap"), ("cap", "across")}
+    area = {k: got[k, k] for k in boxes}
+    assert all(area[k] == pytest.approx(area["north"], rel=1e-9) for k in ("over", "round", "south", "under"))
+    assert area["across"] == pytest.approx(2 * area["cap"], rel=1e-9) and got["across", "cap"] == pytest.approx(area["cap"], rel=1e-9)
